@@ -173,3 +173,98 @@ def q_coverage_by_column(spark, d):
     wide = ev.select("stay", "offset_min", *[
         F.when(F.col("feature").startswith(t + "_"), F.col("value")).alias(t) for t in EVENT_TYPES])
     return B.coverage_by_column(wide, list(EVENT_TYPES), before=1440)
+
+
+# ------------------------------------------------------------------ static group
+from hourglass.operators import static as I  # noqa: E402
+from hourglass.plans import flat as P  # noqa: E402
+
+
+@query("star_join")
+def q_star_join(spark, d):
+    f = driver.flat(spark, d)
+    return f.select("stay", "gender", "teachingstatus", "nation", "region", "segment", "age",
+                    r6("height"), r6("weight"), "hour", r6("balance_after_24h")).dropDuplicates()
+
+
+@query("collapse_rare")
+def q_collapse_rare(spark, d):
+    return I.collapse_rare(P.flat_for_series(spark, d), "nation", P.MIN_COUNT).select("stay", "nation")
+
+
+@query("value_counts")
+def q_value_counts(spark, d):
+    return D.value_counts(P.flat_for_series(spark, d), "segment")
+
+
+@query("one_hot")
+def q_one_hot(spark, d):
+    base = P.flat_for_series(spark, d).select("stay", "region", "segment")
+    return P.melt(I.one_hot(base, ["region", "segment"]))
+
+
+@query("one_hot_long")
+def q_one_hot_long(spark, d):
+    base = P.flat_for_series(spark, d)
+    return I.one_hot_long(base, ["nation"]).select("stay", "feature", F.col("value").cast("double").alias("value"))
+
+
+@query("standardise")
+def q_standardise(spark, d):
+    base = P.flat_for_series(spark, d).select("stay", "height")
+    return I.standardise(base, "height").select("stay", r6("height"))
+
+
+@query("quantile_scale")
+def q_quantile_scale(spark, d):
+    base = P.flat_for_series(spark, d).select("stay", "weight", "hour")
+    return I.quantile_scale(base, ["weight", "hour"]).select("stay", r6("weight"), r6("hour"))
+
+
+@query("impute_indicator")
+def q_impute_indicator(spark, d):
+    base = P.flat_for_series(spark, d).select("stay", "weight")
+    return I.impute_with_indicator(base, "weight", "nullweight").select("stay", r6("weight"), "nullweight")
+
+
+@query("age_parse")
+def q_age_parse(spark, d):
+    from hourglass.functions import scalar as H
+
+    st = driver.stays(spark, d)
+    filled = F.coalesce(F.nullif(F.col("age"), F.lit("")), F.lit("63"))
+    return st.select("stay", H.age_int("age").alias("age_int"),
+                     H.contains_flag(filled, "> 89").alias("over89"),
+                     r6(H.age_float(filled), "age_float"))
+
+
+@query("encode_flat")
+def q_encode_flat(spark, d):
+    return P.melt(P.encoded_flat(spark, d)).select("stay", "feature", r6("value"))
+
+
+@query("encode_labels")
+def q_encode_labels(spark, d):
+    return P.melt(P.encoded_labels(spark, d)).select("stay", "feature", r6("value"))
+
+
+@query("describe")
+def q_describe(spark, d):
+    out = D.describe(series.cohort(spark, d), "los_days")
+    return out.select("count", *[r6(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
+
+
+@query("describe_categorical")
+def q_describe_categorical(spark, d):
+    return D.describe_categorical(P.flat_for_series(spark, d), "segment")
+
+
+@query("histogram")
+def q_histogram(spark, d):
+    return D.histogram(series.cohort(spark, d), "los_days", D.los_histogram_edges())
+
+
+@query("mean_median")
+def q_mean_median(spark, d):
+    out = D.mean_median(series.cohort(spark, d), "los_days")
+    return out.select(r6("mean"), r6("median"))

@@ -230,3 +230,178 @@ SELECT count(DISTINCT CASE WHEN feature LIKE 'click%' THEN stay END) AS click,
        count(DISTINCT CASE WHEN feature LIKE 'signup%' THEN stay END) AS signup,
        count(DISTINCT CASE WHEN feature LIKE 'error%' THEN stay END) AS error
 FROM win WHERE offset_min < 1440"""
+
+
+# --------------------------------------------------------------------------- static group
+CTE["flat"] = """flat AS (
+  SELECT st.stay,
+         CASE WHEN c.c_mktsegment IN ('MACHINERY', 'BUILDING') THEN 'Male'
+              WHEN c.c_mktsegment IN ('HOUSEHOLD', 'FURNITURE') THEN 'Female'
+              ELSE 'Unknown' END AS gender,
+         CASE WHEN r.r_name IN ('AMERICA', 'EUROPE') THEN 't' ELSE 'f' END AS teachingstatus,
+         n.n_name AS nation, r.r_name AS region, c.c_mktsegment AS segment, st.age,
+         CASE WHEN c.c_acctbal >= 0 THEN c.c_acctbal / 50.0 END AS height,
+         CASE WHEN c.c_mktsegment <> 'AUTOMOBILE' THEN (c.c_acctbal + 1000.0) / 100.0 END AS weight,
+         hour(st.admit_ts) AS hour, c.c_acctbal AS balance_after_24h
+  FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+       JOIN region r ON n.n_regionkey = r.r_regionkey
+       JOIN stays st ON c.c_custkey = st.stay)"""
+CTE["sstays"] = """sstays AS (SELECT DISTINCT stay FROM win)"""
+CTE["fl"] = """fl AS (SELECT * FROM flat WHERE stay IN (SELECT stay FROM sstays))"""
+CTE["coll"] = """coll AS (
+  SELECT stay, gender, teachingstatus, age, height, weight, hour,
+         CASE WHEN nation IS NULL THEN NULL
+              WHEN count(*) OVER (PARTITION BY nation) < 8 THEN 'misc' ELSE nation END AS nation,
+         CASE WHEN region IS NULL THEN NULL
+              WHEN count(*) OVER (PARTITION BY region) < 8 THEN 'misc' ELSE region END AS region,
+         CASE WHEN segment IS NULL THEN NULL
+              WHEN count(*) OVER (PARTITION BY segment) < 8 THEN 'misc' ELSE segment END AS segment
+  FROM fl)"""
+CTE["enc"] = """enc AS (
+  SELECT stay,
+         CASE gender WHEN 'Male' THEN 1.0 WHEN 'Female' THEN 0.0 ELSE 0.5 END AS gender,
+         CASE teachingstatus WHEN 't' THEN 1 WHEN 'f' THEN 0 END AS teachingstatus,
+         nation, region, segment,
+         CASE WHEN contains(coalesce(nullif(age, ''), '63'), '> 89') THEN 1 ELSE 0 END AS over89,
+         CAST(replace(coalesce(nullif(age, ''), '63'), '> ', '') AS DOUBLE) AS age,
+         height, weight, CAST(hour AS DOUBLE) AS hour
+  FROM coll)"""
+CTE["encst"] = """encst AS (
+  SELECT avg(height) AS h_mean, stddev_samp(height) AS h_std,
+         quantile_cont(weight, 0.05) AS w_lo, quantile_cont(weight, 0.95) AS w_hi,
+         quantile_cont(age, 0.05) AS a_lo, quantile_cont(age, 0.95) AS a_hi,
+         quantile_cont(hour, 0.05) AS r_lo, quantile_cont(hour, 0.95) AS r_hi
+  FROM enc)"""
+_ORDER[:] = list(CTE)
+
+
+def sql_scale(x: str, lo: str, hi: str, clip: float = 4.0) -> str:
+    return (f"(CASE WHEN {x} IS NULL THEN NULL WHEN {hi} = {lo} THEN "
+            f"(CASE WHEN {x} > {lo} THEN {clip} WHEN {x} < {lo} THEN -{clip} END) "
+            f"ELSE greatest(-{clip}, least({clip}, 2.0 * ({x} - {lo}) / ({hi} - {lo}) - 1.0)) END)")
+
+
+def sql_zscore(x: str, mean: str, std: str, clip: float = 4.0) -> str:
+    return (f"(CASE WHEN {x} IS NULL OR {std} IS NULL OR {std} = 0 THEN NULL "
+            f"ELSE greatest(-{clip}, least({clip}, ({x} - {mean}) / {std})) END)")
+
+
+def _one_hot_rows(src: str, col: str, key: str = "stay") -> str:
+    return (f"SELECT e.{key}, '{col}_' || v.{col} AS feature, "
+            f"CAST(CASE WHEN e.{col} = v.{col} THEN 1.0 ELSE 0.0 END AS DOUBLE) AS value "
+            f"FROM {src} e CROSS JOIN (SELECT DISTINCT {col} FROM {src} WHERE {col} IS NOT NULL) v")
+
+
+ORACLE["star_join"] = with_("flat") + f"""
+SELECT DISTINCT stay, gender, teachingstatus, nation, region, segment, age, {r6('height', 'height')},
+       {r6('weight', 'weight')}, hour, {r6('balance_after_24h', 'balance_after_24h')}
+FROM flat"""
+
+ORACLE["collapse_rare"] = with_("coll") + "SELECT stay, nation FROM coll"
+
+ORACLE["value_counts"] = with_("fl") + """
+SELECT segment, count(*) AS count FROM fl WHERE segment IS NOT NULL GROUP BY segment"""
+
+ORACLE["one_hot"] = with_("fl") + f"""
+SELECT stay, feature, value FROM ({_one_hot_rows('fl', 'region')}
+UNION ALL {_one_hot_rows('fl', 'segment')}) x"""
+
+ORACLE["one_hot_long"] = with_("fl") + _one_hot_rows("fl", "nation")
+
+ORACLE["standardise"] = with_("fl") + f"""
+SELECT stay, {r6(sql_zscore('height', 's.m', 's.s'), 'height')}
+FROM fl CROSS JOIN (SELECT avg(height) AS m, stddev_samp(height) AS s FROM fl) s"""
+
+ORACLE["quantile_scale"] = with_("fl") + f"""
+, s AS (SELECT quantile_cont(weight, 0.05) AS w_lo, quantile_cont(weight, 0.95) AS w_hi,
+               quantile_cont(CAST(hour AS DOUBLE), 0.05) AS h_lo,
+               quantile_cont(CAST(hour AS DOUBLE), 0.95) AS h_hi FROM fl)
+SELECT stay, {r6(sql_scale('weight', 's.w_lo', 's.w_hi'), 'weight')},
+       {r6(sql_scale('CAST(hour AS DOUBLE)', 's.h_lo', 's.h_hi'), 'hour')}
+FROM fl CROSS JOIN s"""
+
+ORACLE["impute_indicator"] = with_("fl") + f"""
+SELECT stay, {r6('coalesce(weight, 0.0)', 'weight')},
+       CASE WHEN weight IS NULL THEN 1 ELSE 0 END AS nullweight
+FROM fl"""
+
+ORACLE["age_parse"] = with_("stays") + f"""
+SELECT stay, TRY_CAST(nullif(replace(age, '> 89', '89'), '') AS INTEGER) AS age_int,
+       CASE WHEN contains(coalesce(nullif(age, ''), '63'), '> 89') THEN 1 ELSE 0 END AS over89,
+       {r6("TRY_CAST(replace(coalesce(nullif(age, ''), '63'), '> ', '') AS DOUBLE)", 'age_float')}
+FROM stays"""
+
+ORACLE["encode_flat"] = with_("enc", "encst") + f"""
+, fin AS (
+  SELECT e.stay, e.gender, CAST(e.teachingstatus AS DOUBLE) AS teachingstatus, e.nation, e.region,
+         e.segment, CAST(e.over89 AS DOUBLE) AS over89,
+         coalesce({sql_zscore('e.height', 's.h_mean', 's.h_std')}, 0.0) AS height,
+         coalesce({sql_scale('e.weight', 's.w_lo', 's.w_hi')}, 0.0) AS weight,
+         {sql_scale('e.age', 's.a_lo', 's.a_hi')} AS age,
+         {sql_scale('e.hour', 's.r_lo', 's.r_hi')} AS hour,
+         CASE WHEN e.weight IS NULL THEN 1.0 ELSE 0.0 END AS nullweight,
+         CASE WHEN e.height IS NULL THEN 1.0 ELSE 0.0 END AS nullheight
+  FROM enc e CROSS JOIN encst s)
+SELECT stay, feature, {r6('value', 'value')} FROM (
+  SELECT stay, 'gender' AS feature, gender AS value FROM fin
+  UNION ALL SELECT stay, 'teachingstatus', teachingstatus FROM fin
+  UNION ALL SELECT stay, '> 89', over89 FROM fin
+  UNION ALL SELECT stay, 'height', height FROM fin
+  UNION ALL SELECT stay, 'weight', weight FROM fin
+  UNION ALL SELECT stay, 'age', age FROM fin
+  UNION ALL SELECT stay, 'hour', hour FROM fin
+  UNION ALL SELECT stay, 'nullweight', nullweight FROM fin
+  UNION ALL SELECT stay, 'nullheight', nullheight FROM fin
+  UNION ALL {_one_hot_rows('fin', 'nation')}
+  UNION ALL {_one_hot_rows('fin', 'region')}
+  UNION ALL {_one_hot_rows('fin', 'segment')}) x"""
+
+ORACLE["encode_labels"] = with_("stays", "sstays") + f"""
+, lab AS (SELECT stay, person, los_days,
+                 CASE mortality WHEN 'EXPIRED' THEN 1 WHEN 'ALIVE' THEN 0 END AS mortality,
+                 discharge_location, mortality AS discharge_status
+          FROM stays WHERE stay IN (SELECT stay FROM sstays))
+SELECT stay, feature, {r6('value', 'value')} FROM (
+  SELECT stay, 'person' AS feature, CAST(person AS DOUBLE) AS value FROM lab
+  UNION ALL SELECT stay, 'los_days', los_days FROM lab
+  UNION ALL SELECT stay, 'mortality', CAST(mortality AS DOUBLE) FROM lab
+  UNION ALL {_one_hot_rows('lab', 'discharge_location')}
+  UNION ALL {_one_hot_rows('lab', 'discharge_status')}) x"""
+
+ORACLE["describe"] = with_("cohort") + f"""
+SELECT count(los_days) AS count, {r6('avg(los_days)', 'mean')}, {r6('stddev_samp(los_days)', 'std')},
+       {r6('min(los_days)', 'min')}, {r6('quantile_cont(los_days, 0.25)', 'p25')},
+       {r6('quantile_cont(los_days, 0.5)', 'p50')}, {r6('quantile_cont(los_days, 0.75)', 'p75')},
+       {r6('max(los_days)', 'max')}
+FROM cohort"""
+
+ORACLE["describe_categorical"] = with_("fl") + """
+, vc AS (SELECT segment, count(*) AS cnt FROM fl WHERE segment IS NOT NULL GROUP BY segment)
+SELECT (SELECT sum(cnt) FROM vc) AS count, (SELECT count(*) FROM vc) AS unique,
+       segment AS top, cnt AS freq
+FROM vc ORDER BY cnt DESC, segment ASC LIMIT 1"""
+
+
+def _hist_edges() -> list[float]:
+    e = [i * 0.5 for i in range(10)] + [float(x) for x in range(5, 10)]
+    e += [float(x) for x in range(10, 20, 2)] + [float(x) for x in range(20, 32, 4)]
+    return e + [32.0, 52.0, 72.0, 92.0]
+
+
+def _hist_sql() -> str:
+    e = _hist_edges()
+    rows = ", ".join(f"({i}, {e[i]}, {e[i + 1]})" for i in range(len(e) - 1))
+    last = len(e) - 2
+    return with_("cohort") + f"""
+, bins(bin, lo, hi) AS (VALUES {rows})
+SELECT CAST(b.bin AS INTEGER) AS bin, CAST(b.lo AS DOUBLE) AS lo, CAST(b.hi AS DOUBLE) AS hi,
+       count(c.los_days) AS count
+FROM bins b LEFT JOIN cohort c
+  ON c.los_days >= b.lo AND (c.los_days < b.hi OR (b.bin = {last} AND c.los_days = b.hi))
+GROUP BY b.bin, b.lo, b.hi"""
+
+
+ORACLE["histogram"] = _hist_sql()
+
+ORACLE["mean_median"] = with_("cohort") + f"""
+SELECT {r6('avg(los_days)', 'mean')}, {r6('quantile_cont(los_days, 0.5)', 'median')} FROM cohort"""
