@@ -268,3 +268,87 @@ def q_histogram(spark, d):
 def q_mean_median(spark, d):
     out = D.mean_median(series.cohort(spark, d), "los_days")
     return out.select(r6("mean"), r6("median"))
+
+
+# ------------------------------------------------------------------ codes group
+from hourglass.operators import codes as C  # noqa: E402
+
+
+def _code_pairs(spark, d):
+    st = series.cohort(spark, d)
+    return C.code_union(list(driver.code_sources(spark, d).values()), st)
+
+
+@query("code_union")
+def q_code_union(spark, d):
+    return _code_pairs(spark, d)
+
+
+@query("prefix_family")
+def q_prefix_family(spark, d):
+    return _code_pairs(spark, d).select("path", B.prefix_family("path").alias("family")).distinct()
+
+
+@query("code_prefixes")
+def q_code_prefixes(spark, d):
+    stay_codes, _ = C.code_prefixes(_code_pairs(spark, d))
+    return stay_codes
+
+
+@query("code_prevalence")
+def q_code_prevalence(spark, d):
+    stay_codes, _ = C.code_prefixes(_code_pairs(spark, d))
+    return C.code_prevalence(stay_codes)
+
+
+@query("pointless_codes")
+def q_pointless_codes(spark, d):
+    _, smap = C.code_prefixes(_code_pairs(spark, d))
+    return C.pointless_codes(smap)
+
+
+@query("rare_codes")
+def q_rare_codes(spark, d):
+    pairs = _code_pairs(spark, d)
+    stay_codes, _ = C.code_prefixes(pairs)
+    n = pairs.agg(F.count_distinct("stay").cast("long").alias("n"))
+    return C.rare_codes(stay_codes, n, 0.01)
+
+
+def _kept_codes(spark, d):
+    return C.encode_codes(_code_pairs(spark, d), P.series_stays(spark, d), 0.01)
+
+
+@query("encode_codes")
+def q_encode_codes(spark, d):
+    return _kept_codes(spark, d)
+
+
+@query("codes_per_stay")
+def q_codes_per_stay(spark, d):
+    return C.codes_per_stay(_kept_codes(spark, d), P.series_stays(spark, d))
+
+
+@query("collect_codes")
+def q_collect_codes(spark, d):
+    return C.collect_codes(_kept_codes(spark, d)).select(
+        "stay", F.array_join("codes", ";").alias("codes"))
+
+
+@query("group_rare_category")
+def q_group_rare_category(spark, d):
+    base = P.flat_for_series(spark, d).select("stay", "nation")
+    return I.group_rare_category(base, "nation", cut_off=5)
+
+
+@query("merge_rare_columns")
+def q_merge_rare_columns(spark, d):
+    base = P.flat_for_series(spark, d)
+    long = I.one_hot_long(base, ["nation"])
+    nation = driver._t(spark, d, "nation")
+    region = driver._t(spark, d, "region")
+    mapping = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey).select(
+        F.concat(F.lit("nation_"), "n_name").alias("feature"),
+        F.concat(F.lit("region_"), "r_name").alias("group"))
+    out = C.merge_columns(long, mapping)
+    return out.select("stay", "feature", F.col("value").cast("long").alias("value"))

@@ -405,3 +405,109 @@ ORACLE["histogram"] = _hist_sql()
 
 ORACLE["mean_median"] = with_("cohort") + f"""
 SELECT {r6('avg(los_days)', 'mean')}, {r6('quantile_cont(los_days, 0.5)', 'median')} FROM cohort"""
+
+
+# --------------------------------------------------------------------------- codes group
+CTE["cu"] = """cu AS (
+  SELECT DISTINCT stay, path FROM (
+    SELECT o.o_custkey AS stay, concat_ws('|', p.p_type, p.p_brand, p.p_name) AS path,
+           (l.l_linenumber - 1) * 90 AS offset_min
+    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+         JOIN part p ON l.l_partkey = p.p_partkey
+    UNION ALL
+    SELECT c.c_custkey,
+           CASE WHEN c.c_acctbal < 0
+                THEN 'admission diagnosis|Additional APACHE  Information|Negative balance|' || r.r_name
+                ELSE 'admission diagnosis|All Diagnosis|' || c.c_mktsegment || '|' || lower(c.c_mktsegment)
+                     || '|' || n.n_name END,
+           0
+    FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+         JOIN region r ON n.n_regionkey = r.r_regionkey
+    UNION ALL
+    SELECT c.c_custkey,
+           CASE WHEN c.c_acctbal > 9000 THEN 'notes/Other/unrouted'
+                WHEN c.c_acctbal > 5000
+                  THEN 'notes/Progress Notes/Past History/Past History Obtain Options/Performed'
+                ELSE 'notes/Progress Notes/Past History/Organ Systems/' || r.r_name || '/' || n.n_name
+                     || '/' || c.c_mktsegment END,
+           c.c_nationkey * 20
+    FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
+         JOIN region r ON n.n_regionkey = r.r_regionkey) x
+  WHERE offset_min < 300 AND stay IN (SELECT stay FROM cohort))"""
+CTE["fam"] = """fam AS (
+  SELECT DISTINCT path,
+         CASE WHEN starts_with(path, 'notes/Progress Notes/Past History/Organ Systems/')
+                THEN 'past_history_organ'
+              WHEN starts_with(path, 'notes/Progress Notes/Past History/Past History Obtain Options')
+                THEN 'past_history_options'
+              WHEN starts_with(path, 'admission diagnosis') THEN 'admission'
+              WHEN starts_with(path, 'notes') OR starts_with(path, 'admission') THEN 'other'
+              ELSE 'main' END AS family
+  FROM cu)"""
+CTE["sp"] = """sp AS (
+  SELECT path, family,
+         CASE family
+           WHEN 'main' THEN string_split(path, '|')
+           WHEN 'admission' THEN string_split(replace(replace(replace(path, 'admission diagnosis|', ''),
+                                  'All Diagnosis|', ''), 'Additional APACHE  Information|', ''), '|')
+           WHEN 'past_history_organ' THEN
+             string_split(replace(path, 'notes/Progress Notes/Past History/Organ Systems/', ''), '/')
+           WHEN 'past_history_options' THEN
+             string_split(replace(path, 'notes/Progress Notes/Past History/Past History Obtain Options/', ''), '/')
+         END AS parts
+  FROM fam WHERE family <> 'other')"""
+CTE["sm"] = """sm AS (
+  SELECT path, d AS depth, array_to_string(parts[1:d], '|') AS code, parts[d] AS leaf,
+         CASE WHEN d > 1 THEN parts[d - 1] END AS parent_leaf
+  FROM sp, generate_series(1, CASE WHEN len(parts) = 6 THEN 6 ELSE least(len(parts), 5) END) AS g(d))"""
+CTE["stc"] = """stc AS (SELECT DISTINCT cu.stay, sm.code FROM cu JOIN sm ON cu.path = sm.path)"""
+CTE["node"] = """node AS (
+  SELECT code, count(DISTINCT path) AS n_strings, any_value(leaf) AS leaf,
+         any_value(parent_leaf) AS parent_leaf
+  FROM sm GROUP BY code)"""
+CTE["pointless"] = """pointless AS (
+  SELECT code, n_strings, 'counter' AS reason FROM node WHERE n_strings = 2
+  UNION ALL
+  SELECT code, n_strings, 'title_equals_parent' FROM node
+  WHERE parent_leaf IS NOT NULL AND lower(leaf) = lower(parent_leaf))"""
+CTE["prev"] = """prev AS (SELECT code, count(DISTINCT stay) AS n_stays FROM stc GROUP BY code)"""
+CTE["rare"] = """rare AS (
+  SELECT p.code, p.n_stays, c.cut_off
+  FROM prev p CROSS JOIN (SELECT CAST(round_even(count(DISTINCT stay) * 0.01, 0) AS BIGINT) AS cut_off
+                          FROM cu) c
+  WHERE p.n_stays <= c.cut_off)"""
+CTE["kept"] = """kept AS (
+  SELECT stay, code FROM stc
+  WHERE code NOT IN (SELECT code FROM pointless) AND code NOT IN (SELECT code FROM rare)
+    AND stay IN (SELECT stay FROM sstays))"""
+_ORDER[:] = list(CTE)
+
+ORACLE["code_union"] = with_("cu") + "SELECT stay, path FROM cu"
+ORACLE["prefix_family"] = with_("fam") + "SELECT path, family FROM fam"
+ORACLE["code_prefixes"] = with_("stc") + "SELECT stay, code FROM stc"
+ORACLE["code_prevalence"] = with_("prev") + "SELECT code, n_stays FROM prev"
+ORACLE["pointless_codes"] = with_("pointless") + "SELECT code, n_strings, reason FROM pointless"
+ORACLE["rare_codes"] = with_("rare") + "SELECT code, n_stays, cut_off FROM rare"
+ORACLE["encode_codes"] = with_("kept") + "SELECT stay, code FROM kept"
+ORACLE["codes_per_stay"] = with_("kept", "sstays") + """
+SELECT s.stay, count(k.code) AS n_codes FROM sstays s LEFT JOIN kept k ON s.stay = k.stay GROUP BY s.stay"""
+ORACLE["collect_codes"] = with_("kept") + """
+SELECT stay, array_to_string(list_sort(list(DISTINCT code)), ';') AS codes FROM kept GROUP BY stay"""
+ORACLE["group_rare_category"] = with_("fl") + """
+, pairs AS (SELECT DISTINCT stay, nation AS category FROM fl WHERE nation IS NOT NULL)
+, prev1 AS (SELECT category, count(DISTINCT stay) AS n FROM pairs GROUP BY category)
+, rg AS (SELECT DISTINCT p.stay,
+                CASE WHEN v.n <= 5 THEN 'grouped_' || regexp_extract(p.category, '^[^ /,]*', 0)
+                     ELSE p.category END AS category
+         FROM pairs p JOIN prev1 v ON p.category = v.category)
+SELECT category, stay FROM rg
+WHERE category IN (SELECT category FROM rg GROUP BY category HAVING count(DISTINCT stay) > 5)"""
+ORACLE["merge_rare_columns"] = with_("fl") + """
+, oh AS (SELECT e.stay, 'nation_' || v.nation AS feature,
+                CASE WHEN e.nation = v.nation THEN 1 ELSE 0 END AS value
+         FROM fl e CROSS JOIN (SELECT DISTINCT nation FROM fl WHERE nation IS NOT NULL) v)
+, m AS (SELECT 'nation_' || n.n_name AS feature, 'region_' || r.r_name AS grp
+        FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey)
+SELECT oh.stay, coalesce(m.grp, oh.feature) AS feature, CAST(sum(oh.value) AS BIGINT) AS value
+FROM oh LEFT JOIN m ON oh.feature = m.feature
+GROUP BY oh.stay, coalesce(m.grp, oh.feature)"""
