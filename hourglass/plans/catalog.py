@@ -32,7 +32,8 @@ def query(name: str):
 
 def r6(col, alias: str | None = None):
     c = F.col(col) if isinstance(col, str) else col
-    out = F.round(c.cast("double"), 6)
+    rounded = F.round(c.cast("double"), 6)
+    out = F.when(rounded == 0, F.lit(0.0)).otherwise(rounded)  # -0.0 -> 0.0
     return out.alias(alias if alias is not None else (col if isinstance(col, str) else "value"))
 
 
@@ -352,3 +353,110 @@ def q_merge_rare_columns(spark, d):
         F.concat(F.lit("region_"), "r_name").alias("group"))
     out = C.merge_columns(long, mapping)
     return out.select("stay", "feature", F.col("value").cast("long").alias("value"))
+
+
+# ------------------------------------------------------------------ split / sequence group
+from hourglass.operators import sequences as K  # noqa: E402
+from hourglass.operators import split as J  # noqa: E402
+
+SEED = 9
+BATCH_SIZE = 16
+
+
+def _orders_stays(spark, d):
+    return driver._t(spark, d, "orders").select(F.col("o_orderkey").alias("stay"),
+                                                F.col("o_custkey").alias("person"))
+
+
+@query("split_by_entity")
+def q_split_by_entity(spark, d):
+    return J.split_by_entity(_orders_stays(spark, d), "person", SEED).select("stay", "person", "split")
+
+
+@query("shuffle_stays")
+def q_shuffle_stays(spark, d):
+    return J.shuffle_stays(series.cohort(spark, d), SEED)
+
+
+@query("sample_stays")
+def q_sample_stays(spark, d):
+    return J.sample_stays(series.cohort(spark, d), 0.3, SEED)
+
+
+@query("sample_tables")
+def q_sample_tables(spark, d):
+    sample = J.sample_stays(series.cohort(spark, d), 0.3, SEED)
+    return J.apply_sample(P.flat_for_series(spark, d), sample).select("stay", "nation", "segment")
+
+
+def _grid(spark, d):
+    return series.encode_timeseries(spark, d)
+
+
+def _labels01(spark, d):
+    st = series.cohort(spark, d)
+    return st.select("stay", "los_days",
+                     F.when(F.col("mortality") == "EXPIRED", 1).otherwise(0).alias("mortality"))
+
+
+@query("seq_length")
+def q_seq_length(spark, d):
+    return E.seq_length(_grid(spark, d))
+
+
+@query("skip_first_rows")
+def q_skip_first_rows(spark, d):
+    hours = _grid(spark, d).select("stay", "time").distinct()
+    return E.skip_first_rows(hours, 5).select("stay", "time", "pos")
+
+
+@query("remaining_los")
+def q_remaining_los(spark, d):
+    tr = K.training_rows(_grid(spark, d), _labels01(spark, d))
+    return tr.select("stay", "time", r6("los_remaining"))
+
+
+@query("mortality_at_index")
+def q_mortality_at_index(spark, d):
+    hours = _grid(spark, d).select("stay", "time").distinct()
+    at = E.at_time_index(hours, 24, 5)
+    return E.repeat_label(at, _labels01(spark, d)).select("stay", "time", "mortality")
+
+
+@query("assemble_sequences")
+def q_assemble_sequences(spark, d):
+    seq = K.assemble_sequences(_grid(spark, d))
+    return seq.select("stay", F.size("sequence").cast("long").alias("length"),
+                      F.col("sequence")[0]["time"].alias("first_time"),
+                      F.element_at("sequence", -1)["time"].alias("last_time"),
+                      F.size(F.col("sequence")[0]["values"]).cast("long").alias("n_features"))
+
+
+def _batches(spark, d):
+    return K.assign_batch(J.shuffle_stays(series.cohort(spark, d), SEED), BATCH_SIZE)
+
+
+@query("assign_batch")
+def q_assign_batch(spark, d):
+    return _batches(spark, d)
+
+
+@query("pad_sequences")
+def q_pad_sequences(spark, d):
+    seq = K.assemble_sequences(_grid(spark, d))
+    padded = K.pad_sequences(seq, _batches(spark, d))
+    return padded.select("stay", "batch", "length", "padded_length",
+                         F.size("padded").cast("long").alias("n_rows"))
+
+
+@query("training_rows")
+def q_training_rows(spark, d):
+    tr = K.training_rows(_grid(spark, d), _labels01(spark, d))
+    return tr.select("stay", "time", r6("los_remaining"), "mortality", "length_minus_skip",
+                     r6(F.aggregate("values", F.lit(0.0), lambda a, x: a + x), "value_sum"),
+                     r6(F.aggregate("masks", F.lit(0.0), lambda a, x: a + x), "mask_sum"))
+
+
+@query("fraction_of_batches")
+def q_fraction_of_batches(spark, d):
+    return J.fraction_of_batches(_batches(spark, d), 50.0)

@@ -154,7 +154,8 @@ def _refs(body: str, name: str) -> bool:
 
 
 def r6(expr: str, alias: str) -> str:
-    return f"round(CAST({expr} AS DOUBLE), 6) AS {alias}"
+    x = f"round(CAST({expr} AS DOUBLE), 6)"
+    return f"(CASE WHEN {x} = 0 THEN CAST(0.0 AS DOUBLE) ELSE {x} END) AS {alias}"
 
 
 # --------------------------------------------------------------------------- queries
@@ -511,3 +512,75 @@ ORACLE["merge_rare_columns"] = with_("fl") + """
 SELECT oh.stay, coalesce(m.grp, oh.feature) AS feature, CAST(sum(oh.value) AS BIGINT) AS value
 FROM oh LEFT JOIN m ON oh.feature = m.feature
 GROUP BY oh.stay, coalesce(m.grp, oh.feature)"""
+
+
+# --------------------------------------------------------------------------- split / sequences
+CTE["shuf"] = """shuf AS (
+  SELECT stay, row_number() OVER (ORDER BY md5('9' || CAST(stay AS VARCHAR)), stay) AS "order"
+  FROM (SELECT DISTINCT stay FROM cohort) x)"""
+CTE["hrs"] = """hrs AS (
+  SELECT stay, time, sum(value) AS value_sum, sum(mask) AS mask_sum,
+         row_number() OVER (PARTITION BY stay ORDER BY time) - 1 AS pos,
+         count(*) OVER (PARTITION BY stay) AS len
+  FROM encoded GROUP BY stay, time)"""
+CTE["lab01"] = """lab01 AS (
+  SELECT stay, los_days, CASE WHEN mortality = 'EXPIRED' THEN 1 ELSE 0 END AS mortality FROM cohort)"""
+CTE["batches"] = """batches AS (SELECT stay, CAST(floor(("order" - 1) / 16) AS BIGINT) AS batch FROM shuf)"""
+_ORDER[:] = list(CTE)
+
+ORACLE["split_by_entity"] = """
+WITH p AS (SELECT DISTINCT o_custkey AS person FROM orders),
+r AS (SELECT person, row_number() OVER (ORDER BY md5('9' || CAST(person AS VARCHAR)), person) AS rk,
+             count(*) OVER () AS n FROM p),
+c AS (SELECT DISTINCT n, CAST(ceil(CAST(0.15 AS DOUBLE) * n) AS BIGINT) AS n_test FROM r),
+c2 AS (SELECT n, n_test,
+              CAST(ceil(CAST(0.15 AS DOUBLE) / (CAST(1.0 AS DOUBLE) - CAST(0.15 AS DOUBLE))
+                        * CAST(n - n_test AS DOUBLE)) AS BIGINT) AS n_val FROM c)
+SELECT o.o_orderkey AS stay, o.o_custkey AS person,
+       CASE WHEN r.rk <= c2.n_test THEN 'test' WHEN r.rk <= c2.n_test + c2.n_val THEN 'val'
+            ELSE 'train' END AS split
+FROM orders o JOIN r ON o.o_custkey = r.person CROSS JOIN c2"""
+
+ORACLE["shuffle_stays"] = with_("shuf") + 'SELECT stay, "order" FROM shuf'
+
+ORACLE["sample_stays"] = with_("shuf") + """
+SELECT stay FROM shuf WHERE "order" <= (SELECT round_even(count(*) * 0.3, 0) FROM shuf)"""
+
+ORACLE["sample_tables"] = with_("shuf", "fl") + """
+SELECT stay, nation, segment FROM fl
+WHERE stay IN (SELECT stay FROM shuf WHERE "order" <= (SELECT round_even(count(*) * 0.3, 0) FROM shuf))"""
+
+ORACLE["seq_length"] = with_("encoded") + """
+SELECT stay, count(DISTINCT time) AS length FROM encoded GROUP BY stay"""
+
+ORACLE["skip_first_rows"] = with_("hrs") + "SELECT stay, time, pos FROM hrs WHERE pos >= 5"
+
+ORACLE["remaining_los"] = with_("hrs", "lab01") + f"""
+SELECT h.stay, h.time, {r6('greatest(l.los_days - h.time / 24.0, 1.0 / 48.0)', 'los_remaining')}
+FROM hrs h JOIN lab01 l ON h.stay = l.stay WHERE h.pos >= 5"""
+
+ORACLE["mortality_at_index"] = with_("hrs", "lab01") + """
+SELECT h.stay, h.time, l.mortality FROM hrs h JOIN lab01 l ON h.stay = l.stay WHERE h.pos = 29"""
+
+ORACLE["assemble_sequences"] = with_("encoded") + """
+SELECT stay, count(DISTINCT time) AS length, min(time) AS first_time, max(time) AS last_time,
+       count(DISTINCT feature) AS n_features
+FROM encoded GROUP BY stay"""
+
+ORACLE["assign_batch"] = with_("batches") + "SELECT stay, batch FROM batches"
+
+ORACLE["pad_sequences"] = with_("batches", "encoded") + """
+, len AS (SELECT stay, count(DISTINCT time) AS length FROM encoded GROUP BY stay)
+SELECT l.stay, b.batch, l.length, max(l.length) OVER (PARTITION BY b.batch) AS padded_length,
+       max(l.length) OVER (PARTITION BY b.batch) AS n_rows
+FROM len l JOIN batches b ON l.stay = b.stay"""
+
+ORACLE["training_rows"] = with_("hrs", "lab01") + f"""
+SELECT h.stay, h.time, {r6('greatest(l.los_days - h.time / 24.0, 1.0 / 48.0)', 'los_remaining')},
+       l.mortality, h.len - 5 AS length_minus_skip, {r6('h.value_sum', 'value_sum')},
+       {r6('h.mask_sum', 'mask_sum')}
+FROM hrs h JOIN lab01 l ON h.stay = l.stay WHERE h.pos >= 5"""
+
+ORACLE["fraction_of_batches"] = with_("batches") + """
+SELECT stay, batch FROM batches
+WHERE batch <= floor((SELECT count(DISTINCT batch) FROM batches) / (100.0 / 50.0))"""
