@@ -460,3 +460,79 @@ def q_training_rows(spark, d):
 @query("fraction_of_batches")
 def q_fraction_of_batches(spark, d):
     return J.fraction_of_batches(_batches(spark, d), 50.0)
+
+
+# ------------------------------------------------------------------ metrics group
+from hourglass.operators import metrics as L  # noqa: E402
+
+REG_COLS = ("mad", "mse", "mape", "msle", "r2", "kappa")
+CLS_COLS = ("accuracy", "prec0", "prec1", "rec0", "rec1", "f1_macro", "auroc", "auprc")
+
+
+@query("regression_report")
+def q_regression_report(spark, d):
+    return L.regression_report(driver.los_predictions(spark, d)).select(*[r6(c) for c in REG_COLS])
+
+
+@query("binned_confusion")
+def q_binned_confusion(spark, d):
+    return L.binned_confusion(driver.los_predictions(spark, d))
+
+
+@query("linear_kappa")
+def q_linear_kappa(spark, d):
+    return L.linear_kappa(driver.los_predictions(spark, d)).select(r6("kappa"))
+
+
+@query("binary_confusion")
+def q_binary_confusion(spark, d):
+    return L.binary_confusion(driver.risk_predictions(spark, d))
+
+
+@query("auroc_auprc")
+def q_auroc_auprc(spark, d):
+    return L.auroc_auprc(driver.risk_predictions(spark, d)).select(r6("auroc"), r6("auprc"))
+
+
+@query("classification_report")
+def q_classification_report(spark, d):
+    out = L.classification_report(driver.risk_predictions(spark, d))
+    return out.select(*[r6(c) for c in CLS_COLS])
+
+
+@query("sequence_msle_loss")
+def q_sequence_msle_loss(spark, d):
+    return L.sequence_loss(driver.los_predictions(spark, d), "stay", kind="msle",
+                           sum_losses=True).select(r6("loss"))
+
+
+@query("sequence_mse_loss")
+def q_sequence_mse_loss(spark, d):
+    return L.sequence_loss(driver.los_predictions(spark, d), "stay", kind="mse",
+                           sum_losses=False).select(r6("loss"))
+
+
+@query("bce_loss")
+def q_bce_loss(spark, d):
+    return L.bce(driver.risk_predictions(spark, d)).select(r6("bce"))
+
+
+@query("multitask_loss")
+def q_multitask_loss(spark, d):
+    out = L.multitask_loss(driver.los_predictions(spark, d), driver.risk_predictions(spark, d), "stay")
+    return out.select(r6("loss"), r6("bce"), r6("total"))
+
+
+@query("mean_loss")
+def q_mean_loss(spark, d):
+    lp = driver.los_predictions(spark, d)
+    batches = K.assign_batch(J.shuffle_stays(lp, SEED), BATCH_SIZE)
+    out = L.mean_loss(lp.join(batches, "stay"), "batch", "stay")
+    return out.select(r6("mean_loss"), "n_batches")
+
+
+@query("constant_baseline")
+def q_constant_baseline(spark, d):
+    lp = J.split_by_entity(driver.los_predictions(spark, d), "stay", SEED)
+    out = L.constant_baseline(lp.where(F.col("split") == "train"), lp.where(F.col("split") == "test"))
+    return out.select("predictor", *[r6(c) for c in REG_COLS])

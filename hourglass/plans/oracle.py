@@ -584,3 +584,152 @@ FROM hrs h JOIN lab01 l ON h.stay = l.stay WHERE h.pos >= 5"""
 ORACLE["fraction_of_batches"] = with_("batches") + """
 SELECT stay, batch FROM batches
 WHERE batch <= floor((SELECT count(DISTINCT batch) FROM batches) / (100.0 / 50.0))"""
+
+
+# --------------------------------------------------------------------------- metrics group
+CTE["lp"] = """lp AS (
+  SELECT o.o_orderkey AS id, o.o_custkey AS stay, q.qty / 10.0 AS y_true,
+         o.o_totalprice / 40000.0 AS y_pred
+  FROM orders o JOIN (SELECT l_orderkey, sum(l_quantity) AS qty FROM lineitem GROUP BY l_orderkey) q
+    ON o.o_orderkey = q.l_orderkey)"""
+CTE["rp"] = """rp AS (
+  SELECT l.doc_id, d.source, CAST(l.toxic AS DOUBLE) AS y_true,
+         1.0 / (1.0 + exp(-(ln(d.n_chars + 1.0) - 7.0))) AS p
+  FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"""
+_ORDER[:] = list(CTE)
+
+
+def sql_bin(x: str) -> str:
+    edges = (1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 7.0, 8.0, 14.0)
+    parts = " ".join(f"WHEN {x} < {e} THEN {i}" for i, e in enumerate(edges))
+    return f"(CASE WHEN {x} IS NULL THEN NULL {parts} ELSE {len(edges)} END)"
+
+
+def sql_regression(src: str, by: str | None = None) -> str:
+    """Regression report over ``src(y_true, y_pred[, by])`` as CTEs + final SELECT."""
+    g = f"{by}, " if by else ""
+    part = f"PARTITION BY {by} " if by else ""
+    on = lambda a, b: f" AND {a}.{by} = {b}.{by}" if by else ""
+    grp = f"GROUP BY {by}" if by else ""
+    return f"""
+, rb AS (SELECT {g}y_true, y_pred, {sql_bin('y_true')} AS bt, {sql_bin('y_pred')} AS bp FROM {src})
+, pres AS (SELECT {g}bin, dense_rank() OVER ({part}ORDER BY bin) - 1 AS idx
+           FROM (SELECT {g}bt AS bin FROM rb UNION SELECT {g}bp FROM rb) u)
+, cm AS (SELECT {g}bt, bp, count(*) AS n FROM rb GROUP BY {g}bt, bp)
+, cmi AS (SELECT cm.*, it.idx AS i, ip.idx AS j FROM cm
+          JOIN pres it ON cm.bt = it.bin{on('cm', 'it')} JOIN pres ip ON cm.bp = ip.bin{on('cm', 'ip')})
+, ko AS (SELECT {g}sum(abs(i - j) * n) AS wo, sum(n) AS total FROM cmi {grp})
+, kr AS (SELECT {g}i, sum(n) AS ri FROM cmi GROUP BY {g}i)
+, kc AS (SELECT {g}j, sum(n) AS cj FROM cmi GROUP BY {g}j)
+, ke AS (SELECT {'kr.' + by + ', ' if by else ''}sum(abs(kr.i - kc.j) * kr.ri * kc.cj) AS we_n
+         FROM kr {'JOIN kc ON kr.' + by + ' = kc.' + by if by else 'CROSS JOIN kc'} {('GROUP BY kr.' + by) if by else ''})
+, kap AS (SELECT {'ko.' + by + ', ' if by else ''}
+                 1.0 - CAST(ko.wo AS DOUBLE) / (CAST(ke.we_n AS DOUBLE) / ko.total) AS kappa
+          FROM ko {'JOIN ke ON ko.' + by + ' = ke.' + by if by else 'CROSS JOIN ke'})
+, base AS (SELECT {g}avg(abs(y_true - y_pred)) AS mad, avg((y_true - y_pred) * (y_true - y_pred)) AS mse,
+                  avg(abs(y_true - y_pred) / greatest(CAST(4.0 AS DOUBLE) / 24.0, y_true)) * 100.0 AS mape,
+                  avg(ln(y_true / y_pred) * ln(y_true / y_pred)) AS msle,
+                  sum((y_true - y_pred) * (y_true - y_pred)) AS ss_res,
+                  var_pop(y_true) * count(y_true) AS ss_tot
+           FROM {src} {grp})
+SELECT {'base.' + by + ', ' if by else ''}{r6('mad', 'mad')}, {r6('mse', 'mse')}, {r6('mape', 'mape')},
+       {r6('msle', 'msle')},
+       {r6('CASE WHEN ss_tot = 0 THEN (CASE WHEN ss_res = 0 THEN 1.0 ELSE 0.0 END) ELSE 1.0 - ss_res / ss_tot END', 'r2')},
+       {r6('kappa', 'kappa')}
+FROM base {'JOIN kap ON base.' + by + ' = kap.' + by if by else 'CROSS JOIN kap'}"""
+
+
+ORACLE["regression_report"] = with_("lp") + sql_regression("lp")
+
+ORACLE["binned_confusion"] = with_("lp") + f"""
+SELECT {sql_bin('y_true')} AS bin_true, {sql_bin('y_pred')} AS bin_pred, count(*) AS count
+FROM lp GROUP BY 1, 2"""
+
+ORACLE["linear_kappa"] = (with_("lp") + sql_regression("lp").split("\nSELECT ")[0]
+                          + f"\nSELECT {r6('kappa', 'kappa')} FROM kap")
+
+_CONF = """
+SELECT sum(CASE WHEN y_true = 0 AND p <= 0.5 THEN 1 ELSE 0 END) AS tn,
+       sum(CASE WHEN y_true = 0 AND p > 0.5 THEN 1 ELSE 0 END) AS fp,
+       sum(CASE WHEN y_true = 1 AND p <= 0.5 THEN 1 ELSE 0 END) AS fn,
+       sum(CASE WHEN y_true = 1 AND p > 0.5 THEN 1 ELSE 0 END) AS tp
+FROM rp"""
+ORACLE["binary_confusion"] = "SELECT CAST(tn AS BIGINT) AS tn, CAST(fp AS BIGINT) AS fp, " \
+    "CAST(fn AS BIGINT) AS fn, CAST(tp AS BIGINT) AS tp FROM (" + with_("rp") + _CONF + ") x"
+
+_CURVE = """
+, st AS (SELECT p AS score, sum(CASE WHEN y_true = 1 THEN 1 ELSE 0 END) AS pos,
+                sum(CASE WHEN y_true = 0 THEN 1 ELSE 0 END) AS neg
+         FROM rp GROUP BY p)
+, cu2 AS (SELECT score, pos, neg,
+                 sum(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+                 sum(neg) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp
+          FROM st)
+, tot AS (SELECT CAST(sum(pos) AS DOUBLE) AS "P", CAST(sum(neg) AS DOUBLE) AS "N" FROM st)
+, curve AS (
+  SELECT sum((fp - (fp - neg)) / "N" * (tp + (tp - pos)) / "P" / 2.0) AS auroc,
+         sum((tp - (tp - pos)) / "P" *
+             (tp / (tp + fp) + CASE WHEN (tp - pos) + (fp - neg) = 0 THEN 1.0
+                                    ELSE (tp - pos) / ((tp - pos) + (fp - neg)) END) / 2.0) AS auprc
+  FROM cu2 CROSS JOIN tot)"""
+
+ORACLE["auroc_auprc"] = with_("rp") + _CURVE + f"""
+SELECT {r6('auroc', 'auroc')}, {r6('auprc', 'auprc')} FROM curve"""
+
+ORACLE["classification_report"] = with_("rp") + _CURVE + f"""
+, cf AS (SELECT CAST(tn AS DOUBLE) AS tn, CAST(fp AS DOUBLE) AS fp, CAST(fn AS DOUBLE) AS fn,
+                CAST(tp AS DOUBLE) AS tp FROM ({_CONF}) x)
+SELECT {r6('(tn + tp) / (tn + fp + fn + tp)', 'accuracy')},
+       {r6('CASE WHEN tn + fn = 0 THEN NULL ELSE tn / (tn + fn) END', 'prec0')},
+       {r6('CASE WHEN tp + fp = 0 THEN NULL ELSE tp / (tp + fp) END', 'prec1')},
+       {r6('CASE WHEN tn + fp = 0 THEN NULL ELSE tn / (tn + fp) END', 'rec0')},
+       {r6('CASE WHEN tp + fn = 0 THEN NULL ELSE tp / (tp + fn) END', 'rec1')},
+       {r6('((CASE WHEN 2 * tn + fn + fp = 0 THEN 0.0 ELSE 2 * tn / (2 * tn + fn + fp) END) + '
+           '(CASE WHEN 2 * tp + fp + fn = 0 THEN 0.0 ELSE 2 * tp / (2 * tp + fp + fn) END)) / 2.0',
+           'f1_macro')},
+       {r6('auroc', 'auroc')}, {r6('auprc', 'auprc')}
+FROM cf CROSS JOIN curve"""
+
+ORACLE["sequence_msle_loss"] = with_("lp") + f"""
+SELECT {r6('avg(l)', 'loss')} FROM (
+  SELECT stay, sum((ln(y_pred) - ln(y_true)) * (ln(y_pred) - ln(y_true))) AS l FROM lp GROUP BY stay) x"""
+
+ORACLE["sequence_mse_loss"] = with_("lp") + f"""
+SELECT {r6('avg(l / greatest(n, 1))', 'loss')} FROM (
+  SELECT stay, sum((y_pred - y_true) * (y_pred - y_true)) AS l, count(*) AS n FROM lp GROUP BY stay) x"""
+
+_BCE = ("avg(-(y_true * coalesce(greatest(ln(p), -100.0), -100.0) + "
+        "(1.0 - y_true) * coalesce(greatest(ln(1.0 - p), -100.0), -100.0)))")
+
+ORACLE["bce_loss"] = with_("rp") + f"SELECT {r6(_BCE, 'bce')} FROM rp"
+
+ORACLE["multitask_loss"] = with_("lp", "rp") + f"""
+, a AS (SELECT avg(l) AS loss FROM (
+          SELECT stay, sum((ln(y_pred) - ln(y_true)) * (ln(y_pred) - ln(y_true))) AS l
+          FROM lp GROUP BY stay) x)
+, b AS (SELECT {_BCE} * 100.0 AS bce FROM rp)
+SELECT {r6('loss', 'loss')}, {r6('bce', 'bce')}, {r6('loss + bce', 'total')} FROM a CROSS JOIN b"""
+
+ORACLE["mean_loss"] = with_("lp") + f"""
+, o AS (SELECT stay, row_number() OVER (ORDER BY md5('9' || CAST(stay AS VARCHAR)), stay) AS rk
+        FROM (SELECT DISTINCT stay FROM lp) s)
+, per AS (SELECT CAST(floor((o.rk - 1) / 16) AS BIGINT) AS batch, lp.stay,
+                 sum((ln(y_pred) - ln(y_true)) * (ln(y_pred) - ln(y_true))) AS l
+          FROM lp JOIN o ON lp.stay = o.stay GROUP BY 1, 2)
+, pb AS (SELECT batch, avg(l) AS bl FROM per GROUP BY batch)
+SELECT {r6('avg(bl)', 'mean_loss')}, count(*) AS n_batches FROM pb"""
+
+ORACLE["constant_baseline"] = with_("lp") + """
+, pr AS (SELECT person, row_number() OVER (ORDER BY md5('9' || CAST(person AS VARCHAR)), person) AS rk,
+                count(*) OVER () AS n FROM (SELECT DISTINCT stay AS person FROM lp) s)
+, c AS (SELECT DISTINCT n, CAST(ceil(CAST(0.15 AS DOUBLE) * n) AS BIGINT) AS n_test FROM pr)
+, c2 AS (SELECT n, n_test, CAST(ceil(CAST(0.15 AS DOUBLE) / (CAST(1.0 AS DOUBLE) - CAST(0.15 AS DOUBLE))
+                                   * CAST(n - n_test AS DOUBLE)) AS BIGINT) AS n_val FROM c)
+, sp2 AS (SELECT lp.*, CASE WHEN pr.rk <= c2.n_test THEN 'test' WHEN pr.rk <= c2.n_test + c2.n_val
+                            THEN 'val' ELSE 'train' END AS split
+          FROM lp JOIN pr ON lp.stay = pr.person CROSS JOIN c2)
+, mm AS (SELECT avg(y_true) AS m, quantile_cont(y_true, 0.5) AS md FROM sp2 WHERE split = 'train')
+, rows2 AS (SELECT 'mean' AS predictor, y_true, mm.m AS y_pred FROM sp2 CROSS JOIN mm WHERE split = 'test'
+            UNION ALL
+            SELECT 'median', y_true, mm.md FROM sp2 CROSS JOIN mm WHERE split = 'test')""" + \
+    sql_regression("rows2", by="predictor")
