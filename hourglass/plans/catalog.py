@@ -536,3 +536,81 @@ def q_constant_baseline(spark, d):
     lp = J.split_by_entity(driver.los_predictions(spark, d), "stay", SEED)
     out = L.constant_baseline(lp.where(F.col("split") == "train"), lp.where(F.col("split") == "test"))
     return out.select("predictor", *[r6(c) for c in REG_COLS])
+
+
+# ------------------------------------------------------------------ model-adjacent group
+from hourglass.operators import attribution as M  # noqa: E402
+from hourglass.operators import scoring as S  # noqa: E402
+
+LAG_WEIGHTS = (0.5, 0.3, 0.2)
+LAG_DILATION = 2
+
+
+def _attr(spark, d):
+    """Stand-in attribution table: value x mask per grid cell."""
+    g = _grid(spark, d)
+    return g.select("stay", "time", "feature", "value", (F.col("value") * F.col("mask")).alias("attribution"))
+
+
+@query("causal_lag_features")
+def q_causal_lag_features(spark, d):
+    out = M.causal_lag_features(_grid(spark, d), LAG_WEIGHTS, LAG_DILATION)
+    return out.select("stay", "time", "feature", r6("conv"))
+
+
+@query("attribution_summary")
+def q_attribution_summary(spark, d):
+    return M.attribution_summary(_attr(spark, d), 24, 25, 3.0).select("feature", r6("importance"))
+
+
+@query("per_stay_attribution")
+def q_per_stay_attribution(spark, d):
+    return M.per_stay_attribution(_attr(spark, d), 24).select("stay", "feature", r6("mean_abs"))
+
+
+@query("single_stay_profile")
+def q_single_stay_profile(spark, d):
+    a = _attr(spark, d)
+    lengths = E.seq_length(a)
+    top = lengths.orderBy(F.desc("length"), F.asc("stay")).limit(1)  # the profiled stay
+    feats = a.select("feature").distinct().orderBy("feature").limit(6)  # six features by name
+    one = a.join(top.select("stay"), "stay", "left_semi").join(feats, "feature", "left_semi")
+    return one.select("time", "feature", r6("value"), r6("attribution"))
+
+
+@query("drop_zero_total_features")
+def q_drop_zero_total_features(spark, d):
+    per = M.per_stay_attribution(_attr(spark, d), 24)
+    return B.drop_zero_total_features(per, value="mean_abs").select("stay", "feature", r6("mean_abs"))
+
+
+def _score_fn():
+    return S.linear_los_scorer(weight=0.01, bias=0.5)
+
+
+@query("score_sequences")
+def q_score_sequences(spark, d):
+    rows = K.training_rows(_grid(spark, d), _labels01(spark, d)).select("stay", "time", "values")
+    scored = S.score_sequences(rows, _score_fn(), "stay long, time long, y_pred double")
+    return scored.select("stay", "time", r6("y_pred"))
+
+
+def _perm_frame(spark, d):
+    li = driver._t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.sum("l_quantity").alias("x1"))
+    od = driver._t(spark, d, "orders").select("o_orderkey", F.col("o_totalprice").alias("x2"))
+    return od.join(li, od.o_orderkey == li.l_orderkey).select(
+        F.col("o_orderkey").alias("id"), "x1", "x2", (F.col("x1") / 10.0).alias("y_true"))
+
+
+@query("permutation_importance")
+def q_permutation_importance(spark, d):
+    df = _perm_frame(spark, d)
+
+    def score(x):
+        return F.lit(0.05) * F.col("x1") + F.col("x2") / F.lit(80000.0)
+
+    def metric(x):
+        return x.agg((-F.avg(F.pow(F.col("y_true") - F.col("y_pred"), 2))).alias("score"))
+
+    out = S.permutation_importance(df, score, metric, ["x1", "x2"], "id", n_repeats=3, seed=0)
+    return out.select("feature", r6("importance_mean"), r6("importance_std"))

@@ -733,3 +733,76 @@ ORACLE["constant_baseline"] = with_("lp") + """
             UNION ALL
             SELECT 'median', y_true, mm.md FROM sp2 CROSS JOIN mm WHERE split = 'test')""" + \
     sql_regression("rows2", by="predictor")
+
+
+# --------------------------------------------------------------------------- model-adjacent group
+CTE["attr"] = """attr AS (SELECT stay, time, feature, value, value * mask AS attribution FROM encoded)"""
+CTE["pstay"] = """pstay AS (
+  SELECT a.stay, a.feature,
+         CASE WHEN count(CASE WHEN a.value <> 0 THEN 1 END) = 0 THEN NULL
+              ELSE sum(abs(a.attribution)) / count(CASE WHEN a.value <> 0 THEN 1 END) END AS mean_abs
+  FROM attr a JOIN hrs h ON a.stay = h.stay AND a.time = h.time
+  WHERE h.pos < 24 AND a.stay IN (SELECT stay FROM hrs WHERE pos = 24)
+  GROUP BY a.stay, a.feature)"""
+_ORDER[:] = list(CTE)
+
+ORACLE["causal_lag_features"] = with_("encoded") + f"""
+SELECT stay, time, feature,
+       {r6('0.5 * value + 0.3 * lag(value, 2, 0.0) OVER w + 0.2 * lag(value, 4, 0.0) OVER w', 'conv')}
+FROM encoded WINDOW w AS (PARTITION BY stay, feature ORDER BY time)"""
+
+ORACLE["per_stay_attribution"] = with_("pstay") + f"""
+SELECT stay, feature, {r6('mean_abs', 'mean_abs')} FROM pstay"""
+
+ORACLE["attribution_summary"] = with_("pstay") + f"""
+, cl AS (SELECT stay, feature, CASE WHEN mean_abs IS NULL THEN NULL
+                                    ELSE greatest(-3.0, least(3.0, mean_abs)) END AS v FROM pstay)
+, keep AS (SELECT feature FROM cl GROUP BY feature HAVING coalesce(sum(v), 0.0) <> 0)
+SELECT feature, {r6('avg(abs(coalesce(v, 0.0)))', 'importance')}
+FROM cl WHERE feature IN (SELECT feature FROM keep)
+GROUP BY feature ORDER BY avg(abs(coalesce(v, 0.0))) DESC, feature LIMIT 25"""
+
+ORACLE["drop_zero_total_features"] = with_("pstay") + f"""
+SELECT stay, feature, {r6('mean_abs', 'mean_abs')} FROM pstay
+WHERE feature IN (SELECT feature FROM pstay GROUP BY feature HAVING sum(mean_abs) <> 0)"""
+
+ORACLE["single_stay_profile"] = with_("attr") + f"""
+, top AS (SELECT stay FROM (SELECT stay, count(DISTINCT time) AS n FROM attr GROUP BY stay) x
+          ORDER BY n DESC, stay LIMIT 1)
+, feats AS (SELECT DISTINCT feature FROM attr ORDER BY feature LIMIT 6)
+SELECT time, feature, {r6('value', 'value')}, {r6('attribution', 'attribution')}
+FROM attr WHERE stay IN (SELECT stay FROM top) AND feature IN (SELECT feature FROM feats)"""
+
+ORACLE["score_sequences"] = with_("hrs") + f"""
+SELECT stay, time, {r6('greatest(1.0 / 48.0, least(100.0, exp(0.5 + 0.01 * value_sum)))', 'y_pred')}
+FROM hrs WHERE pos >= 5"""
+
+
+def _perm_sql(cols=("x1", "x2"), repeats=3, seed=0) -> str:
+    base = """WITH pf AS (
+  SELECT o.o_orderkey AS id, q.x1, o.o_totalprice AS x2, q.x1 / 10.0 AS y_true
+  FROM orders o JOIN (SELECT l_orderkey, sum(l_quantity) AS x1 FROM lineitem GROUP BY l_orderkey) q
+    ON o.o_orderkey = q.l_orderkey)
+, pos AS (SELECT id, row_number() OVER (ORDER BY id) AS p FROM pf)
+, b AS (SELECT -avg((y_true - (0.05 * x1 + x2 / 80000.0)) * (y_true - (0.05 * x1 + x2 / 80000.0))) AS base
+        FROM pf)"""
+    parts = []
+    for c in cols:
+        for r in range(repeats):
+            other = "x2" if c == "x1" else "x1"
+            tag = f"{seed}|{r}|{c}|"
+            parts.append(f"""
+  SELECT '{c}' AS feature, {r} AS rep, -avg((y_true - (0.05 * x1 + x2 / 80000.0))
+                                          * (y_true - (0.05 * x1 + x2 / 80000.0))) AS score
+  FROM (SELECT pf.id, pf.y_true, pf.{other}, hv.v AS {c}
+        FROM pf JOIN pos ON pf.id = pos.p_id
+        JOIN (SELECT {c} AS v, row_number() OVER (ORDER BY md5('{tag}' || CAST(id AS VARCHAR)), id) AS hr
+              FROM pf) hv ON hv.hr = pos.p) z""")
+    body = "\nUNION ALL".join(parts).replace("pos.p_id", "pos.id")
+    return base + f"""
+, sc AS ({body})
+SELECT feature, {r6('avg(base - score)', 'importance_mean')}, {r6('stddev_pop(base - score)', 'importance_std')}
+FROM sc CROSS JOIN b GROUP BY feature"""
+
+
+ORACLE["permutation_importance"] = _perm_sql()
