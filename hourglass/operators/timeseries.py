@@ -309,9 +309,10 @@ def at_time_index(grid: DataFrame, index: int = 24, skip: int = 5) -> DataFrame:
 def assign_chunk(stays: DataFrame, size: int = 1000) -> DataFrame:
     """Consecutive groups of ``size`` stays in key order.
 
-    Computed on the distinct-stay table only (one small global ordering),
-    never on the events.
+    Computed on the distinct-stay table only, with a distributed global rank
+    (no single-partition window), never on the events.
     """
-    w = Window.orderBy(KEY)
-    return stays.select(KEY).distinct().withColumn(
-        "chunk", F.floor((F.row_number().over(w) - 1) / F.lit(size)).cast("long"))
+    from hourglass.operators.split import global_rank
+
+    ids = global_rank(stays.select(KEY).distinct(), [F.col(KEY)], "_r")
+    return ids.select(KEY, F.floor((F.col("_r") - 1) / F.lit(size)).cast("long").alias("chunk"))

@@ -614,3 +614,165 @@ def q_permutation_importance(spark, d):
 
     out = S.permutation_importance(df, score, metric, ["x1", "x2"], "id", n_repeats=3, seed=0)
     return out.select("feature", r6("importance_mean"), r6("importance_std"))
+
+
+# ------------------------------------------------------------------ remaining operators
+from hourglass.operators import joins as Cj  # noqa: E402
+from hourglass.sources import io as A  # noqa: E402
+
+SHADOW_EXPLICIT = ("view_0", "view_1")
+DROP_LIST = ("error_0", "error_1", "error_2")
+EXTRA_LABELS = ("click_0", "view_1", "purchase_2", "signup_3", "error_4")
+LINE_COLS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+def _win(spark, d):
+    return series.windowed_events(spark, d, series.cohort(spark, d))
+
+
+@query("drop_shadowed_features")
+def q_drop_shadowed_features(spark, d):
+    st = series.cohort(spark, d)
+    vocab = series.series_stats(spark, d, st).select("feature")
+    out = B.drop_shadowed_features(_win(spark, d), vocab, SHADOW_EXPLICIT)
+    return out.select("stay", "offset_min", "feature", r6("value"))
+
+
+@query("drop_feature_list")
+def q_drop_feature_list(spark, d):
+    return B.drop_feature_list(_win(spark, d), DROP_LIST).select("stay", "offset_min", "feature", r6("value"))
+
+
+@query("select_feature_subset")
+def q_select_feature_subset(spark, d):
+    names = [f"click_{i}" for i in range(10)]
+    g = B.select_feature_subset(_grid(spark, d), names)
+    return g.select("stay", "time", "feature", r6("value"), r6("mask"))
+
+
+@query("drop_mask_features")
+def q_drop_mask_features(spark, d):
+    return B.drop_mask_features(_grid(spark, d)).select("stay", "time", "feature", r6("value"))
+
+
+@query("like_search")
+def q_like_search(spark, d):
+    return B.like_search(_win(spark, d), "PURCHASE").select("feature", "n_stays", r6("mean_value"))
+
+
+def _events_with_admit(spark, d):
+    ev = driver._t(spark, d, "events").select("event_id", F.col("user_id").alias("stay"), "ts")
+    st = series.cohort(spark, d).select("stay", "admit_ts")
+    return ev.join(st, "stay")
+
+
+@query("hour_diff_elapsed")
+def q_hour_diff_elapsed(spark, d):
+    return B.hour_of_day_diff_filter(_events_with_admit(spark, d), "ts", "admit_ts", -24, 5).select(
+        "event_id", "stay")
+
+
+@query("hour_diff_clock")
+def q_hour_diff_clock(spark, d):
+    return B.hour_of_day_diff_filter(_events_with_admit(spark, d), "ts", "admit_ts", -24, 5,
+                                     mode="hour_of_day").select("event_id", "stay")
+
+
+@query("pivot_mean")
+def q_pivot_mean(spark, d):
+    ev = _win(spark, d).withColumn("event_type", F.split("feature", "_")[0])
+    out = D.pivot_mean(ev, ["stay", "offset_min"], "event_type", EVENT_TYPES)
+    return out.select("stay", "offset_min", *[r6(t) for t in EVENT_TYPES])
+
+
+@query("extra_vars")
+def q_extra_vars(spark, d):
+    ev = B.in_list(_win(spark, d), "feature", EXTRA_LABELS)
+    out = D.pivot_mean(ev, ["stay"], "feature", EXTRA_LABELS)
+    return out.select("stay", *[r6(t) for t in EXTRA_LABELS])
+
+
+def _line_long(spark, d):
+    li = driver._t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", *LINE_COLS)
+    return li.unpivot(["l_orderkey", "l_linenumber"], list(LINE_COLS), "feature", "value")
+
+
+@query("unpivot_wide")
+def q_unpivot_wide(spark, d):
+    return _line_long(spark, d).select("l_orderkey", "l_linenumber", "feature", r6("value"))
+
+
+@query("row_sum_score")
+def q_row_sum_score(spark, d):
+    out = D.row_sum_score(_line_long(spark, d), ["l_orderkey", "l_linenumber"],
+                          ["l_discount", "l_tax"], score_name="charge_score")
+    return out.select("l_orderkey", "l_linenumber", "feature", r6("value"))
+
+
+@query("coerce_numeric")
+def q_coerce_numeric(spark, d):
+    from hourglass.functions import scalar as H
+
+    t = driver.text_values(spark, d)
+    out = t.select("event_id", "stay", "feature", H.to_number(H.strip_percent("value_text")).alias("value"))
+    return B.drop_null_values(out).select("event_id", "stay", "feature", r6("value"))
+
+
+@query("assign_chunk")
+def q_assign_chunk(spark, d):
+    return E.assign_chunk(series.cohort(spark, d), 16)
+
+
+@query("vocab_order")
+def q_vocab_order(spark, d):
+    st = series.cohort(spark, d)
+    v = series.series_stats(spark, d, st).select("feature", "n_stays")
+    return J.global_rank(v, [F.desc("n_stays"), F.asc("feature")], "rank")
+
+
+@query("lexical_order")
+def q_lexical_order(spark, d):
+    split = C.split_codes(_code_pairs(spark, d))
+    fam_rank = (F.when(F.col("family") == "main", 0).when(F.col("family") == "admission", 1)
+                 .when(F.col("family") == "past_history_organ", 2).otherwise(3))
+    codes = C.string_codes(split).join(split.select("path", "family"), "path").select(
+        "code", fam_rank.alias("family_rank")).distinct()
+    return J.global_rank(codes, [F.col("family_rank"), F.col("code")], "code_id")
+
+
+@query("remove_padding")
+def q_remove_padding(spark, d):
+    seq = K.assemble_sequences(_grid(spark, d))
+    rows = K.remove_padding(K.pad_sequences(seq, _batches(spark, d)))
+    return rows.select("stay", F.col("pos").cast("long").alias("pos"), r6("time"))
+
+
+@query("outer_join_codes")
+def q_outer_join_codes(spark, d):
+    kept = _kept_codes(spark, d)
+    fam = C.split_codes(_code_pairs(spark, d))
+    smap = C.string_codes(fam).join(fam.select("path", "family"), "path").select("code", "family").distinct()
+    k = kept.join(smap, "code")
+    main = k.where(F.col("family") == "main").groupBy("stay").agg(F.count(F.lit(1)).cast("long").alias("n_main"))
+    hist = k.where(F.col("family") != "main").groupBy("stay").agg(F.count(F.lit(1)).cast("long").alias("n_other"))
+    out = Cj.equi_join(main, hist, "stay", "full_outer")
+    return out.na.fill(0, ["n_main", "n_other"])
+
+
+@query("item_lookup")
+def q_item_lookup(spark, d):
+    li = driver._t(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").alias("itemid"))
+    items = driver._t(spark, d, "part").select(F.col("p_partkey").alias("itemid"), F.col("p_name").alias("label"))
+    return Cj.item_lookup(li, items).select("l_orderkey", "l_linenumber", "label")
+
+
+@query("scan_head")
+def q_scan_head(spark, d):
+    ev = A.scan_parquet(spark, d, "events").select("event_id", "user_id", "event_type")
+    return A.scan_head(ev, 500, ["event_id"])
+
+
+@query("slice_rows")
+def q_slice_rows(spark, d):
+    ev = A.scan_parquet(spark, d, "events").select("event_id", "user_id", "event_type")
+    return A.slice_rows(ev, 300, 1300, ["event_id"])

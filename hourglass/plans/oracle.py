@@ -806,3 +806,105 @@ FROM sc CROSS JOIN b GROUP BY feature"""
 
 
 ORACLE["permutation_importance"] = _perm_sql()
+
+
+# --------------------------------------------------------------------------- remaining operators
+ORACLE["drop_shadowed_features"] = with_("win", "vocab") + f"""
+SELECT stay, offset_min, feature, {r6('value', 'value')} FROM win
+WHERE feature NOT IN (SELECT feature FROM vocab UNION SELECT feature || ' (serum)' FROM vocab)
+  AND feature NOT IN ('view_0', 'view_1')"""
+
+ORACLE["drop_feature_list"] = with_("win") + f"""
+SELECT stay, offset_min, feature, {r6('value', 'value')} FROM win
+WHERE feature NOT IN ('error_0', 'error_1', 'error_2')"""
+
+ORACLE["select_feature_subset"] = with_("encoded") + f"""
+SELECT stay, time, feature, {r6('value', 'value')}, {r6('mask', 'mask')} FROM encoded
+WHERE feature IN ({', '.join(f"'click_{i}'" for i in range(10))})"""
+
+ORACLE["drop_mask_features"] = with_("encoded") + f"""
+SELECT stay, time, feature, {r6('value', 'value')} FROM encoded"""
+
+ORACLE["like_search"] = with_("win") + f"""
+SELECT feature, count(DISTINCT stay) AS n_stays, {r6('avg(value)', 'mean_value')}
+FROM win WHERE contains(lower(feature), 'purchase') GROUP BY feature"""
+
+ORACLE["hour_diff_elapsed"] = with_("cohort") + """
+SELECT e.event_id, e.user_id AS stay FROM events e JOIN cohort c ON e.user_id = c.stay
+WHERE floor((epoch_us(e.ts) - epoch_us(c.admit_ts)) / 3600000000.0) BETWEEN -24 AND 5"""
+
+ORACLE["hour_diff_clock"] = with_("cohort") + """
+SELECT e.event_id, e.user_id AS stay FROM events e JOIN cohort c ON e.user_id = c.stay
+WHERE hour(e.ts) - hour(c.admit_ts) BETWEEN -24 AND 5"""
+
+_TYPES = ("click", "view", "purchase", "signup", "error")
+ORACLE["pivot_mean"] = with_("win") + "SELECT stay, offset_min, " + ", ".join(
+    r6(f"avg(CASE WHEN split_part(feature, '_', 1) = '{t}' THEN value END)", t) for t in _TYPES) + \
+    "\nFROM win GROUP BY stay, offset_min"
+
+_EXTRA = ("click_0", "view_1", "purchase_2", "signup_3", "error_4")
+ORACLE["extra_vars"] = with_("win") + "SELECT stay, " + ", ".join(
+    r6(f"avg(CASE WHEN feature = '{t}' THEN value END)", t) for t in _EXTRA) + \
+    f"\nFROM win WHERE feature IN ({', '.join(repr(t) for t in _EXTRA)}) GROUP BY stay"
+
+_LINE = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+_LINE_LONG = "\nUNION ALL ".join(
+    f"SELECT l_orderkey, l_linenumber, '{c}' AS feature, {c} AS value FROM lineitem" for c in _LINE)
+
+ORACLE["unpivot_wide"] = f"""
+SELECT l_orderkey, l_linenumber, feature, {r6('value', 'value')} FROM ({_LINE_LONG}) x"""
+
+ORACLE["row_sum_score"] = f"""
+WITH ll AS ({_LINE_LONG})
+SELECT l_orderkey, l_linenumber, feature, {r6('value', 'value')} FROM ll
+WHERE feature NOT IN ('l_discount', 'l_tax')
+UNION ALL
+SELECT l_orderkey, l_linenumber, 'charge_score',
+       {r6("CASE WHEN sum(coalesce(value, 0.0)) = 0 THEN NULL ELSE sum(coalesce(value, 0.0)) END", 'value')}
+FROM ll WHERE feature IN ('l_discount', 'l_tax') GROUP BY l_orderkey, l_linenumber"""
+
+ORACLE["coerce_numeric"] = f"""
+WITH t AS (
+  SELECT event_id, user_id AS stay, event_type AS feature,
+         CASE WHEN event_type = 'error' THEN 'n/a'
+              WHEN event_type = 'click'
+                THEN CAST(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS VARCHAR) || '%'
+              ELSE CAST(value AS VARCHAR) END AS value_text
+  FROM events)
+SELECT event_id, stay, feature, {r6("TRY_CAST(replace(value_text, '%', '') AS DOUBLE)", 'value')}
+FROM t WHERE TRY_CAST(replace(value_text, '%', '') AS DOUBLE) IS NOT NULL"""
+
+ORACLE["assign_chunk"] = with_("cohort") + """
+SELECT stay, CAST(floor((row_number() OVER (ORDER BY stay) - 1) / 16) AS BIGINT) AS chunk
+FROM (SELECT DISTINCT stay FROM cohort) x"""
+
+ORACLE["vocab_order"] = with_("vocab") + """
+SELECT feature, n_stays, row_number() OVER (ORDER BY n_stays DESC, feature) AS rank FROM vocab"""
+
+ORACLE["lexical_order"] = with_("sm", "sp") + """
+, cf AS (SELECT DISTINCT sm.code,
+                CASE sp.family WHEN 'main' THEN 0 WHEN 'admission' THEN 1
+                               WHEN 'past_history_organ' THEN 2 ELSE 3 END AS family_rank
+         FROM sm JOIN sp ON sm.path = sp.path)
+SELECT code, family_rank, row_number() OVER (ORDER BY family_rank, code) AS code_id FROM cf"""
+
+ORACLE["remove_padding"] = with_("hrs") + f"""
+SELECT stay, pos, {r6('time / 24.0', 'time')} FROM hrs"""
+
+ORACLE["outer_join_codes"] = with_("kept", "sm", "sp") + """
+, cf AS (SELECT DISTINCT sm.code, sp.family FROM sm JOIN sp ON sm.path = sp.path)
+, k AS (SELECT kept.stay, kept.code, cf.family FROM kept JOIN cf ON kept.code = cf.code)
+, a AS (SELECT stay, count(*) AS n_main FROM k WHERE family = 'main' GROUP BY stay)
+, b AS (SELECT stay, count(*) AS n_other FROM k WHERE family <> 'main' GROUP BY stay)
+SELECT coalesce(a.stay, b.stay) AS stay, coalesce(a.n_main, 0) AS n_main, coalesce(b.n_other, 0) AS n_other
+FROM a FULL OUTER JOIN b ON a.stay = b.stay"""
+
+ORACLE["item_lookup"] = """
+SELECT l.l_orderkey, l.l_linenumber, p.p_name AS label
+FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey"""
+
+ORACLE["scan_head"] = """
+SELECT event_id, user_id, event_type FROM events ORDER BY event_id LIMIT 500"""
+
+ORACLE["slice_rows"] = """
+SELECT event_id, user_id, event_type FROM events ORDER BY event_id LIMIT 1000 OFFSET 300"""
