@@ -9,11 +9,10 @@ Partitioning plan of :func:`encode_events` (one shuffle of raw events):
    per-source minute mean, the cross-source minute mean and the hourly mean
    all group on supersets of those keys, so they run in the same stage.  A
    very long stay is spread over its hours, so one hot stay is not one task.
-2. the hourly table (at most ``lookback + horizon`` hours x F per stay, the
-   upper end clipped *before* densifying) and one ``(stay, feature, lo, hi)``
-   range row per pair are unioned and shuffled once on ``(stay, feature)``;
-   the dense grid is expanded after that exchange and the fill and decay
-   windows share that partitioning and a single sort.
+2. fill and decay are computed on the sparse hourly observations only (a
+   ``lead`` window per (stay, feature)); each observation then expands into
+   its run of hours with ``explode(sequence(...))``.  The dense grid - the
+   largest table by far - is generated in place: never shuffled, never sorted.
 """
 
 from __future__ import annotations
@@ -173,15 +172,85 @@ def zero_fill(grid: DataFrame, value: str = "value") -> DataFrame:
     return grid.withColumn(value, F.coalesce(F.col(value), F.lit(0.0)))
 
 
+MAX_VOCAB = 100_000
+
+
+def vocabulary(vocab: DataFrame, max_features: int = MAX_VOCAB) -> list[str]:
+    """The feature names of a vocabulary table, size-checked before collecting."""
+    rows = vocab.select("feature").distinct().limit(max_features + 1).collect()
+    if len(rows) > max_features:
+        raise ValueError(f"vocabulary has more than {max_features} features")
+    return sorted(r.feature for r in rows)
+
+
+def expand_segments(hourly: DataFrame, vocab: DataFrame, max_hour: int | None = None,
+                    decay: bool = True, decay_rate: float = 4.0 / 3.0, min_time: int | None = 1,
+                    value: str = "value") -> DataFrame:
+    """E3 + E4 + E6/E7 computed sparsely, then expanded: the dense grid is never sorted.
+
+    For each (stay, feature) the observed hours ``h_1 < ... < h_m`` split the
+    stay's hour range ``[lo, hi]`` into runs: ``[lo, h_1 - 1]`` (unobserved:
+    value NULL, mask 0) and ``[h_i, h_{i+1} - 1]`` (value ``v_i``, mask
+    ``1`` at ``k = 0`` and ``1 / (k * decay_rate)`` after ``k`` hours);
+    features never observed in the stay get one unobserved run ``[lo, hi]``.
+
+    The hourly observations of a stay are bounded (hours x features), so they
+    are exchanged once on ``stay``; the ``lead``/``lag`` window, the stay's
+    range and its observed-feature set are all computed on that partitioning
+    (one sort of the sparse rows).  Every run then becomes rows through
+    ``explode(sequence(start, end))`` in place: the dense output is never
+    shuffled or sorted.  Hours below ``min_time`` are never generated.
+    Same result as :func:`dense_grid` + :func:`fill_and_mask` +
+    :func:`positive_time`.
+    """
+    feats = vocabulary(vocab)
+    obs = hourly.where(F.col(value).isNotNull())
+    obs = obs.select(KEY, "feature", "time", F.col(value).cast("double").alias(value)).repartition(KEY)
+    # the stay's range spans all its hours; its upper end is then clipped to max_hour
+    def clipped(c):
+        return c if max_hour is None else F.least(c, F.lit(int(max_hour)))
+
+    wf = Window.partitionBy(KEY, "feature").orderBy("time")
+    ws = Window.partitionBy(KEY)
+    o = obs.select(KEY, "feature", "time", value,
+                   F.lead("time").over(wf).alias("_next"), F.lag("time").over(wf).alias("_prev"),
+                   F.min("time").over(ws).alias("lo"), clipped(F.max("time").over(ws)).alias("hi"))
+    runs = o.where(F.col("time") <= F.col("hi")).select(
+        KEY, "feature", F.col("time").alias("_start"),
+        F.least(F.coalesce(F.col("_next") - 1, F.col("hi")), F.col("hi")).alias("_end"),
+        F.col("time").alias("_obs"), value)
+    lead = o.where(F.col("_prev").isNull()).select(
+        KEY, "feature", F.col("lo").alias("_start"), F.least(F.col("time") - 1, F.col("hi")).alias("_end"),
+        F.lit(None).cast("long").alias("_obs"), F.lit(None).cast("double").alias(value))
+    per_stay = obs.groupBy(KEY).agg(F.min("time").alias("lo"), clipped(F.max("time")).alias("hi"),
+                                    F.collect_set("feature").alias("_seen"))
+    missing = F.array_except(F.array(*[F.lit(f) for f in feats]), F.col("_seen"))
+    never = per_stay.select(KEY, F.explode(missing).alias("feature"), F.col("lo").alias("_start"),
+                            F.col("hi").alias("_end"), F.lit(None).cast("long").alias("_obs"),
+                            F.lit(None).cast("double").alias(value))
+    both = runs.unionByName(lead).unionByName(never)
+    start = F.col("_start") if min_time is None else F.greatest(F.col("_start"), F.lit(int(min_time)))
+    both = both.withColumn("_start", start).where(F.col("_start") <= F.col("_end"))
+    out = both.select(KEY, "feature", F.explode(F.sequence("_start", "_end")).alias("time"), value, "_obs")
+    k = F.col("time") - F.col("_obs")
+    if decay:
+        mask = (F.when(F.col("_obs").isNull(), F.lit(0.0)).when(k == 0, F.lit(1.0))
+                 .otherwise(F.lit(1.0) / (k.cast("double") * F.lit(float(decay_rate)))))
+    else:
+        mask = F.when(k == 0, F.lit(1.0)).otherwise(F.lit(0.0))
+    return out.select(KEY, "time", "feature", value, mask.alias("mask"))
+
+
 def resample_and_mask(hourly: DataFrame, vocab: DataFrame, decay: bool = True,
                       decay_rate: float = 4.0 / 3.0, horizon: int | None = 24 * 14) -> DataFrame:
-    """Dense grid -> fill + mask -> horizon clip -> positive time -> zero fill."""
+    """Dense grid -> fill + mask -> horizon clip -> positive time -> zero fill.
+
+    Runs through :func:`expand_segments` (sparse fill, then expansion).
+    """
     max_hour = None if horizon is None else horizon - 1
-    grid = dense_grid(hourly, vocab, max_hour=max_hour)
-    out = fill_and_mask(grid, decay=decay, decay_rate=decay_rate)
-    if horizon is not None:
-        out = clip_horizon(out, horizon)
-    return zero_fill(positive_time(out))
+    out = expand_segments(hourly, vocab, max_hour=max_hour, decay=decay, decay_rate=decay_rate,
+                          min_time=1)
+    return zero_fill(out)
 
 
 def time_of_day(grid: DataFrame, admit_hour: DataFrame, hour_col: str = "hour") -> DataFrame:
