@@ -137,7 +137,10 @@ def encode_codes(pairs: DataFrame, series_stays: DataFrame | None = None, min_fr
     """Ancestors -> drop pointless and rare codes -> restrict to stays with a series.
 
     Output long ``(stay, code)`` (the multi-hot matrix in sparse form).
+    The ``(stay, path)`` pairs are persisted (memory and disk): the
+    vocabulary side, the stay count and the pair side all read them.
     """
+    pairs = pairs.persist()
     stay_codes, smap = code_prefixes(pairs, path)
     n = pairs.agg(F.count_distinct(KEY).cast("long").alias("n"))
     drop = (pointless_codes(smap, path, rule).select("code")

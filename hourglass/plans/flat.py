@@ -29,7 +29,7 @@ FLAT_SPEC = FlatSpec(
 def series_stays(spark: SparkSession, d: str) -> DataFrame:
     """Cohort stays that have at least one windowed event."""
     st = series.cohort(spark, d)
-    return series.windowed_events(spark, d, st).select("stay").distinct()
+    return series.windowed_events(spark, d, st).select("stay").distinct().persist()
 
 
 def flat_for_series(spark: SparkSession, d: str) -> DataFrame:
@@ -37,8 +37,12 @@ def flat_for_series(spark: SparkSession, d: str) -> DataFrame:
 
 
 def encoded_flat(spark: SparkSession, d: str, spec: FlatSpec = FLAT_SPEC) -> DataFrame:
-    """I6 over the stays with a series (wide, one row per stay)."""
-    return encode_flat(flat_for_series(spark, d), spec)
+    """I6 over the stays with a series (wide, one row per stay).
+
+    The per-stay input is persisted: the recipe's fit steps (category
+    counts, vocabularies, statistics) all read it.
+    """
+    return encode_flat(flat_for_series(spark, d).persist(), spec)
 
 
 def encoded_labels(spark: SparkSession, d: str) -> DataFrame:

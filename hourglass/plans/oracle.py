@@ -154,7 +154,8 @@ def _refs(body: str, name: str) -> bool:
 
 
 def r6(expr: str, alias: str) -> str:
-    x = f"round(CAST({expr} AS DOUBLE), 6)"
+    v = f"CAST({expr} AS DOUBLE)"
+    x = f"(CAST(sign({v}) AS DOUBLE) * floor(abs({v}) * 1000000.0 + 0.5) / 1000000.0)"
     return f"(CASE WHEN {x} = 0 THEN CAST(0.0 AS DOUBLE) ELSE {x} END) AS {alias}"
 
 
@@ -519,7 +520,8 @@ CTE["shuf"] = """shuf AS (
   SELECT stay, row_number() OVER (ORDER BY md5('9' || CAST(stay AS VARCHAR)), stay) AS "order"
   FROM (SELECT DISTINCT stay FROM cohort) x)"""
 CTE["hrs"] = """hrs AS (
-  SELECT stay, time, sum(value) AS value_sum, sum(mask) AS mask_sum,
+  SELECT stay, time, sum(value) AS value_sum, min(value) AS value_min, max(value) AS value_max,
+         count(*) FILTER (WHERE mask = 1.0) AS n_observed,
          row_number() OVER (PARTITION BY stay ORDER BY time) - 1 AS pos,
          count(*) OVER (PARTITION BY stay) AS len
   FROM encoded GROUP BY stay, time)"""
@@ -577,8 +579,8 @@ FROM len l JOIN batches b ON l.stay = b.stay"""
 
 ORACLE["training_rows"] = with_("hrs", "lab01") + f"""
 SELECT h.stay, h.time, {r6('greatest(l.los_days - h.time / 24.0, 1.0 / 48.0)', 'los_remaining')},
-       l.mortality, h.len - 5 AS length_minus_skip, {r6('h.value_sum', 'value_sum')},
-       {r6('h.mask_sum', 'mask_sum')}
+       l.mortality, h.len - 5 AS length_minus_skip, {r6('h.value_min', 'value_min')},
+       {r6('h.value_max', 'value_max')}, h.n_observed
 FROM hrs h JOIN lab01 l ON h.stay = l.stay WHERE h.pos >= 5"""
 
 ORACLE["fraction_of_batches"] = with_("batches") + """
