@@ -396,6 +396,11 @@ def _grid(spark, d):
     return series.encode_timeseries(spark, d)
 
 
+def _feats(spark, d):
+    st = series.cohort(spark, d)
+    return E.vocabulary(series.series_stats(spark, d, st))
+
+
 def _labels01(spark, d):
     st = series.cohort(spark, d)
     return st.select("stay", "los_days",
@@ -415,7 +420,7 @@ def q_skip_first_rows(spark, d):
 
 @query("remaining_los")
 def q_remaining_los(spark, d):
-    tr = K.training_rows(_grid(spark, d), _labels01(spark, d))
+    tr = K.training_rows(_grid(spark, d), _labels01(spark, d), _feats(spark, d))
     return tr.select("stay", "time", r6("los_remaining"))
 
 
@@ -428,7 +433,7 @@ def q_mortality_at_index(spark, d):
 
 @query("assemble_sequences")
 def q_assemble_sequences(spark, d):
-    seq = K.assemble_sequences(_grid(spark, d))
+    seq = K.assemble_sequences(_grid(spark, d), _feats(spark, d))
     return seq.select("stay", F.size("sequence").cast("long").alias("length"),
                       F.col("sequence")[0]["time"].alias("first_time"),
                       F.element_at("sequence", -1)["time"].alias("last_time"),
@@ -446,7 +451,7 @@ def q_assign_batch(spark, d):
 
 @query("pad_sequences")
 def q_pad_sequences(spark, d):
-    seq = K.assemble_sequences(_grid(spark, d))
+    seq = K.assemble_sequences(_grid(spark, d), _feats(spark, d))
     padded = K.pad_sequences(seq, _batches(spark, d))
     return padded.select("stay", "batch", "length", "padded_length",
                          F.size("padded").cast("long").alias("n_rows"))
@@ -454,7 +459,7 @@ def q_pad_sequences(spark, d):
 
 @query("training_rows")
 def q_training_rows(spark, d):
-    tr = K.training_rows(_grid(spark, d), _labels01(spark, d))
+    tr = K.training_rows(_grid(spark, d), _labels01(spark, d), _feats(spark, d))
     # order-independent checks of the feature arrays (a float sum would depend on order)
     return tr.select("stay", "time", r6("los_remaining"), "mortality", "length_minus_skip",
                      r6(F.array_min("values"), "value_min"), r6(F.array_max("values"), "value_max"),
@@ -594,7 +599,7 @@ def _score_fn():
 
 @query("score_sequences")
 def q_score_sequences(spark, d):
-    rows = K.training_rows(_grid(spark, d), _labels01(spark, d)).select("stay", "time", "values")
+    rows = K.training_rows(_grid(spark, d), _labels01(spark, d), _feats(spark, d)).select("stay", "time", "values")
     scored = S.score_sequences(rows, _score_fn(), "stay long, time long, y_pred double")
     return scored.select("stay", "time", r6("y_pred"))
 
@@ -746,7 +751,7 @@ def q_lexical_order(spark, d):
 
 @query("remove_padding")
 def q_remove_padding(spark, d):
-    seq = K.assemble_sequences(_grid(spark, d))
+    seq = K.assemble_sequences(_grid(spark, d), _feats(spark, d))
     rows = K.remove_padding(K.pad_sequences(seq, _batches(spark, d)))
     return rows.select("stay", F.col("pos").cast("long").alias("pos"), r6("time"))
 
