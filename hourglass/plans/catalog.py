@@ -785,3 +785,56 @@ def q_scan_head(spark, d):
 def q_slice_rows(spark, d):
     ev = A.scan_parquet(spark, d, "events").select("event_id", "user_id", "event_type")
     return A.slice_rows(ev, 300, 1300, ["event_id"])
+
+
+# ------------------------------------------------------------------ offsets, scalars, wide sink
+ORIGIN = "2024-01-02 00:00:00"   # fixed origin of the offset-based window join
+WIDE_FEATURES = ("click_3", "view_5", "purchase_7")
+
+
+@query("time_window_offsets")
+def q_time_window_offsets(spark, d):
+    from hourglass.functions import scalar as H
+
+    origin = F.lit(ORIGIN).cast("timestamp_ntz")
+    ev = driver.events(spark, d).select("stay", H.minutes_between(origin, F.col("ts")).alias("offset_min"),
+                                        "feature", "value")
+    st = series.cohort(spark, d).select("stay", H.minutes_between(origin, F.col("discharge_ts"))
+                                        .alias("discharge_offset"))
+    out = B.time_window(ev, st, lo=-1440)
+    return out.select("stay", "offset_min", "feature", r6("value"))
+
+
+@query("scalar_functions")
+def q_scalar_functions(spark, d):
+    from hourglass.functions import scalar as H
+
+    st = driver.stays(spark, d)
+    f = driver.flat(spark, d).select("stay", "nation", "segment", "height")
+    j = st.join(f, "stay")
+    clock = F.date_format("admit_ts", "HH:mm:ss")
+    return j.select(
+        "stay",
+        H.clock_hour(clock).alias("clock_hour"), H.ts_hour("discharge_ts").alias("ts_hour"),
+        H.ts_year("admit_ts").alias("ts_year"),
+        r6(H.cyclic_unit(F.col("discharge_offset"), 24), "cyclic"),
+        H.first_word("nation").alias("first_word"),
+        H.eq_ignore_case("segment", F.lit("building")).cast("int").alias("is_building"),
+        H.round_half_even(F.col("los_days")).cast("long").alias("los_rounded"),
+        r6(H.los_link(F.col("los_days") / 10.0), "los_link"),
+        r6(H.risk_link(F.col("los_days") - 15.0), "risk"),
+        r6(H.zero_to_null(F.floor("los_days") % 3), "zero_null"),
+        r6(H.nan_to_zero("height"), "height0"),
+        H.to_bool(F.col("person") % 2).cast("int").alias("odd_person"),
+        H.is_missing("height").alias("no_height"),
+        r6(H.fill_const("height", -1.0), "height_filled"),
+        H.map_values("segment", {"AUTOMOBILE": 1, "BUILDING": 2}, 0).alias("seg_code"),
+        H.los_bin("los_days").alias("los_bin"))
+
+
+@query("to_wide")
+def q_to_wide(spark, d):
+    g = _grid(spark, d).where(F.col("feature").isin(list(WIDE_FEATURES)))
+    w = E.to_wide(g, WIDE_FEATURES)
+    cols = [c for f in WIDE_FEATURES for c in (f, f + "_mask")]
+    return w.select("stay", "time", *[r6(c) for c in cols], r6("hour"))

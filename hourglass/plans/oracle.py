@@ -910,3 +910,41 @@ SELECT event_id, user_id, event_type FROM events ORDER BY event_id LIMIT 500"""
 
 ORACLE["slice_rows"] = """
 SELECT event_id, user_id, event_type FROM events ORDER BY event_id LIMIT 1000 OFFSET 300"""
+
+
+# --------------------------------------------------------------------------- offsets, scalars, wide sink
+_OR = "TIMESTAMP '2024-01-02 00:00:00'"
+ORACLE["time_window_offsets"] = with_("ev", "cohort") + f"""
+, eo AS (SELECT stay, CAST(floor((epoch_us(ts) - epoch_us({_OR})) / 60000000.0) AS BIGINT) AS offset_min,
+                feature, value FROM ev)
+, so AS (SELECT stay, CAST(floor((epoch_us(discharge_ts) - epoch_us({_OR})) / 60000000.0) AS BIGINT)
+                AS discharge_offset FROM cohort)
+SELECT e.stay, e.offset_min, e.feature, {r6('e.value', 'value')}
+FROM eo e JOIN so s ON e.stay = s.stay
+WHERE e.offset_min >= -1440 AND e.offset_min <= s.discharge_offset"""
+
+ORACLE["scalar_functions"] = with_("flat") + f"""
+SELECT s.stay,
+       hour(strptime(strftime(s.admit_ts, '%H:%M:%S'), '%H:%M:%S')) AS clock_hour,
+       hour(s.discharge_ts) AS ts_hour, year(s.admit_ts) AS ts_year,
+       {r6('((s.discharge_offset % 24 + 24) % 24) / 23.0', 'cyclic')},
+       regexp_extract(f.nation, '^[^ /,]*', 0) AS first_word,
+       CASE WHEN lower(f.segment) = lower('building') THEN 1 ELSE 0 END AS is_building,
+       CAST(round_even(s.los_days, 0) AS BIGINT) AS los_rounded,
+       {r6('least(greatest(exp(s.los_days / 10.0), 1.0 / 48.0), 100.0)', 'los_link')},
+       {r6('1.0 / (1.0 + exp(-(s.los_days - 15.0)))', 'risk')},
+       {r6('nullif(CAST(floor(s.los_days) AS BIGINT) % 3, 0)', 'zero_null')},
+       {r6('coalesce(CASE WHEN isnan(f.height) THEN NULL ELSE f.height END, 0.0)', 'height0')},
+       CASE WHEN s.person % 2 <> 0 THEN 1 ELSE 0 END AS odd_person,
+       CASE WHEN f.height IS NULL THEN 1 ELSE 0 END AS no_height,
+       {r6('coalesce(f.height, -1.0)', 'height_filled')},
+       CASE f.segment WHEN 'AUTOMOBILE' THEN 1 WHEN 'BUILDING' THEN 2 ELSE 0 END AS seg_code,
+       {sql_bin('s.los_days')} AS los_bin
+FROM stays s JOIN flat f ON s.stay = f.stay"""
+
+_WF = ("click_3", "view_5", "purchase_7")
+ORACLE["to_wide"] = with_("encoded") + "SELECT stay, time, " + ", ".join(
+    r6(f"max(CASE WHEN feature = '{f}' THEN {c} END)", f + sfx)
+    for f in _WF for c, sfx in (("value", ""), ("mask", "_mask"))) + \
+    f", {r6('max(hour)', 'hour')}\nFROM encoded WHERE feature IN ({', '.join(repr(f) for f in _WF)})" \
+    "\nGROUP BY stay, time"
