@@ -838,3 +838,23 @@ def q_to_wide(spark, d):
     w = E.to_wide(g, WIDE_FEATURES)
     cols = [c for f in WIDE_FEATURES for c in (f, f + "_mask")]
     return w.select("stay", "time", *[r6(c) for c in cols], r6("hour"))
+
+
+# ------------------------------------------------------------------ streaming
+@query("stream_encode")
+def q_stream_encode(spark, d):
+    """Series encoding run as a stream over stay-chunked event files (same result)."""
+    import uuid
+
+    from hourglass.session import ensure_checkpoint_dir
+    from hourglass.streaming import encode_stream, read_sink, write_stay_chunks
+
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    st = series.cohort(spark, d)
+    stats = series.series_stats(spark, d, st)
+    chunks = E.assign_chunk(st, 32)
+    write_stay_chunks(driver.events(spark, d), chunks, f"{base}/input")
+    q = encode_stream(spark, f"{base}/input", stats, st, f"{base}/sink", f"{base}/ckpt")
+    q.awaitTermination()
+    out = read_sink(spark, f"{base}/sink")
+    return out.select("stay", "time", "feature", r6("value"), r6("mask"), r6("hour"))

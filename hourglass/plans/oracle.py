@@ -948,3 +948,5 @@ ORACLE["to_wide"] = with_("encoded") + "SELECT stay, time, " + ", ".join(
     for f in _WF for c, sfx in (("value", ""), ("mask", "_mask"))) + \
     f", {r6('max(hour)', 'hour')}\nFROM encoded WHERE feature IN ({', '.join(repr(f) for f in _WF)})" \
     "\nGROUP BY stay, time"
+
+ORACLE["stream_encode"] = ORACLE["encode_timeseries"]

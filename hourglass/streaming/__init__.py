@@ -1 +1,3 @@
-"""Incremental execution."""
+"""Incremental (micro-batch) execution of the series encoding."""
+
+from hourglass.streaming.micro_batch import encode_stream, read_sink, write_stay_chunks  # noqa: F401
