@@ -100,19 +100,29 @@ def ts_year(col: ColumnOrName) -> Column:
     return F.year(_c(col))
 
 
-def epoch_micros(col: ColumnOrName) -> Column:
-    """Microseconds since the epoch for TIMESTAMP or TIMESTAMP_NTZ input."""
-    return F.unix_micros(_c(col).cast("timestamp"))
+def micros_between(start: ColumnOrName, end: ColumnOrName) -> Column:
+    """Elapsed microseconds ``end - start``.
+
+    ``timestamp_diff`` works on wall-clock values for TIMESTAMP_NTZ, so the
+    result does not depend on the session time zone (casting to TIMESTAMP
+    first would shift by an hour across a daylight-saving change).
+    """
+    return F.timestamp_diff("MICROSECOND", _c(start), _c(end))
 
 
 def minutes_between(start: ColumnOrName, end: ColumnOrName) -> Column:
     """``floor((end - start) / 1 min)`` as a long (negative when end < start)."""
-    return F.floor((epoch_micros(end) - epoch_micros(start)) / F.lit(60_000_000))
+    return F.floor(micros_between(start, end) / F.lit(60_000_000))
+
+
+def hours_between(start: ColumnOrName, end: ColumnOrName) -> Column:
+    """``floor((end - start) / 1 h)`` as a long."""
+    return F.floor(micros_between(start, end) / F.lit(3_600_000_000))
 
 
 def days_between(start: ColumnOrName, end: ColumnOrName) -> Column:
     """Fractional days ``(end - start) / 86400 s``."""
-    return (epoch_micros(end) - epoch_micros(start)) / F.lit(86_400_000_000.0)
+    return micros_between(start, end) / F.lit(86_400_000_000.0)
 
 
 def hour_ceil(offset_min: ColumnOrName) -> Column:

@@ -80,7 +80,7 @@ def hour_of_day_diff_filter(df: DataFrame, t: str, t0: str, lo: int = -24, hi: i
     if mode == "hour_of_day":
         diff = F.hour(t) - F.hour(t0)
     else:
-        diff = F.floor((H.epoch_micros(t) - H.epoch_micros(t0)) / F.lit(3_600_000_000))
+        diff = H.hours_between(t0, t)
     return df.where(diff.between(lo, hi))
 
 
