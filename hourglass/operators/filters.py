@@ -182,3 +182,8 @@ def union_all(dfs: Sequence[DataFrame]) -> DataFrame:
     for d in dfs[1:]:
         out = out.unionByName(d, allowMissingColumns=True)
     return out
+
+
+def suffix_columns(df: DataFrame, cols: Sequence[str], suffix: str = "", prefix: str = "") -> DataFrame:
+    """Rename columns with a prefix/suffix (``_mask``, one-hot and group names)."""
+    return df.withColumnsRenamed({c: f"{prefix}{c}{suffix}" for c in cols})

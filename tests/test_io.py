@@ -46,3 +46,20 @@ def test_feature_names():
     spark = SparkSession.getActiveSession()
     df = spark.createDataFrame([(1, 1, 0.0, 1.0, 0.5)], "stay long, time long, a double, a_mask double, hour double")
     assert A.feature_names(df) == ["a"] and A.n_features(df) == 1
+
+
+def test_write_predictions_appends(spark):
+    out = tempfile.mkdtemp(prefix="hg-pred-")
+    pred = spark.createDataFrame([(1.0, 2.0)], "y_pred double, y_true double")
+    row = spark.createDataFrame([("run1", 0.5)], "run string, msle double")
+    A.write_predictions(pred, row, out)
+    A.write_predictions(pred, row, out)
+    assert spark.read.parquet(out + "/predictions").count() == 2
+    assert spark.read.parquet(out + "/results").count() == 2
+
+
+def test_suffix_columns(spark):
+    from hourglass.operators.filters import suffix_columns
+
+    df = spark.createDataFrame([(1, 0.5)], "stay long, a double")
+    assert suffix_columns(df, ["a"], "_mask").columns == ["stay", "a_mask"]
