@@ -80,20 +80,21 @@ def pivot_mean(df: DataFrame, keys: Sequence[str], feature: str, values: Sequenc
 
 def fit_quantiles(df: DataFrame, value: str = "value", by: Sequence[str] = ("feature",),
                   probs: Sequence[float] = (0.05, 0.95), accuracy: int | None = None,
-                  names: Sequence[str] = ("q_lo", "q_hi")) -> DataFrame:
+                  names: Sequence[str] = ("q_lo", "q_hi"), method: str = "auto") -> DataFrame:
     """Per-group quantiles with linear interpolation (pandas ``quantile``).
 
-    ``accuracy=None`` uses the exact ``percentile`` aggregate (identical to
-    pandas and DuckDB ``quantile_cont``); its buffer grows with the number of
-    distinct values of a group.  At cluster scale pass ``accuracy`` (e.g.
-    ``100_000``) to use the mergeable ``percentile_approx`` sketch, whose
-    size is bounded per group.
+    Exact by default and safe at any group size (see ``operators.quantiles``:
+    in-memory ``percentile`` only when every group is proven small, else a
+    distributed sort-and-rank).  ``accuracy`` switches to the mergeable
+    ``percentile_approx`` sketch.
     """
-    arr = F.array(*[F.lit(float(p)) for p in probs])
-    v = F.col(value)
-    q = F.percentile(v, arr) if accuracy is None else F.percentile_approx(v, arr, accuracy)
-    out = df.where(v.isNotNull()).groupBy(*by).agg(q.alias("_q"))
-    return out.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    from hourglass.operators.quantiles import quantiles
+
+    if accuracy is not None:
+        from hourglass.operators.quantiles import percentile_quantiles
+
+        return percentile_quantiles(df, value, by, probs, names, accuracy)
+    return quantiles(df, value, by, probs, names, method=method)
 
 
 def fit_mean_std(df: DataFrame, col: str) -> DataFrame:
@@ -107,14 +108,16 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 
 def describe(df: DataFrame, col: str) -> DataFrame:
-    """count/mean/std/min/quartiles/max of a numeric column in one pass."""
+    """count/mean/std/min/quartiles/max of a numeric column."""
+    from hourglass.operators.quantiles import quantiles
+
     c = F.col(col)
-    qs = F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    out = df.agg(F.count(c).cast("long").alias("count"), F.avg(c).alias("mean"),
-                 F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
-                 qs.alias("_q"), F.max(c).cast("double").alias("max"))
-    return out.select("count", "mean", "std", "min", F.col("_q")[0].alias("p25"),
-                      F.col("_q")[1].alias("p50"), F.col("_q")[2].alias("p75"), "max")
+    base = df.agg(F.count(c).cast("long").alias("count"), F.avg(c).alias("mean"),
+                  F.stddev_samp(c).alias("std"), F.min(c).cast("double").alias("min"),
+                  F.max(c).cast("double").alias("max"))
+    qs = quantiles(df, col, (), (0.25, 0.5, 0.75), ("p25", "p50", "p75"))
+    out = base.crossJoin(qs)
+    return out.select("count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def describe_categorical(df: DataFrame, col: str) -> DataFrame:
@@ -159,7 +162,10 @@ def histogram(df: DataFrame, col: str, edges: Sequence[float]) -> DataFrame:
 
 def mean_median(df: DataFrame, col: str) -> DataFrame:
     """One row ``(mean, median)``; median is the linear-interpolated 0.5 quantile."""
-    return df.agg(F.avg(col).alias("mean"), F.percentile(F.col(col), F.lit(0.5)).alias("median"))
+    from hourglass.operators.quantiles import quantiles
+
+    med = quantiles(df, col, (), (0.5,), ("median",))
+    return df.agg(F.avg(col).alias("mean")).crossJoin(med)
 
 
 def row_sum_score(df: DataFrame, keys: Sequence[str], components: Sequence[str],

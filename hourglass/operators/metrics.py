@@ -214,7 +214,10 @@ def mean_loss(df: DataFrame, batch: str, key: str, y_true: str = "y_true",
 
 def constant_baseline(train: DataFrame, test: DataFrame, y_true: str = "y_true") -> DataFrame:
     """Regression report on ``test`` predicting the train mean and the train median."""
-    stats = train.agg(F.avg(y_true).alias("_mean"), F.percentile(F.col(y_true), F.lit(0.5)).alias("_median"))
+    from hourglass.operators.quantiles import quantiles
+
+    med = quantiles(train, y_true, (), (0.5,), ("_median",))
+    stats = train.agg(F.avg(y_true).alias("_mean")).crossJoin(med)
     t = test.crossJoin(F.broadcast(stats))
     rows = (t.select(F.lit("mean").alias("predictor"), F.col(y_true).alias("y_true"),
                      F.col("_mean").alias("y_pred"))

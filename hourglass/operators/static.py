@@ -90,17 +90,32 @@ def standardise(df: DataFrame, col: str, clip: float | None = 4.0) -> DataFrame:
 
 
 def quantile_scale(df: DataFrame, cols: Sequence[str], clip: float | None = 4.0,
-                   probs: Sequence[float] = (0.05, 0.95)) -> DataFrame:
-    """I4: ``2 (x - q_lo) / (q_hi - q_lo) - 1`` per column, then clip (NULL kept)."""
-    arr = F.array(*[F.lit(float(p)) for p in probs])
-    stats = df.agg(*[F.percentile(F.col(c).cast("double"), arr).alias(f"_q_{c}") for c in cols])
+                   probs: Sequence[float] = (0.05, 0.95), max_group: int | None = None) -> DataFrame:
+    """I4: ``2 (x - q_lo) / (q_hi - q_lo) - 1`` per column, then clip (NULL kept).
+
+    Quantiles are exact; for a table larger than ``max_group`` rows they are
+    computed by the distributed sort-and-rank path instead of an in-memory
+    aggregate.
+    """
+    from hourglass.operators.quantiles import MAX_GROUP, distributed_quantiles
+
+    limit = MAX_GROUP if max_group is None else max_group
+    if df.limit(limit + 1).count() <= limit:
+        arr = F.array(*[F.lit(float(p)) for p in probs])
+        stats = df.agg(*[F.percentile(F.col(c).cast("double"), arr).alias(f"_q_{c}") for c in cols])
+        stats = stats.select(*[F.col(f"_q_{c}")[i].alias(f"_q{i}_{c}") for c in cols for i in range(2)])
+    else:
+        stats = None
+        for c in cols:
+            q = distributed_quantiles(df, c, (), probs, (f"_q0_{c}", f"_q1_{c}"))
+            stats = q if stats is None else stats.crossJoin(q)
     out = df.crossJoin(F.broadcast(stats))
     for c in cols:
-        x = H.scale_between(F.col(c).cast("double"), F.col(f"_q_{c}")[0], F.col(f"_q_{c}")[1])
+        x = H.scale_between(F.col(c).cast("double"), F.col(f"_q0_{c}"), F.col(f"_q1_{c}"))
         if clip is not None:
             x = H.clip(x, -clip, clip)
         out = out.withColumn(c, x)
-    return out.drop(*[f"_q_{c}" for c in cols])
+    return out.drop(*[f"_q{i}_{c}" for c in cols for i in range(2)])
 
 
 def impute_with_indicator(df: DataFrame, col: str, indicator: str, fill: float = 0.0) -> DataFrame:
