@@ -85,6 +85,17 @@ def stay_hour_range(hourly: DataFrame, max_hour: int | None = None) -> DataFrame
     return r.where(F.col("lo") <= F.col("hi"))
 
 
+MAX_VOCAB = 100_000
+
+
+def vocabulary(vocab: DataFrame, max_features: int = MAX_VOCAB) -> list[str]:
+    """The feature names of a vocabulary table, size-checked before collecting."""
+    rows = vocab.select("feature").distinct().limit(max_features + 1).collect()
+    if len(rows) > max_features:
+        raise ValueError(f"vocabulary has more than {max_features} features")
+    return sorted(r.feature for r in rows)
+
+
 def dense_grid(hourly: DataFrame, vocab: DataFrame, max_hour: int | None = None,
                value: str = "value") -> DataFrame:
     """Every hour from the stay's first to last hour, for every feature.
@@ -99,7 +110,8 @@ def dense_grid(hourly: DataFrame, vocab: DataFrame, max_hour: int | None = None,
     the expanded grid on all three keys.
     """
     rng = stay_hour_range(hourly, max_hour)
-    pairs = rng.crossJoin(bounded_broadcast(vocab.select("feature").distinct()))
+    feats = F.array(*[F.lit(f) for f in vocabulary(vocab)])
+    pairs = rng.select(KEY, "lo", "hi", F.explode(feats).alias("feature"))
     grid_rows = pairs.select(KEY, "feature", F.sequence("lo", "hi").alias("_hours"),
                              F.lit(None).cast("double").alias(value), F.lit(0).alias("tag"))
     obs = hourly.where(F.col(value).isNotNull())
@@ -172,17 +184,6 @@ def zero_fill(grid: DataFrame, value: str = "value") -> DataFrame:
     return grid.withColumn(value, F.coalesce(F.col(value), F.lit(0.0)))
 
 
-MAX_VOCAB = 100_000
-
-
-def vocabulary(vocab: DataFrame, max_features: int = MAX_VOCAB) -> list[str]:
-    """The feature names of a vocabulary table, size-checked before collecting."""
-    rows = vocab.select("feature").distinct().limit(max_features + 1).collect()
-    if len(rows) > max_features:
-        raise ValueError(f"vocabulary has more than {max_features} features")
-    return sorted(r.feature for r in rows)
-
-
 def expand_segments(hourly: DataFrame, vocab: DataFrame, max_hour: int | None = None,
                     decay: bool = True, decay_rate: float = 4.0 / 3.0, min_time: int | None = 1,
                     value: str = "value") -> DataFrame:
@@ -205,7 +206,10 @@ def expand_segments(hourly: DataFrame, vocab: DataFrame, max_hour: int | None =
     """
     feats = vocabulary(vocab)
     obs = hourly.where(F.col(value).isNotNull())
-    obs = obs.select(KEY, "feature", "time", F.col(value).cast("double").alias(value)).repartition(KEY)
+    # An explicit partition count: this exchange is small (sparse observations) but
+    # feeds the dense expansion, so AQE must not coalesce it into a few tasks.
+    n_parts = int(hourly.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    obs = obs.select(KEY, "feature", "time", F.col(value).cast("double").alias(value)).repartition(n_parts, KEY)
     # the stay's range spans all its hours; its upper end is then clipped to max_hour
     def clipped(c):
         return c if max_hour is None else F.least(c, F.lit(int(max_hour)))
