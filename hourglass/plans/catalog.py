@@ -188,7 +188,8 @@ from hourglass.plans import flat as P  # noqa: E402
 def q_star_join(spark, d):
     f = driver.flat(spark, d)
     return f.select("stay", "gender", "teachingstatus", "nation", "region", "segment", "age",
-                    r6("height"), r6("weight"), "hour", r6("balance_after_24h")).dropDuplicates()
+                    r6("height"), r6("weight"), F.col("hour").cast("long").alias("hour"),
+                    r6("balance_after_24h")).dropDuplicates()
 
 
 @query("collapse_rare")
@@ -815,8 +816,9 @@ def q_scalar_functions(spark, d):
     clock = F.date_format("admit_ts", "HH:mm:ss")
     return j.select(
         "stay",
-        H.clock_hour(clock).alias("clock_hour"), H.ts_hour("discharge_ts").alias("ts_hour"),
-        H.ts_year("admit_ts").alias("ts_year"),
+        H.clock_hour(clock).cast("long").alias("clock_hour"),
+        H.ts_hour("discharge_ts").cast("long").alias("ts_hour"),
+        H.ts_year("admit_ts").cast("long").alias("ts_year"),
         r6(H.cyclic_unit(F.col("discharge_offset"), 24), "cyclic"),
         H.first_word("nation").alias("first_word"),
         H.eq_ignore_case("segment", F.lit("building")).cast("int").alias("is_building"),

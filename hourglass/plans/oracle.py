@@ -379,7 +379,7 @@ FROM cohort"""
 
 ORACLE["describe_categorical"] = with_("fl") + """
 , vc AS (SELECT segment, count(*) AS cnt FROM fl WHERE segment IS NOT NULL GROUP BY segment)
-SELECT (SELECT sum(cnt) FROM vc) AS count, (SELECT count(*) FROM vc) AS unique,
+SELECT (SELECT CAST(sum(cnt) AS BIGINT) FROM vc) AS count, (SELECT count(*) FROM vc) AS unique,
        segment AS top, cnt AS freq
 FROM vc ORDER BY cnt DESC, segment ASC LIMIT 1"""
 

@@ -21,6 +21,10 @@ def con():
     return c
 
 
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+          "boolean": "BOOLEAN"}
+
+
 def _norm(v):
     if isinstance(v, float):
         return "nan" if math.isnan(v) else round(v, 6)
@@ -53,5 +57,8 @@ def test_query_matches_oracle(spark, con, name):
     res = con.sql(entry.oracle_sql()[name])
     orows, ocols = res.fetchall(), res.columns
     assert sorted(cols) == sorted(ocols)
+    spark_types = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == {c: str(t) for c, t in zip(ocols, res.types)}
     assert len(rows) == len(orows)
     assert _digest(rows, cols) == _digest(orows, ocols)
