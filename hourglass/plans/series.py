@@ -36,12 +36,10 @@ def cohort(spark: SparkSession, d: str, min_los_days: float = MIN_LOS_DAYS,
 
 def windowed_events(spark: SparkSession, d: str, stays: DataFrame,
                     sources: Sequence[str] = ("events",), lookback_min: int = LOOKBACK_MIN) -> DataFrame:
-    frames = []
-    for s in sources:
-        frames.append(driver.events(spark, d) if s == "events" else driver.props_events(spark, d))
-    ev = frames[0]
-    for f in frames[1:]:
-        ev = ev.unionByName(f)
+    if tuple(sources) == ("events",):
+        ev = driver.events(spark, d)
+    else:
+        ev = driver.event_sources(spark, d, tuple(sources))  # one scan for all sources
     return window_events_ts(ev, stays, lookback_min)
 
 

@@ -93,6 +93,22 @@ def props_events(spark: SparkSession, d: str) -> DataFrame:
             .where(F.col("feature").isNotNull()))
 
 
+def event_sources(spark: SparkSession, d: str, sources=("events", "props")) -> DataFrame:
+    """Several long sources from ONE scan of ``events``.
+
+    Each event row carries one ``(source, value)`` struct per requested
+    source; ``explode`` turns them into rows, so the table is read once
+    instead of once per source.
+    """
+    ev = _t(spark, d, "events")
+    feature = F.concat(F.col("event_type"), F.lit("_"),
+                       F.pmod(event_k(), F.lit(FEATURE_BUCKETS)).cast("string"))
+    make = {"events": H.nan_to_null("value"), "props": event_k().cast("double")}
+    parts = F.array(*[F.struct(F.lit(s).alias("source"), make[s].alias("value")) for s in sources])
+    x = ev.select(F.col("user_id").alias("stay"), "ts", feature.alias("feature"), F.explode(parts).alias("_s"))
+    return x.where(F.col("feature").isNotNull()).select("stay", "ts", "feature", "_s.value", "_s.source")
+
+
 def text_values(spark: SparkSession, d: str) -> DataFrame:
     """Text-valued chart rows: numbers, numbers with ``%`` and non-numeric junk."""
     ev = _t(spark, d, "events")
