@@ -30,15 +30,16 @@ KEY = "stay"
 
 # ----------------------------------------------------------------- windowing
 def window_events_ts(events: DataFrame, stays: DataFrame, lookback_min: int = 1440,
-                     ts_col: str = "ts") -> DataFrame:
+                     ts_col: str = "ts", keep: Sequence[str] = ()) -> DataFrame:
     """B6 + C3: attach minute offsets from admission and keep the stay window.
 
     ``offset_min = floor((ts - admit_ts) / 1 min)`` and the row is kept when
     ``-lookback_min <= offset_min <= discharge_offset`` (row-specific upper
     bound, evaluated as a residual of the equi-join on ``stay``).  The stays
-    side is broadcast only if its row count is proven small.
+    side is broadcast only if its row count is proven small.  ``keep`` names
+    per-stay columns of ``stays`` to carry along (e.g. the admission hour).
     """
-    s = bounded_broadcast(stays.select(KEY, "admit_ts", "discharge_offset"))
+    s = bounded_broadcast(stays.select(KEY, "admit_ts", "discharge_offset", *keep))
     j = events.join(s, KEY, "inner")
     off = H.minutes_between(F.col("admit_ts"), F.col(ts_col))
     return (j.withColumn("offset_min", off)
@@ -186,7 +187,7 @@ def zero_fill(grid: DataFrame, value: str = "value") -> DataFrame:
 
 def expand_segments(hourly: DataFrame, vocab: DataFrame, max_hour: int | None = None,
                     decay: bool = True, decay_rate: float = 4.0 / 3.0, min_time: int | None = 1,
-                    value: str = "value") -> DataFrame:
+                    value: str = "value", carry: Sequence[str] = ()) -> DataFrame:
     """E3 + E4 + E6/E7 computed sparsely, then expanded: the dense grid is never sorted.
 
     For each (stay, feature) the observed hours ``h_1 < ... < h_m`` split the
@@ -202,58 +203,64 @@ def expand_segments(hourly: DataFrame, vocab: DataFrame, max_hour: int | None =
     ``explode(sequence(start, end))`` in place: the dense output is never
     shuffled or sorted.  Hours below ``min_time`` are never generated.
     Same result as :func:`dense_grid` + :func:`fill_and_mask` +
-    :func:`positive_time`.
+    :func:`positive_time`.  ``carry`` names per-stay constant columns that are
+    copied onto every generated row (so no join touches the dense grid).
     """
+    cw = list(carry)
     feats = vocabulary(vocab)
     obs = hourly.where(F.col(value).isNotNull())
     # An explicit partition count: this exchange is small (sparse observations) but
     # feeds the dense expansion, so AQE must not coalesce it into a few tasks.
     n_parts = int(hourly.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    obs = obs.select(KEY, "feature", "time", F.col(value).cast("double").alias(value)).repartition(n_parts, KEY)
+    obs = obs.select(KEY, "feature", "time", F.col(value).cast("double").alias(value), *cw
+                     ).repartition(n_parts, KEY)
     # the stay's range spans all its hours; its upper end is then clipped to max_hour
     def clipped(c):
         return c if max_hour is None else F.least(c, F.lit(int(max_hour)))
 
     wf = Window.partitionBy(KEY, "feature").orderBy("time")
     ws = Window.partitionBy(KEY)
-    o = obs.select(KEY, "feature", "time", value,
+    o = obs.select(KEY, "feature", "time", value, *cw,
                    F.lead("time").over(wf).alias("_next"), F.lag("time").over(wf).alias("_prev"),
                    F.min("time").over(ws).alias("lo"), clipped(F.max("time").over(ws)).alias("hi"))
     runs = o.where(F.col("time") <= F.col("hi")).select(
         KEY, "feature", F.col("time").alias("_start"),
         F.least(F.coalesce(F.col("_next") - 1, F.col("hi")), F.col("hi")).alias("_end"),
-        F.col("time").alias("_obs"), value)
+        F.col("time").alias("_obs"), value, *cw)
     lead = o.where(F.col("_prev").isNull()).select(
         KEY, "feature", F.col("lo").alias("_start"), F.least(F.col("time") - 1, F.col("hi")).alias("_end"),
-        F.lit(None).cast("long").alias("_obs"), F.lit(None).cast("double").alias(value))
-    per_stay = obs.groupBy(KEY).agg(F.min("time").alias("lo"), clipped(F.max("time")).alias("hi"),
-                                    F.collect_set("feature").alias("_seen"))
+        F.lit(None).cast("long").alias("_obs"), F.lit(None).cast("double").alias(value), *cw)
+    # carried columns are constant per stay: grouping by them keeps the stay partitioning
+    per_stay = obs.groupBy(KEY, *cw).agg(F.min("time").alias("lo"), clipped(F.max("time")).alias("hi"),
+                                         F.collect_set("feature").alias("_seen"))
     missing = F.array_except(F.array(*[F.lit(f) for f in feats]), F.col("_seen"))
     never = per_stay.select(KEY, F.explode(missing).alias("feature"), F.col("lo").alias("_start"),
                             F.col("hi").alias("_end"), F.lit(None).cast("long").alias("_obs"),
-                            F.lit(None).cast("double").alias(value))
+                            F.lit(None).cast("double").alias(value), *cw)
     both = runs.unionByName(lead).unionByName(never)
     start = F.col("_start") if min_time is None else F.greatest(F.col("_start"), F.lit(int(min_time)))
     both = both.withColumn("_start", start).where(F.col("_start") <= F.col("_end"))
-    out = both.select(KEY, "feature", F.explode(F.sequence("_start", "_end")).alias("time"), value, "_obs")
+    out = both.select(KEY, "feature", F.explode(F.sequence("_start", "_end")).alias("time"), value, "_obs",
+                      *cw)
     k = F.col("time") - F.col("_obs")
     if decay:
         mask = (F.when(F.col("_obs").isNull(), F.lit(0.0)).when(k == 0, F.lit(1.0))
                  .otherwise(F.lit(1.0) / (k.cast("double") * F.lit(float(decay_rate)))))
     else:
         mask = F.when(k == 0, F.lit(1.0)).otherwise(F.lit(0.0))
-    return out.select(KEY, "time", "feature", value, mask.alias("mask"))
+    return out.select(KEY, "time", "feature", value, mask.alias("mask"), *cw)
 
 
 def resample_and_mask(hourly: DataFrame, vocab: DataFrame, decay: bool = True,
-                      decay_rate: float = 4.0 / 3.0, horizon: int | None = 24 * 14) -> DataFrame:
+                      decay_rate: float = 4.0 / 3.0, horizon: int | None = 24 * 14,
+                      carry: Sequence[str] = ()) -> DataFrame:
     """Dense grid -> fill + mask -> horizon clip -> positive time -> zero fill.
 
     Runs through :func:`expand_segments` (sparse fill, then expansion).
     """
     max_hour = None if horizon is None else horizon - 1
     out = expand_segments(hourly, vocab, max_hour=max_hour, decay=decay, decay_rate=decay_rate,
-                          min_time=1)
+                          min_time=1, carry=carry)
     return zero_fill(out)
 
 
@@ -316,29 +323,32 @@ def fit_series(windowed: DataFrame, cohort: DataFrame, min_frac: float,
 
 def encode_events(windowed: DataFrame, stats: DataFrame, horizon: int | None = 24 * 14,
                   decay: bool = True, decay_rate: float = 4.0 / 3.0,
-                  clip: float | None = 4.0) -> DataFrame:
+                  clip: float | None = 4.0, carry: Sequence[str] = ()) -> DataFrame:
     """I13 core on windowed events ``(stay, offset_min, feature, value, source)``.
 
     ``stats`` is the output of :func:`fit_series` (vocabulary + quantiles).
     One broadcast join both restricts to the vocabulary and attaches the
     quantiles; one shuffle on ``(stay, hour, feature)`` then serves the
     source-minute mean, scaling, the cross-source minute mean and the hourly
-    mean.  Output ``(stay, time, feature, value, mask)``.
+    mean.  Output ``(stay, time, feature, value, mask)`` plus ``carry``
+    (per-stay constants riding along in the grouping keys).
     """
+    cw = list(carry)
     st = bounded_broadcast(stats.select("feature", "q_lo", "q_hi"))
     ev = (windowed.where(F.col("value").isNotNull()).join(st, "feature", "inner")
                   .withColumn("time", H.hour_ceil("offset_min"))
                   .repartition(KEY, "time", "feature"))
-    src = ev.groupBy(KEY, "time", "offset_min", "feature", "source", "q_lo", "q_hi").agg(
+    src = ev.groupBy(KEY, "time", "offset_min", "feature", "source", "q_lo", "q_hi", *cw).agg(
         F.avg("value").alias("value"))
     x = H.scale_between(F.col("value"), F.col("q_lo"), F.col("q_hi"))
     if clip is not None:
         x = H.clip(x, -clip, clip)
-    scaled = src.select(KEY, "time", "offset_min", "feature", x.alias("value")).where(
+    scaled = src.select(KEY, "time", "offset_min", "feature", x.alias("value"), *cw).where(
         F.col("value").isNotNull())
-    minute = scaled.groupBy(KEY, "time", "offset_min", "feature").agg(F.avg("value").alias("value"))
-    hourly = minute.groupBy(KEY, "time", "feature").agg(F.avg("value").alias("value"))
-    return resample_and_mask(hourly, stats, decay=decay, decay_rate=decay_rate, horizon=horizon)
+    minute = scaled.groupBy(KEY, "time", "offset_min", "feature", *cw).agg(F.avg("value").alias("value"))
+    hourly = minute.groupBy(KEY, "time", "feature", *cw).agg(F.avg("value").alias("value"))
+    return resample_and_mask(hourly, stats, decay=decay, decay_rate=decay_rate, horizon=horizon,
+                             carry=cw)
 
 
 # ----------------------------------------------------------------- per-stay positions

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourglass.operators.filters import select_cohort
-from hourglass.operators.timeseries import encode_events, fit_series, time_of_day, window_events_ts
+from hourglass.functions.scalar import cyclic_unit
+from hourglass.operators.timeseries import encode_events, fit_series, window_events_ts
 from hourglass.sources import driver
 
 # Fixed parameters of the encoding (the reference's constants).
@@ -35,12 +36,13 @@ def cohort(spark: SparkSession, d: str, min_los_days: float = MIN_LOS_DAYS,
 
 
 def windowed_events(spark: SparkSession, d: str, stays: DataFrame,
-                    sources: Sequence[str] = ("events",), lookback_min: int = LOOKBACK_MIN) -> DataFrame:
+                    sources: Sequence[str] = ("events",), lookback_min: int = LOOKBACK_MIN,
+                    keep: Sequence[str] = ()) -> DataFrame:
     if tuple(sources) == ("events",):
         ev = driver.events(spark, d)
     else:
         ev = driver.event_sources(spark, d, tuple(sources))  # one scan for all sources
-    return window_events_ts(ev, stays, lookback_min)
+    return window_events_ts(ev, stays, lookback_min, keep=keep)
 
 
 def series_stats(spark: SparkSession, d: str, stays: DataFrame, min_frac: float = MIN_FRAC,
@@ -57,7 +59,11 @@ def encode_timeseries(spark: SparkSession, d: str, min_frac: float = MIN_FRAC,
     """Long hourly grid ``(stay, time, feature, value, mask, hour)``."""
     st = cohort(spark, d)
     stats = series_stats(spark, d, st, min_frac, sources, quantile_accuracy)
-    ev = windowed_events(spark, d, st, sources)
-    grid = encode_events(ev, stats, horizon=horizon, decay=decay, decay_rate=DECAY_RATE, clip=CLIP)
-    admit_hour = st.select("stay", F.hour("admit_ts").alias("hour"))
-    return time_of_day(grid, admit_hour)
+    # the admission hour rides along from the window join to every grid row (E9
+    # without a join on the dense grid)
+    st_h = st.withColumn("admit_hour", F.hour("admit_ts"))
+    ev = windowed_events(spark, d, st_h, sources, keep=("admit_hour",))
+    grid = encode_events(ev, stats, horizon=horizon, decay=decay, decay_rate=DECAY_RATE, clip=CLIP,
+                         carry=("admit_hour",))
+    hour = cyclic_unit(F.col("time") + F.col("admit_hour"), 24)
+    return grid.select("stay", "time", "feature", "value", "mask", hour.alias("hour"))

@@ -25,6 +25,8 @@ def test_dense_grid_is_never_shuffled(spark):
     gen = next(i for i, l in enumerate(lines) if "Generate" in l)
     above = [l for l in lines[:gen] if "Exchange" in l and "BroadcastExchange" not in l]
     assert not above, above
+    joins = [l for l in lines[:gen] if "Join" in l]
+    assert not joins, joins   # time of day rides along; nothing joins the dense grid
 
 
 def test_raw_events_shuffled_once_on_stay_hour_feature(spark):
