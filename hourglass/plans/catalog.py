@@ -845,18 +845,17 @@ def q_to_wide(spark, d):
 # ------------------------------------------------------------------ streaming
 @query("stream_encode")
 def q_stream_encode(spark, d):
-    """Series encoding run as a stream over stay-chunked event files (same result)."""
+    """Series encoding over events ingested by a stream, chunk by chunk (same result)."""
     import uuid
 
     from hourglass.session import ensure_checkpoint_dir
-    from hourglass.streaming import encode_stream, read_sink, write_stay_chunks
+    from hourglass.streaming import encode_ingested, ingest_stream, write_stay_chunks
 
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
     st = series.cohort(spark, d)
     stats = series.series_stats(spark, d, st)
-    chunks = E.assign_chunk(st, 32)
-    write_stay_chunks(driver.events(spark, d), chunks, f"{base}/input")
-    q = encode_stream(spark, f"{base}/input", stats, st, f"{base}/sink", f"{base}/ckpt")
+    write_stay_chunks(driver.events(spark, d), E.assign_chunk(st, 32), f"{base}/input")
+    q = ingest_stream(spark, f"{base}/input", st, f"{base}/ingested", f"{base}/ckpt")
     q.awaitTermination()
-    out = read_sink(spark, f"{base}/sink")
+    out = encode_ingested(spark, f"{base}/ingested", stats)
     return out.select("stay", "time", "feature", r6("value"), r6("mask"), r6("hour"))

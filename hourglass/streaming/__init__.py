@@ -1,3 +1,3 @@
-"""Incremental (micro-batch) execution of the series encoding."""
+"""Incremental ingestion (Structured Streaming) for the series encoding."""
 
-from hourglass.streaming.micro_batch import encode_stream, read_sink, write_stay_chunks  # noqa: F401
+from hourglass.streaming.micro_batch import encode_ingested, ingest_stream, write_stay_chunks  # noqa: F401

@@ -1,25 +1,27 @@
-"""Micro-batch execution of the series encoding with Structured Streaming.
-
-The reference encodes stays chunk by chunk (1000 stays per pass), fitting
-the scaling on the first chunk and reusing it.  Here new event files are
-read with ``readStream``; every micro-batch is encoded with *fixed*
-statistics (vocabulary + quantiles fitted beforehand) inside
-``foreachBatch`` and written to ``{sink}/batch={id}`` with overwrite, so a
-replayed batch replaces its own output instead of duplicating it
-(exactly-once output together with the stream checkpoint).
-
-Contract: all events of a stay arrive in the same micro-batch (files are
-written per stay chunk, as in the reference); the encoding of a stay only
-depends on its own events and the fixed statistics.
+"""Incremental ingestion for the series encoding with Structured Streaming.
+
+New event files are read with ``readStream``; each micro-batch is joined to
+the (static, size-checked) stay table, cut to the stay window and appended to
+a parquet table through the native file sink, which is exactly-once through
+its metadata log and the stream checkpoint.  Everything runs in the JVM: no
+Python callback (``foreachBatch``) is involved.
+
+The encoding itself needs all hours of a stay (fill, decay, hour range), so
+it runs as a batch job over the ingested table with *fixed* statistics
+(vocabulary + quantiles fitted beforehand), like the reference's chunked
+pass that fits the scaling once and reuses it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from hourglass.operators.timeseries import encode_events, time_of_day, window_events_ts
+from hourglass.functions.scalar import cyclic_unit
+from hourglass.operators.timeseries import encode_events, window_events_ts
 
 EVENT_SCHEMA = "stay long, ts timestamp_ntz, feature string, value double, source string"
 
@@ -30,32 +32,24 @@ def write_stay_chunks(events: DataFrame, chunks: DataFrame, path: str) -> None:
            .write.mode("overwrite").partitionBy("chunk").parquet(path))
 
 
-def encode_stream(spark: SparkSession, source_path: str, stats: DataFrame, stays: DataFrame,
-                  sink_path: str, checkpoint_path: str, files_per_trigger: int = 1,
-                  available_now: bool = True, horizon: int = 24 * 14) -> StreamingQuery:
-    """Start the streaming encoding; returns the running query.
-
-    ``stats`` (feature, q_lo, q_hi) and ``stays`` (stay, admit_ts,
-    discharge_offset) are small fitted tables; they are persisted once and
-    reused by every micro-batch.
-    """
-    stats = stats.select("feature", "n_stays", "q_lo", "q_hi").persist()
-    stays = stays.select("stay", "admit_ts", "discharge_offset").persist()
-    admit_hour = stays.select("stay", F.hour("admit_ts").alias("hour"))
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        ev = batch.select("stay", "ts", "feature", "value", "source")
-        grid = encode_events(window_events_ts(ev, stays), stats, horizon=horizon)
-        out = time_of_day(grid, admit_hour)
-        out.write.mode("overwrite").parquet(f"{sink_path.rstrip('/')}/batch={batch_id}")
-
-    reader = (spark.readStream.schema(EVENT_SCHEMA + ", chunk int")
+def ingest_stream(spark: SparkSession, source_path: str, stays: DataFrame, sink_path: str,
+                  checkpoint_path: str, lookback_min: int = 1440, files_per_trigger: int = 1,
+                  available_now: bool = True, keep: Sequence[str] = ("admit_hour",)) -> StreamingQuery:
+    """Start the ingestion stream (stream-static window join -> parquet file sink)."""
+    st = stays.withColumn("admit_hour", F.hour("admit_ts")) if "admit_hour" in keep else stays
+    events = (spark.readStream.schema(EVENT_SCHEMA + ", chunk int")
               .option("maxFilesPerTrigger", files_per_trigger).parquet(source_path))
-    writer = reader.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint_path)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
+    windowed = window_events_ts(events.drop("chunk"), st, lookback_min, keep=keep)
+    writer = (windowed.writeStream.format("parquet").outputMode("append")
+              .option("path", sink_path).option("checkpointLocation", checkpoint_path))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
 
-def read_sink(spark: SparkSession, sink_path: str) -> DataFrame:
-    """All encoded micro-batches as one DataFrame."""
-    return spark.read.parquet(sink_path).drop("batch")
+def encode_ingested(spark: SparkSession, sink_path: str, stats: DataFrame,
+                    horizon: int = 24 * 14, decay: bool = True) -> DataFrame:
+    """Batch encoding of everything ingested so far, with fixed statistics."""
+    windowed = spark.read.parquet(sink_path)
+    grid = encode_events(windowed, stats, horizon=horizon, decay=decay, carry=("admit_hour",))
+    hour = cyclic_unit(F.col("time") + F.col("admit_hour"), 24)
+    return grid.select("stay", "time", "feature", "value", "mask", hour.alias("hour"))
