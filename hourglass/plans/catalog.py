@@ -859,3 +859,13 @@ def q_stream_encode(spark, d):
     q.awaitTermination()
     out = encode_ingested(spark, f"{base}/ingested", stats)
     return out.select("stay", "time", "feature", r6("value"), r6("mask"), r6("hour"))
+
+
+@query("quantile_fit_first_chunk")
+def q_quantile_fit_first_chunk(spark, d):
+    """D9 fitted on the first chunk of stays (key order, 32 per chunk), as the reference does."""
+    st = series.cohort(spark, d)
+    first = E.assign_chunk(st, 32).where(F.col("chunk") == 0).select("stay")
+    ev = series.windowed_events(spark, d, st)
+    stats = E.fit_series(ev, st, series.MIN_FRAC, series.QUANTILES, fit_stays=first)
+    return stats.select("feature", "n_stays", r6("q_lo"), r6("q_hi"))

@@ -950,3 +950,13 @@ ORACLE["to_wide"] = with_("encoded") + "SELECT stay, time, " + ", ".join(
     "\nGROUP BY stay, time"
 
 ORACLE["stream_encode"] = ORACLE["encode_timeseries"]
+
+ORACLE["quantile_fit_first_chunk"] = with_("vocab", "src") + f"""
+, first AS (SELECT stay FROM (SELECT stay, row_number() OVER (ORDER BY stay) AS rn
+                              FROM (SELECT DISTINCT stay FROM cohort) c) x WHERE rn <= 32)
+, qf AS (SELECT feature, quantile_cont(value, 0.05) AS q_lo, quantile_cont(value, 0.95) AS q_hi
+         FROM src WHERE value IS NOT NULL AND feature IN (SELECT feature FROM vocab)
+           AND stay IN (SELECT stay FROM first)
+         GROUP BY feature)
+SELECT v.feature, v.n_stays, {r6('qf.q_lo', 'q_lo')}, {r6('qf.q_hi', 'q_hi')}
+FROM vocab v LEFT JOIN qf ON v.feature = qf.feature"""
