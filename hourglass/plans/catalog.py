@@ -281,7 +281,7 @@ from hourglass.operators import codes as C  # noqa: E402
 
 def _code_pairs(spark, d):
     st = series.cohort(spark, d)
-    return C.code_union(list(driver.code_sources(spark, d).values()), st)
+    return C.code_union(list(driver.code_sources(spark, d, st).values()))
 
 
 @query("code_union")

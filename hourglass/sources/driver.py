@@ -157,16 +157,24 @@ PAST_ORGAN = "notes/Progress Notes/Past History/Organ Systems/"
 PAST_OPTIONS = "notes/Progress Notes/Past History/Past History Obtain Options/"
 
 
-def code_sources(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    """Three code sources ``(stay, path, offset_min)`` like diagnosis/admission/history."""
+def code_sources(spark: SparkSession, d: str, stays: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Three code sources ``(stay, path, offset_min)`` like diagnosis/admission/history.
+
+    With ``stays`` the cohort filter is applied to ``orders`` and ``customer``
+    *before* the line-item join, so only the cohort's line items are joined.
+    """
     li = _t(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
     od = _t(spark, d, "orders").select("o_orderkey", "o_custkey")
+    cust = _t(spark, d, "customer")
+    if stays is not None:
+        ids = stays.select(F.col("stay").alias("_id"))
+        od = od.join(ids, od.o_custkey == ids._id, "left_semi")
+        cust = cust.join(ids, cust.c_custkey == ids._id, "left_semi")
     pt = _t(spark, d, "part").select("p_partkey", "p_type", "p_brand", "p_name")
     diag = (li.join(od, li.l_orderkey == od.o_orderkey).join(pt, li.l_partkey == pt.p_partkey)
             .select(F.col("o_custkey").alias("stay"),
                     F.concat_ws("|", "p_type", "p_brand", "p_name").alias("path"),
                     ((F.col("l_linenumber") - 1) * 90).alias("offset_min")))
-    cust = _t(spark, d, "customer")
     nation = _t(spark, d, "nation")
     region = _t(spark, d, "region")
     c = (cust.join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey)
