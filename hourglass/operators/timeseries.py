@@ -196,15 +196,18 @@ def expand_segments(hourly: DataFrame, vocab: DataFrame, max_hour: int | None =
     ``1`` at ``k = 0`` and ``1 / (k * decay_rate)`` after ``k`` hours);
     features never observed in the stay get one unobserved run ``[lo, hi]``.
 
-    The hourly observations of a stay are bounded (hours x features), so they
-    are exchanged once on ``stay``; the ``lead``/``lag`` window, the stay's
-    range and its observed-feature set are all computed on that partitioning
-    (one sort of the sparse rows).  Every run then becomes rows through
-    ``explode(sequence(start, end))`` in place: the dense output is never
-    shuffled or sorted.  Hours below ``min_time`` are never generated.
-    Same result as :func:`dense_grid` + :func:`fill_and_mask` +
-    :func:`positive_time`.  ``carry`` names per-stay constant columns that are
-    copied onto every generated row (so no join touches the dense grid).
+    Single pass: the hourly observations of a stay are bounded (hours x
+    features), so they are exchanged once on ``stay``; one window stage gives
+    each observation its next/previous hour, the stay's range and the set of
+    features the stay has.  Every observation row then emits an array of runs
+    (its own run; the leading unobserved run if it is the feature's first
+    observation; the never-observed features' runs if it is the stay's first
+    row of its smallest feature), and ``explode(sequence(start, end))`` turns
+    runs into hours in place.  No union (so no re-computation of the input),
+    no shuffle or sort of the dense output.  Hours below ``min_time`` are
+    never generated.  Same result as :func:`dense_grid` + :func:`fill_and_mask`
+    + :func:`positive_time`.  ``carry`` names per-stay constant columns copied
+    onto every generated row (so no join touches the dense grid).
     """
     cw = list(carry)
     feats = vocabulary(vocab)
@@ -214,6 +217,7 @@ def expand_segments(hourly: DataFrame, vocab: DataFrame, max_hour: int | None =
     n_parts = int(hourly.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     obs = obs.select(KEY, "feature", "time", F.col(value).cast("double").alias(value), *cw
                      ).repartition(n_parts, KEY)
+
     # the stay's range spans all its hours; its upper end is then clipped to max_hour
     def clipped(c):
         return c if max_hour is None else F.least(c, F.lit(int(max_hour)))
@@ -222,25 +226,32 @@ def expand_segments(hourly: DataFrame, vocab: DataFrame, max_hour: int | None =
     ws = Window.partitionBy(KEY)
     o = obs.select(KEY, "feature", "time", value, *cw,
                    F.lead("time").over(wf).alias("_next"), F.lag("time").over(wf).alias("_prev"),
-                   F.min("time").over(ws).alias("lo"), clipped(F.max("time").over(ws)).alias("hi"))
-    runs = o.where(F.col("time") <= F.col("hi")).select(
-        KEY, "feature", F.col("time").alias("_start"),
-        F.least(F.coalesce(F.col("_next") - 1, F.col("hi")), F.col("hi")).alias("_end"),
-        F.col("time").alias("_obs"), value, *cw)
-    lead = o.where(F.col("_prev").isNull()).select(
-        KEY, "feature", F.col("lo").alias("_start"), F.least(F.col("time") - 1, F.col("hi")).alias("_end"),
-        F.lit(None).cast("long").alias("_obs"), F.lit(None).cast("double").alias(value), *cw)
-    # carried columns are constant per stay: grouping by them keeps the stay partitioning
-    per_stay = obs.groupBy(KEY, *cw).agg(F.min("time").alias("lo"), clipped(F.max("time")).alias("hi"),
-                                         F.collect_set("feature").alias("_seen"))
+                   F.min("time").over(ws).alias("lo"), clipped(F.max("time").over(ws)).alias("hi"),
+                   F.min("feature").over(ws).alias("_fmin"),
+                   F.collect_set("feature").over(ws).alias("_seen"))
+    t, hi = F.col("time"), F.col("hi")
+    lo1 = F.col("lo") if min_time is None else F.greatest(F.col("lo"), F.lit(int(min_time)))
+
+    def run(feature, start, end, obs_t, v):
+        return F.struct(feature.alias("feature"), start.cast("long").alias("_start"),
+                        end.cast("long").alias("_end"), obs_t.cast("long").alias("_obs"),
+                        v.cast("double").alias(value))
+
+    none_l, none_d = F.lit(None).cast("long"), F.lit(None).cast("double")
+    first = F.col("_prev").isNull()
+    own_start = t if min_time is None else F.greatest(t, F.lit(int(min_time)))
+    own = F.filter(F.array(run(F.col("feature"), own_start,
+                               F.least(F.coalesce(F.col("_next") - 1, hi), hi), t, F.col(value))),
+                   lambda r: t <= hi)
+    lead = F.filter(F.array(run(F.col("feature"), lo1, F.least(t - 1, hi), none_l, none_d)),
+                    lambda r: first)
+    is_rep = first & (F.col("feature") == F.col("_fmin"))
     missing = F.array_except(F.array(*[F.lit(f) for f in feats]), F.col("_seen"))
-    never = per_stay.select(KEY, F.explode(missing).alias("feature"), F.col("lo").alias("_start"),
-                            F.col("hi").alias("_end"), F.lit(None).cast("long").alias("_obs"),
-                            F.lit(None).cast("double").alias(value), *cw)
-    both = runs.unionByName(lead).unionByName(never)
-    start = F.col("_start") if min_time is None else F.greatest(F.col("_start"), F.lit(int(min_time)))
-    both = both.withColumn("_start", start).where(F.col("_start") <= F.col("_end"))
-    out = both.select(KEY, "feature", F.explode(F.sequence("_start", "_end")).alias("time"), value, "_obs",
+    never = F.transform(F.filter(missing, lambda f: is_rep),
+                        lambda f: run(f, lo1, hi, none_l, none_d))
+    runs = o.select(KEY, *cw, F.explode(F.concat(own, lead, never)).alias("_r"))
+    runs = runs.select(KEY, *cw, "_r.*").where(F.col("_start") <= F.col("_end"))
+    out = runs.select(KEY, "feature", F.explode(F.sequence("_start", "_end")).alias("time"), value, "_obs",
                       *cw)
     k = F.col("time") - F.col("_obs")
     if decay:

@@ -59,3 +59,37 @@ def test_hot_stay_holding_a_third_of_events(spark):
     # offsets 0..2940 step 60 -> hours 0..49; hour 0 is dropped (time > 0)
     assert all(per[s] == 49 for s in range(1, 41))
     assert out.where(F.col("mask") == 1.0).count() == 100 + 40 * 49
+
+
+def _executed_nodes(df):
+    """Node names (with partitioning for exchanges) of the executed final plan, not
+    descending into cached relations."""
+    qe = df._jdf.queryExecution()
+    qe.toRdd().count()
+    out = []
+
+    def walk(node):
+        name = node.nodeName()
+        for wrapper, getter in (("AdaptiveSparkPlan", "executedPlan"), ("ShuffleQueryStage", "plan"),
+                                ("BroadcastQueryStage", "plan"), ("ResultQueryStage", "plan"),
+                                ("TableCacheQueryStage", "plan")):
+            if name.startswith(wrapper):
+                return walk(getattr(node, getter)())
+        detail = str(node.outputPartitioning().toString()) if "Exchange" in name else ""
+        out.append(name + " " + detail)
+        if "InMemoryTableScan" in name:
+            return
+        kids = node.children()
+        for i in range(kids.size()):
+            walk(kids.apply(i))
+
+    walk(qe.executedPlan())
+    return out
+
+
+def test_single_scan_and_single_raw_shuffle(spark):
+    nodes = _executed_nodes(series.encode_timeseries(spark, SF_SMALL))
+    scans = [n for n in nodes if n.startswith("Scan parquet")]
+    raw = [n for n in nodes if "Exchange" in n and "stay#" in n and "time#" in n and "feature#" in n]
+    assert len(scans) == 1, nodes
+    assert len(raw) == 1, nodes
