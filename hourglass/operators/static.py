@@ -62,17 +62,15 @@ def one_hot(df: DataFrame, cols: Sequence[str], vocab: Mapping[str, Sequence] |
 def one_hot_long(df: DataFrame, cols: Sequence[str], key: str = KEY) -> DataFrame:
     """I2 in long form: ``(key, feature, value)`` for every key x observed category.
 
-    No vocabulary reaches the driver: categories per column are a distinct
-    aggregate, joined to the keys through a size-checked broadcast.
+    The categories of each column are a size-checked vocabulary; every row
+    expands over them with ``explode`` (no join), emitting 1 for its own
+    category and 0 elsewhere (NULL -> all 0).
     """
     parts = []
     for c in cols:
-        cats = (df.where(F.col(c).isNotNull())
-                  .select(F.concat(F.lit(c + "_"), F.col(c).cast("string")).alias("feature"),
-                          F.col(c).cast("string").alias("_v")).distinct())
-        rows = df.select(key, F.col(c).cast("string").alias("_x"))
-        j = rows.crossJoin(bounded_broadcast(cats))
-        parts.append(j.select(key, "feature",
+        cats = F.array(*[F.lit(v) for v in category_vocab(df, c)])
+        x = df.select(key, F.col(c).cast("string").alias("_x"), F.explode(cats).alias("_v"))
+        parts.append(x.select(key, F.concat(F.lit(c + "_"), F.col("_v")).alias("feature"),
                               F.coalesce((F.col("_x") == F.col("_v")).cast("int"), F.lit(0)).alias("value")))
     out = parts[0]
     for p in parts[1:]:

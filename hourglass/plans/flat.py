@@ -33,7 +33,8 @@ def series_stays(spark: SparkSession, d: str) -> DataFrame:
 
 
 def flat_for_series(spark: SparkSession, d: str) -> DataFrame:
-    return semi_join(driver.flat(spark, d), series_stays(spark, d))
+    """Static rows of the stays with a series (built from the persisted cohort)."""
+    return semi_join(driver.flat(spark, d, series.cohort(spark, d)), series_stays(spark, d))
 
 
 def encoded_flat(spark: SparkSession, d: str, spec: FlatSpec = FLAT_SPEC) -> DataFrame:
@@ -47,7 +48,7 @@ def encoded_flat(spark: SparkSession, d: str, spec: FlatSpec = FLAT_SPEC) -> Dat
 
 def encoded_labels(spark: SparkSession, d: str) -> DataFrame:
     """Stay labels with one-hot discharge location/status and 0/1 mortality."""
-    st = semi_join(driver.stays(spark, d), series_stays(spark, d))
+    st = semi_join(series.cohort(spark, d), series_stays(spark, d))
     lab = st.select("stay", "person", "los_days", "mortality", "discharge_location",
                     F.col("mortality").alias("discharge_status"))
     return encode_labels(lab)

@@ -120,9 +120,13 @@ def text_values(spark: SparkSession, d: str) -> DataFrame:
                      F.col("event_type").alias("feature"), txt.alias("value_text"))
 
 
-def flat(spark: SparkSession, d: str) -> DataFrame:
-    """Static table: customer x nation x region for every stay (star join C2)."""
-    st = stays(spark, d).select("stay", "admit_ts", "age")
+def flat(spark: SparkSession, d: str, stay_table: DataFrame | None = None) -> DataFrame:
+    """Static table: customer x nation x region for every stay (star join C2).
+
+    Pass an already computed (e.g. persisted cohort) stay table to avoid
+    re-aggregating ``events``.
+    """
+    st = (stays(spark, d) if stay_table is None else stay_table).select("stay", "admit_ts", "age")
     cust = _t(spark, d, "customer")
     nation = _t(spark, d, "nation")
     region = _t(spark, d, "region")
