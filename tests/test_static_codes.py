@@ -75,3 +75,13 @@ def test_rare_cut_off_half_even(spark):
     n = pairs.agg(F.count_distinct("stay").alias("n"))
     rare = {r.code: r.cut_off for r in C.rare_codes(sc, n, 0.01).collect()}
     assert rare == {"rare": 2}
+
+
+def test_display_name_and_dilation(spark):
+    from hourglass.operators.attribution import dilation_schedule, display_name
+
+    df = spark.createDataFrame([("-eos",), ("lactate",), ("other",)], "feature string")
+    out = [r.f for r in df.select(display_name("feature", {"-eos": "Eosinophils", "lactate": "Lactate"})
+                                  .alias("f")).collect()]
+    assert out == ["Eosinophils", "Lactate", "other"]
+    assert dilation_schedule(4, 3) == [1, 2, 4, 6]
