@@ -63,3 +63,16 @@ def test_suffix_columns(spark):
 
     df = spark.createDataFrame([(1, 0.5)], "stay long, a double")
     assert suffix_columns(df, ["a"], "_mask").columns == ["stay", "a_mask"]
+
+
+def test_projection_rename_drop_union(spark):
+    from hourglass.operators import filters as B
+
+    a = spark.createDataFrame([(1, "x", 0.5)], "patientunitstayid long, c string, v double")
+    b = spark.createDataFrame([(2, "y")], "stay long, c string")
+    r = B.rename(B.drop_columns(B.project(a, ["patientunitstayid", "c", "v"]), ["v"]),
+                 {"patientunitstayid": "stay"})
+    assert r.columns == ["stay", "c"]
+    u = B.union_all([r.withColumn("v", a.v), b])
+    assert sorted((x.stay, x.v) for x in u.collect()) == [(1, 0.5), (2, None)]
+    assert B.union_distinct([r, r, b]).count() == 2
