@@ -73,6 +73,6 @@ def test_projection_rename_drop_union(spark):
     r = B.rename(B.drop_columns(B.project(a, ["patientunitstayid", "c", "v"]), ["v"]),
                  {"patientunitstayid": "stay"})
     assert r.columns == ["stay", "c"]
-    u = B.union_all([r.withColumn("v", a.v), b])
+    u = B.union_all([r.withColumn("v", F.lit(0.5)), b])
     assert sorted((x.stay, x.v) for x in u.collect()) == [(1, 0.5), (2, None)]
     assert B.union_distinct([r, r, b]).count() == 2
