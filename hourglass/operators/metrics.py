@@ -55,15 +55,22 @@ def linear_kappa(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred",
     """Cohen's kappa with linear weights over the LoS bins.
 
     Weights are ``|i - j|`` where i, j index the bins *present* in either
-    vector (sorted), as sklearn does with the label union.  All inputs to the
-    final formula are at most 10 x 10 per group.
+    vector (sorted), as sklearn does with the label union.  One pass over the
+    input builds the confusion cells (at most 10 x 10 per group, persisted);
+    the present bins, their ranks and the marginals all come from that tiny
+    table.
     """
-    b = binned(df, y_true, y_pred).select(*by, "bin_true", "bin_pred")
-    present = (b.select(*by, F.col("bin_true").alias("bin"))
-                .unionByName(b.select(*by, F.col("bin_pred").alias("bin"))).distinct())
+    b = binned(df, y_true, y_pred)
+    cm = b.groupBy(*by, "bin_true", "bin_pred").agg(F.count(F.lit(1)).alias("n")).persist()
+    return kappa_from_cells(cm, by)
+
+
+def kappa_from_cells(cm: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Linear kappa from confusion cells ``(by..., bin_true, bin_pred, n)``."""
+    present = (cm.select(*by, F.col("bin_true").alias("bin"))
+                 .unionByName(cm.select(*by, F.col("bin_pred").alias("bin"))).distinct())
     wr = Window.partitionBy(*by).orderBy("bin") if by else Window.orderBy("bin")
     idx = present.withColumn("idx", F.dense_rank().over(wr) - 1)  # <= 10 rows per group
-    cm = b.groupBy(*by, "bin_true", "bin_pred").agg(F.count(F.lit(1)).alias("n"))
     it = idx.select(*by, F.col("bin").alias("bin_true"), F.col("idx").alias("i"))
     ip = idx.select(*by, F.col("bin").alias("bin_pred"), F.col("idx").alias("j"))
     cmi = cm.join(it, [*by, "bin_true"]).join(ip, [*by, "bin_pred"])
@@ -71,7 +78,7 @@ def linear_kappa(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred",
                                     F.sum("n").alias("total"))
     rows = cmi.groupBy(*by, "i").agg(F.sum("n").alias("ri"))
     cols = cmi.groupBy(*by, "j").agg(F.sum("n").alias("cj"))
-    exp = (rows.join(cols, list(by)) if by else rows.crossJoin(cols))
+    exp = (rows.join(cols, list(by)) if by else rows.crossJoin(cols))   # <= 10 x 10 per group
     expected = exp.groupBy(*by).agg(F.sum(F.abs(F.col("i") - F.col("j")) * F.col("ri") * F.col("cj"))
                                     .alias("we_n"))
     j = observed.join(expected, list(by)) if by else observed.crossJoin(expected)
@@ -131,20 +138,12 @@ def score_table(df: DataFrame, y_true: str = "y_true", p: str = "p") -> DataFram
     return cumulative(per, [F.desc("score")], ["pos", "neg"])
 
 
-def auroc_auprc(df: DataFrame, y_true: str = "y_true", p: str = "p") -> DataFrame:
-    """L11 + L12: exact areas from cumulative counts at each distinct threshold.
-
-    ROC: trapezoids between consecutive (FPR, TPR) points (ties -> half
-    credit).  PR: trapezoids between consecutive (recall, precision) points
-    with the anchor (0, 1); the previous point of each threshold is obtained
-    by subtracting its own counts, so no cross-partition lag is needed.
-    """
-    t = score_table(df, y_true, p)
+def _curve_areas(t: DataFrame) -> DataFrame:
+    """AUROC/AUPRC from the cumulative per-score table (class totals taken from it too)."""
+    tot = t.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    j = t.crossJoin(F.broadcast(tot))
     tp, fp = F.col("pos_cum"), F.col("neg_cum")
     tp0, fp0 = tp - F.col("pos"), fp - F.col("neg")
-    tot = df.agg(F.sum((F.col(y_true).cast("int") == 1).cast("long")).alias("P"),
-                 F.sum((F.col(y_true).cast("int") == 0).cast("long")).alias("N"))
-    j = t.crossJoin(F.broadcast(tot))
     P, N = F.col("P").cast("double"), F.col("N").cast("double")
     roc = (fp - fp0) / N * (tp + tp0) / P / F.lit(2.0)
     prec = tp / (tp + fp)
@@ -153,9 +152,31 @@ def auroc_auprc(df: DataFrame, y_true: str = "y_true", p: str = "p") -> DataFram
     return j.agg(F.sum(roc).alias("auroc"), F.sum(pr).alias("auprc"))
 
 
+def auroc_auprc(df: DataFrame, y_true: str = "y_true", p: str = "p") -> DataFrame:
+    """L11 + L12: exact areas from cumulative counts at each distinct threshold.
+
+    ROC: trapezoids between consecutive (FPR, TPR) points (ties -> half
+    credit).  PR: trapezoids between consecutive (recall, precision) points
+    with the anchor (0, 1); the previous point of each threshold is obtained
+    by subtracting its own counts, so no cross-partition lag is needed.  The
+    input is read once (the per-score aggregate); class totals come from the
+    checkpointed score table.
+    """
+    return _curve_areas(score_table(df, y_true, p))
+
+
 def classification_report(df: DataFrame, y_true: str = "y_true", p: str = "p") -> DataFrame:
-    """L14 (L9-L13): accuracy, per-class precision/recall, AUROC, AUPRC, macro F1."""
-    cm = binary_confusion(df, y_true, p)
+    """L14 (L9-L13): accuracy, per-class precision/recall, AUROC, AUPRC, macro F1.
+
+    One pass over the input: the confusion counts (``p > 0.5``) are sums over
+    the per-score table, which the curves use as well.
+    """
+    t = score_table(df, y_true, p)
+    above = F.col("score") > 0.5
+    cm = t.agg(F.sum(F.when(~above, F.col("neg")).otherwise(0)).alias("tn"),
+               F.sum(F.when(above, F.col("neg")).otherwise(0)).alias("fp"),
+               F.sum(F.when(~above, F.col("pos")).otherwise(0)).alias("fn"),
+               F.sum(F.when(above, F.col("pos")).otherwise(0)).alias("tp"))
     tn, fp, fn, tp = (F.col(c).cast("double") for c in ("tn", "fp", "fn", "tp"))
     f1_1 = F.coalesce(F.try_divide(2 * tp, 2 * tp + fp + fn), F.lit(0.0))
     f1_0 = F.coalesce(F.try_divide(2 * tn, 2 * tn + fn + fp), F.lit(0.0))
@@ -164,7 +185,7 @@ def classification_report(df: DataFrame, y_true: str = "y_true", p: str = "p") -
         F.try_divide(tn, tn + fn).alias("prec0"), F.try_divide(tp, tp + fp).alias("prec1"),
         F.try_divide(tn, tn + fp).alias("rec0"), F.try_divide(tp, tp + fn).alias("rec1"),
         ((f1_0 + f1_1) / F.lit(2.0)).alias("f1_macro"))
-    return base.crossJoin(auroc_auprc(df, y_true, p))
+    return base.crossJoin(_curve_areas(t))
 
 
 # ----------------------------------------------------------------- losses
