@@ -77,6 +77,23 @@ def split_by_entity(df: DataFrame, entity: str, seed: int = 9, test: float = 0.1
     return df.join(F.broadcast(lab) if n <= 2_000_000 else lab, entity, "inner")
 
 
+def split_by_hash(df: DataFrame, entity: str, seed: int = 9, test: float = 0.15,
+                  val: float = 0.15) -> DataFrame:
+    """J1, streaming-scale variant: split by a seeded hash threshold per entity.
+
+    ``u = int(first 8 hex digits of md5(seed || entity)) / 2^32`` in [0, 1);
+    ``u < test`` -> test, ``u < test + val`` -> val, else train.  No global
+    order, no count and no join: each row is assigned on its own, every
+    table with the entity column gets consistent splits, and new entities
+    can arrive later.  Split sizes are proportional in expectation only (use
+    :func:`split_by_entity` for the reference's exact sizes).
+    """
+    u = F.conv(F.substring(seeded_hash(entity, seed), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    split = (F.when(u < F.lit(test), F.lit("test"))
+              .when(u < F.lit(test + val), F.lit("val")).otherwise(F.lit("train")))
+    return df.withColumn("split", split)
+
+
 def shuffle_stays(stays: DataFrame, seed: int = 9, key: str = KEY) -> DataFrame:
     """Deterministic permutation of stays: ``(stay, order)``, order 1..n."""
     ids = stays.select(key).distinct().withColumn("_h", seeded_hash(key, seed))

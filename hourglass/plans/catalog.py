@@ -869,3 +869,8 @@ def q_quantile_fit_first_chunk(spark, d):
     ev = series.windowed_events(spark, d, st)
     stats = E.fit_series(ev, st, series.MIN_FRAC, series.QUANTILES, fit_stays=first)
     return stats.select("feature", "n_stays", r6("q_lo"), r6("q_hi"))
+
+
+@query("split_by_hash")
+def q_split_by_hash(spark, d):
+    return J.split_by_hash(_orders_stays(spark, d), "person", SEED).select("stay", "person", "split")

@@ -960,3 +960,11 @@ ORACLE["quantile_fit_first_chunk"] = with_("vocab", "src") + f"""
          GROUP BY feature)
 SELECT v.feature, v.n_stays, {r6('qf.q_lo', 'q_lo')}, {r6('qf.q_hi', 'q_hi')}
 FROM vocab v LEFT JOIN qf ON v.feature = qf.feature"""
+
+ORACLE["split_by_hash"] = """
+SELECT o_orderkey AS stay, o_custkey AS person,
+       CASE WHEN u < 0.15 THEN 'test' WHEN u < 0.15 + 0.15 THEN 'val' ELSE 'train' END AS split
+FROM (SELECT o_orderkey, o_custkey,
+             CAST(CAST('0x' || substr(md5('9' || CAST(o_custkey AS VARCHAR)), 1, 8) AS BIGINT) AS DOUBLE)
+               / 4294967296.0 AS u
+      FROM orders) x"""

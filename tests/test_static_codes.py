@@ -85,3 +85,11 @@ def test_display_name_and_dilation(spark):
                                   .alias("f")).collect()]
     assert out == ["Eosinophils", "Lactate", "other"]
     assert dilation_schedule(4, 3) == [1, 2, 4, 6]
+
+
+def test_only_child_rule(spark):
+    pairs = _paths(spark, [(1, "a|b|c"), (2, "a|b|d"), (3, "x|y")])
+    _, smap = C.code_prefixes(pairs)
+    out = {r.code for r in C.pointless_codes(smap, rule="only_child").collect() if r.reason == "only_child"}
+    # 'a' has one child ('a|b'), 'x' has one child ('x|y'); 'a|b' has two children
+    assert out == {"a", "x"}
