@@ -9,10 +9,11 @@ Partitioning plan of :func:`encode_events` (one shuffle of raw events):
    per-source minute mean, the cross-source minute mean and the hourly mean
    all group on supersets of those keys, so they run in the same stage.  A
    very long stay is spread over its hours, so one hot stay is not one task.
-2. fill and decay are computed on the sparse hourly observations only (a
-   ``lead`` window per (stay, feature)); each observation then expands into
-   its run of hours with ``explode(sequence(...))``.  The dense grid - the
-   largest table by far - is generated in place: never shuffled, never sorted.
+2. the sparse hourly observations (bounded per stay) are exchanged once on
+   ``stay``; one window stage gives fill/decay runs per observation, and
+   ``explode(sequence(...))`` turns runs into hours.  The dense grid - the
+   largest table by far - is generated in place: never shuffled, sorted or
+   joined (see :func:`expand_segments`).
 """
 
 from __future__ import annotations
@@ -103,25 +104,26 @@ def dense_grid(hourly: DataFrame, vocab: DataFrame, max_hour: int | None = None,
 
     Returns the *tagged* grid used by :func:`fill_and_mask`: one row per
     (stay, feature, hour) with ``tag = 0`` and a NULL value, plus one row per
-    observed hourly value with ``tag = 1``.  Both kinds are unioned as small
-    rows (a range or a single hour) and shuffled once on ``(stay, feature)``;
-    the hours are expanded only after that exchange, so the dense grid is
-    never shuffled and the window that follows needs no further exchange.
-    Avoiding a join on ``(stay, feature, hour)`` matters: it would re-shuffle
-    the expanded grid on all three keys.
+    observed hourly value with ``tag = 1``.  Both kinds travel as small rows
+    (an hour range or a single hour) through one exchange on
+    ``(stay, feature)``; the hours are expanded only after it, so the dense
+    grid is never shuffled and the window that follows needs no further
+    exchange.  (A join on ``(stay, feature, hour)`` would re-shuffle the
+    expanded grid on all three keys.)  The encoding pipeline itself uses the
+    cheaper :func:`expand_segments`.
     """
     rng = stay_hour_range(hourly, max_hour)
     feats = F.array(*[F.lit(f) for f in vocabulary(vocab)])
     pairs = rng.select(KEY, "lo", "hi", F.explode(feats).alias("feature"))
-    grid_rows = pairs.select(KEY, "feature", F.sequence("lo", "hi").alias("_hours"),
+    grid_rows = pairs.select(KEY, "feature", F.col("lo").alias("_start"), F.col("hi").alias("_end"),
                              F.lit(None).cast("double").alias(value), F.lit(0).alias("tag"))
     obs = hourly.where(F.col(value).isNotNull())
     if max_hour is not None:
         obs = obs.where(F.col("time") <= int(max_hour))
-    obs_rows = obs.select(KEY, "feature", F.array(F.col("time")).alias("_hours"),
+    obs_rows = obs.select(KEY, "feature", F.col("time").alias("_start"), F.col("time").alias("_end"),
                           F.col(value).cast("double").alias(value), F.lit(1).alias("tag"))
     both = grid_rows.unionByName(obs_rows).repartition(KEY, "feature")
-    return both.select(KEY, "feature", F.explode("_hours").alias("time"), value, "tag")
+    return both.select(KEY, "feature", F.explode(F.sequence("_start", "_end")).alias("time"), value, "tag")
 
 
 def fill_and_mask(grid: DataFrame, value: str = "value", decay: bool = True,
