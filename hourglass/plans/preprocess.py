@@ -29,12 +29,16 @@ def person_splits(spark: SparkSession, d: str, seed: int = SEED) -> DataFrame:
     return split_by_entity(st, "person", seed).select("stay", "split").persist()
 
 
-def run_preprocessing(spark: SparkSession, d: str, out: str, seed: int = SEED) -> dict[str, str]:
+def run_preprocessing(spark: SparkSession, d: str, out: str, seed: int = SEED,
+                      wide: bool = False, fmt: str = "parquet") -> dict[str, str]:
     """Write ``timeseries``, ``flat``, ``labels`` and ``diagnoses`` under ``out``.
 
-    Returns the table paths.  Every table carries ``split``; series and codes
-    are long tables (wide matrices are a sink choice, see ``to_wide`` and
-    ``to_multi_hot``).
+    Returns the table paths.  Every table carries ``split``.  By default the
+    series and codes are long tables; ``wide=True`` writes the reference's
+    shapes instead (series: ``stay, time, F values, F masks, hour``; codes: one
+    0/1 column per kept code, every stay with a series, zeros filled), with
+    column vocabularies collected after a size check.  ``fmt`` is any writer
+    format (``"csv"`` gets a header).
     """
     splits = person_splits(spark, d, seed)
     st = series.cohort(spark, d)
@@ -43,9 +47,17 @@ def run_preprocessing(spark: SparkSession, d: str, out: str, seed: int = SEED) -
     labels = P.encoded_labels(spark, d)
     pairs = code_union(list(driver.code_sources(spark, d, st).values()))
     codes = encode_codes(pairs, P.series_stays(spark, d))
+    if wide:
+        from hourglass.operators.codes import to_multi_hot
+        from hourglass.operators.timeseries import to_wide, vocabulary
+
+        feats = vocabulary(series.series_stats(spark, d, st))
+        grid = to_wide(grid, feats)
+        kept = vocabulary(codes.select(F.col("code").alias("feature")))
+        codes = to_multi_hot(codes, kept, P.series_stays(spark, d))
     tables = {name: df.join(splits, "stay", "inner") for name, df in
               (("timeseries", grid), ("flat", flat), ("labels", labels), ("diagnoses", codes))}
-    write_splits(tables, out)
+    write_splits(tables, out, fmt=fmt)
     return {name: f"{out.rstrip('/')}/{name}" for name in tables}
 
 

@@ -26,3 +26,15 @@ def test_run_preprocessing(spark):
     # partition pruning: reading one split touches only that folder
     test_only = spark.read.parquet(paths["timeseries"]).where(F.col("split") == "test")
     assert test_only.select("split").distinct().count() == 1
+
+
+def test_run_preprocessing_wide_csv(spark):
+    out = tempfile.mkdtemp(prefix="hg-pre-wide-")
+    paths = run_preprocessing(spark, SF_SMALL, out, wide=True, fmt="csv")
+    ts = spark.read.option("header", True).csv(paths["timeseries"])
+    cols = ts.columns
+    feats = [c for c in cols if c not in ("stay", "time", "hour", "split") and not c.endswith("_mask")]
+    assert feats and all(f + "_mask" in cols for f in feats)
+    diag = spark.read.option("header", True).csv(paths["diagnoses"])
+    flat = spark.read.option("header", True).csv(paths["flat"])
+    assert diag.select("stay").distinct().count() == flat.select("stay").distinct().count()
