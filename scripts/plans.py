@@ -44,7 +44,18 @@ def _walk(node, depth, out):
             detail = " " + str(node.outputPartitioning().toString())
         elif "Join" in name:
             detail = " " + re.sub(r"#\d+L?", "", str(node.simpleStringWithNodeId()))[len(name):][:90]
-        elif name.startswith("Scan") or "InMemoryTableScan" in name:
+        elif name.startswith("Scan"):
+            meta = node.metadata()
+            parts = []
+            for key in ("Location", "ReadSchema", "PushedFilters"):
+                opt = meta.get(key)
+                if opt.isDefined():
+                    val = str(opt.get())
+                    if key == "Location":
+                        val = val.rsplit("/", 1)[-1].rstrip("]")
+                    parts.append(f"{key}={val}")
+            detail = " " + " ".join(parts)
+        elif "InMemoryTableScan" in name:
             detail = ""
         out.append("  " * depth + name + re.sub(r"#\d+L?", "", detail))
     if "InMemoryTableScan" in name:
