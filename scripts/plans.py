@@ -44,7 +44,7 @@ def _walk(node, depth, out):
             detail = " " + str(node.outputPartitioning().toString())
         elif "Join" in name:
             detail = " " + re.sub(r"#\d+L?", "", str(node.simpleStringWithNodeId()))[len(name):][:90]
-        elif name.startswith("Scan"):
+        elif name.startswith("Scan") and name != "Scan ExistingRDD" and "RDD" not in name:
             meta = node.metadata()
             parts = []
             for key in ("Location", "ReadSchema", "PushedFilters"):
@@ -55,6 +55,8 @@ def _walk(node, depth, out):
                         val = val.rsplit("/", 1)[-1].rstrip("]")
                     parts.append(f"{key}={val}")
             detail = " " + " ".join(parts)
+        elif name.startswith("Scan"):
+            detail = " (checkpointed rows)"
         elif "InMemoryTableScan" in name:
             detail = ""
         out.append("  " * depth + name + re.sub(r"#\d+L?", "", detail))
