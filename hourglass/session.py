@@ -26,6 +26,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.driver.memory", driver_memory)
              .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+             .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

@@ -93,3 +93,33 @@ def test_single_scan_and_single_raw_shuffle(spark):
     raw = [n for n in nodes if "Exchange" in n and "stay#" in n and "time#" in n and "feature#" in n]
     assert len(scans) == 1, nodes
     assert len(raw) == 1, nodes
+
+
+def test_bounded_broadcast_falls_back_to_shuffle_join(spark):
+    from hourglass.operators.joins import bounded_broadcast
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        big = spark.range(0, 100).withColumnRenamed("id", "k")
+        small = spark.range(0, 5).withColumnRenamed("id", "k")
+        over = big.join(bounded_broadcast(big.select("k"), max_rows=10), "k")
+        under = big.join(bounded_broadcast(small, max_rows=10), "k")
+        assert "BroadcastHashJoin" not in _plan(over)
+        assert "BroadcastHashJoin" in _plan(under)
+        assert over.count() == 100 and under.count() == 5
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_auto_quantiles_switch_to_distributed_above_bound(spark):
+    import pytest
+
+    from hourglass.operators.quantiles import percentile_quantiles, quantiles
+
+    df = spark.range(0, 500).select((F.col("id") % 3).alias("g"), (F.col("id") * 0.37 % 11).alias("v"))
+    a = {r.g: (r.q0, r.q1) for r in quantiles(df, "v", ["g"], (0.05, 0.95), max_group=10).collect()}
+    b = {r.g: (r.q0, r.q1) for r in percentile_quantiles(df, "v", ["g"], (0.05, 0.95)).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k] == pytest.approx(b[k])
