@@ -93,3 +93,13 @@ def test_only_child_rule(spark):
     out = {r.code for r in C.pointless_codes(smap, rule="only_child").collect() if r.reason == "only_child"}
     # 'a' has one child ('a|b'), 'x' has one child ('x|y'); 'a|b' has two children
     assert out == {"a", "x"}
+
+
+def test_fused_collapse_one_hot_equals_operators(spark):
+    rows = [(i, ["a", "b", "c", None][i % 4] if i % 7 else "z", ["u", "v"][i % 2]) for i in range(40)]
+    df = spark.createDataFrame(rows, "stay long, c1 string, c2 string")
+    fused = I.collapse_and_one_hot(df, ["c1", "c2"], min_count=8)
+    ops = I.one_hot(I.collapse_rare(I.collapse_rare(df, "c1", 8), "c2", 8), ["c1", "c2"])
+    assert sorted(fused.columns) == sorted(ops.columns)
+    cols = sorted(fused.columns)
+    assert sorted(tuple(r) for r in fused.select(cols).collect()) == sorted(tuple(r) for r in ops.select(cols).collect())
