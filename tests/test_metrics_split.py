@@ -76,3 +76,37 @@ def test_sequence_loss_sum_vs_mean(spark):
     m = L.sequence_loss(df, "stay", sum_losses=False).first().loss
     assert s == pytest.approx(math.log(2) ** 2 / 2)
     assert m == pytest.approx(math.log(2) ** 2 / 2 / 2)
+
+
+def test_cumulative_prefix_sums_match_python(spark):
+    import random
+
+    rnd = random.Random(5)
+    rows = [(float(i), rnd.randint(0, 5), rnd.randint(0, 3)) for i in range(700)]
+    df = spark.createDataFrame(rows, "score double, pos long, neg long").repartition(6)
+    out = L.cumulative(df, [F.desc("score")], ["pos", "neg"]).orderBy(F.desc("score")).collect()
+    want_p = want_n = 0
+    for r, (s, p, n) in zip(out, sorted(rows, key=lambda x: -x[0])):
+        want_p += p
+        want_n += n
+        assert (r.score, r.pos_cum, r.neg_cum) == (s, want_p, want_n)
+
+
+def test_permute_column_is_a_permutation(spark):
+    from hourglass.operators.scoring import permute_column
+
+    df = spark.range(0, 300).select(F.col("id"), (F.col("id") * 7 % 50).alias("x"), F.col("id").alias("y"))
+    p = permute_column(df, "x", "s|0|x|", "id")
+    assert sorted(r.x for r in p.collect()) == sorted(r.x for r in df.collect())
+    assert sorted(r.y for r in p.collect()) == list(range(300))        # other columns untouched
+    assert any(a.x != b.x for a, b in zip(p.orderBy("id").collect(), df.orderBy("id").collect()))
+
+
+def test_split_by_hash_consistent_across_tables(spark):
+    a = spark.range(0, 3000).select(F.col("id").alias("stay"), (F.col("id") % 400).alias("person"))
+    b = spark.range(0, 400).select(F.col("id").alias("person"))
+    sa = {r.person: r.split for r in J.split_by_hash(a, "person").select("person", "split").distinct().collect()}
+    sb = {r.person: r.split for r in J.split_by_hash(b, "person").collect()}
+    assert sa == sb
+    frac = sum(1 for v in sb.values() if v == "test") / len(sb)
+    assert 0.08 < frac < 0.22
