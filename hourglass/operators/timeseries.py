@@ -189,7 +189,7 @@ def zero_fill(grid: DataFrame, value: str = "value") -> DataFrame:
 
 def expand_segments(hourly: DataFrame, vocab: DataFrame, max_hour: int | None = None,
                     decay: bool = True, decay_rate: float = 4.0 / 3.0, min_time: int | None = 1,
-                    value: str = "value", carry: Sequence[str] = ()) -> DataFrame:
+                    value: str = "value", carry: Sequence[str] = (), bounds: bool = False) -> DataFrame:
     """E3 + E4 + E6/E7 computed sparsely, then expanded: the dense grid is never sorted.
 
     For each (stay, feature) the observed hours ``h_1 < ... < h_m`` split the
@@ -209,7 +209,10 @@ def expand_segments(hourly: DataFrame, vocab: DataFrame, max_hour: int | None =
     no shuffle or sort of the dense output.  Hours below ``min_time`` are
     never generated.  Same result as :func:`dense_grid` + :func:`fill_and_mask`
     + :func:`positive_time`.  ``carry`` names per-stay constant columns copied
-    onto every generated row (so no join touches the dense grid).
+    onto every generated row (so no join touches the dense grid).  With
+    ``bounds=True`` every row also gets the stay's ``first_time`` and
+    ``last_time``: the grid is dense between them, so row positions and
+    sequence lengths become column arithmetic instead of sorted windows.
     """
     cw = list(carry)
     feats = vocabulary(vocab)
@@ -251,7 +254,10 @@ def expand_segments(hourly: DataFrame, vocab: DataFrame, max_hour: int | None =
     missing = F.array_except(F.array(*[F.lit(f) for f in feats]), F.col("_seen"))
     never = F.transform(F.filter(missing, lambda f: is_rep),
                         lambda f: run(f, lo1, hi, none_l, none_d))
-    runs = o.select(KEY, *cw, F.explode(F.concat(own, lead, never)).alias("_r"))
+    extra = [lo1.alias("first_time"), hi.alias("last_time")] if bounds else []
+    runs = o.select(KEY, *cw, *extra, F.explode(F.concat(own, lead, never)).alias("_r"))
+    if bounds:
+        cw = cw + ["first_time", "last_time"]
     runs = runs.select(KEY, *cw, "_r.*").where(F.col("_start") <= F.col("_end"))
     out = runs.select(KEY, "feature", F.explode(F.sequence("_start", "_end")).alias("time"), value, "_obs",
                       *cw)
@@ -266,14 +272,14 @@ def expand_segments(hourly: DataFrame, vocab: DataFrame, max_hour: int | None =
 
 def resample_and_mask(hourly: DataFrame, vocab: DataFrame, decay: bool = True,
                       decay_rate: float = 4.0 / 3.0, horizon: int | None = 24 * 14,
-                      carry: Sequence[str] = ()) -> DataFrame:
+                      carry: Sequence[str] = (), bounds: bool = False) -> DataFrame:
     """Dense grid -> fill + mask -> horizon clip -> positive time -> zero fill.
 
     Runs through :func:`expand_segments` (sparse fill, then expansion).
     """
     max_hour = None if horizon is None else horizon - 1
     out = expand_segments(hourly, vocab, max_hour=max_hour, decay=decay, decay_rate=decay_rate,
-                          min_time=1, carry=carry)
+                          min_time=1, carry=carry, bounds=bounds)
     return zero_fill(out)
 
 
@@ -336,7 +342,7 @@ def fit_series(windowed: DataFrame, cohort: DataFrame, min_frac: float,
 
 def encode_events(windowed: DataFrame, stats: DataFrame, horizon: int | None = 24 * 14,
                   decay: bool = True, decay_rate: float = 4.0 / 3.0,
-                  clip: float | None = 4.0, carry: Sequence[str] = ()) -> DataFrame:
+                  clip: float | None = 4.0, carry: Sequence[str] = (), bounds: bool = False) -> DataFrame:
     """I13 core on windowed events ``(stay, offset_min, feature, value, source)``.
 
     ``stats`` is the output of :func:`fit_series` (vocabulary + quantiles).
@@ -361,18 +367,35 @@ def encode_events(windowed: DataFrame, stats: DataFrame, horizon: int | None = 2
     minute = scaled.groupBy(KEY, "time", "offset_min", "feature", *cw).agg(F.avg("value").alias("value"))
     hourly = minute.groupBy(KEY, "time", "feature", *cw).agg(F.avg("value").alias("value"))
     return resample_and_mask(hourly, stats, decay=decay, decay_rate=decay_rate, horizon=horizon,
-                             carry=cw)
+                             carry=cw, bounds=bounds)
 
 
 # ----------------------------------------------------------------- per-stay positions
+def _has_bounds(grid: DataFrame) -> bool:
+    return "first_time" in grid.columns and "last_time" in grid.columns
+
+
 def seq_length(grid: DataFrame) -> DataFrame:
-    """Rows (hours) per stay."""
+    """Rows (hours) per stay.
+
+    With the stay bounds of a dense grid (``first_time``/``last_time``) this
+    is arithmetic on one row per stay; otherwise distinct hours are counted.
+    """
+    if _has_bounds(grid):
+        return grid.select(KEY, (F.col("last_time") - F.col("first_time") + 1).cast("long")
+                           .alias("length")).distinct()
     return grid.select(KEY, "time").distinct().groupBy(KEY).agg(
         F.count(F.lit(1)).cast("long").alias("length"))
 
 
 def row_position(grid: DataFrame, order_col: str = "time") -> DataFrame:
-    """0-based row position of each hour within its stay (``dense_rank - 1``)."""
+    """0-based row position of each hour within its stay.
+
+    ``time - first_time`` on a dense grid with stay bounds (no sort);
+    otherwise ``dense_rank - 1`` over the stay's hours.
+    """
+    if _has_bounds(grid) and order_col == "time":
+        return grid.withColumn("pos", (F.col("time") - F.col("first_time")).cast("long"))
     w = Window.partitionBy(KEY).orderBy(order_col)
     return grid.withColumn("pos", (F.dense_rank().over(w) - 1).cast("long"))
 

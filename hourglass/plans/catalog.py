@@ -394,7 +394,7 @@ def q_sample_tables(spark, d):
 
 
 def _grid(spark, d):
-    return series.encode_timeseries(spark, d)
+    return series.encode_timeseries(spark, d, bounds=True)
 
 
 def _feats(spark, d):
@@ -415,7 +415,7 @@ def q_seq_length(spark, d):
 
 @query("skip_first_rows")
 def q_skip_first_rows(spark, d):
-    hours = _grid(spark, d).select("stay", "time").distinct()
+    hours = _grid(spark, d).select("stay", "time", "first_time", "last_time").distinct()
     return E.skip_first_rows(hours, 5).select("stay", "time", "pos")
 
 
@@ -427,7 +427,7 @@ def q_remaining_los(spark, d):
 
 @query("mortality_at_index")
 def q_mortality_at_index(spark, d):
-    hours = _grid(spark, d).select("stay", "time").distinct()
+    hours = _grid(spark, d).select("stay", "time", "first_time", "last_time").distinct()
     at = E.at_time_index(hours, 24, 5)
     return E.repeat_label(at, _labels01(spark, d)).select("stay", "time", "mortality")
 

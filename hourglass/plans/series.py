@@ -55,8 +55,12 @@ def series_stats(spark: SparkSession, d: str, stays: DataFrame, min_frac: float
 def encode_timeseries(spark: SparkSession, d: str, min_frac: float = MIN_FRAC,
                       decay: bool = True, horizon: int | None = HORIZON_HOURS,
                       sources: Sequence[str] = ("events",),
-                      quantile_accuracy: int | None = None) -> DataFrame:
-    """Long hourly grid ``(stay, time, feature, value, mask, hour)``."""
+                      quantile_accuracy: int | None = None, bounds: bool = False) -> DataFrame:
+    """Long hourly grid ``(stay, time, feature, value, mask, hour)``.
+
+    ``bounds=True`` adds each stay's ``first_time``/``last_time`` (for
+    window-free row positions downstream).
+    """
     st = cohort(spark, d)
     stats = series_stats(spark, d, st, min_frac, sources, quantile_accuracy)
     # the admission hour rides along from the window join to every grid row (E9
@@ -64,6 +68,7 @@ def encode_timeseries(spark: SparkSession, d: str, min_frac: float = MIN_FRAC,
     st_h = st.withColumn("admit_hour", F.hour("admit_ts"))
     ev = windowed_events(spark, d, st_h, sources, keep=("admit_hour",))
     grid = encode_events(ev, stats, horizon=horizon, decay=decay, decay_rate=DECAY_RATE, clip=CLIP,
-                         carry=("admit_hour",))
+                         carry=("admit_hour",), bounds=bounds)
     hour = cyclic_unit(F.col("time") + F.col("admit_hour"), 24)
-    return grid.select("stay", "time", "feature", "value", "mask", hour.alias("hour"))
+    extra = ["first_time", "last_time"] if bounds else []
+    return grid.select("stay", "time", "feature", "value", "mask", hour.alias("hour"), *extra)
