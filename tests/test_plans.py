@@ -123,3 +123,14 @@ def test_auto_quantiles_switch_to_distributed_above_bound(spark):
     assert a.keys() == b.keys()
     for k in a:
         assert a[k] == pytest.approx(b[k])
+
+
+def test_stay_bounds_path_equals_window_path(spark):
+    from hourglass.operators import sequences as K
+    from hourglass.plans.catalog import _feats, _labels01
+
+    feats, lab = _feats(spark, SF_SMALL), _labels01(spark, SF_SMALL)
+    cols = ["stay", "time", "pos", "los_remaining", "mortality", "length_minus_skip"]
+    a = K.training_rows(series.encode_timeseries(spark, SF_SMALL, bounds=True), lab, feats).select(cols)
+    b = K.training_rows(series.encode_timeseries(spark, SF_SMALL), lab, feats).select(cols)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
