@@ -874,3 +874,13 @@ def q_quantile_fit_first_chunk(spark, d):
 @query("split_by_hash")
 def q_split_by_hash(spark, d):
     return J.split_by_hash(_orders_stays(spark, d), "person", SEED).select("stay", "person", "split")
+
+
+@query("quantile_fit_train_split")
+def q_quantile_fit_train_split(spark, d):
+    """D9 fitted on the training split only (persons split as in J1), the recommended use."""
+    st = series.cohort(spark, d)
+    train = J.split_by_entity(st.select("stay", "person"), "person", SEED).where(F.col("split") == "train")
+    ev = series.windowed_events(spark, d, st)
+    stats = E.fit_series(ev, st, series.MIN_FRAC, series.QUANTILES, fit_stays=train.select("stay"))
+    return stats.select("feature", "n_stays", r6("q_lo"), r6("q_hi"))

@@ -968,3 +968,18 @@ FROM (SELECT o_orderkey, o_custkey,
              CAST(CAST('0x' || substr(md5('9' || CAST(o_custkey AS VARCHAR)), 1, 8) AS BIGINT) AS DOUBLE)
                / 4294967296.0 AS u
       FROM orders) x"""
+
+ORACLE["quantile_fit_train_split"] = with_("vocab", "src") + f"""
+, pr AS (SELECT person, row_number() OVER (ORDER BY md5('9' || CAST(person AS VARCHAR)), person) AS rk,
+                count(*) OVER () AS n FROM (SELECT DISTINCT person FROM cohort) p)
+, c AS (SELECT DISTINCT n, CAST(ceil(CAST(0.15 AS DOUBLE) * n) AS BIGINT) AS n_test FROM pr)
+, c2 AS (SELECT n, n_test, CAST(ceil(CAST(0.15 AS DOUBLE) / (CAST(1.0 AS DOUBLE) - CAST(0.15 AS DOUBLE))
+                                   * CAST(n - n_test AS DOUBLE)) AS BIGINT) AS n_val FROM c)
+, train AS (SELECT co.stay FROM cohort co JOIN pr ON co.person = pr.person CROSS JOIN c2
+            WHERE pr.rk > c2.n_test + c2.n_val)
+, qf AS (SELECT feature, quantile_cont(value, 0.05) AS q_lo, quantile_cont(value, 0.95) AS q_hi
+         FROM src WHERE value IS NOT NULL AND feature IN (SELECT feature FROM vocab)
+           AND stay IN (SELECT stay FROM train)
+         GROUP BY feature)
+SELECT v.feature, v.n_stays, {r6('qf.q_lo', 'q_lo')}, {r6('qf.q_hi', 'q_hi')}
+FROM vocab v LEFT JOIN qf ON v.feature = qf.feature"""
