@@ -130,3 +130,10 @@ def test_distributed_quantiles_match_percentile(spark):
         assert a[k] == pytest.approx(b[k])
     whole = distributed_quantiles(df, "v", (), (0.5,)).first()[0]
     assert whole == pytest.approx(percentile_quantiles(df, "v", (), (0.5,)).first()[0])
+
+
+def test_since_last_observation(spark):
+    vals = [None, 5.0, None, None, 7.0, None]
+    g = _grid(spark, [(1, h + 1, "a", v) for h, v in enumerate(vals)])
+    out = [r.hours_since_obs for r in E.since_last_observation(g).orderBy("time").collect()]
+    assert out == [None, 0, 1, 2, 0, 1]
