@@ -134,3 +134,10 @@ def test_stay_bounds_path_equals_window_path(spark):
     a = K.training_rows(series.encode_timeseries(spark, SF_SMALL, bounds=True), lab, feats).select(cols)
     b = K.training_rows(series.encode_timeseries(spark, SF_SMALL), lab, feats).select(cols)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_approximate_quantile_option_runs(spark):
+    exact = series.encode_timeseries(spark, SF_SMALL)
+    approx = series.encode_timeseries(spark, SF_SMALL, quantile_accuracy=100_000)
+    assert approx.count() == exact.count()
+    assert set(approx.columns) == set(exact.columns)
