@@ -38,13 +38,17 @@ def causal_lag_features(grid: DataFrame, weights: Sequence[float], dilation: int
     return grid.withColumn(out, total)
 
 
-def eligible_stays(grid: DataFrame, time_point: int = 24) -> DataFrame:
-    """Stays that still have a row at raw position ``time_point`` (alive at the horizon)."""
+def eligible_stays(grid: DataFrame, time_point: int = 23) -> DataFrame:
+    """Stays that still have a row at raw position ``time_point`` (alive at the horizon).
+
+    The reference's default horizon is 23: the label mask at trimmed index 18
+    (= raw position 23) and the first 23 hourly positions.
+    """
     hours = row_position(grid.select(KEY, "time").distinct())
     return hours.where(F.col("pos") == time_point).select(KEY)
 
 
-def per_stay_attribution(attr: DataFrame, time_point: int = 24, value: str = "value",
+def per_stay_attribution(attr: DataFrame, time_point: int = 23, value: str = "value",
                          attribution: str = "attribution") -> DataFrame:
     """D19 over the first ``time_point`` hours of eligible stays.
 
@@ -60,7 +64,7 @@ def per_stay_attribution(attr: DataFrame, time_point: int = 24, value: str = "va
                      F.count(F.when(F.col(value) != 0, F.lit(1)))).alias("mean_abs"))
 
 
-def attribution_summary(attr: DataFrame, time_point: int = 24, k: int = 25, clip: float = 3.0,
+def attribution_summary(attr: DataFrame, time_point: int = 23, k: int = 25, clip: float = 3.0,
                         renaming: Mapping[str, str] | None = None) -> DataFrame:
     """M4: D19 -> clip -> drop zero-total features (B19) -> NaN to 0 -> mean per
     feature -> top ``k`` (F4).  Output ``(feature, importance)``."""

@@ -553,6 +553,7 @@ from hourglass.operators import attribution as M  # noqa: E402
 from hourglass.operators import scoring as S  # noqa: E402
 
 LAG_WEIGHTS = (0.5, 0.3, 0.2)
+ATTR_HORIZON = 23   # first 23 hourly positions; stays with a row at position 23
 LAG_DILATION = 2
 
 
@@ -570,12 +571,12 @@ def q_causal_lag_features(spark, d):
 
 @query("attribution_summary")
 def q_attribution_summary(spark, d):
-    return M.attribution_summary(_attr(spark, d), 24, 25, 3.0).select("feature", r6("importance"))
+    return M.attribution_summary(_attr(spark, d), ATTR_HORIZON, 25, 3.0).select("feature", r6("importance"))
 
 
 @query("per_stay_attribution")
 def q_per_stay_attribution(spark, d):
-    return M.per_stay_attribution(_attr(spark, d), 24).select("stay", "feature", r6("mean_abs"))
+    return M.per_stay_attribution(_attr(spark, d), ATTR_HORIZON).select("stay", "feature", r6("mean_abs"))
 
 
 @query("single_stay_profile")
@@ -590,7 +591,7 @@ def q_single_stay_profile(spark, d):
 
 @query("drop_zero_total_features")
 def q_drop_zero_total_features(spark, d):
-    per = M.per_stay_attribution(_attr(spark, d), 24)
+    per = M.per_stay_attribution(_attr(spark, d), ATTR_HORIZON)
     return B.drop_zero_total_features(per, value="mean_abs").select("stay", "feature", r6("mean_abs"))
 
 

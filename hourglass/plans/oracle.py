@@ -744,7 +744,7 @@ CTE["pstay"] = """pstay AS (
          CASE WHEN count(CASE WHEN a.value <> 0 THEN 1 END) = 0 THEN NULL
               ELSE sum(abs(a.attribution)) / count(CASE WHEN a.value <> 0 THEN 1 END) END AS mean_abs
   FROM attr a JOIN hrs h ON a.stay = h.stay AND a.time = h.time
-  WHERE h.pos < 24 AND a.stay IN (SELECT stay FROM hrs WHERE pos = 24)
+  WHERE h.pos < 23 AND a.stay IN (SELECT stay FROM hrs WHERE pos = 23)
   GROUP BY a.stay, a.feature)"""
 _ORDER[:] = list(CTE)
 

@@ -103,3 +103,14 @@ def test_fused_collapse_one_hot_equals_operators(spark):
     assert sorted(fused.columns) == sorted(ops.columns)
     cols = sorted(fused.columns)
     assert sorted(tuple(r) for r in fused.select(cols).collect()) == sorted(tuple(r) for r in ops.select(cols).collect())
+
+
+def test_single_stay_profile_wide(spark):
+    from hourglass.operators.attribution import single_stay_profile
+
+    rows = [(1, t, f, float(t), float(t) * (2 if f == "b" else 1)) for t in (1, 2) for f in ("a", "b", "c")]
+    rows += [(2, 1, "a", 9.0, 9.0)]
+    attr = spark.createDataFrame(rows, "stay long, time long, feature string, value double, attribution double")
+    out = single_stay_profile(attr, 1, ["a", "b"]).orderBy("time").collect()
+    assert [(r.time, r.a_value, r.a_attr, r.b_value, r.b_attr) for r in out] == [
+        (1, 1.0, 1.0, 1.0, 2.0), (2, 2.0, 2.0, 2.0, 4.0)]
