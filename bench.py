@@ -7,6 +7,7 @@ Runs each query at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 Every query is forced to full evaluation with the ``noop`` sink (all columns
 computed, nothing collected to the driver).  Each query is timed from a
 fresh plan, including its fit jobs (vocabulary, quantiles, size checks).
+Set ``BENCH_EVENTLOG`` to a scratch folder to keep Spark's event log.
 """
 
 from __future__ import annotations
@@ -38,7 +39,11 @@ def main() -> None:
     from hourglass.plans.catalog import QUERIES
     from hourglass.session import local_session
 
-    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE", "16")))
+    # optional Spark event log (stage and task times) into a scratch folder
+    log_dir = os.environ.get("BENCH_EVENTLOG")
+    extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir} if log_dir else None
+    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE", "16")),
+                          extra_conf=extra)
     names = [n for n in HEADLINE if n in QUERIES]
     # warm-up: JVM class loading and code generation of every headline query on
     # the smallest input, so the timed runs measure steady-state execution

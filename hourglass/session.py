@@ -15,8 +15,12 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "hourglass", driver_memory: str = "16g") -> SparkSession:
-    spark = (SparkSession.builder.master(f"local[{cores}]").appName(app)
+                  app: str = "hourglass", driver_memory: str = "16g",
+                  extra_conf: dict[str, str] | None = None) -> SparkSession:
+    builder = SparkSession.builder
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
+    spark = (builder.master(f"local[{cores}]").appName(app)
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
              .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
