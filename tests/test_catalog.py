@@ -40,7 +40,9 @@ def _digest(rows, cols):
 
 
 def test_every_query_has_an_oracle():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
+    from hourglass.plans.catalog import QUERIES
+
+    missing = set(QUERIES) - set(entry.oracle_sql())
     assert not missing, missing
 
 
@@ -50,7 +52,7 @@ def test_entry_smoke(spark):
     assert df.count() >= 0
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     df = entry.queries()[name](spark, SF_SMALL)
     rows, cols = [tuple(r) for r in df.collect()], df.columns
