@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from hourglass.llm.license_scan import ORACLE_OP6, op6_license_scan
 from hourglass.llm.url_filter import ORACLE_OP9, op9_url_filter
+from hourglass.llm.warc import ORACLE_OP10, op10_warc
 
 QUERIES = {
+    "op6_license_scan": op6_license_scan,
     "op9_url_filter": op9_url_filter,
+    "op10_warc": op10_warc,
 }
 ORACLE = {
+    "op6_license_scan": ORACLE_OP6,
     "op9_url_filter": ORACLE_OP9,
+    "op10_warc": ORACLE_OP10,
 }
