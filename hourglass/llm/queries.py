@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from hourglass.llm.langid import op5_language_id
 from hourglass.llm.license_scan import ORACLE_OP6, op6_license_scan
+from hourglass.llm.sharding import op7_sharding
 from hourglass.llm.url_filter import ORACLE_OP9, op9_url_filter
 from hourglass.llm.warc import ORACLE_OP10, op10_warc
 
 QUERIES = {
+    "op5_language_id": op5_language_id,
     "op6_license_scan": op6_license_scan,
+    "op7_sharding": op7_sharding,
     "op9_url_filter": op9_url_filter,
     "op10_warc": op10_warc,
 }
