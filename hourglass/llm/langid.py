@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourglass.llm.common import crc_fold
+from hourglass.llm.textvec import pieces
 
 UNDETERMINED = "und"
 BUCKETS = 1 << 17
@@ -32,8 +33,6 @@ PER_LANG = 1500
 SWITCH = 8.0
 #: Score of a word under a language that does not use its script.
 WRONG_SCRIPT = -60.0
-#: Characters scored at a time.
-PIECE = 1 << 21
 #: The pipeline keeps documents with this share of letters in their language.
 LEAST_SHARE = 0.3
 #: First code points of script ranges (0: other letters), from Unicode's block table.
@@ -76,34 +75,12 @@ def _words(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, n
     return buckets.astype(np.int64), first, script, np.diff(np.append(first, len(at))), where
 
 
-def _pieces(texts: list[str]) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
-    """``(joined text, starts, owners)``: pieces of about PIECE characters made of whole texts; a
-    longer text is scored in several pieces that end between words."""
-    parts, starts, owners, size = [], [], [], 0
-    for i, t in enumerate(texts):
-        start = 0
-        while start < len(t):
-            end = min(len(t), start + PIECE)
-            while end < len(t) and t[end - 1].isalpha() and t[end].isalpha():
-                end += 1
-            parts.append(t[start:end])
-            starts.append(size)
-            owners.append(i)
-            size += end - start + 1
-            start = end
-            if size >= PIECE:
-                yield " ".join(parts), np.array(starts), np.array(owners)
-                parts, starts, owners, size = [], [], [], 0
-    if parts:
-        yield " ".join(parts), np.array(starts), np.array(owners)
-
-
 def _scored(texts: list[str], model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Scores (words x languages), letters and owning text of all words of the texts."""
     found = [(np.empty((0, len(model.langs)), dtype=np.float32), np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64))]
     barred = np.where(model.uses, 0.0, WRONG_SCRIPT).astype(np.float32)
     silent = ~model.uses.any(axis=1)  # scripts of no learned language say nothing
-    for text, starts, owners in _pieces(texts):
+    for text, starts, owners in pieces(texts):
         buckets, first, script, letters, where = _words(text)
         if len(first):
             scores = np.add.reduceat(model.table[buckets], first, axis=0) + barred[script]
@@ -220,7 +197,7 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
         for frame in frames:
             for g, texts in frame.groupby("_lang")["_text"]:
                 total = np.zeros(BUCKETS + N_SCRIPTS, dtype=np.int64)
-                for joined, _, _ in _pieces([t.lower() for t in texts]):
+                for joined, _, _ in pieces([t.lower() for t in texts]):
                     buckets, _, script, letters, _ = _words(joined)
                     total[:BUCKETS] += np.bincount(buckets, minlength=BUCKETS)
                     total[BUCKETS:] += np.bincount(script, weights=letters, minlength=N_SCRIPTS).astype(np.int64)

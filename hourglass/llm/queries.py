@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from hourglass.llm.decontaminate import op8_decontaminate
 from hourglass.llm.langid import op5_language_id
 from hourglass.llm.license_scan import ORACLE_OP6, op6_license_scan
 from hourglass.llm.sharding import op7_sharding
@@ -14,6 +15,7 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op6_license_scan": op6_license_scan,
     "op7_sharding": op7_sharding,
+    "op8_decontaminate": op8_decontaminate,
     "op9_url_filter": op9_url_filter,
     "op10_warc": op10_warc,
 }

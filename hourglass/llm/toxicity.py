@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourglass.llm.common import checkpoint, crc_fold
-from hourglass.llm.langid import _pieces
+from hourglass.llm.textvec import MIX, P, code_points, hash_words, letters, lower, pieces, word_runs
 
 #: Labelled rows that the training sample holds in expectation.
 SAMPLE = 20_000
@@ -42,8 +42,6 @@ SECOND_PERSON = ("you your yours yourself yourselves u ur du dich dir dein deine
 LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i", "|": "l"}
 FEATURES = ("log_words", "hits_per_100", "log_hits", "weight_per_100", "mean_weight", "near_second_person", "second_person_per_100",
             "capitals", "shouted_words", "punctuation", "exclaims", "repeats", "inner_symbols", "veiled_hits", "spelled_out")
-P = np.uint64(0x9E3779B97F4A7C15)
-MIX = np.uint64(0xBF58476D1CE4E5B9)
 
 
 @dataclass
@@ -60,20 +58,6 @@ class ToxicityModel:
     prior: float
 
 
-def _lower(c: np.ndarray) -> np.ndarray:
-    """Lower case of ASCII and Latin-1 capitals, the rest unchanged (one code point each)."""
-    capital = ((c >= 65) & (c <= 90)) | ((c >= 0xC0) & (c <= 0xDE) & (c != 0xD7))
-    return np.where(capital, c + 32, c)
-
-
-def _hash_words(c: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the words that begin at ``first`` in the letters ``c``."""
-    powers = np.cumprod(np.full(int(length.max(initial=0)) + 1, P, dtype=np.uint64))
-    within = np.arange(len(c)) - np.repeat(first, length)
-    h = np.add.reduceat(c.astype(np.uint64) * powers[within], first) + length.astype(np.uint64)
-    return (h ^ (h >> np.uint64(31))) * MIX
-
-
 def _hash_stems(c: np.ndarray, first: np.ndarray, length: np.ndarray, k: int) -> np.ndarray:
     """Hashes of the first ``k`` letters, 0 for words that are not longer."""
     h = np.full(len(first), k, dtype=np.uint64)
@@ -85,31 +69,10 @@ def _hash_stems(c: np.ndarray, first: np.ndarray, length: np.ndarray, k: int) ->
 
 def _keys(c: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Keys x words: the whole word and its stems (0: none)."""
-    return np.stack([_hash_words(c, first, length), *[_hash_stems(c, first, length, k) for k in STEMS]])
-
-
-def _letters(c: np.ndarray) -> np.ndarray:
-    present = np.flatnonzero(np.bincount(c)) if len(c) else np.zeros(1, dtype=np.int64)
-    table = np.zeros(int(present[-1]) + 1, dtype=bool)
-    table[present] = [chr(x).isalpha() for x in present]
-    return table[c]
-
-
-def _code_points(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "replace"), dtype=np.uint32)
-
-
-def _words(c: np.ndarray, letter: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Letters in lower case, first letter and length of each word, and its position in ``c``."""
-    begins = letter.copy()
-    begins[1:] &= ~letter[:-1]
-    at = np.flatnonzero(begins)
-    low = _lower(c[letter])
-    first = np.cumsum(letter)[at] - 1
-    return low, first, np.diff(np.append(first, len(low))), at
+    return np.stack([hashword_runs(c, first, length), *[_hash_stems(c, first, length, k) for k in STEMS]])
 
 
-SECOND = np.sort(np.concatenate([_hash_words(_code_points(w), np.array([0]), np.array([len(w)])) for w in SECOND_PERSON]))
+SECOND = np.sort(np.concatenate([hash_words(code_points(w), np.array([0]), np.array([len(w)])) for w in SECOND_PERSON]))
 
 
 def _look_up(keys: np.ndarray, lexicon: Lexicon) -> np.ndarray:
@@ -137,7 +100,7 @@ def _sums(c: np.ndarray, starts: np.ndarray, owners: np.ndarray, n: int, lexicon
     part = lambda pos: owners[np.searchsorted(starts, pos, side="right") - 1]
     whose = np.repeat(owners, np.diff(np.append(starts, len(c))))
     count = lambda row, mask: out.__setitem__(row, out[row] + np.bincount(whose[mask], minlength=n))
-    letter = _letters(c)
+    letter = letters(c)
     upper = ((c >= 65) & (c <= 90)) | ((c >= 0xC0) & (c <= 0xDE) & (c != 0xD7))
     blank = (c <= 32) | (c == 0xA0)
     symbol = ~letter & ~blank
@@ -153,7 +116,7 @@ def _sums(c: np.ndarray, starts: np.ndarray, owners: np.ndarray, n: int, lexicon
         count(6, inner)
     else:
         inner = np.zeros(len(c), dtype=bool)
-    low, first, length, at = _words(c, letter)
+    low, first, length, at = word_runs(c, letter)
     if not len(first):
         return out
     own = part(at)
@@ -190,8 +153,8 @@ def _veiled(c: np.ndarray, blank: np.ndarray, letter: np.ndarray, inner: np.ndar
     plain = c[mine].copy()
     ascii_ = plain < 128
     plain[ascii_] = LEET_TABLE[plain[ascii_]]
-    keep = _letters(plain)
-    plain, ids, pos = _lower(plain[keep]), chunk[mine][keep], np.flatnonzero(mine)[keep]
+    keep = letters(plain)
+    plain, ids, pos = lower(plain[keep]), chunk[mine][keep], np.flatnonzero(mine)[keep]
     first = np.flatnonzero(np.diff(ids, prepend=-1))
     if not len(first):
         return first
@@ -204,13 +167,13 @@ def text_features(texts: list[str], lexicon: Lexicon) -> np.ndarray:
     """Texts x FEATURES; empty texts are all zero."""
     n = len(texts)
     s = np.zeros((15, n))
-    for joined, starts, owners in _pieces(texts):
-        x = _sums(_code_points(joined), starts, owners, n, lexicon)
+    for joined, starts, owners in pieces(texts):
+        x = _sums(code_points(joined), starts, owners, n, lexicon)
         s[:len(x)] += x
-    marks, letters, words = np.maximum(s[0], 1), np.maximum(s[1], 1), np.maximum(s[7], 1)
+    marks, alphabetic, words = np.maximum(s[0], 1), np.maximum(s[1], 1), np.maximum(s[7], 1)
     hits = np.maximum(s[8], 1)
     return np.stack([np.log1p(s[7]), 100 * s[8] / words, np.log1p(s[8]), 100 * s[9] / words, s[9] / hits, s[12] / hits,
-                     100 * s[10] / words, s[2] / letters, s[11] / words, s[3] / marks, s[4] / marks, s[5] / marks,
+                     100 * s[10] / words, s[2] / alphabetic, s[11] / words, s[3] / marks, s[4] / marks, s[5] / marks,
                      s[6] / words, 100 * s[14] / words, s[13] / words], axis=1)
 
 
@@ -222,8 +185,8 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
             for toxic, texts in frame.groupby("_toxic")["_text"]:
                 found = []
                 for t in texts:
-                    c = _code_points(t)
-                    low, first, length, _ = _words(c, _letters(c))
+                    c = code_points(t)
+                    low, first, length, _ = word_runs(c, letters(c))
                     if len(first):
                         found.append(np.unique(_keys(low, first, length)))
                 if found:
