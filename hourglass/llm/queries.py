@@ -5,12 +5,14 @@ from __future__ import annotations
 from hourglass.llm.decontaminate import op8_decontaminate
 from hourglass.llm.langid import op5_language_id
 from hourglass.llm.license_scan import ORACLE_OP6, op6_license_scan
+from hourglass.llm.sentencepiece_codec import op3_sentencepiece
 from hourglass.llm.sharding import op7_sharding
 from hourglass.llm.toxicity import op4_toxicity
 from hourglass.llm.url_filter import ORACLE_OP9, op9_url_filter
 from hourglass.llm.warc import ORACLE_OP10, op10_warc
 
 QUERIES = {
+    "op3_sentencepiece": op3_sentencepiece,
     "op4_toxicity": op4_toxicity,
     "op5_language_id": op5_language_id,
     "op6_license_scan": op6_license_scan,
