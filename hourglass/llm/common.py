@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -42,3 +46,29 @@ def utf8(c: Column) -> Column:
 def crc_fold(c: Column, folds: int = 5) -> Column:
     """crc32 of the value's text modulo ``folds`` (null: 0)."""
     return F.coalesce(F.pmod(F.crc32(F.encode(c.cast("string"), "UTF-8")), F.lit(folds)), F.lit(0)).cast("int")
+
+
+#: A batch function: texts to (rows kept, or None for all; new columns by name).
+TextFunction = Callable[[list], tuple[list[int] | None, dict[str, list]]]
+
+
+def map_texts(df: DataFrame, text: str, start: Callable[[], TextFunction],
+              fields: dict[str, tuple[T.DataType, pa.DataType]], drop: tuple[str, ...] = ()) -> DataFrame:
+    """Work on the texts of Arrow batches; all other columns pass through as they are.
+
+    ``start`` runs once a task and gives the batch function.  The result has the columns of ``df``
+    without ``drop`` and those named like new ones, then the new ones.
+    """
+    kept = [c for c in df.columns if c not in fields and c not in drop]
+    schema = T.StructType([*[df.schema[c] for c in kept], *[T.StructField(c, t) for c, (t, _) in fields.items()]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        function = start()
+        for batch in batches:
+            rows, new = function(batch.column(text).to_pylist())
+            part = batch.select(kept)
+            part = part if rows is None else part.take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*part.columns, *[pa.array(new[c], t) for c, (_, t) in fields.items()]],
+                                             names=[*kept, *fields])
+
+    return df.mapInArrow(run, schema)

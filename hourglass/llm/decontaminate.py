@@ -21,10 +21,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hourglass.llm.common import map_texts
 from hourglass.llm.textvec import MIX, P, hashed_shingles, hashed_words
 
 SHINGLE = 5
@@ -235,24 +237,25 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     """
     spark = docs.sparkSession
     d = docs.select(F.col(key).alias(key), F.col(text).alias("_text"))
-    schema = T.StructType([T.StructField(key, docs.schema[key].dataType), T.StructField(item, benchmark.schema[item].dataType),
-                           T.StructField("similarity", T.DoubleType()), T.StructField("first_word", T.LongType()),
-                           T.StructField("bits", T.IntegerType())])
-    out = spark.createDataFrame([], schema)
+    kind = benchmark.schema[item].dataType
+    out = None
     for built in item_blocks(benchmark, item):
-        if not built[0]:
-            continue
         shared = _share(spark, built)
 
-        def run(frames: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+        def start(shared=shared):
             items, index = _own(shared)
-            for frame in frames:
-                hits = match_texts([t or "" for t in frame["_text"]], items, index)
-                ids, names = frame[key].tolist(), schema.names
-                rows = [(ids[t], items[i].item_id, s, at, d) for t, i, s, at, d in hits]
-                yield pd.DataFrame(rows, columns=names).astype({names[0]: "Int64", names[1]: "Int64"}, errors="ignore")
 
-        out = out.union(d.mapInPandas(run, schema))
+            def run(texts: list) -> tuple[list[int], dict[str, list]]:
+                hits = match_texts([t or "" for t in texts], items, index)
+                return [t for t, *_ in hits], {item: [items[i].item_id for _, i, *_ in hits], "similarity": [s for _, _, s, _, _ in hits],
+                                               "first_word": [a for *_, a, _ in hits], "bits": [b for *_, b in hits]}
+
+            return run
+
+        found = map_texts(d, "_text", start, {
+            item: (kind, pa.string() if isinstance(kind, T.StringType) else pa.int64()), "similarity": (T.DoubleType(), pa.float64()),
+            "first_word": (T.LongType(), pa.int64()), "bits": (T.IntegerType(), pa.int32())}, drop=("_text",))
+        out = found if out is None else out.union(found)
     return out
 
 
@@ -260,17 +263,18 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Dat
     """The documents without any benchmark item, all columns."""
     spark = docs.sparkSession
     for built in item_blocks(benchmark):
-        if not built[0]:
-            continue
         shared = _share(spark, built)
 
-        def run(frames: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
+        def start(shared=shared):
             items, index = _own(shared)
-            for frame in frames:
-                hit = {t for t, *_ in match_texts([t or "" for t in frame[text]], items, index)}
-                yield frame[[i not in hit for i in range(len(frame))]]
 
-        docs = docs.mapInPandas(run, docs.schema)
+            def run(texts: list) -> tuple[list[int], dict]:
+                hit = {t for t, *_ in match_texts([t or "" for t in texts], items, index)}
+                return [i for i in range(len(texts)) if i not in hit], {}
+
+            return run
+
+        docs = map_texts(docs, text, start, {})
     return docs
 
 

@@ -19,10 +19,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from hourglass.llm.common import crc_fold
+from hourglass.llm.common import crc_fold, map_texts
 from hourglass.llm.textvec import pieces
 
 UNDETERMINED = "und"
@@ -164,7 +166,7 @@ def predict(texts: list[str], model: Model, switch: float = SWITCH) -> tuple[lis
     return langs, shares, marks
 
 
-def _batches(texts: pd.Series, langs: int, cells: int = 1 << 25) -> Iterator[list[str]]:
+def _batches(texts: list, langs: int, cells: int = 1 << 25) -> Iterator[list[str]]:
     """Runs of texts whose scores fit in ``cells`` numbers (a longer text stands alone)."""
     part, size = [], 0
     for t in texts:
@@ -228,20 +230,21 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
     spark = docs.sparkSession
     # BUCKETS x languages floats
     shared = spark.sparkContext.broadcast((model.langs, model.table, model.uses))
-    kept = [c for c in docs.columns if c not in ("lang_pred", "score", "spans")]
-    schema = docs.select(kept).schema
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         m = Model(*shared.value)
-        for frame in frames:
-            langs, scores, marks = [], [], []
-            for part in _batches(frame[text], max(1, len(m.langs))):
-                for out, x in zip((langs, scores, marks), predict(part, m, switch), strict=True):
+
+        def run(texts: list) -> tuple[None, dict[str, list]]:
+            new: dict[str, list] = {"lang_pred": [], "score": [], "spans": []}
+            for part in _batches(texts, max(1, len(m.langs))):
+                for out, x in zip(new.values(), predict(part, m, switch), strict=True):
                     out.extend(x)
-            yield frame.assign(lang_pred=langs, score=scores, spans=marks)
+            return None, new
+
+        return run
 
-    out = schema.add("lang_pred", "string").add("score", "double").add("spans", "string")
-    return docs.select(kept).mapInPandas(run, out)
+    return map_texts(docs, text, start, {"lang_pred": (T.StringType(), pa.string()), "score": (T.DoubleType(), pa.float64()),
+                                         "spans": (T.StringType(), pa.string())})
 
 
 def fit_and_identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:

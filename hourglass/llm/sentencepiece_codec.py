@@ -16,12 +16,12 @@ import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourglass.llm.common import utf8
+from hourglass.llm.common import map_texts, utf8
 
 MARK = "▁"
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
@@ -208,13 +208,9 @@ def encode(docs: DataFrame, model: bytes, text: str = "text", parity_rows: int =
     batch the first ``parity_rows`` texts are also encoded by the sentencepiece library, and a
     difference stops the job.  Repeated rows are encoded each.
     """
-    own = ("ids", "n_tokens", "round_trip")
-    kept = docs.drop(*own)
-    schema = T.StructType([*kept.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType())),
-                           T.StructField("n_tokens", T.LongType()), T.StructField("round_trip", T.BooleanType())])
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
         import sentencepiece
 
@@ -222,38 +218,41 @@ def encode(docs: DataFrame, model: bytes, text: str = "text", parity_rows: int =
         tokenizer = build_tokenizer(parsed)
         other = sentencepiece.SentencePieceProcessor(model_proto=shared.value) if parity_rows else None
         plain = not parsed.charsmap and not parsed.remove_extra_whitespaces
-        for frame in frames:
-            texts = [t if isinstance(t, str) else None for t in frame[text]]
-            full = [t or "" for t in texts]
+
+        def run(texts: list) -> tuple[None, dict[str, list]]:
             ids, ok = [], []
-            for part in _batches(full):
+            for part in _batches([t or "" for t in texts]):
                 got = encode_texts(tokenizer, part)
                 back = tokenizer.decode_batch(got, skip_special_tokens=False)
                 ok += [b == (t if plain and MARK not in t else normalised(tokenizer, t)) for b, t in zip(back, part, strict=True)]
                 ids += got
             if other is not None:
-                for t, i in list(zip(full, ids, strict=True))[:parity_rows]:
-                    if other.encode(t) != i:
+                for t, i in list(zip(texts, ids, strict=True))[:parity_rows]:
+                    if other.encode(t or "") != i:
                         raise ValueError(f"ids differ from the reference encoder's for a text of {len(t)} characters")
-            yield frame.assign(ids=[None if t is None else i for t, i in zip(texts, ids, strict=True)],
-                               n_tokens=[len(i) for i in ids], round_trip=ok)
+            return None, {"ids": [None if t is None else i for t, i in zip(texts, ids, strict=True)],
+                          "n_tokens": [len(i) for i in ids], "round_trip": ok}
+
+        return run
 
-    return kept.mapInPandas(run, schema)
+    return map_texts(docs, text, start, {"ids": (T.ArrayType(T.IntegerType()), pa.list_(pa.int32())),
+                                         "n_tokens": (T.LongType(), pa.int64()), "round_trip": (T.BooleanType(), pa.bool_())})
 
 
 def decode(encoded: DataFrame, model: bytes, ids: str = "ids", name: str = "decoded") -> DataFrame:
     """All columns of ``encoded`` and the text of ``ids`` (null for null)."""
     shared = encoded.sparkSession.sparkContext.broadcast(model)
-    kept = encoded.drop(name)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         tokenizer = build_tokenizer(parse_model(shared.value))
-        for frame in frames:
-            rows = [None if i is None else [int(x) for x in i] for i in frame[ids]]
+
+        def run(rows: list) -> tuple[None, dict[str, list]]:
             text = tokenizer.decode_batch([r or [] for r in rows], skip_special_tokens=False)
-            yield frame.assign(**{name: [None if r is None else t for r, t in zip(rows, text, strict=True)]})
+            return None, {name: [None if r is None else t for r, t in zip(rows, text, strict=True)]}
+
+        return run
 
-    return kept.mapInPandas(run, T.StructType([*kept.schema.fields, T.StructField(name, T.StringType())]))
+    return map_texts(encoded, ids, start, {name: (T.StringType(), pa.string())})
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -51,6 +51,10 @@ def hash_words(c: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarr
     return (h ^ (h >> np.uint64(31))) * MIX
 
 
+def lower_ascii(c: np.ndarray) -> np.ndarray:
+    return np.where((c >= 65) & (c <= 90), c + 32, c)
+
+
 def letters(c: np.ndarray, kind: Callable[[str], bool] = str.isalpha) -> np.ndarray:
     """Which code points are letters (or of another kind); each distinct one is looked up once."""
     present = np.flatnonzero(np.bincount(c)) if len(c) else np.zeros(1, dtype=np.int64)
@@ -63,22 +67,23 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "replace"), dtype=np.uint32)
 
 
-def word_runs(c: np.ndarray, letter: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def word_runs(c: np.ndarray, letter: np.ndarray, fold: Callable[[np.ndarray], np.ndarray] = lower) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Letters in lower case, first letter and length of each word, and its position in ``c``."""
     begins = letter.copy()
     begins[1:] &= ~letter[:-1]
     at = np.flatnonzero(begins)
-    low = lower(c[letter])
+    low = fold(c[letter])
     first = np.cumsum(letter)[at] - 1
     return low, first, np.diff(np.append(first, len(low))), at
 
 
-def hashed_words(texts: list[str], kind: Callable[[str], bool] = str.isalnum) -> tuple[np.ndarray, np.ndarray]:
-    """``(hashes, owners)`` of all words (runs of characters of a kind, in lower case), text by text."""
+def hashed_words(texts: list[str], kind: Callable[[str], bool] = str.isalnum,
+                 fold: Callable[[np.ndarray], np.ndarray] = lower) -> tuple[np.ndarray, np.ndarray]:
+    """``(hashes, owners)`` of all words (runs of characters of a kind, case folded), text by text."""
     found = [(np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64))]
     for text, starts, owners in pieces(texts):
         c = code_points(text)
-        low, first, length, at = word_runs(c, letters(c, kind))
+        low, first, length, at = word_runs(c, letters(c, kind), fold)
         if len(first):
             found.append((hash_words(low, first, length), owners[np.searchsorted(starts, at, side="right") - 1]))
     words, owner = (np.concatenate(x) for x in zip(*found, strict=True))

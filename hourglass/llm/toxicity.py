@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hourglass.llm.common import checkpoint, crc_fold
+from hourglass.llm.common import checkpoint, crc_fold, map_texts
 from hourglass.llm.textvec import MIX, P, code_points, hash_words, letters, lower, pieces, word_runs
 
 #: Labelled rows that the training sample holds in expectation.
@@ -69,7 +70,7 @@ def _hash_stems(c: np.ndarray, first: np.ndarray, length: np.ndarray, k: int) ->
 
 def _keys(c: np.ndarray, first: np.ndarray, length: np.ndarray) -> np.ndarray:
     """Keys x words: the whole word and its stems (0: none)."""
-    return np.stack([hashword_runs(c, first, length), *[_hash_stems(c, first, length, k) for k in STEMS]])
+    return np.stack([hash_words(c, first, length), *[_hash_stems(c, first, length, k) for k in STEMS]])
 
 
 SECOND = np.sort(np.concatenate([hash_words(code_points(w), np.array([0]), np.array([len(w)])) for w in SECOND_PERSON]))
@@ -209,15 +210,12 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
 def with_features(docs: DataFrame, lexicon: Lexicon, text: str, name: str = "_features") -> DataFrame:
     """All columns but ``text``, and the features as an array."""
     shared = docs.sparkSession.sparkContext.broadcast((lexicon.hashes, lexicon.weights))  # LEXICON entries at most
-    schema = docs.drop(text).schema.add(name, T.ArrayType(T.DoubleType()))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start():
         own = Lexicon(*shared.value)
-        for frame in frames:
-            f = text_features([t or "" for t in frame[text]], own)
-            yield frame.drop(columns=[text]).assign(**{name: list(f)})
+        return lambda texts: (None, {name: list(text_features([t or "" for t in texts], own))})
 
-    return docs.mapInPandas(run, schema)
+    return map_texts(docs, text, start, {name: (T.ArrayType(T.DoubleType()), pa.list_(pa.float64()))}, drop=(text,))
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
