@@ -39,13 +39,13 @@ SHINGLE = 5
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 75
 #: Repeats within a batch from which on a token may be frequent, and how many are kept (8 bytes each).
-LEAST_COUNT, MOST_FREQUENT = 4, 1_000_000
+LEAST_COUNT, MOST_FREQUENT = 2, 1_000_000
 #: Largest set whose frequent tokens are keys in pairs only.
 SHORT = 40
 #: Prefix tokens in one part of the index of rare tokens.
 PART_TOKENS = 1_000_000
 #: Rounds of pivot comparisons before what is left is compared pair by pair.
-ROUNDS = 2
+ROUNDS = 1
 
 
 def _is_word(ch: str) -> bool:
@@ -123,7 +123,7 @@ def prefix_keys(s: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _postings(docs: DataFrame, seed: int, frequent: np.ndarray, parts: int) -> DataFrame:
-    """Rows ``(part, keys, nodes, sizes)``: packed rare keys by part, and frequent keys (part -1)."""
+    """Rows ``(part, keys, nodes, sizes)``: packed rare keys by part; parts below 0 hold frequent keys."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)  # at most MOST_FREQUENT numbers
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -153,52 +153,48 @@ def _postings(docs: DataFrame, seed: int, frequent: np.ndarray, parts: int) -> D
             for kind, rows in enumerate(found):
                 if not rows:
                     continue
-                keys = np.concatenate([k for k, _, _ in rows]).astype(np.int64)
+                keys = np.concatenate([k for k, _, _ in rows])
                 sizes = [len(k) for k, _, _ in rows]
                 nodes = np.repeat(np.array([x for _, x, _ in rows], dtype=np.int64), sizes)
                 ns = np.repeat(np.array([x for _, _, x in rows], dtype=np.int32), sizes)
-                if kind:
+                if kind:  # frequent keys are only carried along: every slice is a part of its own
                     cuts = np.arange(0, len(keys), 1 << 16)
-                    part = np.full(len(cuts), -1)
+                    part = [-1 - (hash((rows[0][1], int(c), len(keys))) & (2**62 - 1)) for c in cuts]
+                    stops = np.append(cuts[1:], len(keys))
                 else:
-                    of = (keys.astype(np.uint64) >> np.uint64(20)) % np.uint64(parts)
+                    of = ((keys >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
                     by = np.argsort(of, kind="stable")
-                    keys, nodes, ns, of = keys[by], nodes[by], ns[by], of[by]
-                    cuts = np.flatnonzero(np.diff(of, prepend=parts + 1))
-                    part = of[cuts].astype(int)
-                stops = np.append(cuts[1:], len(keys))
+                    # half of the hash within a part: equal halves of unequal tokens only add candidates
+                    keys, nodes, ns, of = keys[by].astype(np.uint32), nodes[by], ns[by], of[by]
+                    cuts = np.flatnonzero(np.diff(of, prepend=-1))
+                    part, stops = of[cuts], np.append(cuts[1:], len(keys))
                 yield pd.DataFrame({"part": part,
                                     "keys": [keys[a:b].tobytes() for a, b in zip(cuts, stops, strict=True)],
                                     "nodes": [nodes[a:b].tobytes() for a, b in zip(cuts, stops, strict=True)],
                                     "sizes": [ns[a:b].tobytes() for a, b in zip(cuts, stops, strict=True)]})
 
-    return docs.mapInPandas(run, "part int, keys binary, nodes binary, sizes binary")
+    return docs.mapInPandas(run, "part long, keys binary, nodes binary, sizes binary")
 
 
 POSTING = "key long, node long, n int"
 
 
-def _unpack(frame: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({"key": np.frombuffer(b"".join(frame["keys"]), dtype=np.int64),
-                         "node": np.frombuffer(b"".join(frame["nodes"]), dtype=np.int64),
-                         "n": np.frombuffer(b"".join(frame["sizes"]), dtype=np.int32)})
-
-
-def _shared_rare(frame: pd.DataFrame) -> pd.DataFrame:
-    """Postings of the rare keys that two or more sets have."""
-    x = _unpack(frame)
-    order = np.lexsort((x["node"].to_numpy(), x["key"].to_numpy()))
-    key, node = x["key"].to_numpy()[order], x["node"].to_numpy()[order]
+def _bucket_rows(frame: pd.DataFrame) -> pd.DataFrame:
+    """Postings of one part: of rare keys those that two or more sets have, of frequent keys all."""
+    part = int(frame["part"].iloc[0])
+    raw = b"".join(frame["keys"])
+    node = np.frombuffer(b"".join(frame["nodes"]), dtype=np.int64)
+    n = np.frombuffer(b"".join(frame["sizes"]), dtype=np.int32)
+    if part < 0:
+        return pd.DataFrame({"key": np.frombuffer(raw, dtype=np.int64), "node": node, "n": n})
+    key = np.frombuffer(raw, dtype=np.uint32)
+    order = np.lexsort((node, key))
+    key, node, n = key[order], node[order], n[order]
     first = np.append(True, (key[1:] != key[:-1]) | (node[1:] != node[:-1]))  # batches may repeat a set
-    key, node, n = key[first], node[first], x["n"].to_numpy()[order][first]
+    key, node, n = key[first], node[first], n[first]
     same = key[1:] == key[:-1]
     keep = np.append(False, same) | np.append(same, False)
-    return pd.DataFrame({"key": key[keep], "node": node[keep], "n": n[keep]})
-
-
-def _unpack_frames(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for frame in frames:
-        yield _unpack(frame)
+    return pd.DataFrame({"key": key[keep].astype(np.int64) + (part << 32), "node": node[keep], "n": n[keep]})
 
 
 def _fits(a: str, b: str):
@@ -218,7 +214,7 @@ def _split_buckets(post: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
     buckets = post.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min(by).alias("p"))
     buckets = checkpoint(buckets.where("lo != hi").select(
         "key", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.component").alias("pc")))
-    return buckets, checkpoint(post.join(buckets, "key"))
+    return buckets, post.join(buckets, "key")
 
 
 def _pivot_pairs(rows: DataFrame) -> DataFrame:
@@ -286,25 +282,21 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     else:
         raise RuntimeError("64-bit names of sets collide under every seed")
     frequent = (told.where("kind = 1").groupBy("node").agg(F.sum("n").alias("c")).where(F.col("c") >= LEAST_COUNT)
-                    .orderBy(F.desc("c"), "node").limit(MOST_FREQUENT).select("node", "c").toPandas())
-    frequent = frequent.sort_values(["c", "node"])["node"].to_numpy(np.int64).astype(np.uint64)
+                    .orderBy(F.desc("c"), "node").limit(MOST_FREQUENT).select("node").toPandas())
+    frequent = frequent["node"].to_numpy(np.int64).astype(np.uint64)[::-1]  # the most frequent last
     tokens = classes.agg(F.sum(F.col("tokens") / F.col("copies"))).first()[0] or 0
     parts = max(64, math.ceil(tokens * (100 - PERCENT) / 100 / PART_TOKENS))
 
-    packed = checkpoint(_postings(d, seed, frequent, parts))
-    rare = packed.where("part >= 0").groupBy("part").applyInPandas(_shared_rare, POSTING)
-    common = packed.where("part < 0").mapInPandas(_unpack_frames, POSTING)
-    post = checkpoint(rare.union(common))
+    post = checkpoint(_postings(d, seed, frequent, parts).groupBy("part").applyInPandas(_bucket_rows, POSTING))
 
     components, links = None, None
     for turn in range(rounds + 1):
         buckets, rest = _split_buckets(_in_components(post, components), turn)
-        if rest.isEmpty():
+        if buckets.isEmpty():
             break
         found = _links(_pivot_pairs(rest) if turn < rounds else _rest_pairs(rest), d, classes)
         links = found if links is None else links.union(found)
         components = checkpoint(connected_components(links))
-        post = rest.select("key", "node", "n")
 
     if components is None:
         named = classes.select("node", F.col("least").alias("component_id"))
