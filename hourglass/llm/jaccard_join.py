@@ -259,7 +259,7 @@ def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
-    """``(key, n_shingles, component_id)``, one row per input row.
+    """``(key, tid, n_shingles, component_id)``, one row per input row; ``tid`` is xxhash64 of the text.
 
     ``component_id`` is the least key reachable by links, the row's own included.  Texts that are null
     or hold no word have empty sets and link with nothing (component: their own key); rows of fewer
@@ -305,14 +305,28 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
         least = checkpoint(of.groupBy("component").agg(F.min("least").alias("component_id")))
         named = of.join(least, "component").select("node", "component_id")
     named = checkpoint(named)
-    every = told.where("kind = 0").select("_key", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("node")).alias("node"))
+    every = told.where("kind = 0").select("_key", "tid", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("node")).alias("node"))
     out = every.join(named, "node", "left")
     own = F.col("_key").cast(kind)
-    return out.select(own.alias(key), "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(own).alias("component_id"))
+    return out.select(own.alias(key), "tid", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(own).alias("component_id"))
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("tid")
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pipeline stage: of each group the document with the least key stays (of its repeated rows one)."""
+    tid = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    found = jaccard_components(docs).withColumnsRenamed({"doc_id": "_key", "tid": "_tid"})
+    gone = found.where(~F.col("_key").eqNullSafe(F.col("component_id"))).select("_key", "_tid").distinct()
+    kept = docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_key")) & (tid == F.col("_tid")), "left_anti")
+    again = found.groupBy("_key", "_tid").count().where("count > 1").select("_key", "_tid")
+    if again.isEmpty():
+        return kept
+    same = kept["doc_id"].eqNullSafe(F.col("_key")) & (tid == F.col("_tid"))
+    once = kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(again, same, "left_anti").unionByName(once)
 
 
 ORACLE_OP1 = r"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from hourglass.llm.decontaminate import op8_decontaminate
+from hourglass.llm.embed_dedup import ORACLE_OP2, op2_embedding_dedup
 from hourglass.llm.jaccard_join import ORACLE_OP1, op1_jaccard_join
 from hourglass.llm.langid import op5_language_id
 from hourglass.llm.license_scan import ORACLE_OP6, op6_license_scan
@@ -14,6 +15,7 @@ from hourglass.llm.warc import ORACLE_OP10, op10_warc
 
 QUERIES = {
     "op1_jaccard_join": op1_jaccard_join,
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_toxicity": op4_toxicity,
     "op5_language_id": op5_language_id,
@@ -25,6 +27,7 @@ QUERIES = {
 }
 ORACLE = {
     "op1_jaccard_join": ORACLE_OP1,
+    "op2_embedding_dedup": ORACLE_OP2,
     "op6_license_scan": ORACLE_OP6,
     "op9_url_filter": ORACLE_OP9,
     "op10_warc": ORACLE_OP10,
