@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,9 +53,21 @@ def crc_fold(c: Column, folds: int = 5) -> Column:
 TextFunction = Callable[[list], tuple[list[int] | None, dict[str, list]]]
 
 
-def map_texts(df: DataFrame, text: str, start: Callable[[], TextFunction],
-              fields: dict[str, tuple[T.DataType, pa.DataType]], drop: tuple[str, ...] = ()) -> DataFrame:
-    """Work on the texts of Arrow batches; all other columns pass through as they are.
+def _slices(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """``(offset, length)`` of runs of rows with about ``most`` bytes (a longer row stands alone)."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist() if pa.types.is_string(column.type) else [0] * len(column)
+    start = size = 0
+    for i, n in enumerate(sizes):
+        if i > start and size + n > most:
+            yield start, i - start
+            start, size = i, 0
+        size += n
+    yield start, len(column) - start
+
+
+def map_texts(df: DataFrame, text: str, start: Callable[[], TextFunction], fields: dict[str, tuple[T.DataType, pa.DataType]],
+              drop: tuple[str, ...] = (), slice_bytes: int = 1 << 24) -> DataFrame:
+    """Work on the texts of Arrow batches, ``slice_bytes`` at a time; all other columns pass through.
 
     ``start`` runs once a task and gives the batch function.  The result has the columns of ``df``
     without ``drop`` and those named like new ones, then the new ones.
@@ -65,10 +78,11 @@ def map_texts(df: DataFrame, text: str, start: Callable[[], TextFunction],
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = start()
         for batch in batches:
-            rows, new = function(batch.column(text).to_pylist())
-            part = batch.select(kept)
-            part = part if rows is None else part.take(pa.array(rows, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*part.columns, *[pa.array(new[c], t) for c, (_, t) in fields.items()]],
-                                             names=[*kept, *fields])
+            for offset, length in _slices(batch.column(text), slice_bytes):
+                rows, new = function(batch.column(text).slice(offset, length).to_pylist())
+                part = batch.select(kept).slice(offset, length)
+                part = part if rows is None else part.take(pa.array(rows, pa.int64()))
+                yield pa.RecordBatch.from_arrays([*part.columns, *[pa.array(new[c], t) for c, (_, t) in fields.items()]],
+                                                 names=[*kept, *fields])
 
     return df.mapInArrow(run, schema)

@@ -31,8 +31,10 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Characters encoded at a time.
 BATCH_CHARS = 1 << 20
+#: Threads of a task's encoder.
+THREADS = 2
 #: Rows of each batch whose ids are compared with the reference encoder's.
-PARITY_ROWS = 4
+PARITY_ROWS = 2
 
 
 @dataclass
@@ -213,6 +215,7 @@ def encode(docs: DataFrame, model: bytes, text: str = "text", parity_rows: int =
 
     def start():
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
+        os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
         import sentencepiece
 
         parsed = parse_model(shared.value)
@@ -237,7 +240,8 @@ def encode(docs: DataFrame, model: bytes, text: str = "text", parity_rows: int =
         return run
 
     return map_texts(docs, text, start, {"ids": (T.ArrayType(T.IntegerType()), pa.list_(pa.int32())),
-                                         "n_tokens": (T.LongType(), pa.int64()), "round_trip": (T.BooleanType(), pa.bool_())})
+                                         "n_tokens": (T.LongType(), pa.int64()), "round_trip": (T.BooleanType(), pa.bool_())},
+                     slice_bytes=BATCH_CHARS)
 
 
 def decode(encoded: DataFrame, model: bytes, ids: str = "ids", name: str = "decoded") -> DataFrame:
