@@ -15,6 +15,7 @@ import os
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Characters encoded at a time.
 BATCH_CHARS = 1 << 20
+#: Words whose ids a task remembers.
+CACHE_WORDS = 200_000
 #: Threads of a task's encoder.
 THREADS = 2
 #: Rows of each batch whose ids are compared with the reference encoder's.
@@ -120,7 +123,7 @@ def word_bound(pieces: list[tuple[str, float, int]]) -> bool:
 
 def build_tokenizer(m: Model):
     """The library's tokenizer with the behaviour that the model states."""
-    from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
+    from tokenizers import Regex, Tokenizer, decoders, models, normalizers
 
     unknown = m.unknown_id()
     if m.model_type == UNIGRAM:
@@ -138,8 +141,6 @@ def build_tokenizer(m: Model):
         steps.append(normalizers.Replace(" ", MARK))
     if steps:
         t.normalizer = normalizers.Sequence(steps)
-    if m.escape_whitespaces and word_bound(m.pieces):
-        t.pre_tokenizer = pre_tokenizers.Split(MARK, "merged_with_next")  # no piece reaches over a word's end
     out = [decoders.Replace(MARK, " ")] if m.escape_whitespaces else []
     if m.byte_fallback:
         out.append(decoders.ByteFallback())
@@ -150,45 +151,48 @@ def build_tokenizer(m: Model):
     return t
 
 
-def _batches(texts: list[str]) -> Iterator[list[str]]:
-    part, size = [], 0
-    for t in texts:
-        part.append(t)
-        size += len(t)
-        if size >= BATCH_CHARS:
-            yield part
-            part, size = [], 0
-    if part:
-        yield part
+class Encoder:
+    """Encodes texts with the library's tokenizer, every distinct word once.
 
-
-def encode_texts(tokenizer, texts: list[str]) -> list[list[int]]:
-    """Ids of each text, a batch of about BATCH_CHARS characters at a time.
-
-    Pieces of several markers exist, so a run of blanks must stay together with the word after it.
-    The pattern that does this is slower than a cut before every marker, which is the same wherever
-    no two markers meet; it is used for the texts that need it.
+    Where a model only adds a marker in front and turns blanks into markers, and no piece reaches over
+    a word's end, a text's ids are the ids of its blank-separated words one after the other.  A batch's
+    new words are encoded together, multithreaded, and remembered up to ``CACHE_WORDS``.  All other
+    texts (runs of blanks, blanks at an end, markers in the text) and models are encoded whole; there a
+    run of markers is cut off together with the word after it, since pieces of several markers exist.
     """
-    from tokenizers import Regex, pre_tokenizers
-
-    out: list[list[int]] = [[] for _ in texts]
-    runs = [i for i, t in enumerate(texts) if "  " in t or t[:1] == " " or MARK in t]
-    simple = tokenizer.pre_tokenizer
-
-    def fill(rows: list[int]) -> None:
-        at = iter(rows)
-        for part in _batches([texts[i] for i in rows]):
-            for e in tokenizer.encode_batch_fast(part, add_special_tokens=False):
-                out[next(at)] = e.ids
-
-    if not runs or simple is None:
-        fill(list(range(len(texts))))
-        return out
-    fill(sorted(set(range(len(texts))) - set(runs)))
-    tokenizer.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}*[^{MARK}]+|{MARK}+"), "isolated")
-    fill(runs)
-    tokenizer.pre_tokenizer = simple
-    return out
+
+    def __init__(self, m: Model):
+        from tokenizers import Regex, pre_tokenizers
+
+        self.tokenizer = build_tokenizer(m)
+        self.words: dict[str, list[int]] = {}
+        self.by_word = (m.add_dummy_prefix and m.escape_whitespaces and not m.remove_extra_whitespaces
+                        and not m.charsmap and word_bound(m.pieces))
+        if m.escape_whitespaces and word_bound(m.pieces):
+            self.tokenizer.pre_tokenizer = pre_tokenizers.Split(Regex(f"{MARK}*[^{MARK}]+|{MARK}+"), "isolated")
+        # what every id stands for, as bytes
+        self.bytes = [bytes([int(p[3:5], 16)]) if kind == BYTE else (p.replace(MARK, " ") if m.escape_whitespaces else p).encode()
+                      for p, _, kind in m.pieces]
+        self.prefix = m.add_dummy_prefix
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        simple = {i: t.split(" ") for i, t in enumerate(texts)
+                  if self.by_word and t and "  " not in t and MARK not in t and t[0] != " " and t[-1] != " "}
+        if len(self.words) > CACHE_WORDS:
+            self.words.clear()
+        known = self.words
+        new = list({w for words in simple.values() for w in words if w not in known})
+        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            known[w] = e.ids
+        rest = [i for i in range(len(texts)) if i not in simple]
+        whole = dict(zip(rest, self.tokenizer.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False), strict=True))
+        return [np.fromiter(chain.from_iterable(map(known.__getitem__, simple[i])), dtype=np.int32) if i in simple
+                else np.array(whole[i].ids, dtype=np.int32) for i in range(len(texts))]
+
+    def text(self, ids: np.ndarray) -> str:
+        """What the ids decode to, joined from their bytes (bytes that are no UTF-8 are replaced)."""
+        s = b"".join(map(self.bytes.__getitem__, ids.tolist())).decode("utf-8", "replace")
+        return s[1:] if self.prefix and s[:1] == " " else s
 
 
 def normalised(tokenizer, text: str) -> str:
@@ -219,20 +223,18 @@ def encode(docs: DataFrame, model: bytes, text: str = "text", parity_rows: int =
         import sentencepiece
 
         parsed = parse_model(shared.value)
-        tokenizer = build_tokenizer(parsed)
+        encoder = Encoder(parsed)
         other = sentencepiece.SentencePieceProcessor(model_proto=shared.value) if parity_rows else None
         plain = not parsed.charsmap and not parsed.remove_extra_whitespaces
 
         def run(texts: list) -> tuple[None, dict[str, list]]:
-            ids, ok = [], []
-            for part in _batches([t or "" for t in texts]):
-                got = encode_texts(tokenizer, part)
-                back = tokenizer.decode_batch(got, skip_special_tokens=False)
-                ok += [b == (t if plain and MARK not in t else normalised(tokenizer, t)) for b, t in zip(back, part, strict=True)]
-                ids += [np.array(i, dtype=np.int32) for i in got]  # a tenth of the lists' memory
+            full = [t or "" for t in texts]
+            ids = encoder.encode(full)
+            ok = [encoder.text(i) == (t if plain and MARK not in t else normalised(encoder.tokenizer, t))
+                  for i, t in zip(ids, full, strict=True)]
             if other is not None:
-                for t, i in list(zip(texts, ids, strict=True))[:parity_rows]:
-                    if other.encode(t or "") != i.tolist():
+                for t, i in list(zip(full, ids, strict=True))[:parity_rows]:
+                    if other.encode(t) != i.tolist():
                         raise ValueError(f"ids differ from the reference encoder's for a text of {len(t)} characters")
             return None, {"ids": [None if t is None else i for t, i in zip(texts, ids, strict=True)],
                           "n_tokens": [len(i) for i in ids], "round_trip": ok}
