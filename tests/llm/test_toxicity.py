@@ -43,10 +43,11 @@ def corpus(spark):
     rng = np.random.default_rng(4)
     texts = []
     for i in range(900):
-        words = rng.choice(WORDS, 40).tolist()
+        n = int(rng.integers(3, 80))
+        words = rng.choice(WORDS, n).tolist()
         if i % 5 == 0:
             for _ in range(3):
-                words.insert(int(rng.integers(0, 40)), str(rng.choice(["idiot", "moron", "scum"])))
+                words.insert(int(rng.integers(0, n)), str(rng.choice(["idiot", "moron", "scum"])))
         texts.append((i, " ".join(words)))
     docs = spark.createDataFrame(texts, "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i, _ in texts], "doc_id long, toxic int")
