@@ -47,7 +47,7 @@ def window_size(words: int) -> tuple[int, int]:
         stride = min(8, max(1, size // 4))
         if size + stride - 1 <= words:
             best = (size, stride)
-        size = max(size + 1, size * 5 // 4)
+        size = max(size + 1, size * 3 // 2)
     return best
 
 
