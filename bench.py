@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import tempfile
 import sys
 import time
 from pathlib import Path
@@ -36,12 +37,16 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    from hourglass.plans.catalog import QUERIES
+    from hourglass.plans import catalog
+
+    # training rows as a model reads them, not exploded into cells as the row comparison needs them
+    QUERIES = {**catalog.QUERIES, "training_rows": lambda s, d: catalog.training_frame(s, d)[0]}
     from hourglass.session import local_session
 
     # optional Spark event log (stage and task times) into a scratch folder
     log_dir = os.environ.get("BENCH_EVENTLOG")
-    extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir} if log_dir else None
+    extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir} if log_dir else {}
+    extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="bench-checkpoints-")  # one machine, one process
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE", "16")),
                           extra_conf=extra)
     names = [n for n in HEADLINE if n in QUERIES]

@@ -80,26 +80,17 @@ def pivot_mean(df: DataFrame, keys: Sequence[str], feature: str, values: Sequenc
 
 def fit_quantiles(df: DataFrame, value: str = "value", by: Sequence[str] = ("feature",),
                   probs: Sequence[float] = (0.05, 0.95), accuracy: int | None = None,
-                  names: Sequence[str] = ("q_lo", "q_hi"), method: str = "auto") -> DataFrame:
+                  names: Sequence[str] = ("q_lo", "q_hi")) -> DataFrame:
     """Per-group quantiles with linear interpolation (pandas ``quantile``).
 
-    Exact by default and safe at any group size (see ``operators.quantiles``:
-    in-memory ``percentile`` only when every group is proven small, else a
-    distributed sort-and-rank).  ``accuracy`` switches to the mergeable
-    ``percentile_approx`` sketch.
+    Exact by default and safe at any group size (see ``operators.quantiles``);
+    ``accuracy`` switches to the mergeable ``percentile_approx`` sketch.
     """
     from hourglass.operators.quantiles import quantiles
 
     if accuracy is not None:
-        from hourglass.operators.quantiles import percentile_quantiles
-
-        return percentile_quantiles(df, value, by, probs, names, accuracy)
-    return quantiles(df, value, by, probs, names, method=method)
-
-
-def fit_mean_std(df: DataFrame, col: str) -> DataFrame:
-    """One row ``(mean, std)`` with the sample standard deviation."""
-    return df.agg(F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"))
+        return quantiles(df, value, by, probs, names, "approx", accuracy)
+    return quantiles(df, value, by, probs, names)
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:

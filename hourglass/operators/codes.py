@@ -7,7 +7,7 @@ it.  Work is split in two sizes:
 * the *vocabulary* side (distinct code strings -> their prefixes, per-node
   string counts, pruning rules) is as large as the code dictionary, and
 * the *pair* side ``(stay, code)`` grows with the data; it is only joined
-  (to a size-checked broadcast of the string -> code map) and aggregated.
+  (to the string -> code map) and aggregated.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from hourglass.functions import scalar as H
 from hourglass.operators.filters import prefix_family
-from hourglass.operators.joins import bounded_broadcast
+from hourglass.sources.io import checkpoint
 
 KEY = "stay"
 
@@ -50,7 +50,8 @@ def code_union(sources: Sequence[DataFrame], cohort: DataFrame | None = None,
 def split_codes(paths: DataFrame, path: str = "path") -> DataFrame:
     """B11 + H15/H16: family, and the path split into levels after stripping boilerplate.
 
-    Output ``(path, family, parts)``; strings of no known family are dropped.
+    Output ``(path, family, parts)``; strings of no known family are left out
+    and counted by :func:`dropped_families`.
     """
     fam = prefix_family(path)
     p = F.col(path)
@@ -64,9 +65,17 @@ def split_codes(paths: DataFrame, path: str = "path") -> DataFrame:
     return out.where(F.col("family") != "other").withColumn("parts", parts)
 
 
-def string_codes(split: DataFrame, path: str = "path") -> DataFrame:
+def dropped_families(pairs: DataFrame, path: str = "path") -> DataFrame:
+    """What :func:`split_codes` leaves out: one row ``(n_strings, n_pairs)``."""
+    other = pairs.withColumn("_family", prefix_family(path)).where(F.col("_family") == "other")
+    return other.agg(F.count_distinct(path).cast("long").alias("n_strings"),
+                     F.count(F.lit(1)).cast("long").alias("n_pairs"))
+
+
+def string_codes(split: DataFrame, path: str = "path", max_depth: int = MAX_DEPTH,
+                 exact_depth: int = EXACT_DEPTH) -> DataFrame:
     """``(path, code, depth, leaf, parent_leaf)`` for every prefix of every string."""
-    pref = split.select(path, "parts", F.posexplode(H.path_prefixes("parts", MAX_DEPTH, EXACT_DEPTH))
+    pref = split.select(path, "parts", F.posexplode(H.path_prefixes("parts", max_depth, exact_depth))
                         .alias("_i", "code"))
     depth = F.col("_i") + 1
     return pref.select(path, "code", depth.alias("depth"),
@@ -74,13 +83,14 @@ def string_codes(split: DataFrame, path: str = "path") -> DataFrame:
                        F.when(depth > 1, F.element_at("parts", F.col("_i").cast("int"))).alias("parent_leaf"))
 
 
-def code_prefixes(pairs: DataFrame, path: str = "path") -> tuple[DataFrame, DataFrame]:
+def code_prefixes(pairs: DataFrame, path: str = "path", max_depth: int = MAX_DEPTH,
+                  exact_depth: int = EXACT_DEPTH) -> tuple[DataFrame, DataFrame]:
     """I8: distinct ``(stay, code)`` for all ancestors of each stay's strings.
 
     Returns ``(stay_codes, string_code_map)``; the map is the vocabulary side.
     """
-    smap = string_codes(split_codes(pairs, path), path)
-    m = bounded_broadcast(smap.select(path, "code"))
+    smap = string_codes(split_codes(pairs, path), path, max_depth, exact_depth)
+    m = smap.select(path, "code")
     stay_codes = pairs.join(m, path, "inner").select(KEY, "code").distinct()
     return stay_codes, smap
 
@@ -133,19 +143,20 @@ def rare_codes(stay_codes: DataFrame, n_stays: DataFrame | int, min_frac: float
 
 
 def encode_codes(pairs: DataFrame, series_stays: DataFrame | None = None, min_frac: float = 0.01,
-                 path: str = "path", rule: str = "counter") -> DataFrame:
+                 path: str = "path", rule: str = "counter", max_depth: int = MAX_DEPTH,
+                 exact_depth: int = EXACT_DEPTH) -> DataFrame:
     """Ancestors -> drop pointless and rare codes -> restrict to stays with a series.
 
     Output long ``(stay, code)`` (the multi-hot matrix in sparse form).
-    The ``(stay, path)`` pairs are persisted (memory and disk): the
-    vocabulary side, the stay count and the pair side all read them.
+    The ``(stay, path)`` pairs are checkpointed: the vocabulary side, the stay
+    count and the pair side all read them.
     """
-    pairs = pairs.persist()
-    stay_codes, smap = code_prefixes(pairs, path)
+    pairs = checkpoint(pairs)
+    stay_codes, smap = code_prefixes(pairs, path, max_depth, exact_depth)
     n = pairs.agg(F.count_distinct(KEY).cast("long").alias("n"))
     drop = (pointless_codes(smap, path, rule).select("code")
-            .unionByName(rare_codes(stay_codes, n, min_frac).select("code")).distinct()).persist()
-    kept = stay_codes.join(bounded_broadcast(drop), "code", "left_anti")
+            .unionByName(rare_codes(stay_codes, n, min_frac).select("code")).distinct())
+    kept = stay_codes.join(drop, "code", "left_anti")
     if series_stays is not None:
         kept = kept.join(series_stays.select(KEY), KEY, "left_semi")
     return kept
@@ -165,7 +176,7 @@ def collect_codes(kept: DataFrame) -> DataFrame:
 def merge_columns(long: DataFrame, mapping: DataFrame, key: str = KEY, feature: str = "feature",
                   value: str = "value") -> DataFrame:
     """Sum the columns (long features) that map to the same group name."""
-    m = bounded_broadcast(mapping.select(F.col("feature").alias(feature), "group"))
+    m = mapping.select(F.col("feature").alias(feature), "group")
     j = long.join(m, feature, "left")
     g = F.coalesce(F.col("group"), F.col(feature))
     return j.groupBy(key, g.alias(feature)).agg(F.sum(value).alias(value))

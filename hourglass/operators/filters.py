@@ -112,9 +112,7 @@ def drop_shadowed_features(chart: DataFrame, lab_vocab: DataFrame, explicit: Seq
     """Drop chart features named like a lab feature (or lab + suffix) or listed."""
     labs = lab_vocab.select(feature).distinct()
     shadow = labs.unionByName(labs.select(F.concat(F.col(feature), F.lit(suffix)).alias(feature)))
-    from hourglass.operators.joins import bounded_broadcast
-
-    out = chart.join(bounded_broadcast(shadow), feature, "left_anti")
+    out = chart.join(shadow, feature, "left_anti")
     if explicit:
         out = out.where(~F.col(feature).isin(list(explicit)))
     return out
@@ -147,12 +145,13 @@ def like_search(items: DataFrame, phrase: str, label: str = "feature", key: str
 
 def coverage_by_column(df: DataFrame, cols: Sequence[str], key: str = KEY,
                        offset_col: str | None = "offset_min", before: int | None = 1440) -> DataFrame:
-    """Distinct stays with a non-NULL value, per column (one row, one pass)."""
+    """Distinct stays with a non-NULL value, per column: one flag per stay, then their sums."""
     d = df
     if offset_col is not None and before is not None:
         d = d.where(F.col(offset_col) < before)
-    return d.agg(*[F.count_distinct(F.when(F.col(c).isNotNull(), F.col(key))).cast("long").alias(c)
-                   for c in cols])
+    flags = d.where(F.col(key).isNotNull()).groupBy(key).agg(
+        *[F.max(F.col(c).isNotNull().cast("long")).alias(c) for c in cols])
+    return flags.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in cols])
 
 
 def drop_zero_total_features(df: DataFrame, feature: str = "feature",

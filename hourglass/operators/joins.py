@@ -1,10 +1,9 @@
-"""Joins (inventory C1-C12) and the size-checked broadcast helper.
+"""Joins (inventory C1-C12).
 
-Broadcast policy: a side is broadcast only when its size is *proven* small,
-either because it is a fixed-size dimension (``nation``, ``region``, a
-literal list) or because :func:`bounded_broadcast` counted it.  Everything
-else is left to the planner: sort-merge join on the key with AQE's skew-join
-splitting hot partitions at run time.
+Broadcast policy: only sides whose size cannot grow with the data (``nation``,
+``region``, one-row statistics) carry a hint.  Everything else is left to the
+planner: AQE broadcasts by measured bytes, else a sort-merge join on the key
+whose hot partitions it splits.
 """
 
 from __future__ import annotations
@@ -14,21 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound of rows we are willing to ship to every executor.
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` if it has at most ``max_rows`` rows, else return it as is.
-
-    The count is taken on a limited plan (``limit(max_rows + 1)``) so a huge
-    table is never fully counted just to learn it is too big.  Callers pass a
-    persisted or cheap-to-recompute frame (vocabularies, per-stay tables).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def equi_join(a: DataFrame, b: DataFrame, key: str | Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on shared key column(s)."""
     return a.join(b, key if isinstance(key, str) else list(key), how)
@@ -49,15 +33,13 @@ def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, Column | str, boo
 
 def range_join(events: DataFrame, stays: DataFrame, key: str = "stay",
                offset_col: str = "offset_min", lo: int = -1440,
-               hi_col: str = "discharge_offset", broadcast_stays: bool = True) -> DataFrame:
+               hi_col: str = "discharge_offset") -> DataFrame:
     """``key = key AND offset BETWEEN lo AND stays.hi_col``.
 
     Planned as an equi-join on ``key`` with the range as a residual predicate;
     the literal lower bound is also pushed below the join (parquet filter).
     """
     s = stays.select(key, hi_col)
-    if broadcast_stays:
-        s = bounded_broadcast(s)
     ev = events.where(F.col(offset_col) >= lo)
     return (ev.join(s, key, "inner")
               .where(F.col(offset_col) <= F.col(hi_col))
@@ -69,16 +51,6 @@ def semi_join(df: DataFrame, ids: DataFrame, key: str = "stay") -> DataFrame:
     return df.join(ids.select(key), key, "left_semi")
 
 
-def anti_join(df: DataFrame, ids: DataFrame, key: str = "stay") -> DataFrame:
-    """Rows whose key is not in ``ids`` (used by B13)."""
-    return df.join(ids.select(key), key, "left_anti")
-
-
-def join_static(grid: DataFrame, flat: DataFrame, cols: Sequence[str], key: str = "stay") -> DataFrame:
-    """Attach static per-stay columns (one row per stay on the right)."""
-    return grid.join(flat.select(key, *cols), key, "inner")
-
-
 def left_zero_fill(ids: DataFrame, values: DataFrame, key: str = "stay",
                    fill: float | int = 0) -> DataFrame:
     """Reindex ``values`` to every id; absent rows/values become ``fill``."""
@@ -88,15 +60,15 @@ def left_zero_fill(ids: DataFrame, values: DataFrame, key: str = "stay",
 
 
 def cross_scalar(df: DataFrame, stats: DataFrame) -> DataFrame:
-    """Every row sees a one-row statistics table (scalar subquery)."""
-    return df.crossJoin(F.broadcast(stats.limit(1)))
+    """Every row sees a one-row statistics table (an aggregate without grouping)."""
+    return df.crossJoin(F.broadcast(stats))
 
 
 def vocab_join(events: DataFrame, vocab: DataFrame, key: str = "feature") -> DataFrame:
-    """Keep events whose label is in the (size-checked) vocabulary."""
-    return events.join(bounded_broadcast(vocab.select(key)), key, "left_semi")
+    """Keep events whose label is in the vocabulary."""
+    return events.join(vocab.select(key), key, "left_semi")
 
 
 def item_lookup(events: DataFrame, items: DataFrame, key: str = "itemid") -> DataFrame:
     """C11: item id -> label dictionary join."""
-    return events.join(bounded_broadcast(items), key, "inner")
+    return events.join(items, key, "inner")

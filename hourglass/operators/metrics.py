@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourglass.functions import scalar as H
-from hourglass.operators.split import _stable
+from hourglass.sources.io import checkpoint
 
 # ----------------------------------------------------------------- regression
 
@@ -118,7 +118,7 @@ def cumulative(df: DataFrame, order: Sequence[Column], cols: Sequence[str],
     per partition) give each partition's offset, and a window inside each
     partition adds the running sum.  No step holds more than one partition.
     """
-    s = _stable(df.orderBy(*order).withColumn("_pid", F.spark_partition_id()))
+    s = checkpoint(df.orderBy(*order).withColumn("_pid", F.spark_partition_id()))
     tot = s.groupBy("_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in cols])
     wt = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select("_pid", *[F.coalesce(F.sum(f"_t_{c}").over(wt), F.lit(0)).alias(f"_o_{c}")

@@ -1,20 +1,12 @@
 """Exact, linearly interpolated quantiles at any group size.
 
-Spark's ``percentile`` aggregate buffers every distinct value of a group in
-one task.  That is fine for small groups and wrong for a group holding a
-large share of the data, so :func:`quantiles` first counts the group sizes
-(a partial aggregate, one row per group) and
-
-* uses ``percentile`` when every group has at most ``max_group`` values;
-* otherwise uses :func:`distributed_quantiles`: the values are range-sorted
-  across the cluster, each row gets its position inside its group from a
-  distributed rank, and only the two neighbours of every requested position
-  are kept and interpolated.  No group is ever gathered in one task.
+The values are range-sorted across the cluster, each row gets its position
+inside its group from a distributed rank, and only the two neighbours of every
+requested position are kept and interpolated: no group is ever gathered in one
+task.  The rule is that of pandas/numpy and DuckDB ``quantile_cont``:
+``x[lo] + (h - lo) * (x[hi] - x[lo])`` with ``h = (n - 1) * p``.
 
 ``method='approx'`` selects the mergeable ``percentile_approx`` sketch.
-All exact paths use the linear rule of pandas/numpy and DuckDB
-``quantile_cont``: ``x[lo] + (h - lo) * (x[hi] - x[lo])`` with
-``h = (n - 1) * p``.
 """
 
 from __future__ import annotations
@@ -24,21 +16,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.operators.joins import bounded_broadcast
-
-MAX_GROUP = 5_000_000
-
-
 def _names(probs: Sequence[float], names: Sequence[str] | None) -> list[str]:
     return list(names) if names is not None else [f"q{i}" for i in range(len(probs))]
 
 
-def percentile_quantiles(df: DataFrame, value: str, by: Sequence[str], probs: Sequence[float],
-                         names: Sequence[str] | None = None, accuracy: int | None = None) -> DataFrame:
-    """In-memory exact (``percentile``) or sketch (``percentile_approx``) per group."""
-    arr = F.array(*[F.lit(float(p)) for p in probs])
+def approx_quantiles(df: DataFrame, value: str, by: Sequence[str], probs: Sequence[float],
+                     names: Sequence[str] | None = None, accuracy: int = 100_000) -> DataFrame:
+    """Mergeable sketch (``percentile_approx``) per group."""
     v = F.col(value).cast("double")
-    q = F.percentile(v, arr) if accuracy is None else F.percentile_approx(v, arr, accuracy)
+    q = F.percentile_approx(v, F.array(*[F.lit(float(p)) for p in probs]), accuracy)
     out = df.where(v.isNotNull()).groupBy(*by).agg(q.alias("_q"))
     return out.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(_names(probs, names))])
 
@@ -51,7 +37,7 @@ def distributed_quantiles(df: DataFrame, value: str, by: Sequence[str], probs: S
     x = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
     ranked = global_rank(x, [*[F.col(b) for b in by], F.col("_v")], "_r")
     starts = ranked.groupBy(*by).agg(F.min("_r").alias("_s"), F.count(F.lit(1)).alias("_n"))
-    j = ranked.join(bounded_broadcast(starts), list(by)) if by else ranked.crossJoin(F.broadcast(starts))
+    j = ranked.join(starts, list(by)) if by else ranked.crossJoin(F.broadcast(starts))
     j = j.withColumn("_k", F.col("_r") - F.col("_s"))
     pos: list[tuple[Column, Column, Column]] = []
     keep = F.lit(False)
@@ -71,15 +57,8 @@ def distributed_quantiles(df: DataFrame, value: str, by: Sequence[str], probs: S
 
 
 def quantiles(df: DataFrame, value: str, by: Sequence[str] = (), probs: Sequence[float] = (0.5,),
-              names: Sequence[str] | None = None, method: str = "auto",
-              max_group: int = MAX_GROUP, accuracy: int = 100_000) -> DataFrame:
-    """Quantiles per group; ``method`` is ``auto``, ``percentile``, ``distributed`` or ``approx``."""
+              names: Sequence[str] | None = None, method: str = "exact", accuracy: int = 100_000) -> DataFrame:
+    """Quantiles per group; ``method`` is ``exact`` or ``approx``."""
     if method == "approx":
-        return percentile_quantiles(df, value, by, probs, names, accuracy)
-    if method == "auto":
-        sizes = df.where(F.col(value).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-        largest = sizes.agg(F.max("_n")).first()[0] or 0
-        method = "percentile" if largest <= max_group else "distributed"
-    if method == "percentile":
-        return percentile_quantiles(df, value, by, probs, names)
+        return approx_quantiles(df, value, by, probs, names, accuracy)
     return distributed_quantiles(df, value, by, probs, names)

@@ -31,7 +31,10 @@ def linear_los_scorer(weight: float, bias: float, values_col: str = "values",
     import numpy as np
 
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        s = np.array([float(np.sum(v)) if v is not None else 0.0 for v in pdf[values_col]])
+        s = np.zeros(len(pdf))
+        full = np.flatnonzero(pdf[values_col].notna())
+        if len(full):  # the batch as one matrix
+            s[full] = np.stack(pdf[values_col].iloc[full].to_list()).sum(axis=1)
         y = np.clip(np.exp(bias + weight * s), 1.0 / 48.0, 100.0)
         out = pdf[list(keys)].copy()
         out["y_pred"] = y

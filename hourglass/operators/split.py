@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourglass.sources.io import checkpoint_dir
+from hourglass.sources.io import checkpoint
 
 KEY = "stay"
 
@@ -26,15 +26,6 @@ def seeded_hash(col: str | Column, seed: int) -> Column:
     return F.md5(F.concat(F.lit(str(seed)), c.cast("string")))
 
 
-def _stable(df: DataFrame) -> DataFrame:
-    """Materialise so that partition ids are fixed (reliable checkpoint when configured)."""
-    if checkpoint_dir(df.sparkSession):
-        return df.checkpoint(eager=True)
-    out = df.persist()
-    out.count()
-    return out
-
-
 def global_rank(df: DataFrame, order: Sequence[Column | str], name: str = "rank") -> DataFrame:
     """Consecutive 1-based rank of every row in a total ``order``.
 
@@ -46,7 +37,7 @@ def global_rank(df: DataFrame, order: Sequence[Column | str], name: str = "rank"
     s = (df.orderBy(*order)
            .withColumn("_pid", F.spark_partition_id())
            .withColumn("_mid", F.monotonically_increasing_id()))
-    s = _stable(s)
+    s = checkpoint(s)  # fixes the partition ids
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
     # one row per partition: the running offset is computed on a tiny table
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -74,7 +65,7 @@ def split_by_entity(df: DataFrame, entity: str, seed: int = 9, test: float = 0.1
     lab = ranked.select(entity, F.when(F.col("_r") <= n_test, F.lit("test"))
                         .when(F.col("_r") <= n_test + n_val, F.lit("val"))
                         .otherwise(F.lit("train")).alias("split"))
-    return df.join(F.broadcast(lab) if n <= 2_000_000 else lab, entity, "inner")
+    return df.join(lab, entity, "inner")
 
 
 def split_by_hash(df: DataFrame, entity: str, seed: int = 9, test: float = 0.15,
@@ -120,8 +111,3 @@ def fraction_of_batches(df: DataFrame, pct: float, batch_col: str = "batch",
         n_batches = df.select(batch_col).distinct().count()
     limit = math.floor(n_batches / (100.0 / pct))
     return df.where(F.col(batch_col) <= limit)
-
-
-def top_k(df: DataFrame, score: str, k: int, tie: str) -> DataFrame:
-    """the ``k`` rows with the largest ``score`` (ties by ``tie``); k is the feature."""
-    return df.orderBy(F.desc(score), F.asc(tie)).limit(k)

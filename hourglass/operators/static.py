@@ -14,10 +14,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hourglass.functions import scalar as H
-from hourglass.operators.joins import bounded_broadcast
-
 KEY = "stay"
 MAX_ONE_HOT_CATEGORIES = 10_000
 
@@ -27,7 +26,7 @@ def collapse_rare(df: DataFrame, col: str, min_count: int = 1000, other: str = "
     counts = (df.where(F.col(col).isNotNull()).groupBy(col)
                 .agg(F.count(F.lit(1)).alias("_n")))
     rare = counts.where(F.col("_n") < min_count).select(F.col(col).alias("_rare"))
-    out = df.join(bounded_broadcast(rare), df[col] == F.col("_rare"), "left")
+    out = df.join(rare, df[col] == F.col("_rare"), "left")
     return out.withColumn(col, F.when(F.col("_rare").isNotNull(), F.lit(other))
                           .otherwise(F.col(col).cast("string"))).drop("_rare")
 
@@ -88,32 +87,24 @@ def standardise(df: DataFrame, col: str, clip: float | None = 4.0) -> DataFrame:
 
 
 def quantile_scale(df: DataFrame, cols: Sequence[str], clip: float | None = 4.0,
-                   probs: Sequence[float] = (0.05, 0.95), max_group: int | None = None) -> DataFrame:
+                   probs: Sequence[float] = (0.05, 0.95)) -> DataFrame:
     """I4: ``2 (x - q_lo) / (q_hi - q_lo) - 1`` per column, then clip (NULL kept).
 
-    Quantiles are exact; for a table larger than ``max_group`` rows they are
-    computed by the distributed sort-and-rank path instead of an in-memory
-    aggregate.
+    Exact quantiles of all columns from one distributed ranking.
     """
-    from hourglass.operators.quantiles import MAX_GROUP, distributed_quantiles
+    from hourglass.operators.quantiles import quantiles
 
-    limit = MAX_GROUP if max_group is None else max_group
-    if df.limit(limit + 1).count() <= limit:
-        arr = F.array(*[F.lit(float(p)) for p in probs])
-        stats = df.agg(*[F.percentile(F.col(c).cast("double"), arr).alias(f"_q_{c}") for c in cols])
-        stats = stats.select(*[F.col(f"_q_{c}")[i].alias(f"_q{i}_{c}") for c in cols for i in range(2)])
-    else:
-        stats = None
-        for c in cols:
-            q = distributed_quantiles(df, c, (), probs, (f"_q0_{c}", f"_q1_{c}"))
-            stats = q if stats is None else stats.crossJoin(q)
-    out = df.crossJoin(F.broadcast(stats))
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "_c", "_v")
+    q = quantiles(long, "_v", ["_c"], probs, ("_lo", "_hi"))
+    of = lambda c, side: F.max(F.when(F.col("_c") == c, F.col(side)))
+    stats = q.agg(*[of(c, side).alias(f"{side}_{c}") for c in cols for side in ("_lo", "_hi")])
+    out = df.crossJoin(F.broadcast(stats))  # one row
     for c in cols:
-        x = H.scale_between(F.col(c).cast("double"), F.col(f"_q0_{c}"), F.col(f"_q1_{c}"))
+        x = H.scale_between(F.col(c).cast("double"), F.col(f"_lo_{c}"), F.col(f"_hi_{c}"))
         if clip is not None:
             x = H.clip(x, -clip, clip)
         out = out.withColumn(c, x)
-    return out.drop(*[f"_q{i}_{c}" for c in cols for i in range(2)])
+    return out.drop(*[f"{side}_{c}" for c in cols for side in ("_lo", "_hi")])
 
 
 def impute_with_indicator(df: DataFrame, col: str, indicator: str, fill: float = 0.0) -> DataFrame:
@@ -216,9 +207,23 @@ def encode_flat(df: DataFrame, spec: FlatSpec) -> DataFrame:
 
 def encode_labels(df: DataFrame, location: str = "discharge_location",
                   status: str = "discharge_status", mortality: str = "mortality",
-                  vocab: Mapping[str, Sequence] | None = None) -> DataFrame:
-    """One-hot discharge location and status; mortality text -> 0/1."""
-    out = df.withColumn(mortality, H.map_values(mortality, MORTALITY_MAP, None))
+                  vocab: Mapping[str, Sequence] | None = None,
+                  mortality_map: Mapping[str, int] | None = MORTALITY_MAP) -> DataFrame:
+    """One-hot discharge location and status (where present); mortality -> 0/1.
+
+    A numeric or boolean flag is taken as it is; text is mapped by
+    ``mortality_map`` and any other text fails the job (NULL stays NULL).
+    """
+    m = F.col(mortality)
+    if not isinstance(df.schema[mortality].dataType, T.StringType):
+        flag = m.cast("int")
+    else:
+        mapped = F.lit(None).cast("int")
+        for text, value in (mortality_map or {}).items():
+            mapped = F.when(m == text, F.lit(value)).otherwise(mapped)
+        unknown = F.raise_error(F.concat(F.lit("unmapped mortality value: "), m)).cast("int")
+        flag = F.when(m.isNull() | mapped.isNotNull(), mapped).otherwise(unknown)
+    out = df.withColumn(mortality, flag)
     return one_hot(out, [c for c in (location, status) if c in df.columns], vocab)
 
 
@@ -232,10 +237,10 @@ def group_rare_category(df: DataFrame, col: str, cut_off: int, key: str = KEY,
     """
     pairs = df.select(key, F.col(col).alias("category")).where(F.col("category").isNotNull()).distinct()
     prev = pairs.groupBy("category").agg(F.count_distinct(key).alias("_n"))
-    j = pairs.join(bounded_broadcast(prev), "category")
+    j = pairs.join(prev, "category")
     regrouped = j.select(key, F.when(F.col("_n") <= cut_off,
                                      F.concat(F.lit(prefix), H.first_word("category")))
                           .otherwise(F.col("category")).alias("category")).distinct()
     prev2 = regrouped.groupBy("category").agg(F.count_distinct(key).alias("_n"))
     keep = prev2.where(F.col("_n") > cut_off).select("category")
-    return regrouped.join(bounded_broadcast(keep), "category", "left_semi")
+    return regrouped.join(keep, "category", "left_semi")

@@ -3,17 +3,17 @@
 Data stays in long form ``(stay, time, feature, value, mask)`` end to end; a
 wide matrix is produced only at a sink (:func:`to_wide`).
 
-Partitioning plan of :func:`encode_events` (one shuffle of raw events):
+Partitioning plan of the encoding:
 
-1. windowed events are hash-partitioned on ``(stay, hour, feature)``; the
-   per-source minute mean, the cross-source minute mean and the hourly mean
-   all group on supersets of those keys, so they run in the same stage.  A
+1. windowed events are hash-partitioned once on ``(stay, hour, feature)``; the
+   per-source minute means are formed there and written once.  The fit and the
+   encoding both start from them, so the events are read once for both.  A
    very long stay is spread over its hours, so one hot stay is not one task.
 2. the sparse hourly observations (bounded per stay) are exchanged once on
    ``stay``; one window stage gives fill/decay runs per observation, and
    ``explode(sequence(...))`` turns runs into hours.  The dense grid - the
    largest table by far - is generated in place: never shuffled, sorted or
-   joined (see :func:`expand_segments`).
+   joined (see :func:`stay_runs`).
 """
 
 from __future__ import annotations
@@ -24,8 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourglass.functions import scalar as H
-from hourglass.operators.joins import bounded_broadcast
-
+from hourglass.sources.io import checkpoint
 KEY = "stay"
 
 
@@ -36,11 +35,10 @@ def window_events_ts(events: DataFrame, stays: DataFrame, lookback_min: int = 14
 
     ``offset_min = floor((ts - admit_ts) / 1 min)`` and the row is kept when
     ``-lookback_min <= offset_min <= discharge_offset`` (row-specific upper
-    bound, evaluated as a residual of the equi-join on ``stay``).  The stays
-    side is broadcast only if its row count is proven small.  ``keep`` names
+    bound, evaluated as a residual of the equi-join on ``stay``).  ``keep`` names
     per-stay columns of ``stays`` to carry along (e.g. the admission hour).
     """
-    s = bounded_broadcast(stays.select(KEY, "admit_ts", "discharge_offset", *keep))
+    s = stays.select(KEY, "admit_ts", "discharge_offset", *keep)
     j = events.join(s, KEY, "inner")
     off = H.minutes_between(F.col("admit_ts"), F.col(ts_col))
     return (j.withColumn("offset_min", off)
@@ -54,12 +52,11 @@ def scale_clip(df: DataFrame, quantiles: DataFrame, value: str = "value",
                by: Sequence[str] = ("feature",), clip: float | None = 4.0) -> DataFrame:
     """``2 * (x - q_lo) / (q_hi - q_lo) - 1`` then clip to ``[-clip, clip]``.
 
-    The quantile table has one row per feature (bounded by the vocabulary)
-    and is broadcast after a size check.  A constant feature (q_hi = q_lo)
+    The quantile table has one row per feature.  A constant feature (q_hi = q_lo)
     follows pandas: sign * clip, and 0/0 -> NULL.  Rows whose scaled value is
     NULL are dropped (pandas treats NaN as "not observed").
     """
-    q = bounded_broadcast(quantiles)
+    q = quantiles
     x = H.scale_between(F.col(value), F.col("q_lo"), F.col("q_hi"))
     if clip is not None:
         x = H.clip(x, -clip, clip)
@@ -110,7 +107,7 @@ def dense_grid(hourly: DataFrame, vocab: DataFrame, max_hour: int | None = None,
     grid is never shuffled and the window that follows needs no further
     exchange.  (A join on ``(stay, feature, hour)`` would re-shuffle the
     expanded grid on all three keys.)  The encoding pipeline itself uses the
-    cheaper :func:`expand_segments`.
+    cheaper :func:`stay_runs`.
     """
     rng = stay_hour_range(hourly, max_hour)
     feats = F.array(*[F.lit(f) for f in vocabulary(vocab)])
@@ -172,31 +169,21 @@ def since_last_observation(grid: DataFrame, value: str = "value") -> DataFrame:
     return grid.withColumn("hours_since_obs", F.col("time") - last_obs)
 
 
-def clip_horizon(grid: DataFrame, max_hours: int = 24 * 14) -> DataFrame:
-    """Keep ``time < max_hours``."""
-    return grid.where(F.col("time") < max_hours)
-
-
-def positive_time(grid: DataFrame) -> DataFrame:
-    """Keep ``time > 0`` (applied after the fill so earlier values carry in)."""
-    return grid.where(F.col("time") > 0)
-
-
 def zero_fill(grid: DataFrame, value: str = "value") -> DataFrame:
     """E5: remaining NULL values -> 0."""
     return grid.withColumn(value, F.coalesce(F.col(value), F.lit(0.0)))
 
 
-def expand_segments(hourly: DataFrame, vocab: DataFrame, max_hour: int | None = None,
-                    decay: bool = True, decay_rate: float = 4.0 / 3.0, min_time: int | None = 1,
-                    value: str = "value", carry: Sequence[str] = (), bounds: bool = False) -> DataFrame:
-    """E3 + E4 + E6/E7 computed sparsely, then expanded: the dense grid is never sorted.
+def stay_runs(hourly: DataFrame, vocab: DataFrame, max_hour: int | None = None, min_time: int | None = 1,
+              value: str = "value", carry: Sequence[str] = ()) -> DataFrame:
+    """E3 + E4 sparsely: runs of hours in which a stay's feature keeps its value.
 
     For each (stay, feature) the observed hours ``h_1 < ... < h_m`` split the
     stay's hour range ``[lo, hi]`` into runs: ``[lo, h_1 - 1]`` (unobserved:
-    value NULL, mask 0) and ``[h_i, h_{i+1} - 1]`` (value ``v_i``, mask
-    ``1`` at ``k = 0`` and ``1 / (k * decay_rate)`` after ``k`` hours);
-    features never observed in the stay get one unobserved run ``[lo, hi]``.
+    value and ``_obs`` NULL) and ``[h_i, h_{i+1} - 1]`` (value ``v_i``, observed
+    at ``_obs = h_i``); features never observed in the stay get one unobserved
+    run ``[lo, hi]``.  Output ``(stay, feature, _start, _end, _obs, value,
+    first_time, last_time)`` and the per-stay constants ``carry``.
 
     Single pass: the hourly observations of a stay are bounded (hours x
     features), so they are exchanged once on ``stay``; one window stage gives
@@ -204,15 +191,7 @@ def expand_segments(hourly: DataFrame, vocab: DataFrame, max_hour: int | None =
     features the stay has.  Every observation row then emits an array of runs
     (its own run; the leading unobserved run if it is the feature's first
     observation; the never-observed features' runs if it is the stay's first
-    row of its smallest feature), and ``explode(sequence(start, end))`` turns
-    runs into hours in place.  No union (so no re-computation of the input),
-    no shuffle or sort of the dense output.  Hours below ``min_time`` are
-    never generated.  Same result as :func:`dense_grid` + :func:`fill_and_mask`
-    + :func:`positive_time`.  ``carry`` names per-stay constant columns copied
-    onto every generated row (so no join touches the dense grid).  With
-    ``bounds=True`` every row also gets the stay's ``first_time`` and
-    ``last_time``: the grid is dense between them, so row positions and
-    sequence lengths become column arithmetic instead of sorted windows.
+    row of its smallest feature).  Hours below ``min_time`` are left out.
     """
     cw = list(carry)
     feats = vocabulary(vocab)
@@ -254,33 +233,32 @@ def expand_segments(hourly: DataFrame, vocab: DataFrame, max_hour: int | None =
     missing = F.array_except(F.array(*[F.lit(f) for f in feats]), F.col("_seen"))
     never = F.transform(F.filter(missing, lambda f: is_rep),
                         lambda f: run(f, lo1, hi, none_l, none_d))
-    extra = [lo1.alias("first_time"), hi.alias("last_time")] if bounds else []
-    runs = o.select(KEY, *cw, *extra, F.explode(F.concat(own, lead, never)).alias("_r"))
-    if bounds:
-        cw = cw + ["first_time", "last_time"]
-    runs = runs.select(KEY, *cw, "_r.*").where(F.col("_start") <= F.col("_end"))
-    out = runs.select(KEY, "feature", F.explode(F.sequence("_start", "_end")).alias("time"), value, "_obs",
-                      *cw)
-    k = F.col("time") - F.col("_obs")
-    if decay:
-        mask = (F.when(F.col("_obs").isNull(), F.lit(0.0)).when(k == 0, F.lit(1.0))
-                 .otherwise(F.lit(1.0) / (k.cast("double") * F.lit(float(decay_rate)))))
-    else:
-        mask = F.when(k == 0, F.lit(1.0)).otherwise(F.lit(0.0))
-    return out.select(KEY, "time", "feature", value, mask.alias("mask"), *cw)
+    runs = o.select(KEY, *cw, lo1.alias("first_time"), hi.alias("last_time"),
+                    F.explode(F.concat(own, lead, never)).alias("_r"))
+    return runs.select(KEY, *cw, "first_time", "last_time", "_r.*").where(F.col("_start") <= F.col("_end"))
+
+
+def run_mask(hour, obs, decay: bool = True, decay_rate: float = 4.0 / 3.0):
+    """Mask of an hour in a run observed at ``obs`` (NULL: never yet)."""
+    k = hour - obs
+    later = F.lit(1.0) / (k.cast("double") * F.lit(float(decay_rate))) if decay else F.lit(0.0)
+    return F.when(obs.isNull(), F.lit(0.0)).when(k == 0, F.lit(1.0)).otherwise(later)
 
 
 def resample_and_mask(hourly: DataFrame, vocab: DataFrame, decay: bool = True,
                       decay_rate: float = 4.0 / 3.0, horizon: int | None = 24 * 14,
-                      carry: Sequence[str] = (), bounds: bool = False) -> DataFrame:
+                      carry: Sequence[str] = ()) -> DataFrame:
     """Dense grid -> fill + mask -> horizon clip -> positive time -> zero fill.
 
-    Runs through :func:`expand_segments` (sparse fill, then expansion).
+    ``explode(sequence(start, end))`` turns the runs of :func:`stay_runs` into
+    hours in place: the dense grid is never shuffled, sorted or joined, and the
+    per-stay constants ``carry`` are copied onto every row.
     """
     max_hour = None if horizon is None else horizon - 1
-    out = expand_segments(hourly, vocab, max_hour=max_hour, decay=decay, decay_rate=decay_rate,
-                          min_time=1, carry=carry, bounds=bounds)
-    return zero_fill(out)
+    runs = stay_runs(hourly, vocab, max_hour=max_hour, carry=carry)
+    out = runs.select(KEY, "feature", F.explode(F.sequence("_start", "_end")).alias("time"), "value", "_obs", *carry)
+    mask = run_mask(F.col("time"), F.col("_obs"), decay, decay_rate)
+    return zero_fill(out.select(KEY, "time", "feature", "value", mask.alias("mask"), *carry))
 
 
 def time_of_day(grid: DataFrame, admit_hour: DataFrame, hour_col: str = "hour") -> DataFrame:
@@ -310,80 +288,81 @@ def to_wide(grid: DataFrame, features: Sequence[str], keys: Sequence[str] = (KEY
 # ----------------------------------------------------------------- composite
 def source_minute_mean(windowed: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame:
     """D6 per source: mean per (stay, minute, feature, source); adds ``time``."""
-    ev = windowed.withColumn("time", H.hour_ceil("offset_min"))
-    return ev.groupBy(KEY, "time", "offset_min", "feature", "source", *extra_keys).agg(
-        F.avg("value").alias("value"))
+    ev = windowed.where(F.col("value").isNotNull()).withColumn("time", H.hour_ceil("offset_min"))
+    return ev.repartition(KEY, "time", "feature").groupBy(
+        KEY, "time", "offset_min", "feature", "source", *extra_keys).agg(F.avg("value").alias("value"))
 
 
-def fit_series(windowed: DataFrame, cohort: DataFrame, min_frac: float,
+def fit_vocabulary(minutes: DataFrame, cohort: DataFrame, min_frac: float) -> DataFrame:
+    """``(feature, n_stays)`` of the features that more than ``min_frac`` of the cohort's stays have."""
+    cov = minutes.groupBy("feature").agg(F.count_distinct(KEY).cast("long").alias("n_stays"))
+    total = cohort.agg(F.count_distinct(KEY).cast("long").alias("n_cohort"))
+    return (cov.crossJoin(F.broadcast(total))  # one row
+               .where(F.col("n_stays") > F.col("n_cohort") * F.lit(float(min_frac)))
+               .select("feature", "n_stays"))
+
+
+def fit_series(minutes: DataFrame, cohort: DataFrame, min_frac: float,
                probs: Sequence[float] = (0.05, 0.95), accuracy: int | None = None,
                fit_stays: DataFrame | None = None) -> DataFrame:
-    """D1 + D9 in one pass: per-feature coverage and scaling quantiles.
+    """D1 + D9: common features with their scaling quantiles ``(feature, n_stays, q_lo, q_hi)``.
 
-    Output ``(feature, n_stays, q_lo, q_hi)`` for the common features only
-    (coverage strictly above ``min_frac`` of the cohort's distinct stays).
-    Quantiles are fitted on the per-source minute means (what the reference
-    stacks before fitting), restricted to ``fit_stays`` when given.  The
-    result has one row per common feature; callers persist it.
+    ``minutes`` is the materialised output of :func:`source_minute_mean` over
+    the cohort's windows (what the reference stacks before fitting); quantiles
+    are restricted to ``fit_stays`` when given.  One row per common feature.
     """
     from hourglass.operators.aggregates import fit_quantiles
 
-    src = source_minute_mean(windowed.join(cohort.select(KEY).distinct(), KEY, "left_semi"))
-    cov = src.groupBy("feature").agg(F.count_distinct(KEY).cast("long").alias("n_stays"))
-    total = cohort.agg(F.count_distinct(KEY).cast("long").alias("n_cohort"))
-    vocab = (cov.crossJoin(F.broadcast(total))
-                .where(F.col("n_stays") > F.col("n_cohort") * F.lit(float(min_frac)))
-                .select("feature", "n_stays"))
-    fit_rows = src if fit_stays is None else src.join(fit_stays.select(KEY), KEY, "left_semi")
+    vocab = checkpoint(fit_vocabulary(minutes, cohort, min_frac))
+    fit_rows = minutes if fit_stays is None else minutes.join(fit_stays.select(KEY), KEY, "left_semi")
     q = fit_quantiles(fit_rows.join(vocab.select("feature"), "feature", "left_semi"),
                       "value", ("feature",), probs, accuracy)
     return vocab.join(q, "feature", "left")
 
 
-def encode_events(windowed: DataFrame, stats: DataFrame, horizon: int | None = 24 * 14,
-                  decay: bool = True, decay_rate: float = 4.0 / 3.0,
-                  clip: float | None = 4.0, carry: Sequence[str] = (), bounds: bool = False) -> DataFrame:
-    """I13 core on windowed events ``(stay, offset_min, feature, value, source)``.
+def hourly_observations(minutes: DataFrame, stats: DataFrame, clip: float | None = 4.0,
+                        carry: Sequence[str] = ()) -> DataFrame:
+    """E10 + D6 + E2 on per-source minute means: scale, mean over sources, mean per hour.
 
-    ``stats`` is the output of :func:`fit_series` (vocabulary + quantiles).
-    One broadcast join both restricts to the vocabulary and attaches the
-    quantiles; one shuffle on ``(stay, hour, feature)`` then serves the
-    source-minute mean, scaling, the cross-source minute mean and the hourly
-    mean.  Output ``(stay, time, feature, value, mask)`` plus ``carry``
-    (per-stay constants riding along in the grouping keys).
+    One join both restricts to the vocabulary and attaches the quantiles; the
+    minute means are partitioned by (stay, hour, feature) already, and every
+    mean groups on a superset of these keys.
     """
     cw = list(carry)
-    st = bounded_broadcast(stats.select("feature", "q_lo", "q_hi"))
-    ev = (windowed.where(F.col("value").isNotNull()).join(st, "feature", "inner")
-                  .withColumn("time", H.hour_ceil("offset_min"))
-                  .repartition(KEY, "time", "feature"))
-    src = ev.groupBy(KEY, "time", "offset_min", "feature", "source", "q_lo", "q_hi", *cw).agg(
-        F.avg("value").alias("value"))
     x = H.scale_between(F.col("value"), F.col("q_lo"), F.col("q_hi"))
     if clip is not None:
         x = H.clip(x, -clip, clip)
-    scaled = src.select(KEY, "time", "offset_min", "feature", x.alias("value"), *cw).where(
-        F.col("value").isNotNull())
+    scaled = minutes.join(stats.select("feature", "q_lo", "q_hi"), "feature", "inner").select(
+        KEY, "time", "offset_min", "feature", x.alias("value"), *cw).where(F.col("value").isNotNull())
     minute = scaled.groupBy(KEY, "time", "offset_min", "feature", *cw).agg(F.avg("value").alias("value"))
-    hourly = minute.groupBy(KEY, "time", "feature", *cw).agg(F.avg("value").alias("value"))
-    return resample_and_mask(hourly, stats, decay=decay, decay_rate=decay_rate, horizon=horizon,
-                             carry=cw, bounds=bounds)
+    return minute.groupBy(KEY, "time", "feature", *cw).agg(F.avg("value").alias("value"))
+
+
+def encode_events(windowed: DataFrame, stats: DataFrame, horizon: int | None = 24 * 14,
+                  decay: bool = True, decay_rate: float = 4.0 / 3.0,
+                  clip: float | None = 4.0, carry: Sequence[str] = ()) -> DataFrame:
+    """I13 core on windowed events ``(stay, offset_min, feature, value, source)``.
+
+    ``stats`` is the output of :func:`fit_series` (vocabulary + quantiles).
+    Output ``(stay, time, feature, value, mask)`` plus ``carry`` (per-stay
+    constants riding along in the grouping keys).
+    """
+    hourly = hourly_observations(source_minute_mean(windowed, carry), stats, clip, carry)
+    return resample_and_mask(hourly, stats, decay=decay, decay_rate=decay_rate, horizon=horizon, carry=carry)
 
 
 # ----------------------------------------------------------------- per-stay positions
-def _has_bounds(grid: DataFrame) -> bool:
-    return "first_time" in grid.columns and "last_time" in grid.columns
+def stay_hours(hourly: DataFrame, horizon: int | None = 24 * 14, min_time: int = 1) -> DataFrame:
+    """Every hour of the dense grid once, ``(stay, time, first_time, last_time)``, from the stays'
+    first and last observed hour: no feature is expanded."""
+    r = stay_hour_range(hourly.where(F.col("value").isNotNull()), None if horizon is None else horizon - 1)
+    r = r.select(KEY, F.greatest("lo", F.lit(min_time)).cast("long").alias("first_time"), F.col("hi").cast("long").alias("last_time"))
+    r = r.where(F.col("first_time") <= F.col("last_time"))
+    return r.select(KEY, F.explode(F.sequence("first_time", "last_time")).alias("time"), "first_time", "last_time")
 
 
 def seq_length(grid: DataFrame) -> DataFrame:
-    """Rows (hours) per stay.
-
-    With the stay bounds of a dense grid (``first_time``/``last_time``) this
-    is arithmetic on one row per stay; otherwise distinct hours are counted.
-    """
-    if _has_bounds(grid):
-        return grid.select(KEY, (F.col("last_time") - F.col("first_time") + 1).cast("long")
-                           .alias("length")).distinct()
+    """Rows (distinct hours) per stay."""
     return grid.select(KEY, "time").distinct().groupBy(KEY).agg(
         F.count(F.lit(1)).cast("long").alias("length"))
 
@@ -391,10 +370,10 @@ def seq_length(grid: DataFrame) -> DataFrame:
 def row_position(grid: DataFrame, order_col: str = "time") -> DataFrame:
     """0-based row position of each hour within its stay.
 
-    ``time - first_time`` on a dense grid with stay bounds (no sort);
+    ``time - first_time`` on hours with the stay's bounds (:func:`stay_hours`);
     otherwise ``dense_rank - 1`` over the stay's hours.
     """
-    if _has_bounds(grid) and order_col == "time":
+    if "first_time" in grid.columns and order_col == "time":
         return grid.withColumn("pos", (F.col("time") - F.col("first_time")).cast("long"))
     w = Window.partitionBy(KEY).orderBy(order_col)
     return grid.withColumn("pos", (F.dense_rank().over(w) - 1).cast("long"))

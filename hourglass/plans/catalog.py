@@ -18,6 +18,7 @@ from hourglass.operators import filters as B
 from hourglass.operators import timeseries as E
 from hourglass.plans import series
 from hourglass.sources import driver
+from hourglass.sources.io import checkpoint
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -58,7 +59,7 @@ def q_time_window_join(spark, d):
 @query("common_features")
 def q_common_features(spark, d):
     st = series.cohort(spark, d)
-    return series.series_stats(spark, d, st).select("feature", "n_stays")
+    return series.series_vocabulary(spark, d, st)
 
 
 @query("common_features_dense")
@@ -90,18 +91,16 @@ def q_quantile_fit(spark, d):
 @query("scale_clip")
 def q_scale_clip(spark, d):
     st = series.cohort(spark, d)
-    stats = series.series_stats(spark, d, st)
-    ev = series.windowed_events(spark, d, st)
-    src = E.source_minute_mean(ev.where(F.col("value").isNotNull()))
+    src = series.minute_means(spark, d, st)
+    stats = E.fit_series(src, st, series.MIN_FRAC, series.QUANTILES)
     out = E.scale_clip(src, stats.select("feature", "q_lo", "q_hi"), clip=series.CLIP)
     return out.select("stay", "offset_min", "feature", "source", r6("value"))
 
 
 def _hourly(spark, d, sources=("events",)):
     st = series.cohort(spark, d)
-    stats = series.series_stats(spark, d, st, sources=sources)
-    ev = series.windowed_events(spark, d, st, sources)
-    src = E.source_minute_mean(ev.where(F.col("value").isNotNull()))
+    src = series.minute_means(spark, d, st, sources)
+    stats = checkpoint(E.fit_series(src, st, series.MIN_FRAC, series.QUANTILES))
     scaled = E.scale_clip(src, stats.select("feature", "q_lo", "q_hi"), clip=series.CLIP)
     minute = D.dedupe_mean(scaled, ["stay", "offset_min", "feature"])
     return E.hourly_mean(minute), stats
@@ -397,9 +396,18 @@ def _grid(spark, d):
     return series.encode_timeseries(spark, d)
 
 
-def _feats(spark, d):
-    st = series.cohort(spark, d)
-    return E.vocabulary(series.series_stats(spark, d, st))
+def _runs(spark, d):
+    """Runs of the encoded series and the feature names in array order."""
+    runs, stats = series.series_runs(spark, d)
+    return checkpoint(runs), E.vocabulary(stats)
+
+
+def _cells(rows, feats, *keep):
+    """One row per (row, feature) with its value and mask."""
+    names = F.array(*[F.lit(f) for f in feats])
+    out = rows.select(*keep, F.explode(F.arrays_zip(names.alias("feature"), F.col("values").alias("value"),
+                                                    F.col("masks").alias("mask"))).alias("_c"))
+    return out.select(*keep, "_c.feature", r6(F.col("_c.value"), "value"), r6(F.col("_c.mask"), "mask"))
 
 
 def _labels01(spark, d):
@@ -410,35 +418,32 @@ def _labels01(spark, d):
 
 @query("seq_length")
 def q_seq_length(spark, d):
-    return E.seq_length(_grid(spark, d))
+    return E.seq_length(series.series_hours(spark, d))
 
 
 @query("skip_first_rows")
 def q_skip_first_rows(spark, d):
-    hours = _grid(spark, d).select("stay", "time").distinct()
-    return E.skip_first_rows(hours, 5).select("stay", "time", "pos")
+    return E.skip_first_rows(series.series_hours(spark, d), 5).select("stay", "time", "pos")
 
 
 @query("remaining_los")
 def q_remaining_los(spark, d):
-    tr = K.training_rows(_grid(spark, d), _labels01(spark, d), _feats(spark, d))
-    return tr.select("stay", "time", r6("los_remaining"))
+    hours = E.skip_first_rows(series.series_hours(spark, d), 5)
+    return E.remaining_los(hours, _labels01(spark, d)).select("stay", "time", r6("los_remaining"))
 
 
 @query("mortality_at_index")
 def q_mortality_at_index(spark, d):
-    hours = _grid(spark, d).select("stay", "time").distinct()
-    at = E.at_time_index(hours, 24, 5)
+    at = E.at_time_index(series.series_hours(spark, d), 24, 5)
     return E.repeat_label(at, _labels01(spark, d)).select("stay", "time", "mortality")
 
 
 @query("assemble_sequences")
 def q_assemble_sequences(spark, d):
-    seq = K.assemble_sequences(_grid(spark, d), _feats(spark, d))
-    return seq.select("stay", F.size("sequence").cast("long").alias("length"),
-                      F.col("sequence")[0]["time"].alias("first_time"),
-                      F.element_at("sequence", -1)["time"].alias("last_time"),
-                      F.size(F.col("sequence")[0]["values"]).cast("long").alias("n_features"))
+    runs, feats = _runs(spark, d)
+    rows = K.assemble_sequences(runs).select("stay", "length", F.posexplode("sequence").alias("_p", "_s"))
+    rows = rows.select("stay", "length", F.col("_p").cast("long").alias("pos"), "_s.*").withColumn("hour", r6("hour"))
+    return _cells(rows, feats, "stay", "length", "pos", "time", "hour")
 
 
 def _batches(spark, d):
@@ -450,21 +455,34 @@ def q_assign_batch(spark, d):
     return _batches(spark, d)
 
 
+def _padded(spark, d):
+    runs, feats = _runs(spark, d)
+    return K.pad_sequences(K.assemble_sequences(runs), K.padded_lengths(runs, _batches(spark, d))), feats
+
+
 @query("pad_sequences")
 def q_pad_sequences(spark, d):
-    seq = K.assemble_sequences(_grid(spark, d), _feats(spark, d))
-    padded = K.pad_sequences(seq, _batches(spark, d))
-    return padded.select("stay", "batch", "length", "padded_length",
-                         F.size("padded").cast("long").alias("n_rows"))
+    padded, feats = _padded(spark, d)
+    rows = padded.select("stay", "batch", "length", "padded_length", F.posexplode("padded").alias("_p", "_s"))
+    rows = rows.select("stay", "batch", "length", "padded_length", F.col("_p").cast("long").alias("pos"), r6(F.col("_s.time"), "time"),
+                       r6(F.col("_s.hour"), "hour"), F.col("_s.valid").cast("int").alias("valid"), "_s.values", "_s.masks")
+    return _cells(rows, feats, "stay", "batch", "length", "padded_length", "pos", "time", "hour", "valid")
+
+
+def training_frame(spark, d):
+    """K4 as a model reads it: one row per hour with arrays; and the feature names."""
+    runs, stats = series.series_runs(spark, d)
+    static = P.flat_for_series(spark, d).select("stay", "nation", "segment")
+    return K.training_rows(runs, _labels01(spark, d), static, C.collect_codes(_kept_codes(spark, d))), E.vocabulary(stats)
 
 
 @query("training_rows")
 def q_training_rows(spark, d):
-    tr = K.training_rows(_grid(spark, d), _labels01(spark, d), _feats(spark, d))
-    # order-independent checks of the feature arrays (a float sum would depend on order)
-    return tr.select("stay", "time", r6("los_remaining"), "mortality", "length_minus_skip",
-                     r6(F.array_min("values"), "value_min"), r6(F.array_max("values"), "value_max"),
-                     F.size(F.filter("masks", lambda m: m == 1.0)).cast("long").alias("n_observed"))
+    tr, feats = training_frame(spark, d)
+    tr = tr.select("stay", "time", r6("hour"), "values", "masks", r6("los_remaining"), "mortality", "length_minus_skip",
+                   "nation", "segment", F.size("codes").cast("long").alias("n_codes"), F.array_join("codes", ";").alias("codes"))
+    return _cells(tr, feats, "stay", "time", "hour", "los_remaining", "mortality", "length_minus_skip", "nation", "segment",
+                  "n_codes", "codes")
 
 
 @query("fraction_of_batches")
@@ -601,7 +619,7 @@ def _score_fn():
 
 @query("score_sequences")
 def q_score_sequences(spark, d):
-    rows = K.training_rows(_grid(spark, d), _labels01(spark, d), _feats(spark, d)).select("stay", "time", "values")
+    rows = K.training_rows(_runs(spark, d)[0], _labels01(spark, d)).select("stay", "time", "values")
     scored = S.score_sequences(rows, _score_fn(), "stay long, time long, y_pred double")
     return scored.select("stay", "time", r6("y_pred"))
 
@@ -644,7 +662,7 @@ def _win(spark, d):
 @query("drop_shadowed_features")
 def q_drop_shadowed_features(spark, d):
     st = series.cohort(spark, d)
-    vocab = series.series_stats(spark, d, st).select("feature")
+    vocab = series.series_vocabulary(spark, d, st).select("feature")
     out = B.drop_shadowed_features(_win(spark, d), vocab, SHADOW_EXPLICIT)
     return out.select("stay", "offset_min", "feature", r6("value"))
 
@@ -737,7 +755,7 @@ def q_assign_chunk(spark, d):
 @query("vocab_order")
 def q_vocab_order(spark, d):
     st = series.cohort(spark, d)
-    v = series.series_stats(spark, d, st).select("feature", "n_stays")
+    v = series.series_vocabulary(spark, d, st)
     return J.global_rank(v, [F.desc("n_stays"), F.asc("feature")], "rank")
 
 
@@ -753,9 +771,24 @@ def q_lexical_order(spark, d):
 
 @query("remove_padding")
 def q_remove_padding(spark, d):
-    seq = K.assemble_sequences(_grid(spark, d), _feats(spark, d))
-    rows = K.remove_padding(K.pad_sequences(seq, _batches(spark, d)))
-    return rows.select("stay", F.col("pos").cast("long").alias("pos"), r6("time"))
+    padded, feats = _padded(spark, d)
+    rows = K.remove_padding(padded).withColumns({"pos": F.col("pos").cast("long"), "time": r6("time"), "hour": r6("hour")})
+    return _cells(rows, feats, "stay", "pos", "time", "hour")
+
+
+@query("dropped_families")
+def q_dropped_families(spark, d):
+    """Code strings of no known family, with some of each kind made from the customers."""
+    cust = driver._t(spark, d, "customer").select(F.col("c_custkey").alias("stay"), F.concat(
+        F.when(F.col("c_custkey") % 3 == 0, F.lit("notes/Other/")).when(F.col("c_custkey") % 3 == 1, F.lit("admission other|"))
+         .otherwise(F.lit("plain|")), F.col("c_mktsegment")).alias("path"))
+    return C.dropped_families(cust)
+
+
+@query("encode_labels_flag")
+def q_encode_labels_flag(spark, d):
+    """I7 for labels with a 0/1 flag and no category to expand."""
+    return I.encode_labels(_labels01(spark, d)).select("stay", r6("los_days"), "mortality")
 
 
 @query("outer_join_codes")
@@ -791,7 +824,6 @@ def q_slice_rows(spark, d):
 
 # ------------------------------------------------------------------ offsets, scalars, wide sink
 ORIGIN = "2024-01-02 00:00:00"   # fixed origin of the offset-based window join
-WIDE_FEATURES = ("click_3", "view_5", "purchase_7")
 
 
 @query("time_window_offsets")
@@ -837,41 +869,32 @@ def q_scalar_functions(spark, d):
 
 @query("to_wide")
 def q_to_wide(spark, d):
-    g = _grid(spark, d).where(F.col("feature").isin(list(WIDE_FEATURES)))
-    w = E.to_wide(g, WIDE_FEATURES)
-    cols = [c for f in WIDE_FEATURES for c in (f, f + "_mask")]
-    return w.select("stay", "time", *[r6(c) for c in cols], r6("hour"))
+    # all features of the vocabulary, as columns; melted again so that every cell is compared
+    feats = E.vocabulary(series.series_vocabulary(spark, d, series.cohort(spark, d)))
+    w = E.to_wide(_grid(spark, d), feats)
+    cell = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), r6(f"`{f}`", "value"), r6(f"`{f}_mask`", "mask")) for f in feats]))
+    return w.select("stay", "time", r6("hour"), cell.alias("_c")).select("stay", "time", "hour", "_c.*")
 
 
 # ------------------------------------------------------------------ streaming
 @query("stream_encode")
 def q_stream_encode(spark, d):
-    """Series encoding over events ingested by a stream, chunk by chunk (same result)."""
+    """Series encoding over events ingested by a stream (same result)."""
     import uuid
 
-    from hourglass.session import ensure_checkpoint_dir
-    from hourglass.streaming import encode_ingested, ingest_stream, write_stay_chunks
+    from hourglass.sources.io import shared_folder
+    from hourglass.streaming import encode_ingested, ingest_stream, write_stream_input
 
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    base = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
     st = series.cohort(spark, d)
     stats = series.series_stats(spark, d, st)
-    write_stay_chunks(driver.events(spark, d), E.assign_chunk(st, 32), f"{base}/input")
+    write_stream_input(driver.events(spark, d), f"{base}/input")
     q = ingest_stream(spark, f"{base}/input", st, f"{base}/ingested", f"{base}/ckpt")
     q.awaitTermination()
     out = encode_ingested(spark, f"{base}/ingested", stats)
     return out.select("stay", "time", "feature", r6("value"), r6("mask"), r6("hour"))
 
 
-@query("quantile_fit_first_chunk")
-def q_quantile_fit_first_chunk(spark, d):
-    """D9 fitted on the first chunk of stays (key order, 32 per chunk), as the reference does."""
-    st = series.cohort(spark, d)
-    first = E.assign_chunk(st, 32).where(F.col("chunk") == 0).select("stay")
-    ev = series.windowed_events(spark, d, st)
-    stats = E.fit_series(ev, st, series.MIN_FRAC, series.QUANTILES, fit_stays=first)
-    return stats.select("feature", "n_stays", r6("q_lo"), r6("q_hi"))
-
-
 @query("split_by_hash")
 def q_split_by_hash(spark, d):
     return J.split_by_hash(_orders_stays(spark, d), "person", SEED).select("stay", "person", "split")
@@ -882,6 +905,6 @@ def q_quantile_fit_train_split(spark, d):
     """D9 fitted on the training split only (persons split as in J1), the recommended use."""
     st = series.cohort(spark, d)
     train = J.split_by_entity(st.select("stay", "person"), "person", SEED).where(F.col("split") == "train")
-    ev = series.windowed_events(spark, d, st)
-    stats = E.fit_series(ev, st, series.MIN_FRAC, series.QUANTILES, fit_stays=train.select("stay"))
+    minutes = series.minute_means(spark, d, st)
+    stats = E.fit_series(minutes, st, series.MIN_FRAC, series.QUANTILES, fit_stays=train.select("stay"))
     return stats.select("feature", "n_stays", r6("q_lo"), r6("q_hi"))

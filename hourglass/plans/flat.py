@@ -9,6 +9,7 @@ from hourglass.operators.joins import semi_join
 from hourglass.operators.static import FlatSpec, encode_flat, encode_labels
 from hourglass.plans import series
 from hourglass.sources import driver
+from hourglass.sources.io import checkpoint
 
 # Rare-category threshold used with the test tables (the reference uses 1000
 # on ~90k stays; the test cohorts have ~100-1000 stays).
@@ -29,7 +30,7 @@ FLAT_SPEC = FlatSpec(
 def series_stays(spark: SparkSession, d: str) -> DataFrame:
     """Cohort stays that have at least one windowed event."""
     st = series.cohort(spark, d)
-    return series.windowed_events(spark, d, st).select("stay").distinct().persist()
+    return checkpoint(series.windowed_events(spark, d, st).select("stay").distinct())
 
 
 def flat_for_series(spark: SparkSession, d: str) -> DataFrame:
@@ -40,10 +41,10 @@ def flat_for_series(spark: SparkSession, d: str) -> DataFrame:
 def encoded_flat(spark: SparkSession, d: str, spec: FlatSpec = FLAT_SPEC) -> DataFrame:
     """I6 over the stays with a series (wide, one row per stay).
 
-    The per-stay input is persisted: the recipe's fit steps (category
+    The per-stay input is checkpointed: the recipe's fit steps (category
     counts, vocabularies, statistics) all read it.
     """
-    return encode_flat(flat_for_series(spark, d).persist(), spec)
+    return encode_flat(checkpoint(flat_for_series(spark, d)), spec)
 
 
 def encoded_labels(spark: SparkSession, d: str) -> DataFrame:

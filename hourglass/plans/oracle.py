@@ -564,24 +564,32 @@ FROM hrs h JOIN lab01 l ON h.stay = l.stay WHERE h.pos >= 5"""
 ORACLE["mortality_at_index"] = with_("hrs", "lab01") + """
 SELECT h.stay, h.time, l.mortality FROM hrs h JOIN lab01 l ON h.stay = l.stay WHERE h.pos = 29"""
 
-ORACLE["assemble_sequences"] = with_("encoded") + """
-SELECT stay, count(DISTINCT time) AS length, min(time) AS first_time, max(time) AS last_time,
-       count(DISTINCT feature) AS n_features
-FROM encoded GROUP BY stay"""
+ORACLE["assemble_sequences"] = with_("encoded", "hrs") + f"""
+SELECT e.stay, h.len AS length, h.pos, e.time, {r6('e.hour', 'hour')}, e.feature, {r6('e.value', 'value')}, {r6('e.mask', 'mask')}
+FROM encoded e JOIN hrs h ON e.stay = h.stay AND e.time = h.time"""
 
 ORACLE["assign_batch"] = with_("batches") + "SELECT stay, batch FROM batches"
 
-ORACLE["pad_sequences"] = with_("batches", "encoded") + """
-, len AS (SELECT stay, count(DISTINCT time) AS length FROM encoded GROUP BY stay)
-SELECT l.stay, b.batch, l.length, max(l.length) OVER (PARTITION BY b.batch) AS padded_length,
-       max(l.length) OVER (PARTITION BY b.batch) AS n_rows
-FROM len l JOIN batches b ON l.stay = b.stay"""
-
-ORACLE["training_rows"] = with_("hrs", "lab01") + f"""
-SELECT h.stay, h.time, {r6('greatest(l.los_days - h.time / 24.0, 1.0 / 48.0)', 'los_remaining')},
-       l.mortality, h.len - 5 AS length_minus_skip, {r6('h.value_min', 'value_min')},
-       {r6('h.value_max', 'value_max')}, h.n_observed
-FROM hrs h JOIN lab01 l ON h.stay = l.stay WHERE h.pos >= 5"""
+ORACLE["pad_sequences"] = with_("batches", "encoded", "hrs", "vocab") + f"""
+, len AS (SELECT DISTINCT stay, len AS length FROM hrs)
+, pl AS (SELECT l.stay, b.batch, l.length, max(l.length) OVER (PARTITION BY b.batch) AS padded_length
+         FROM len l JOIN batches b ON l.stay = b.stay)
+SELECT p.stay, p.batch, p.length, p.padded_length, h.pos, {r6('e.time / 24.0', 'time')}, {r6('e.hour', 'hour')},
+       CAST(1 AS INTEGER) AS valid, e.feature, {r6('e.value', 'value')}, {r6('e.mask', 'mask')}
+FROM pl p JOIN hrs h ON p.stay = h.stay JOIN encoded e ON e.stay = h.stay AND e.time = h.time
+UNION ALL
+SELECT p.stay, p.batch, p.length, p.padded_length, z.pos, 0.0, 0.0, 0, v.feature, 0.0, 0.0
+FROM pl p, unnest(range(p.length, p.padded_length)) AS z(pos), vocab v"""
+
+ORACLE["training_rows"] = with_("hrs", "lab01", "encoded", "kept") + f"""
+, codes AS (SELECT stay, count(*) AS n_codes, string_agg(code, ';' ORDER BY code) AS codes FROM (SELECT DISTINCT stay, code FROM kept) GROUP BY stay)
+SELECT h.stay, h.time, {r6('e.hour', 'hour')}, {r6('greatest(l.los_days - h.time / 24.0, 1.0 / 48.0)', 'los_remaining')},
+       l.mortality, h.len - 5 AS length_minus_skip, n.n_name AS nation, c.c_mktsegment AS segment,
+       coalesce(k.n_codes, 0) AS n_codes, coalesce(k.codes, '') AS codes,
+       e.feature, {r6('e.value', 'value')}, {r6('e.mask', 'mask')}
+FROM hrs h JOIN lab01 l ON h.stay = l.stay JOIN encoded e ON e.stay = h.stay AND e.time = h.time
+JOIN customer c ON c.c_custkey = h.stay JOIN nation n ON n.n_nationkey = c.c_nationkey LEFT JOIN codes k ON k.stay = h.stay
+WHERE h.pos >= 5"""
 
 ORACLE["fraction_of_batches"] = with_("batches") + """
 SELECT stay, batch FROM batches
@@ -890,8 +898,16 @@ ORACLE["lexical_order"] = with_("sm", "sp") + """
          FROM sm JOIN sp ON sm.path = sp.path)
 SELECT code, family_rank, row_number() OVER (ORDER BY family_rank, code) AS code_id FROM cf"""
 
-ORACLE["remove_padding"] = with_("hrs") + f"""
-SELECT stay, pos, {r6('time / 24.0', 'time')} FROM hrs"""
+ORACLE["remove_padding"] = with_("encoded", "hrs") + f"""
+SELECT e.stay, h.pos, {r6('e.time / 24.0', 'time')}, {r6('e.hour', 'hour')}, e.feature, {r6('e.value', 'value')}, {r6('e.mask', 'mask')}
+FROM encoded e JOIN hrs h ON e.stay = h.stay AND e.time = h.time"""
+
+ORACLE["dropped_families"] = """
+SELECT count(DISTINCT CASE WHEN c_custkey % 3 = 0 THEN 'notes/Other/' ELSE 'admission other|' END || c_mktsegment) AS n_strings,
+       count(*) AS n_pairs FROM customer WHERE c_custkey % 3 <> 2"""
+
+ORACLE["encode_labels_flag"] = with_("lab01") + f"""
+SELECT stay, {r6('los_days', 'los_days')}, mortality FROM lab01"""
 
 ORACLE["outer_join_codes"] = with_("kept", "sm", "sp") + """
 , cf AS (SELECT DISTINCT sm.code, sp.family FROM sm JOIN sp ON sm.path = sp.path)
@@ -942,25 +958,11 @@ SELECT s.stay,
        {sql_bin('s.los_days')} AS los_bin
 FROM stays s JOIN flat f ON s.stay = f.stay"""
 
-_WF = ("click_3", "view_5", "purchase_7")
-ORACLE["to_wide"] = with_("encoded") + "SELECT stay, time, " + ", ".join(
-    r6(f"max(CASE WHEN feature = '{f}' THEN {c} END)", f + sfx)
-    for f in _WF for c, sfx in (("value", ""), ("mask", "_mask"))) + \
-    f", {r6('max(hour)', 'hour')}\nFROM encoded WHERE feature IN ({', '.join(repr(f) for f in _WF)})" \
-    "\nGROUP BY stay, time"
+ORACLE["to_wide"] = with_("encoded") + f"""
+SELECT stay, time, {r6('hour', 'hour')}, feature, {r6('value', 'value')}, {r6('mask', 'mask')} FROM encoded"""
 
 ORACLE["stream_encode"] = ORACLE["encode_timeseries"]
 
-ORACLE["quantile_fit_first_chunk"] = with_("vocab", "src") + f"""
-, first AS (SELECT stay FROM (SELECT stay, row_number() OVER (ORDER BY stay) AS rn
-                              FROM (SELECT DISTINCT stay FROM cohort) c) x WHERE rn <= 32)
-, qf AS (SELECT feature, quantile_cont(value, 0.05) AS q_lo, quantile_cont(value, 0.95) AS q_hi
-         FROM src WHERE value IS NOT NULL AND feature IN (SELECT feature FROM vocab)
-           AND stay IN (SELECT stay FROM first)
-         GROUP BY feature)
-SELECT v.feature, v.n_stays, {r6('qf.q_lo', 'q_lo')}, {r6('qf.q_hi', 'q_hi')}
-FROM vocab v LEFT JOIN qf ON v.feature = qf.feature"""
-
 ORACLE["split_by_hash"] = """
 SELECT o_orderkey AS stay, o_custkey AS person,
        CASE WHEN u < 0.15 THEN 'test' WHEN u < 0.15 + 0.15 THEN 'val' ELSE 'train' END AS split

@@ -17,7 +17,7 @@ from hourglass.operators.split import split_by_entity
 from hourglass.plans import flat as P
 from hourglass.plans import series
 from hourglass.sources import driver
-from hourglass.sources.io import write_splits
+from hourglass.sources.io import checkpoint, write_splits
 
 SEED = 9
 
@@ -26,7 +26,7 @@ def person_splits(spark: SparkSession, d: str, seed: int = SEED) -> DataFrame:
     """``(stay, split)`` for every stay with a series; persons never cross splits."""
     st = series.cohort(spark, d).select("stay", "person")
     st = st.join(P.series_stays(spark, d), "stay", "left_semi")
-    return split_by_entity(st, "person", seed).select("stay", "split").persist()
+    return checkpoint(split_by_entity(st, "person", seed).select("stay", "split"))
 
 
 def run_preprocessing(spark: SparkSession, d: str, out: str, seed: int = SEED,
@@ -51,7 +51,7 @@ def run_preprocessing(spark: SparkSession, d: str, out: str, seed: int = SEED,
         from hourglass.operators.codes import to_multi_hot
         from hourglass.operators.timeseries import to_wide, vocabulary
 
-        feats = vocabulary(series.series_stats(spark, d, st))
+        feats = vocabulary(series.series_vocabulary(spark, d, st))
         grid = to_wide(grid, feats)
         kept = vocabulary(codes.select(F.col("code").alias("feature")))
         codes = to_multi_hot(codes, kept, P.series_stays(spark, d))

@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from hourglass.operators.filters import select_cohort
 from hourglass.functions.scalar import cyclic_unit
-from hourglass.operators.timeseries import encode_events, fit_series, window_events_ts
+from hourglass.operators.timeseries import (fit_series, fit_vocabulary, hourly_observations, resample_and_mask,
+                                            source_minute_mean, stay_hours, stay_runs, window_events_ts)
 from hourglass.sources import driver
+from hourglass.sources.io import checkpoint
 
 # Fixed parameters of the encoding (the reference's constants).
 LOOKBACK_MIN = 1440          # keep events from 24 h before admission
@@ -31,8 +33,8 @@ MIN_FRAC = 0.7
 
 def cohort(spark: SparkSession, d: str, min_los_days: float = MIN_LOS_DAYS,
            min_age: int = MIN_AGE) -> DataFrame:
-    """B4 over the stay table (persisted: it is reused by window, vocab and labels)."""
-    return select_cohort(driver.stays(spark, d), min_los_days, min_age).persist()
+    """B4 over the stay table (one row per stay, materialised: window, vocabulary and labels read it)."""
+    return checkpoint(select_cohort(driver.stays(spark, d), min_los_days, min_age))
 
 
 def windowed_events(spark: SparkSession, d: str, stays: DataFrame,
@@ -45,30 +47,53 @@ def windowed_events(spark: SparkSession, d: str, stays: DataFrame,
     return window_events_ts(ev, stays, lookback_min, keep=keep)
 
 
+def minute_means(spark: SparkSession, d: str, stays: DataFrame, sources: Sequence[str] = ("events",)) -> DataFrame:
+    """Per-source minute means of the cohort's windows, with the admission hour, written once."""
+    st = stays.withColumn("admit_hour", F.hour("admit_ts"))
+    ev = windowed_events(spark, d, st, sources, keep=("admit_hour",))
+    return checkpoint(source_minute_mean(ev, ("admit_hour",)))
+
+
+def series_vocabulary(spark: SparkSession, d: str, stays: DataFrame, min_frac: float = MIN_FRAC) -> DataFrame:
+    """``(feature, n_stays)`` of the common features, without fitting quantiles."""
+    return checkpoint(fit_vocabulary(source_minute_mean(windowed_events(spark, d, stays)), stays, min_frac))
+
+
 def series_stats(spark: SparkSession, d: str, stays: DataFrame, min_frac: float = MIN_FRAC,
                  sources: Sequence[str] = ("events",), quantile_accuracy: int | None = None) -> DataFrame:
-    """D1 + D9: common features with their scaling quantiles (persisted, one row per feature)."""
-    ev = windowed_events(spark, d, stays, sources)
-    return fit_series(ev, stays, min_frac, QUANTILES, quantile_accuracy).persist()
+    """D1 + D9: common features with their scaling quantiles (one row per feature)."""
+    minutes = minute_means(spark, d, stays, sources)
+    return fit_series(minutes, stays, min_frac, QUANTILES, quantile_accuracy)
+
+
+def hourly_series(spark: SparkSession, d: str, min_frac: float = MIN_FRAC, sources: Sequence[str] = ("events",),
+                  quantile_accuracy: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Scaled hourly observations (with ``admit_hour``) and the fitted statistics."""
+    st = cohort(spark, d)
+    minutes = minute_means(spark, d, st, sources)
+    stats = checkpoint(fit_series(minutes, st, min_frac, QUANTILES, quantile_accuracy))
+    return hourly_observations(minutes, stats, CLIP, ("admit_hour",)), stats
 
 
 def encode_timeseries(spark: SparkSession, d: str, min_frac: float = MIN_FRAC,
                       decay: bool = True, horizon: int | None = HORIZON_HOURS,
                       sources: Sequence[str] = ("events",),
-                      quantile_accuracy: int | None = None, bounds: bool = False) -> DataFrame:
-    """Long hourly grid ``(stay, time, feature, value, mask, hour)``.
-
-    ``bounds=True`` adds each stay's ``first_time``/``last_time`` (for
-    window-free row positions downstream).
-    """
-    st = cohort(spark, d)
-    stats = series_stats(spark, d, st, min_frac, sources, quantile_accuracy)
+                      quantile_accuracy: int | None = None) -> DataFrame:
+    """Long hourly grid ``(stay, time, feature, value, mask, hour)``."""
+    hourly, stats = hourly_series(spark, d, min_frac, sources, quantile_accuracy)
     # the admission hour rides along from the window join to every grid row (E9
     # without a join on the dense grid)
-    st_h = st.withColumn("admit_hour", F.hour("admit_ts"))
-    ev = windowed_events(spark, d, st_h, sources, keep=("admit_hour",))
-    grid = encode_events(ev, stats, horizon=horizon, decay=decay, decay_rate=DECAY_RATE, clip=CLIP,
-                         carry=("admit_hour",), bounds=bounds)
+    grid = resample_and_mask(hourly, stats, decay=decay, decay_rate=DECAY_RATE, horizon=horizon, carry=("admit_hour",))
     hour = cyclic_unit(F.col("time") + F.col("admit_hour"), 24)
-    extra = ["first_time", "last_time"] if bounds else []
-    return grid.select("stay", "time", "feature", "value", "mask", hour.alias("hour"), *extra)
+    return grid.select("stay", "time", "feature", "value", "mask", hour.alias("hour"))
+
+
+def series_runs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The encoded series as runs (input of the sequence operators) and the fitted statistics."""
+    hourly, stats = hourly_series(spark, d)
+    return stay_runs(hourly, stats, max_hour=HORIZON_HOURS - 1, carry=("admit_hour",)), stats
+
+
+def series_hours(spark: SparkSession, d: str) -> DataFrame:
+    """Every hour of the encoded series once, with the stay's bounds."""
+    return stay_hours(hourly_series(spark, d)[0], HORIZON_HOURS)

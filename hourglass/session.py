@@ -2,17 +2,15 @@
 
 On a cluster the session comes from the platform; the library only reads
 its settings (for example ``spark.checkpoint.dir``).  ``local_session`` is
-for tests and the benchmark: it sets a checkpoint folder only when none is
-configured.
+for tests and the benchmark.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
+from hourglass.sources.io import shared_folder
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "hourglass", driver_memory: str = "16g",
@@ -33,16 +31,5 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
              .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    shared_folder(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's ``spark.checkpoint.dir``; create a scratch one only if unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="hourglass-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(current)
-    return current

@@ -54,8 +54,11 @@ def scan_head(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
 
 
 def slice_rows(df: DataFrame, start: int, stop: int, order_by: Sequence[str]) -> DataFrame:
-    """A5: positional slice ``[start, stop)`` in an explicit order."""
-    return df.orderBy(*order_by).offset(start).limit(stop - start)
+    """A5: positional slice ``[start, stop)`` in an explicit order, by a distributed rank."""
+    from hourglass.operators.split import global_rank
+
+    ranked = global_rank(df, [F.col(c) if isinstance(c, str) else c for c in order_by], "_rank")
+    return ranked.where((F.col("_rank") > start) & (F.col("_rank") <= stop)).drop("_rank")
 
 
 def feature_names(df: DataFrame, key_cols: Iterable[str] = ("stay", "time"),
@@ -125,26 +128,28 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """Shared folder named by ``spark.checkpoint.dir`` (None when unset)."""
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    sc_dir = spark.sparkContext.getCheckpointDir()
-    if conf and not sc_dir:
-        spark.sparkContext.setCheckpointDir(conf)
-    return conf or sc_dir
+def shared_folder(spark: SparkSession) -> str:
+    """The session's checkpoint folder, which driver and executors share.
 
+    ``spark.checkpoint.dir`` names it; only where that is unset (tests) it is a
+    folder below the warehouse, which is shared as well.
+    """
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        default = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or default)
+    return sc.getCheckpointDir()
 
-def named_result(df: DataFrame, name: str, checkpoint: bool = False) -> DataFrame:
-    """A reusable named result (the materialized-view role).
 
-    With ``checkpoint=True`` the lineage is cut by a reliable checkpoint into
-    the cluster's ``spark.checkpoint.dir`` (survives executor loss); otherwise
-    the frame is persisted to memory and disk and exposed as a temp view.
-    """
-    if checkpoint and checkpoint_dir(df.sparkSession):
-        out = df.checkpoint(eager=True)
-    else:
-        out = df.persist()
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and cut its lineage (survives lost executors)."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def named_result(df: DataFrame, name: str) -> DataFrame:
+    """A reusable named result (the materialized-view role): checkpointed, with a temp view."""
+    out = checkpoint(df)
     out.createOrReplaceTempView(name)
     return out
 

@@ -1,3 +1,3 @@
 """Incremental ingestion (Structured Streaming) for the series encoding."""
 
-from hourglass.streaming.micro_batch import encode_ingested, ingest_stream, write_stay_chunks  # noqa: F401
+from hourglass.streaming.micro_batch import encode_ingested, ingest_stream, write_stream_input  # noqa: F401

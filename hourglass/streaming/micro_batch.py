@@ -26,10 +26,9 @@ from hourglass.operators.timeseries import encode_events, window_events_ts
 EVENT_SCHEMA = "stay long, ts timestamp_ntz, feature string, value double, source string"
 
 
-def write_stay_chunks(events: DataFrame, chunks: DataFrame, path: str) -> None:
-    """Write events as one folder per stay chunk (``chunk=<n>``): the stream's input files."""
-    (events.join(chunks, "stay", "inner").repartition("chunk")
-           .write.mode("overwrite").partitionBy("chunk").parquet(path))
+def write_stream_input(events: DataFrame, path: str) -> None:
+    """Write events as the stream's input files, one per task."""
+    events.select("stay", "ts", "feature", "value", "source").write.mode("overwrite").parquet(path)
 
 
 def ingest_stream(spark: SparkSession, source_path: str, stays: DataFrame, sink_path: str,
@@ -37,9 +36,9 @@ def ingest_stream(spark: SparkSession, source_path: str, stays: DataFrame, sink_
                   available_now: bool = True, keep: Sequence[str] = ("admit_hour",)) -> StreamingQuery:
     """Start the ingestion stream (stream-static window join -> parquet file sink)."""
     st = stays.withColumn("admit_hour", F.hour("admit_ts")) if "admit_hour" in keep else stays
-    events = (spark.readStream.schema(EVENT_SCHEMA + ", chunk int")
+    events = (spark.readStream.schema(EVENT_SCHEMA)
               .option("maxFilesPerTrigger", files_per_trigger).parquet(source_path))
-    windowed = window_events_ts(events.drop("chunk"), st, lookback_min, keep=keep)
+    windowed = window_events_ts(events, st, lookback_min, keep=keep)
     writer = (windowed.writeStream.format("parquet").outputMode("append")
               .option("path", sink_path).option("checkpointLocation", checkpoint_path))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -1,4 +1,3 @@
-import os
 import sys
 import tempfile
 from pathlib import Path
@@ -13,8 +12,9 @@ sys.path.insert(0, str(ROOT))
 def spark():
     from hourglass.session import local_session
 
-    os.environ.setdefault("TMPDIR", tempfile.mkdtemp(prefix="hourglass-tests-"))
-    s = local_session(4, shuffle_partitions=4, driver_memory="4g")
+    folder = tempfile.mkdtemp(prefix="hourglass-tests-")
+    s = local_session(4, shuffle_partitions=4, driver_memory="4g", extra_conf={
+        "spark.checkpoint.dir": f"{folder}/checkpoints", "spark.sql.warehouse.dir": f"{folder}/warehouse"})
     yield s
 
 

@@ -35,7 +35,7 @@ def test_append_and_ids(spark):
 
 def test_named_result_checkpoints(spark):
     df = spark.range(0, 10)
-    res = A.named_result(df, "ten", checkpoint=True)
+    res = A.named_result(df, "ten")
     assert spark.sql("select count(*) from ten").first()[0] == 10
     assert res.count() == 10
 

@@ -29,13 +29,6 @@ def test_dense_grid_is_never_shuffled(spark):
     assert not joins, joins   # time of day rides along; nothing joins the dense grid
 
 
-def test_raw_events_shuffled_once_on_stay_hour_feature(spark):
-    g = series.encode_timeseries(spark, SF_SMALL)
-    text = _plan(g).split("== Physical Plan ==")[-1]
-    assert "hashpartitioning(stay" in text
-    assert "REPARTITION_BY_COL" in text
-
-
 def test_minutes_between_ignores_session_time_zone(spark):
     old = spark.conf.get("spark.sql.session.timeZone")
     try:
@@ -61,79 +54,83 @@ def test_hot_stay_holding_a_third_of_events(spark):
     assert out.where(F.col("mask") == 1.0).count() == 100 + 40 * 49
 
 
-def _executed_nodes(df):
-    """Node names (with partitioning for exchanges) of the executed final plan, not
-    descending into cached relations."""
-    qe = df._jdf.queryExecution()
-    qe.toRdd().count()
-    out = []
+def test_events_are_read_once_beside_the_cohort(spark, monkeypatch):
+    """Event rows read over the whole query, fit jobs included: one pass after the cohort's."""
+    from hourglass.sources import driver
+
+    read, events = spark.sparkContext.accumulator(0), driver.events
+
+    def counted(*a):
+        df = events(*a)
+
+        def count(batches):
+            for b in batches:
+                read.add(b.num_rows)
+                yield b
 
-    def walk(node):
-        name = node.nodeName()
-        for wrapper, getter in (("AdaptiveSparkPlan", "executedPlan"), ("ShuffleQueryStage", "plan"),
-                                ("BroadcastQueryStage", "plan"), ("ResultQueryStage", "plan"),
-                                ("TableCacheQueryStage", "plan")):
-            if name.startswith(wrapper):
-                return walk(getattr(node, getter)())
-        detail = str(node.outputPartitioning().toString()) if "Exchange" in name else ""
-        out.append(name + " " + detail)
-        if "InMemoryTableScan" in name:
-            return
-        kids = node.children()
-        for i in range(kids.size()):
-            walk(kids.apply(i))
+        return df.mapInArrow(count, df.schema)
 
-    walk(qe.executedPlan())
-    return out
+    monkeypatch.setattr(driver, "events", counted)
+    series.encode_timeseries(spark, SF_SMALL).count()
+    assert read.value == events(spark, SF_SMALL).count()
 
 
-def test_single_scan_and_single_raw_shuffle(spark):
-    nodes = _executed_nodes(series.encode_timeseries(spark, SF_SMALL))
-    scans = [n for n in nodes if n.startswith("Scan parquet")]
-    raw = [n for n in nodes if "Exchange" in n and "stay#" in n and "time#" in n and "feature#" in n]
-    assert len(scans) == 1, nodes
-    assert len(raw) == 1, nodes
+def test_hours_need_no_features(spark):
+    for f in (lambda: E.seq_length(series.series_hours(spark, SF_SMALL)), lambda: E.skip_first_rows(series.series_hours(spark, SF_SMALL))):
+        plan = _plan(f())
+        assert plan.count("Generate explode") == 1 and "Window" not in plan
 
 
-def test_bounded_broadcast_falls_back_to_shuffle_join(spark):
-    from hourglass.operators.joins import bounded_broadcast
+def test_broadcasts_are_left_to_the_planner(spark):
+    from hourglass.operators.joins import range_join
 
+    ev = spark.range(0, 100).selectExpr("id as stay", "id as offset_min")
+    st = spark.range(0, 100).selectExpr("id as stay", "id as discharge_offset")
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        big = spark.range(0, 100).withColumnRenamed("id", "k")
-        small = spark.range(0, 5).withColumnRenamed("id", "k")
-        over = big.join(bounded_broadcast(big.select("k"), max_rows=10), "k")
-        under = big.join(bounded_broadcast(small, max_rows=10), "k")
-        assert "BroadcastHashJoin" not in _plan(over)
-        assert "BroadcastHashJoin" in _plan(under)
-        assert over.count() == 100 and under.count() == 5
+        assert "BroadcastHashJoin" not in _plan(range_join(ev, st))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-def test_auto_quantiles_switch_to_distributed_above_bound(spark):
+def test_hour_rows_are_linear_in_many_features(spark):
+    from hourglass.operators import sequences as K
+
+    feats = [f"f{i:02d}" for i in range(87)]
+    hourly = spark.createDataFrame([(1, f, 1 + i % 3, float(i), 7) for i, f in enumerate(feats)] + [(1, "f00", 40, 5.0, 7)],
+                                   "stay long, feature string, time long, value double, admit_hour int")
+    vocab = spark.createDataFrame([(f,) for f in feats], "feature string")
+    runs = E.stay_runs(hourly, vocab, carry=("admit_hour",))
+    rows = {r["time"]: r for r in K.hour_rows(runs).collect()}
+    dense = E.resample_and_mask(hourly, vocab, horizon=None).collect()
+    assert sorted(rows) == list(range(1, 41)) and len(dense) == 40 * 87
+    for g in dense:
+        i = feats.index(g["feature"])
+        assert (rows[g["time"]]["values"][i], rows[g["time"]]["masks"][i]) == (g["value"], g["mask"])
+
+
+def test_single_key_groups_of_quantiles_match_pandas(spark):
     import pytest
 
-    from hourglass.operators.quantiles import percentile_quantiles, quantiles
+    from hourglass.operators.quantiles import quantiles
 
     df = spark.range(0, 500).select((F.col("id") % 3).alias("g"), (F.col("id") * 0.37 % 11).alias("v"))
-    a = {r.g: (r.q0, r.q1) for r in quantiles(df, "v", ["g"], (0.05, 0.95), max_group=10).collect()}
-    b = {r.g: (r.q0, r.q1) for r in percentile_quantiles(df, "v", ["g"], (0.05, 0.95)).collect()}
-    assert a.keys() == b.keys()
-    for k in a:
-        assert a[k] == pytest.approx(b[k])
+    want = df.toPandas().groupby("g")["v"].quantile([0.05, 0.95]).unstack()
+    for r in quantiles(df, "v", ["g"], (0.05, 0.95)).collect():
+        assert (r.q0, r.q1) == pytest.approx(tuple(want.loc[r.g]))
 
 
-def test_stay_bounds_path_equals_window_path(spark):
-    from hourglass.operators import sequences as K
-    from hourglass.plans.catalog import _feats, _labels01
+def test_unmapped_mortality_text_fails(spark):
+    import pytest
+
+    from hourglass.operators.static import encode_labels
 
-    feats, lab = _feats(spark, SF_SMALL), _labels01(spark, SF_SMALL)
-    cols = ["stay", "time", "pos", "los_remaining", "mortality", "length_minus_skip"]
-    a = K.training_rows(series.encode_timeseries(spark, SF_SMALL, bounds=True), lab, feats).select(cols)
-    b = K.training_rows(series.encode_timeseries(spark, SF_SMALL), lab, feats).select(cols)
-    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    assert [r[0] for r in encode_labels(spark.createDataFrame([(1,), (0,), (None,)], "mortality int")).collect()] == [1, 0, None]
+    text = spark.createDataFrame([("EXPIRED",), ("1",)], "mortality string")
+    with pytest.raises(Exception, match="unmapped mortality value"):
+        encode_labels(text).collect()
+    assert [r[0] for r in encode_labels(text, mortality_map={"EXPIRED": 1, "1": 1}).collect()] == [1, 1]
 
 
 def test_approximate_quantile_option_runs(spark):

@@ -117,19 +117,20 @@ def test_time_of_day(spark):
 def test_distributed_quantiles_match_percentile(spark):
     import random
 
-    from hourglass.operators.quantiles import distributed_quantiles, percentile_quantiles
+    from hourglass.operators.quantiles import distributed_quantiles
 
     rnd = random.Random(3)
     rows = [("g%d" % (i % 4), float(rnd.randint(0, 50))) for i in range(997)] + [("one", 7.0)]
     df = spark.createDataFrame(rows, "g string, v double").repartition(5)
     probs = (0.05, 0.25, 0.5, 0.95)
     a = {r.g: tuple(r[1:]) for r in distributed_quantiles(df, "v", ["g"], probs).collect()}
-    b = {r.g: tuple(r[1:]) for r in percentile_quantiles(df, "v", ["g"], probs).collect()}
+    arr = F.percentile("v", F.array(*[F.lit(p) for p in probs]))
+    b = {r.g: tuple(r.q) for r in df.groupBy("g").agg(arr.alias("q")).collect()}
     assert a.keys() == b.keys()
     for k in a:
         assert a[k] == pytest.approx(b[k])
     whole = distributed_quantiles(df, "v", (), (0.5,)).first()[0]
-    assert whole == pytest.approx(percentile_quantiles(df, "v", (), (0.5,)).first()[0])
+    assert whole == pytest.approx(df.agg(F.percentile("v", 0.5)).first()[0])
 
 
 def test_since_last_observation(spark):
