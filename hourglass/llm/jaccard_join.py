@@ -38,7 +38,7 @@ from hourglass.llm.textvec import MIX, P, hashed_shingles, hashed_words, lower_a
 SHINGLE = 5
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 75
-#: Repeats within a batch from which on a token may be frequent, and how many are kept (8 bytes each).
+#: Repeats within batches from which on a token may be frequent, and how many are kept (8 bytes each).
 LEAST_COUNT, MOST_FREQUENT = 2, 1_000_000
 #: Largest set whose frequent tokens are keys in pairs only.
 SHORT = 40
@@ -95,6 +95,27 @@ def _describe(docs: DataFrame, seed: int) -> DataFrame:
     return docs.mapInPandas(run, "kind int, _key string, tid long, n long, node long, check long")
 
 
+def frequent_tokens(repeats: DataFrame, most: int = MOST_FREQUENT) -> np.ndarray:
+    """The tokens with the greatest counts, least first: all from a count on, ``most`` at most.
+
+    The count comes from a histogram (exact below 1024, eight bins an octave above), so the driver sees
+    a thousand bins and then ``most`` numbers at most, never a candidate more.
+    """
+    counts = checkpoint(repeats.groupBy("node").agg(F.sum("n").alias("c")).where(F.col("c") >= LEAST_COUNT).withColumn(
+        "bin", F.when(F.col("c") < 1024, F.col("c")).otherwise(F.floor(944 + 8 * F.log2("c"))).cast("int")))
+    left, least = most, None
+    for r in sorted(counts.groupBy("bin").count().collect(), reverse=True):
+        left -= r["count"]
+        if left < 0:
+            break
+        least = r["bin"]
+    if least is None:
+        return np.empty(0, dtype=np.uint64)
+    top = counts.where(F.col("bin") >= least).select("node", "bin").toPandas()
+    order = np.lexsort((top["node"].to_numpy(), top["bin"].to_numpy()))
+    return top["node"].to_numpy(np.int64)[order].astype(np.uint64)
+
+
 def _ordered(s: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, int]:
     """The set in global order (rare by hash, then frequent by rank) and its number of rare tokens."""
     rare = rank < 0
@@ -281,9 +302,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
             break
     else:
         raise RuntimeError("64-bit names of sets collide under every seed")
-    frequent = (told.where("kind = 1").groupBy("node").agg(F.sum("n").alias("c")).where(F.col("c") >= LEAST_COUNT)
-                    .orderBy(F.desc("c"), "node").limit(MOST_FREQUENT).select("node").toPandas())
-    frequent = frequent["node"].to_numpy(np.int64).astype(np.uint64)[::-1]  # the most frequent last
+    frequent = frequent_tokens(told.where("kind = 1"))
     tokens = classes.agg(F.sum(F.col("tokens") / F.col("copies"))).first()[0] or 0
     parts = max(64, math.ceil(tokens * (100 - PERCENT) / 100 / PART_TOKENS))
 

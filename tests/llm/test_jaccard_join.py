@@ -61,6 +61,20 @@ def test_linked_sets_always_share_a_key():
         assert keys[0] & keys[1] or (len(x) < 3 and x.tolist() == y.tolist())
 
 
+def test_frequent_tokens_keep_whole_counts(spark):
+    rows = [(t, 1 + t % 7) for t in range(2000)] + [(10_000 + t, 2000 + 900 * t) for t in range(30)] + [(1, 5)]
+    df = spark.createDataFrame(rows, "node long, n long")
+    count = {}
+    for t, n in rows:
+        count[t] = count.get(t, 0) + n
+    for most in (0, 5, 100, 400, 10**6):
+        got = J.frequent_tokens(df, most).tolist()
+        assert len(got) <= most and all(count[t] >= J.LEAST_COUNT for t in got)
+        left = [c for t, c in count.items() if t not in set(got) and c >= J.LEAST_COUNT]
+        assert not got or not left or max(left) <= 1.1 * min(count[t] for t in got)
+    assert len(got) == sum(c >= J.LEAST_COUNT for c in count.values())
+
+
 def test_large_groups_do_not_make_pairs(spark, monkeypatch):
     base = " ".join(words(60))
     texts = [base] * 150 + [edited(base, 1) for _ in range(150)] + [" ".join(words(60)) for _ in range(20)]
