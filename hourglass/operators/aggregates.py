@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourglass.functions import scalar as H
+from hourglass.operators.joins import cross_scalar
 
 
 def count_distinct(df: DataFrame, col: str, approx_rsd: float | None = None) -> DataFrame:
@@ -22,28 +23,6 @@ def count_distinct(df: DataFrame, col: str, approx_rsd: float | None = None) ->
     return df.agg(agg.cast("long").alias("n"))
 
 
-def common_features(events: DataFrame, cohort: DataFrame, min_frac: float,
-                    key: str = "stay", feature: str = "feature") -> DataFrame:
-    """Features seen in strictly more than ``min_frac`` of the cohort's stays.
-
-    The denominator is the number of distinct cohort stays (a scalar
-    subquery); events outside the cohort are ignored.  Output
-    ``(feature, n_stays)``.
-    """
-    ev = events.join(cohort.select(key).distinct(), key, "left_semi")
-    per = ev.groupBy(feature).agg(F.count_distinct(key).cast("long").alias("n_stays"))
-    total = cohort.agg(F.count_distinct(key).cast("long").alias("n_cohort"))
-    return (per.crossJoin(F.broadcast(total))
-               .where(F.col("n_stays") > F.col("n_cohort") * F.lit(float(min_frac)))
-               .select(feature, "n_stays"))
-
-
-def avg_obs_per_stay(events: DataFrame, key: str = "stay", feature: str = "feature") -> DataFrame:
-    """D3: mean over stays of the per-stay observation count, per feature."""
-    per_stay = events.groupBy(feature, key).agg(F.count(F.lit(1)).alias("n_obs"))
-    return per_stay.groupBy(feature).agg(F.avg("n_obs").alias("avg_obs"))
-
-
 def common_features_dense(events: DataFrame, cohort: DataFrame, min_frac: float,
                           min_avg_obs: float, key: str = "stay",
                           feature: str = "feature") -> DataFrame:
@@ -57,7 +36,7 @@ def common_features_dense(events: DataFrame, cohort: DataFrame, min_frac: float,
     per = per_stay.groupBy(feature).agg(F.count(F.lit(1)).cast("long").alias("n_stays"),
                                         F.avg("n_obs").alias("avg_obs"))
     total = cohort.agg(F.count_distinct(key).cast("long").alias("n_cohort"))
-    return (per.crossJoin(F.broadcast(total))
+    return (cross_scalar(per, total)
                .where((F.col("n_stays") > F.col("n_cohort") * F.lit(float(min_frac)))
                       & (F.col("avg_obs") > F.lit(float(min_avg_obs))))
                .select(feature, "n_stays", "avg_obs"))
@@ -173,10 +152,3 @@ def row_sum_score(df: DataFrame, keys: Sequence[str], components: Sequence[str],
                  .select(*keys, F.lit(score_name).alias(feature),
                          H.zero_to_null(F.col(value)).alias(value)))
     return rest.select(*keys, feature, value).unionByName(score)
-
-
-def mean_abs_nonzero(df: DataFrame, keys: Sequence[str], value: str = "attribution") -> DataFrame:
-    """Sum |v| over rows / number of non-zero rows, per key (0 rows -> NULL)."""
-    v = F.col(value)
-    return df.groupBy(*keys).agg(
-        F.try_divide(F.sum(F.abs(v)), F.count(F.when(v != 0, F.lit(1)))).alias("mean_abs"))

@@ -98,11 +98,3 @@ def single_stay_profile(attr: DataFrame, stay, features: Sequence[str],
         aggs.append(F.first(F.when(F.col("feature") == f, F.col(attribution)), ignorenulls=True)
                     .alias(f + "_attr"))
     return one.groupBy("time").agg(*aggs)
-
-
-def zero_to_missing(attr: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Zeros are treated as missing (NULL) in attribution tables."""
-    out = attr
-    for c in cols:
-        out = out.withColumn(c, H.zero_to_null(c))
-    return out

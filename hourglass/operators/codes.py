@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourglass.functions import scalar as H
-from hourglass.operators.filters import prefix_family
+from hourglass.operators.filters import early_entry, prefix_family
+from hourglass.operators.joins import cross_scalar, left_zero_fill
 from hourglass.sources.io import checkpoint
 
 KEY = "stay"
@@ -37,7 +38,7 @@ def code_union(sources: Sequence[DataFrame], cohort: DataFrame | None = None,
     """G1 + B9 (+ C4): distinct ``(stay, path)`` entered before ``early_minutes``."""
     parts = []
     for s in sources:
-        x = s if early_minutes is None else s.where(F.col("offset_min") < early_minutes)
+        x = s if early_minutes is None else early_entry(s, hours=early_minutes / 60)
         parts.append(x.select(KEY, "path"))
     out = parts[0]
     for p in parts[1:]:
@@ -138,7 +139,7 @@ def rare_codes(stay_codes: DataFrame, n_stays: DataFrame | int, min_frac: float
         out = prev.withColumn("cut_off", F.lit(int(round(min_frac * n_stays))).cast("long"))
     else:
         c = n_stays.select(F.bround(F.col("n") * F.lit(float(min_frac))).cast("long").alias("cut_off"))
-        out = prev.crossJoin(F.broadcast(c))
+        out = cross_scalar(prev, c)
     return out.where(F.col("n_stays") <= F.col("cut_off"))
 
 
@@ -165,7 +166,7 @@ def encode_codes(pairs: DataFrame, series_stays: DataFrame | None = None, min_fr
 def codes_per_stay(kept: DataFrame, stays: DataFrame) -> DataFrame:
     """Number of kept codes per stay, 0 for stays without codes."""
     counts = kept.groupBy(KEY).agg(F.count(F.lit(1)).cast("long").alias("n_codes"))
-    return stays.select(KEY).distinct().join(counts, KEY, "left").na.fill(0, ["n_codes"])
+    return left_zero_fill(stays.select(KEY).distinct(), counts, KEY)
 
 
 def collect_codes(kept: DataFrame) -> DataFrame:

@@ -32,14 +32,22 @@ def drop_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.drop(*cols)
 
 
+def anchor_age(age: str, year: str, admitted: str) -> F.Column:
+    """Age at admission from the age in an anchor year."""
+    return F.year(admitted) - F.col(year) + F.col(age)
+
+
 def select_cohort(stays: DataFrame, min_los_days: float = 5.0 / 24.0, min_age: int = 17,
                   age_col: str = "age", los_col: str = "los_days",
-                  extra: F.Column | None = None) -> DataFrame:
-    """``los > min_los_days`` and ``age > min_age`` (age text parsed with H3).
+                  extra: F.Column | None = None, age: F.Column | None = None) -> DataFrame:
+    """``los > min_los_days`` and ``age > min_age``.
 
+    The age is ``age_col``'s text parsed with H3, or the column ``age``, for
+    example :func:`anchor_age`.
     ``min_los_days=0`` reproduces the integer division of the source SQL.
     """
-    cond = (F.col(los_col) > F.lit(float(min_los_days))) & (H.age_int(age_col) > F.lit(min_age))
+    age = H.age_int(age_col) if age is None else age
+    cond = (F.col(los_col) > F.lit(float(min_los_days))) & (age > F.lit(min_age))
     if extra is not None:
         cond = cond & extra
     return stays.where(cond)
@@ -64,7 +72,7 @@ def in_list(df: DataFrame, col: str, values: Sequence, negate: bool = False) ->
     return df.where(~cond if negate else cond)
 
 
-def early_entry(df: DataFrame, col: str = "offset_min", hours: int = 5) -> DataFrame:
+def early_entry(df: DataFrame, col: str = "offset_min", hours: float = 5) -> DataFrame:
     """Rows entered strictly before ``hours`` hours (``offset < 60 * hours``)."""
     return df.where(F.col(col) < 60 * hours)
 

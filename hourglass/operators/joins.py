@@ -64,11 +64,6 @@ def cross_scalar(df: DataFrame, stats: DataFrame) -> DataFrame:
     return df.crossJoin(F.broadcast(stats))
 
 
-def vocab_join(events: DataFrame, vocab: DataFrame, key: str = "feature") -> DataFrame:
-    """Keep events whose label is in the vocabulary."""
-    return events.join(vocab.select(key), key, "left_semi")
-
-
 def item_lookup(events: DataFrame, items: DataFrame, key: str = "itemid") -> DataFrame:
     """C11: item id -> label dictionary join."""
     return events.join(items, key, "inner")

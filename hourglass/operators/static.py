@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourglass.functions import scalar as H
+from hourglass.operators.joins import cross_scalar
 KEY = "stay"
 MAX_ONE_HOT_CATEGORIES = 10_000
 
@@ -83,7 +84,7 @@ def standardise(df: DataFrame, col: str, clip: float | None = 4.0) -> DataFrame:
     z = F.try_divide(F.col(col) - F.col("_mean"), F.col("_std"))
     if clip is not None:
         z = H.clip(z, -clip, clip)
-    return df.crossJoin(F.broadcast(stats)).withColumn(col, z).drop("_mean", "_std")
+    return cross_scalar(df, stats).withColumn(col, z).drop("_mean", "_std")
 
 
 def quantile_scale(df: DataFrame, cols: Sequence[str], clip: float | None = 4.0,
@@ -98,7 +99,7 @@ def quantile_scale(df: DataFrame, cols: Sequence[str], clip: float | None = 4.0,
     q = quantiles(long, "_v", ["_c"], probs, ("_lo", "_hi"))
     of = lambda c, side: F.max(F.when(F.col("_c") == c, F.col(side)))
     stats = q.agg(*[of(c, side).alias(f"{side}_{c}") for c in cols for side in ("_lo", "_hi")])
-    out = df.crossJoin(F.broadcast(stats))  # one row
+    out = cross_scalar(df, stats)
     for c in cols:
         x = H.scale_between(F.col(c).cast("double"), F.col(f"_lo_{c}"), F.col(f"_hi_{c}"))
         if clip is not None:

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourglass.functions import scalar as H
+from hourglass.operators.joins import cross_scalar
 from hourglass.sources.io import checkpoint
 KEY = "stay"
 
@@ -297,7 +298,7 @@ def fit_vocabulary(minutes: DataFrame, cohort: DataFrame, min_frac: float) -> Da
     """``(feature, n_stays)`` of the features that more than ``min_frac`` of the cohort's stays have."""
     cov = minutes.groupBy("feature").agg(F.count_distinct(KEY).cast("long").alias("n_stays"))
     total = cohort.agg(F.count_distinct(KEY).cast("long").alias("n_cohort"))
-    return (cov.crossJoin(F.broadcast(total))  # one row
+    return (cross_scalar(cov, total)
                .where(F.col("n_stays") > F.col("n_cohort") * F.lit(float(min_frac)))
                .select("feature", "n_stays"))
 

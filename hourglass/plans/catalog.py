@@ -600,11 +600,12 @@ def q_per_stay_attribution(spark, d):
 @query("single_stay_profile")
 def q_single_stay_profile(spark, d):
     a = _attr(spark, d)
-    lengths = E.seq_length(a)
-    top = lengths.orderBy(F.desc("length"), F.asc("stay")).limit(1)  # the profiled stay
-    feats = a.select("feature").distinct().orderBy("feature").limit(6)  # six features by name
-    one = a.join(top.select("stay"), "stay", "left_semi").join(feats, "feature", "left_semi")
-    return one.select("time", "feature", r6("value"), r6("attribution"))
+    top = E.seq_length(a).orderBy(F.desc("length"), F.asc("stay")).first()["stay"]  # the profiled stay
+    feats = [r[0] for r in a.select("feature").distinct().orderBy("feature").limit(6).collect()]  # six features by name
+    w = M.single_stay_profile(a, top, feats)
+    cell = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), r6(f"`{f}_value`", "value"),
+                                        r6(f"`{f}_attr`", "attribution")) for f in feats]))
+    return w.select("time", cell.alias("_c")).select("time", "_c.*")
 
 
 @query("drop_zero_total_features")
@@ -776,6 +777,31 @@ def q_remove_padding(spark, d):
     return _cells(rows, feats, "stay", "pos", "time", "hour")
 
 
+@query("cohort_anchor_age")
+def q_cohort_anchor_age(spark, d):
+    """B4 with the age taken in an anchor year (1 to 3 years before or after the admission)."""
+    st = driver.stays(spark, d).withColumns({
+        "anchor_age": (F.col("person") + 5).cast("int"), "anchor_year": (F.lit(2021) + F.col("person") % 7).cast("int")})
+    out = B.select_cohort(st, series.MIN_LOS_DAYS, series.MIN_AGE, age=B.anchor_age("anchor_age", "anchor_year", "admit_ts"))
+    return out.select("stay", "person", r6("los_days"))
+
+
+@query("union_all")
+def q_union_all(spark, d):
+    """Two tables under common names; a column that one lacks is NULL."""
+    cust = B.rename(driver._t(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment"),
+                    {"c_custkey": "id", "c_nationkey": "nation"})
+    supp = B.rename(driver._t(spark, d, "supplier").select("s_suppkey", "s_nationkey"), {"s_suppkey": "id", "s_nationkey": "nation"})
+    return B.union_all([cust, supp])
+
+
+@query("display_name")
+def q_display_name(spark, d):
+    cust = driver._t(spark, d, "customer")
+    shown = M.display_name("c_mktsegment", {"AUTOMOBILE": "Cars", "BUILDING": "Construction"})
+    return cust.groupBy(shown.alias("segment")).agg(F.count(F.lit(1)).cast("long").alias("n"))
+
+
 @query("dropped_families")
 def q_dropped_families(spark, d):
     """Code strings of no known family, with some of each kind made from the customers."""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hourglass.operators.joins import semi_join
 from hourglass.operators.static import FlatSpec, encode_flat, encode_labels
 from hourglass.plans import series
+from hourglass.functions.scalar import to_float
 from hourglass.sources import driver
 from hourglass.sources.io import checkpoint
 
@@ -58,5 +59,5 @@ def encoded_labels(spark: SparkSession, d: str) -> DataFrame:
 def melt(df: DataFrame, key: str = "stay") -> DataFrame:
     """Wide -> long ``(key, feature, value double)`` for comparison and storage."""
     cols = [c for c in df.columns if c != key]
-    wide = df.select(key, *[F.col(f"`{c}`").cast("double").alias(c) for c in cols])
+    wide = df.select(key, *[to_float(F.col(f"`{c}`")).alias(c) for c in cols])
     return wide.unpivot([key], cols, "feature", "value")

@@ -902,6 +902,18 @@ ORACLE["remove_padding"] = with_("encoded", "hrs") + f"""
 SELECT e.stay, h.pos, {r6('e.time / 24.0', 'time')}, {r6('e.hour', 'hour')}, e.feature, {r6('e.value', 'value')}, {r6('e.mask', 'mask')}
 FROM encoded e JOIN hrs h ON e.stay = h.stay AND e.time = h.time"""
 
+ORACLE["cohort_anchor_age"] = with_("stays") + f"""
+SELECT stay, person, {r6('los_days', 'los_days')} FROM stays
+WHERE los_days > 5.0 / 24.0 AND year(admit_ts) - (2021 + person % 7) + person + 5 > 17"""
+
+ORACLE["union_all"] = """
+SELECT c_custkey AS id, c_nationkey AS nation, c_mktsegment FROM customer
+UNION ALL SELECT s_suppkey, s_nationkey, NULL FROM supplier"""
+
+ORACLE["display_name"] = """
+SELECT CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Cars' WHEN 'BUILDING' THEN 'Construction' ELSE c_mktsegment END AS segment,
+       count(*) AS n FROM customer GROUP BY 1"""
+
 ORACLE["dropped_families"] = """
 SELECT count(DISTINCT CASE WHEN c_custkey % 3 = 0 THEN 'notes/Other/' ELSE 'admission other|' END || c_mktsegment) AS n_strings,
        count(*) AS n_pairs FROM customer WHERE c_custkey % 3 <> 2"""

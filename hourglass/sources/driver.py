@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourglass.functions import scalar as H
+from hourglass.operators.joins import star_join
 from hourglass.sources.io import scan_parquet
 
 # Fixed values of the mapping (shared with the oracle SQL).
@@ -78,21 +79,6 @@ def events(spark: SparkSession, d: str) -> DataFrame:
             .where(F.col("feature").isNotNull()))
 
 
-def props_events(spark: SparkSession, d: str) -> DataFrame:
-    """Second long source: the ``k`` property, under the same feature labels.
-
-    Same-named features from two sources share one column after stacking
-    (like a measurement charted in two tables), which exercises the
-    per-source minute mean followed by the mean across sources.
-    """
-    ev = _t(spark, d, "events")
-    feature = F.concat(F.col("event_type"), F.lit("_"),
-                       F.pmod(event_k(), F.lit(FEATURE_BUCKETS)).cast("string"))
-    return (ev.select(F.col("user_id").alias("stay"), "ts", feature.alias("feature"),
-                      event_k().cast("double").alias("value"), F.lit("props").alias("source"))
-            .where(F.col("feature").isNotNull()))
-
-
 def event_sources(spark: SparkSession, d: str, sources=("events", "props")) -> DataFrame:
     """Several long sources from ONE scan of ``events``.
 
@@ -130,10 +116,10 @@ def flat(spark: SparkSession, d: str, stay_table: DataFrame | None = None) -> Da
     cust = _t(spark, d, "customer")
     nation = _t(spark, d, "nation")
     region = _t(spark, d, "region")
-    # nation (25 rows) and region (5 rows) are fixed-size dimensions: broadcast is bounded.
-    j = (cust.join(F.broadcast(nation), cust.c_nationkey == nation.n_nationkey)
-             .join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
-             .join(st, cust.c_custkey == st.stay))
+    # nation (25 rows) and region (5 rows) do not grow with the data
+    j = star_join(cust, [(nation, cust.c_nationkey == nation.n_nationkey, True),
+                         (region, nation.n_regionkey == region.r_regionkey, True),
+                         (st, cust.c_custkey == st.stay, False)], distinct=False)
     seg = F.col("c_mktsegment")
     return j.select(
         "stay",

@@ -120,7 +120,7 @@ def write_ids(df: DataFrame, path: str, key: str = "stay") -> DataFrame:
     """A10: persist the distinct ids of a table and return the persisted copy."""
     ids = df.select(key).distinct()
     write_table(ids, path)
-    return ids.sparkSession.read.parquet(path)
+    return read_ids(ids.sparkSession, path)
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:

@@ -30,7 +30,15 @@ def test_append_and_ids(spark):
     A.append_table(df, out + "/t")
     assert spark.read.parquet(out + "/t").count() == 6
     ids = A.write_ids(spark.read.parquet(out + "/t"), out + "/ids")
-    assert ids.count() == 3
+    assert sorted(r.stay for r in ids.collect()) == [0, 1, 2]
+    assert sorted(r.stay for r in A.read_ids(spark, out + "/ids").collect()) == [0, 1, 2]
+
+
+def test_union_splits_tags_and_fills(spark):
+    a = spark.createDataFrame([(1, 0.5)], "stay long, v double")
+    b = spark.createDataFrame([(2, "x")], "stay long, w string")
+    rows = sorted((r["split"], r["stay"], r["v"], r["w"]) for r in A.union_splits({"train": a, "test": b}).collect())
+    assert rows == [("test", 2, None, "x"), ("train", 1, 0.5, None)]
 
 
 def test_named_result_checkpoints(spark):
