@@ -24,6 +24,7 @@ between components is lost.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourglass.llm.common import checkpoint
+from hourglass.llm.common import checkpoint, shared_dir
 from hourglass.llm.components import connected_components
 from hourglass.llm.textvec import MIX, P, hashed_shingles, hashed_words, lower_ascii
 
@@ -44,6 +45,8 @@ LEAST_COUNT, MOST_FREQUENT = 2, 1_000_000
 SHORT = 40
 #: Prefix tokens in one part of the index of rare tokens.
 PART_TOKENS = 1_000_000
+#: Cells of the filter that keeps unwanted texts out of a shuffle (its size is fixed, whatever the data).
+SIEVE = 1 << 18
 #: Rounds of pivot comparisons before what is left is compared pair by pair.
 ROUNDS = 1
 
@@ -267,18 +270,28 @@ def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs whose whole sets link."""
+    spark = docs.sparkSession
     pairs = checkpoint(pairs)
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = nodes.join(classes, "node").select("node", F.col("first.tid").alias("tid"), F.col("first._key").alias("_k"))
+    wanted = checkpoint(nodes.join(classes, "node").select(
+        "node", F.col("first.tid").alias("_tid"), F.col("first._key").alias("_k"), _sieve(F.col("first.tid")).alias("_sieve")))
+    # a filter of at most SIEVE rows keeps most texts that nobody wants out of the shuffle
+    near = docs.withColumn("_sieve", _sieve(F.col("tid"))).join(F.broadcast(wanted.select("_sieve").distinct()), "_sieve", "left_semi")
     # one row per node: its first document; equal rows of that document count once
-    texts = (docs.join(wanted.withColumnRenamed("tid", "_tid"), (F.col("tid") == F.col("_tid")) & F.col("_key").eqNullSafe(F.col("_k")))
+    texts = (near.join(wanted.drop("_sieve"), (F.col("tid") == F.col("_tid")) & F.col("_key").eqNullSafe(F.col("_k")))
                  .select("node", "_text").dropDuplicates(["node"]))
-    texts = checkpoint(texts)
+    path = f"{shared_dir(spark)}/texts-{uuid.uuid4().hex}"
+    texts.write.option("compression", "zstd").parquet(path)  # read twice, and half of a checkpoint's size
+    texts = spark.read.parquet(path)
     both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("_text").alias("ta")), "a")
                  .join(texts.select(F.col("node").alias("b"), F.col("_text").alias("tb")), "b"))
     return checkpoint(both.select("a", "b", "ta", "tb").mapInPandas(_verify, "a long, b long"))
 
 
+def _sieve(tid):
+    return F.pmod(tid, F.lit(SIEVE)).cast("int")
+
+
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
     """``(key, tid, n_shingles, component_id)``, one row per input row; ``tid`` is xxhash64 of the text.
 
