@@ -8,10 +8,11 @@ most frequent ones are the frequent class.  Every set is ordered rare tokens fir
 last by count.  Any common order is right; this one keeps shared passages out of the prefixes.
 
 *Keys.*  With ``p = n - ceil(0.75 n) + 1``, linked sets share a token of their first ``p``, and two
-tokens of their first ``p + 1``.  Every rare token of the extended prefix is a key; frequent tokens
-are keys in pairs for short sets (up to ``SHORT`` shingles, where boilerplate can fill a prefix) and
-alone for longer ones; sets up to a third longer than ``SHORT`` give both kinds, so that every pair
-that may link meets under one of its schemes.
+tokens of their first ``p + 1``, and l tokens of their first ``p + l - 1``.  For short sets every rare token of the extended prefix is a key, and frequent tokens
+are keys in pairs (up to ``SHORT`` shingles, where boilerplate can fill a prefix); longer sets have
+single keys from a prefix extended by a half, and must share as many of them as that prefix
+guarantees; sets up to a third longer than ``SHORT`` give both kinds, so that every pair that may
+link meets under one of its schemes.
 
 *Candidates.*  A bucket of m sets is never expanded into pairs: every round compares each set with
 one pivot of its bucket, merges what links, and only sets that are not yet in the pivot's component
@@ -43,6 +44,8 @@ PERCENT = 75
 LEAST_COUNT, MOST_FREQUENT = 2, 1_000_000
 #: Largest set whose frequent tokens are keys in pairs only.
 SHORT = 40
+#: Sets up to this size give pairs of frequent tokens (those over SHORT single ones too).
+BOTH = SHORT * 100 // PERCENT + 1
 #: Prefix tokens in one part of the index of rare tokens.
 PART_TOKENS = 1_000_000
 #: Cells of the filter that keeps unwanted texts out of a shuffle (its size is fixed, whatever the data).
@@ -126,6 +129,12 @@ def _ordered(s: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, int]:
     return np.concatenate([s[rare], s[~rare][order]]), int(rare.sum())
 
 
+def least_shared(n: int) -> int:
+    """Tokens that a set longer than BOTH shares with any linked one among its first
+    ``p + least_shared - 1``: the prefix is half as long again as it must be for one shared token."""
+    return 1 + (n - -(-PERCENT * n // 100) + 1) // 2 if n > BOTH else 1
+
+
 def prefix_keys(s: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """``(rare keys, frequent keys)`` of a set; rank -1 is a rare token."""
     n = len(s)
@@ -136,7 +145,10 @@ def prefix_keys(s: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray
     extended = tokens[:p + 1]
     singles, common = extended[:rare], extended[rare:]
     keys = []
-    if n <= SHORT * 100 // PERCENT + 1 and len(common) > 1:
+    if n > BOTH:
+        longer = tokens[:p + least_shared(n) - 1]
+        return longer[:rare], longer[rare:]
+    if len(common) > 1:
         i, j = np.triu_indices(len(common), 1)
         low, high = np.minimum(common[i], common[j]), np.maximum(common[i], common[j])
         pair = (low * P) ^ (high + (low >> np.uint64(31)))
@@ -252,7 +264,12 @@ def _rest_pairs(rows: DataFrame) -> DataFrame:
     outside = rows.where(F.col("component") != F.col("pc")).select("key", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("component").alias("xc"))
     both = outside.join(rows, "key").where(
         (F.col("xc") != F.col("component")) & _fits("xn", "n") & ((F.col("component") == F.col("pc")) | (F.col("x") < F.col("node"))))
-    return both.select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
+    # the pair meets in every bucket that it shares, so its rows count the shared keys
+    shared = both.groupBy(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).agg(
+        F.count(F.lit(1)).alias("k"), F.min(F.least("xn", "n")).alias("n"))
+    p = F.col("n") - F.ceil(F.col("n") * PERCENT / F.lit(100)) + 1
+    need = F.when(F.col("n") > BOTH, 1 + F.floor(p / 2)).otherwise(1)
+    return shared.where(F.col("k") >= need).select("a", "b")
 
 
 def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -274,12 +291,11 @@ def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     pairs = checkpoint(pairs)
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = checkpoint(nodes.join(classes, "node").select(
-        "node", F.col("first.tid").alias("_tid"), F.col("first._key").alias("_k"), _sieve(F.col("first.tid")).alias("_sieve")))
+        "node", F.col("first.tid").alias("_tid"), _sieve(F.col("first.tid")).alias("_sieve")))
     # a filter of at most SIEVE rows keeps most texts that nobody wants out of the shuffle
     near = docs.withColumn("_sieve", _sieve(F.col("tid"))).join(F.broadcast(wanted.select("_sieve").distinct()), "_sieve", "left_semi")
     # one row per node: its first document; equal rows of that document count once
-    texts = (near.join(wanted.drop("_sieve"), (F.col("tid") == F.col("_tid")) & F.col("_key").eqNullSafe(F.col("_k")))
-                 .select("node", "_text").dropDuplicates(["node"]))
+    texts = near.join(wanted.select("node", F.col("_tid").alias("tid")), "tid").select("tid", "node", "_text").dropDuplicates(["tid"])
     path = f"{shared_dir(spark)}/texts-{uuid.uuid4().hex}"
     texts.write.option("compression", "zstd").parquet(path)  # read twice, and half of a checkpoint's size
     texts = spark.read.parquet(path)
@@ -293,7 +309,8 @@ def _sieve(tid):
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
-    """``(key, tid, n_shingles, component_id)``, one row per input row; ``tid`` is xxhash64 of the text.
+    """``(key, tid, n_shingles, component_id)``, one row per input row; ``tid`` is
+    xxhash64 of the key as text and the text.
 
     ``component_id`` is the least key reachable by links, the row's own included.  Texts that are null
     or hold no word have empty sets and link with nothing (component: their own key); rows of fewer
@@ -304,7 +321,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     kind = docs.schema[key].dataType
     # as text: pandas has no whole numbers beside nulls
     d = docs.select(F.col(key).cast("string").alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    d = d.withColumn("tid", F.xxhash64("_text"))
+    d = d.withColumn("tid", F.xxhash64("_key", "_text"))
     for seed in range(8):
         told = checkpoint(_describe(d, seed))
         rows = told.where("kind = 0 and n > 0")
@@ -317,7 +334,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
         raise RuntimeError("64-bit names of sets collide under every seed")
     frequent = frequent_tokens(told.where("kind = 1"))
     tokens = classes.agg(F.sum(F.col("tokens") / F.col("copies"))).first()[0] or 0
-    parts = max(64, math.ceil(tokens * (100 - PERCENT) / 100 / PART_TOKENS))
+    parts = max(64, math.ceil(tokens * (100 - PERCENT) / 100 * 1.5 / PART_TOKENS))
 
     post = checkpoint(_postings(d, seed, frequent, parts).groupBy("part").applyInPandas(_bucket_rows, POSTING))
 
@@ -349,7 +366,7 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each group the document with the least key stays (of its repeated rows one)."""
-    tid = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    tid = F.xxhash64(F.col("doc_id").cast("string"), F.coalesce(F.col("text"), F.lit("")))
     found = jaccard_components(docs).withColumnsRenamed({"doc_id": "_key", "tid": "_tid"})
     gone = found.where(~F.col("_key").eqNullSafe(F.col("component_id"))).select("_key", "_tid").distinct()
     kept = docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_key")) & (tid == F.col("_tid")), "left_anti")
