@@ -50,6 +50,8 @@ BOTH = SHORT * 100 // PERCENT + 1
 PART_TOKENS = 1_000_000
 #: Cells of the filter that keeps unwanted texts out of a shuffle (its size is fixed, whatever the data).
 SIEVE = 1 << 18
+#: Pairs whose sets a task holds at a time.
+VERIFIED = 500
 #: Rounds of pivot comparisons before what is left is compared pair by pair.
 ROUNDS = 1
 
@@ -273,16 +275,19 @@ def _rest_pairs(rows: DataFrame) -> DataFrame:
 
 
 def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs whose complete sets link, VERIFIED pairs at a time."""
     for frame in frames:
-        texts = dict(zip(frame["a"], frame["ta"], strict=True)) | dict(zip(frame["b"], frame["tb"], strict=True))
-        sets = dict(zip(texts, shingle_sets(list(texts.values())), strict=True))
-        linked = []
-        for a, b in zip(frame["a"], frame["b"], strict=True):
-            x, y = sorted((sets[a], sets[b]), key=len)
-            at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-            both = int((y[at] == x).sum())
-            linked.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-        yield frame.loc[linked, ["a", "b"]]
+        for start in range(0, len(frame), VERIFIED):
+            part = frame.iloc[start:start + VERIFIED]
+            texts = dict(zip(part["a"], part["ta"], strict=True)) | dict(zip(part["b"], part["tb"], strict=True))
+            sets = dict(zip(texts, shingle_sets(list(texts.values())), strict=True))
+            linked = []
+            for a, b in zip(part["a"], part["b"], strict=True):
+                x, y = sorted((sets[a], sets[b]), key=len)
+                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+                both = int((y[at] == x).sum())
+                linked.append(100 * both >= PERCENT * (len(x) + len(y) - both))
+            yield part.loc[linked, ["a", "b"]]
 
 
 def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
