@@ -2,13 +2,17 @@
 
 Every benchmark item is compared with the windows of its own size in every text.  Window sizes are
 rounded down to a fixed grid; the fingerprint of a window is a 64-bit SimHash over the hashes of its
-word pairs.  Windows start at every ``stride``-th word, and an item is indexed at ``stride`` successive
-offsets, so a passage that stands in a text word for word meets a fingerprint at distance 0 wherever it
+word pairs.  Windows start at every ``stride``-th word, and an item is indexed at all offsets of its
+length, so a passage that stands in a text word for word meets a fingerprint at distance 0 wherever it
 begins.  A multi-index over four 16-bit blocks finds all fingerprints within ``RADIUS`` bits: of two
 such fingerprints one block differs by at most ``RADIUS // 4`` bits, and each block value lists the items
 within that distance.  Candidates are verified exactly: the share of the item's shingles (five words,
 weighted by their rarity among the items) that the window, with a margin for insertions, holds.
 
+Edits can move a fingerprint by more than ``RADIUS`` bits while the share is still reached, so the items'
+shingles are looked up in the texts as well: wherever a whole text holds ``SIMILARITY`` of an item, all
+windows that begin at a shared shingle or are aligned with one are verified, and no window is missed.
+
 Texts are read where they lie: the items come to the tasks in blocks of bounded size (``BLOCK_WORDS``),
 one pass over the documents per block, and nothing but hits leaves a task.
 """
@@ -47,7 +51,7 @@ def window_size(words: int) -> tuple[int, int]:
         stride = min(8, max(1, size // 4))
         if size + stride - 1 <= words:
             best = (size, stride)
-        size = max(size + 1, size * 3 // 2)
+        size = max(size + 1, size * 5 // 4)
     return best
 
 
@@ -77,6 +81,7 @@ class Item:
     words: int
     shingles: np.ndarray  # sorted distinct hashes
     weights: np.ndarray
+    offsets: np.ndarray  # first word of each shingle
 
 
 @dataclass
@@ -104,13 +109,14 @@ def build_index(items: list[tuple[int | None, np.ndarray]], weights: dict[int, f
     for item_id, words in items:
         if not len(words):
             continue
-        s = np.unique(hashed_shingles(words, min(SHINGLE, len(words))))
-        kept.append(Item(item_id, len(words), s, np.array([weights[int(x)] for x in s])))
+        s, first = np.unique(hashed_shingles(words, min(SHINGLE, len(words))), return_index=True)
+        kept.append(Item(item_id, len(words), s, np.array([weights[int(x)] for x in s]), first))
         size, stride = window_size(len(words))
         features = _pairs(words, size)
         n = max(1, size - 1)
-        prints = _fingerprints(_bit_sums(features), np.arange(stride), n)
-        windows.setdefault(size, (stride, []))[1].append((prints, len(kept) - 1, np.arange(stride)))
+        offsets = np.arange(len(words) - size + 1)
+        prints = _fingerprints(_bit_sums(features), offsets, n)
+        windows.setdefault(size, (stride, []))[1].append((prints, len(kept) - 1, offsets))
     index, masks = {}, _near_masks()
     for size, (stride, parts) in windows.items():
         prints = np.concatenate([p for p, _, _ in parts])
@@ -142,6 +148,43 @@ def within_radius(prints: np.ndarray, index: SizeIndex) -> tuple[np.ndarray, np.
     return pairs // len(index.prints), pairs % len(index.prints)
 
 
+def shared_shingles(words: np.ndarray, owner: np.ndarray, items: list[Item]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(word, item, shingle of the item)`` wherever a text holds a shingle of an item."""
+    found = [(np.empty(0, dtype=np.int64),) * 3]
+    for k in sorted({min(SHINGLE, i.words) for i in items}):
+        mine = [i for i, x in enumerate(items) if min(SHINGLE, x.words) == k]
+        hashes = np.concatenate([items[i].shingles for i in mine])
+        sizes = [len(items[i].shingles) for i in mine]
+        order = np.argsort(hashes, kind="stable")
+        hashes, item = hashes[order], np.repeat(mine, sizes)[order]
+        shingle = np.concatenate([np.arange(n) for n in sizes])[order]
+        maybe = np.zeros(1 << 20, dtype=bool)
+        maybe[hashes >> np.uint64(44)] = True
+        for a in range(0, len(words) - k + 1, CHUNK):
+            h = hashed_shingles(words[a:a + CHUNK + k - 1], k)
+            p = np.flatnonzero(maybe[h >> np.uint64(44)])
+            p = p[owner[a + p] == owner[a + p + k - 1]]
+            low = np.searchsorted(hashes, h[p])
+            n = np.searchsorted(hashes, h[p], side="right") - low
+            row = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+            found.append((np.repeat(a + p, n), item[row], shingle[row]))
+    at, item, shingle = (np.concatenate(x) for x in zip(*found, strict=True))
+    return at, item, shingle
+
+
+def _bits_apart(words: np.ndarray, at: int, low: int, high: int, item: int, index: dict[int, SizeIndex], size: int) -> int:
+    """Least distance between the fingerprints of an item and of the text's words in line with them."""
+    x = index[size]
+    rows = np.flatnonzero(x.item == item)
+    rows = rows[(at + x.offset[rows] >= low) & (at + x.offset[rows] + size <= high)]
+    if not len(rows):
+        return 64
+    first = at + int(x.offset[rows].min())
+    sums = _bit_sums(_pairs(words[first:at + int(x.offset[rows].max()) + size], size))
+    prints = _fingerprints(sums, at + x.offset[rows] - first, max(1, size - 1))
+    return int(np.bitwise_count(prints ^ x.prints[rows]).min())
+
+
 def match_texts(texts: list[str], items: list[Item], index: dict[int, SizeIndex]) -> list[tuple[int, int, float, int, int]]:
     """``(text, item, similarity, first word, bits apart)``: the best window of each pair that reaches
     SIMILARITY (ties: fewest bits apart, then the earliest)."""
@@ -167,14 +210,47 @@ def match_texts(texts: list[str], items: list[Item], index: dict[int, SizeIndex]
             for t, i, first, d in zip(owner[at].tolist(), x.item[row].tolist(), (at - x.offset[row]).tolist(), bits.tolist(), strict=True):
                 seen[t, i, first] = min(d, seen.get((t, i, first), 64))
     best: dict[tuple[int, int], tuple[float, int, int]] = {}
-    for (t, i, at), d in seen.items():
+
+    def share_at(t: int, i: int, at: int) -> float:
         item, margin = items[i], max(2, items[i].words // 8)
         low, high = max(ends[t], at - margin), min(ends[t + 1], at + item.words + margin)
         region = hashed_shingles(words[low:high], min(SHINGLE, item.words))
-        share = float(item.weights[np.isin(item.shingles, region)].sum() / item.weights.sum())
+        return float(item.weights[np.isin(item.shingles, region)].sum() / item.weights.sum())
+
+    def keep(t: int, i: int, at: int, share: float, d: int) -> None:
         found = (share, -d, -max(0, int(at - ends[t])))
         if share >= SIMILARITY and found > best.get((t, i), (0.0,)):
             best[t, i] = found
+
+    for (t, i, at), d in seen.items():
+        keep(t, i, at, share_at(t, i, at), d)
+    at, of, shingle = shared_shingles(words, owner, items)
+    if not len(at):
+        return [(t, i, s, -at, -d) for (t, i), (s, d, at) in sorted(best.items())]
+    pair = owner[at] * len(items) + of
+    order = np.lexsort((shingle, pair))
+    at, of, shingle, pair = at[order], of[order], shingle[order], pair[order]
+    start = np.flatnonzero(np.diff(pair, prepend=-1))
+    once = np.append(True, (pair[1:] != pair[:-1]) | (shingle[1:] != shingle[:-1]))
+    base = np.cumsum([0] + [len(i.weights) for i in items])
+    held = np.add.reduceat(np.where(once, np.concatenate([i.weights for i in items])[base[of] + shingle], 0.0), start)
+    whole = held / np.array([i.weights.sum() for i in items])[of[start]]
+    stop = np.append(start[1:], len(at))
+    for a, b, most in zip(start.tolist(), stop.tolist(), whole.tolist(), strict=True):
+        t, i = int(owner[at[a]]), int(of[a])
+        if most < SIMILARITY - 1e-9 or most <= best.get((t, i), (0.0,))[0] + 1e-9:
+            continue
+        item, margin = items[i], max(2, items[i].words // 8)
+        last = max(ends[t], ends[t + 1] - item.words)
+        firsts = np.unique(np.clip(np.concatenate([at[a:b] - item.offsets[shingle[a:b]], at[a:b] + margin]), ends[t], last))
+        shares = {int(f): share_at(t, i, int(f)) for f in firsts}
+        top = max(shares.values())
+        if top < max(SIMILARITY, best.get((t, i), (0.0,))[0]):
+            continue
+        size, _ = window_size(item.words)
+        for f, share in shares.items():
+            if share == top:
+                keep(t, i, f, share, _bits_apart(words, f, ends[t], ends[t + 1], i, index, size))
     return [(t, i, s, -at, -d) for (t, i), (s, d, at) in sorted(best.items())]
 
 
@@ -215,7 +291,7 @@ def _share(spark: SparkSession, built: tuple[list[Item], dict[int, SizeIndex]]):
     """Broadcast an index of one block as plain arrays."""
     items, index = built
     return spark.sparkContext.broadcast((
-        [(i.item_id, i.words, i.shingles, i.weights) for i in items],
+        [(i.item_id, i.words, i.shingles, i.weights, i.offsets) for i in items],
         {k: (x.stride, x.prints, x.item, x.offset, x.bounds, x.rows) for k, x in index.items()}))
 
 

@@ -105,3 +105,25 @@ def test_empty_sides(spark):
     d, b = frames(spark, [(1, "a b c d e f")], [(1, "x y z")])
     assert D.find_leaks(d.limit(0), b).collect() == [] and D.find_leaks(d, b.limit(0)).collect() == []
     assert D.drop_leaks(d, b.limit(0)).count() == 1
+
+
+def changed(text, kind):
+    """The passage without its head or tail, with words inserted, or with words replaced."""
+    out, n = text.split(), len(text.split())
+    if kind == "head":
+        return " ".join(out[n // 5:])
+    if kind == "tail":
+        return " ".join(out[:-(n // 5)])
+    for at in sorted(RNG.sample(range(2, n - 2), max(1, n // 33)), reverse=True):
+        out[at:at + (kind == "edits")] = ["n%06d" % RNG.randrange(10**6)]
+    return " ".join(out)
+
+
+@pytest.mark.parametrize("kind", ["head", "tail", "inserted", "edits"])
+def test_changed_passages_are_all_found(kind):
+    items = [" ".join(words(n)) for n in (21, 33, 48, 69, 100) for _ in range(12)]
+    kept, index = index_of(items)
+    texts = [" ".join(words(RNG.randrange(150))) + " " + changed(t, kind) + " " + " ".join(words(150)) for t in items]
+    expected = brute(list(enumerate(texts)), list(enumerate(items)))
+    assert len(expected) > 40
+    assert {(t, i) for t, i, *_ in D.match_texts(texts, kept, index)} == expected
