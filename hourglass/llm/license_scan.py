@@ -10,6 +10,10 @@ documents, rarest first; a qualifying pair then shares a token among the first
 template vocabulary (length filter), and the positions of a shared token bound the overlap
 that is still possible (positional filter).  Survivors are verified exactly.
 
+Notices may be wrapped.  Templates of ``LONG`` distinct words or more are therefore also joined with
+overlapping windows of the whole text; shorter ones, whose few words soon meet by chance in such a
+window, count across lines where all their words stand consecutively.
+
 Words that occur in no template cannot add to an overlap, so blocks are reduced to the
 template vocabulary.  The templates are literals of the plan: their size is bounded by the
 caller.  No text is shuffled; only (document, label) rows of matching blocks are.
@@ -46,11 +50,15 @@ TEMPLATES = (
 )
 #: Least containment of a template in a block, in percent.
 THRESHOLD = 80
+#: Distinct words from which on a template is looked for in windows that run across lines.
+LONG = 10
+
+
+_LOWER = {c: c + 32 for c in range(65, 91)}
 
 
 def _template_words(text: str) -> list[str]:
-    lowered = text.translate({c: c + 32 for c in range(65, 91)})
-    return list(dict.fromkeys(re.findall(WORD, lowered)))
+    return list(dict.fromkeys(re.findall(WORD, text.translate(_LOWER))))
 
 
 def words_of(text: Column) -> Column:
@@ -62,7 +70,7 @@ def _with_words(docs: DataFrame, key: str, text: str) -> DataFrame:
     low = ascii_lower(F.coalesce(F.col(text), F.lit("")))
     d = docs.select(F.col(key).alias("_key"), F.md5(utf8(F.col(text))).alias("_md5"), low.alias("_low"))
     d = d.withColumn("_lines", F.transform(F.split("_low", "\n", -1), words_of))
-    return d.withColumn("_words", F.flatten("_lines"))
+    return d.withColumn("_words", words_of(F.col("_low")))
 
 
 def _places(phrase: str) -> Column:
@@ -92,25 +100,38 @@ def match_templates(words: DataFrame, templates: Sequence[tuple[str, str]], thre
     order = sorted(vocabulary, key=lambda w: (df.get(w, 0), w))
     rank = {w: i for i, w in enumerate(order)}
     longest = max(len(re.findall(WORD, text)) for _, text in templates)
-    index = []
+    index, wide = [], set()
     for label, ws in sets:
         ws = sorted(ws, key=rank.__getitem__)
         need = -(-threshold * len(ws) // 100)
         index += [(w, label, i, len(ws), need, ws) for i, w in enumerate(ws[:len(ws) - need + 1])]
+        wide |= set(ws[:len(ws) - need + 1]) if len(ws) >= LONG else set()
     prefix = sorted({x[0] for x in index})
     idx = words.sparkSession.createDataFrame(
         index, "_token string, _label string, _i int, _t int, _need int, _set array<string>")
 
-    lines = words.select("_key", "_md5", F.explode(
-        F.filter("_lines", lambda ws: F.arrays_overlap(ws, F.lit(prefix)))).alias("_line"))
-    starts = F.sequence(F.lit(0), F.greatest(F.size("_line") - F.lit(longest) - 1, F.lit(0)), F.lit(longest))
-    blocks = lines.select("_key", "_md5", F.explode(F.transform(
-        starts, lambda s: F.array_intersect(F.lit(order), F.slice(F.col("_line"), s + 1, F.lit(2 * longest))))
-    ).alias("_block"))
-    probes = blocks.select("_key", "_md5", "_block", F.posexplode("_block").alias("_j", "_token"))
+    def cuts(ws: Column, make) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(ws) - F.lit(longest) - 1, F.lit(0)), F.lit(longest))
+        return F.transform(starts, lambda s: make(F.slice(ws, s + 1, F.lit(2 * longest))))
+
+    def holding(parts: Column, tokens: list[str], across: bool) -> Column:
+        kept = F.filter(parts, lambda ws: F.arrays_overlap(ws, F.lit(tokens)))
+        return F.transform(kept, lambda ws: F.struct(ws.alias("words"), F.lit(across).alias("across")))
+
+    parts = holding(F.col("_lines"), prefix, False)
+    if wide:  # a text of one line has no windows across lines
+        held = (F.size("_lines") > 1) & F.arrays_overlap("_words", F.lit(sorted(wide)))
+        across = F.when(held, cuts(F.col("_words"), lambda ws: ws)).otherwise(F.array().cast("array<array<string>>"))
+        parts = F.concat(parts, holding(across, sorted(wide), True))
+    # the words again from the lines, which are cut here anyway
+    whole = words.select("_key", "_md5", "_lines").withColumn("_words", F.flatten("_lines"))
+    lines = whole.select("_key", "_md5", F.explode(parts).alias("_line"))
+    blocks = lines.select("_key", "_md5", F.col("_line.across").alias("_across"), F.explode(cuts(
+        F.col("_line.words"), lambda ws: F.array_intersect(F.lit(order), ws))).alias("_block"))
+    probes = blocks.select("_key", "_md5", "_across", "_block", F.posexplode("_block").alias("_j", "_token"))
     b, overlap = F.size("_block"), F.size(F.array_intersect("_block", "_set"))
     bound = F.least("_i", "_j") + 1 + F.least(F.col("_t") - F.col("_i") - 1, b - F.col("_j") - 1)
-    hits = (probes.join(idx, "_token").where((b >= F.col("_need")) & (bound >= F.col("_need")))
+    hits = (probes.join(idx, "_token").where((~F.col("_across") | (F.col("_t") >= LONG)) & (b >= F.col("_need")) & (bound >= F.col("_need")))
                   .withColumn("_n", overlap).where(F.col("_n") >= F.col("_need")))
     return hits.groupBy("_key", "_md5").agg(F.collect_set("_label").alias("_found"),
                                             F.max(F.col("_n") / F.col("_t")).alias("_best"))
@@ -124,15 +145,19 @@ def scan_licenses(docs: DataFrame, phrases: Sequence[tuple[str, str]] = PHRASES,
     A null or empty text has no words, no places and empty labels; null keys and repeated rows
     each give their row (rows with equal key and text share one result); other columns are not
     read, so their names cannot clash.  Labels are distinct, sorted and comma-joined; ``score`` is 1
-    with a base place, else the greatest containment of a matching template, else 0.
+    with a base place or a short template word for word, else the greatest containment of a matching template, else 0.
     """
     words = _with_words(docs, key, text)
+    short = [(label, re.findall(WORD, text.translate(_LOWER))) for label, text in templates if len(_template_words(text)) < LONG]
     s = words.select("_key", "_md5", F.size("_words").cast("long").alias("n_words"),
-                     *[_places(p).alias(f"_p{i}") for i, (_, p) in enumerate(phrases)])
+                     *[_places(p).alias(f"_p{i}") for i, (_, p) in enumerate(phrases)],
+                     *[_places(" ".join(ws)).alias(f"_s{i}") for i, (_, ws) in enumerate(short)])
     places = F.concat(*[F.col(f"_p{i}") for i in range(len(phrases))])
     base = F.array_compact(F.array(*[F.when(F.size(f"_p{i}") > 0, F.lit(label))
                                      for i, (label, _) in enumerate(phrases)]))
-    s = s.select("_key", "_md5", "n_words", places.alias("_at"), base.alias("_base"))
+    whole = F.array_compact(F.array(*[F.when(F.size(f"_s{i}") > 0, F.lit(label)) for i, (label, _) in enumerate(short)]
+                                    ).cast("array<string>"))
+    s = s.select("_key", "_md5", "n_words", places.alias("_at"), base.alias("_base"), whole.alias("_whole"))
     m = match_templates(words, templates, threshold).withColumnsRenamed({"_key": "_k", "_md5": "_m"})
     j = s.join(m, (F.col("_md5") == F.col("_m")) & F.col("_key").eqNullSafe(F.col("_k")), "left")
     joined = lambda a: F.array_join(F.array_sort(F.array_distinct(a)), ",")
@@ -140,8 +165,8 @@ def scan_licenses(docs: DataFrame, phrases: Sequence[tuple[str, str]] = PHRASES,
     return j.select(
         F.col("_key").alias(key), "n_words", F.size("_at").cast("long").alias("n_base"),
         F.array_min("_at").cast("long").alias("first_word"), F.array_max("_at").cast("long").alias("last_word"),
-        joined(F.col("_base")).alias("base_labels"), joined(F.concat("_base", found)).alias("labels"),
-        F.when(F.size("_at") > 0, F.lit(1.0)).otherwise(F.coalesce("_best", F.lit(0.0))).alias("score"))
+        joined(F.col("_base")).alias("base_labels"), joined(F.concat("_base", "_whole", found)).alias("labels"),
+        F.when((F.size("_at") > 0) | (F.size("_whole") > 0), F.lit(1.0)).otherwise(F.coalesce("_best", F.lit(0.0))).alias("score"))
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

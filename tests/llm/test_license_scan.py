@@ -50,3 +50,21 @@ def test_null_keys_repeated_rows_and_empty_table(spark):
 def test_no_python_in_the_plan(spark):
     plan = scan_licenses(spark.createDataFrame([(1, "x")], "doc_id long, text string"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_wrapped_copies_of_every_template(spark):
+    texts = []
+    for _, t in TEMPLATES:
+        words = t.split()
+        for width in (1, 3, 6, 11):
+            rows = [" ".join(words[i:i + width]) for i in range(0, len(words), width)]
+            texts.append("x " * 50 + "\n * " + "\n * ".join(rows) + "\n" + "y " * 50)
+    got = {r["doc_id"]: r for r in scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i]["labels"] for i in range(len(texts))] == [label for label, _ in TEMPLATES for _ in range(4)]
+    assert all(r["score"] == 1.0 for r in got.values())
+
+
+def test_words_of_a_short_template_scattered_over_lines_are_no_notice(spark):
+    texts = ["Released under the\nApache License\nund mit", "by nc 4\n0 cc licensed"]
+    got = scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["labels"] for r in got} == {0: "apache", 1: ""}
