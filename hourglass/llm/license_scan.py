@@ -4,7 +4,8 @@ Two layers.  The base layer finds the places where the words of fixed phrases st
 consecutively.  The method's layer cuts every text into blocks (lines, long lines as
 overlapping windows) and joins the blocks' token sets with the token sets of license
 templates: a pair qualifies when the block holds at least ``threshold`` of the template's
-distinct words (containment).  Tokens are ordered by their document frequency over all
+distinct words (containment), and among them those that tell its license from others
+(``TELLING``).  Tokens are ordered by their document frequency over all
 documents, rarest first; a qualifying pair then shares a token among the first
 ``|T| - a + 1`` of the template (``a`` words are needed), the block needs ``a`` of the
 template vocabulary (length filter), and the positions of a shared token bound the overlap
@@ -28,7 +29,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourglass.llm.common import ascii_lower, utf8
+from hourglass.llm.common import utf8
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Base layer of the registered query: (label, phrase).
@@ -48,6 +49,8 @@ TEMPLATES = (
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are "
             "permitted provided that the following conditions are met"),
 )
+#: Words that tell a label's notices from others: a block must hold those that the template has.
+TELLING = {"mit": ("mit",), "apache": ("apache",), "gpl": ("general", "public"), "cc-by-nc": ("nc",)}
 #: Least containment of a template in a block, in percent.
 THRESHOLD = 80
 #: Distinct words from which on a template is looked for in windows that run across lines.
@@ -61,13 +64,19 @@ def _template_words(text: str) -> list[str]:
     return list(dict.fromkeys(re.findall(WORD, text.translate(_LOWER))))
 
 
+def _lower(text: Column) -> Column:
+    """Lower case, cheaper than a translation of A-Z; no other character becomes an ASCII letter as a
+    whole (the Kelvin sign would, and is replaced by a private one), so the same words match."""
+    return F.lower(F.replace(text, F.lit("\u212a"), F.lit("\ue000")))
+
+
 def words_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
 
 def _with_words(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``(key, _md5, _low, _lines, _words)``: words per line and of the whole text."""
-    low = ascii_lower(F.coalesce(F.col(text), F.lit("")))
+    low = _lower(F.coalesce(F.col(text), F.lit("")))
     d = docs.select(F.col(key).alias("_key"), F.md5(utf8(F.col(text))).alias("_md5"), low.alias("_low"))
     d = d.withColumn("_lines", F.transform(F.split("_low", "\n", -1), words_of))
     return d.withColumn("_words", words_of(F.col("_low")))
@@ -104,11 +113,12 @@ def match_templates(words: DataFrame, templates: Sequence[tuple[str, str]], thre
     for label, ws in sets:
         ws = sorted(ws, key=rank.__getitem__)
         need = -(-threshold * len(ws) // 100)
-        index += [(w, label, i, len(ws), need, ws) for i, w in enumerate(ws[:len(ws) - need + 1])]
+        telling = [w for w in TELLING.get(label, ()) if w in ws]
+        index += [(w, label, i, len(ws), need, ws, telling) for i, w in enumerate(ws[:len(ws) - need + 1])]
         wide |= set(ws[:len(ws) - need + 1]) if len(ws) >= LONG else set()
     prefix = sorted({x[0] for x in index})
     idx = words.sparkSession.createDataFrame(
-        index, "_token string, _label string, _i int, _t int, _need int, _set array<string>")
+        index, "_token string, _label string, _i int, _t int, _need int, _set array<string>, _telling array<string>")
 
     def cuts(ws: Column, make) -> Column:
         starts = F.sequence(F.lit(0), F.greatest(F.size(ws) - F.lit(longest) - 1, F.lit(0)), F.lit(longest))
@@ -132,7 +142,8 @@ def match_templates(words: DataFrame, templates: Sequence[tuple[str, str]], thre
     b, overlap = F.size("_block"), F.size(F.array_intersect("_block", "_set"))
     bound = F.least("_i", "_j") + 1 + F.least(F.col("_t") - F.col("_i") - 1, b - F.col("_j") - 1)
     hits = (probes.join(idx, "_token").where((~F.col("_across") | (F.col("_t") >= LONG)) & (b >= F.col("_need")) & (bound >= F.col("_need")))
-                  .withColumn("_n", overlap).where(F.col("_n") >= F.col("_need")))
+                  .withColumn("_n", overlap).where(F.col("_n") >= F.col("_need"))
+                  .where(F.size(F.array_except("_telling", "_block")) == 0))
     return hits.groupBy("_key", "_md5").agg(F.collect_set("_label").alias("_found"),
                                             F.max(F.col("_n") / F.col("_t")).alias("_best"))
 

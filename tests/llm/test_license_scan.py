@@ -68,3 +68,12 @@ def test_words_of_a_short_template_scattered_over_lines_are_no_notice(spark):
     texts = ["Released under the\nApache License\nund mit", "by nc 4\n0 cc licensed"]
     got = scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert {r["doc_id"]: r["labels"] for r in got} == {0: "apache", 1: ""}
+
+
+def test_confusable_notices_need_the_telling_word(spark):
+    texts = {"Released under the Foo License": "", "Released under the Apache License": "apache", "Licensed under CC BY 4.0": "",
+             "Licensed under CC BY-SA 4.0": "", "Licensed under the Mozilla License, Version 2.0": "", "released under the MIT licence": "mit",
+             "licensed under by-nc 4.0": "cc-by-nc", "mor\u212a " + LINES[3]: "cc-by-nc", "Licensed under the Foo License, Version 2.0 " + LINES[7]: "bsd",
+             "This worK is licensed under the GNU General license version 3": ""}
+    got = scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["labels"] for r in got} == dict(enumerate(texts.values()))
