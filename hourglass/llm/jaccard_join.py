@@ -313,7 +313,8 @@ def _sieve(tid):
     return F.pmod(tid, F.lit(SIEVE)).cast("int")
 
 
-def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> DataFrame:
+def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS,
+                       stays: bool = False) -> DataFrame:
     """``(key, tid, n_shingles, component_id)``, one row per input row; ``tid`` is
     xxhash64 of the key as text and the text.
 
@@ -321,18 +322,23 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     or hold no word have empty sets and link with nothing (component: their own key); rows of fewer
     than five words link by their whole word sequence; repeated rows and equal texts share a component;
     null keys are ignored by the least key (a component of null keys only has null).  Other columns are
-    not read.  An empty table gives an empty result.
+    not read.  An empty table gives an empty result.  With ``stays`` a last column tells the rows of the
+    least ``(key, tid)`` of each component, null keys last, and the rows with empty sets.
     """
     kind = docs.schema[key].dataType
     # as text: pandas has no whole numbers beside nulls
     d = docs.select(F.col(key).cast("string").alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     d = d.withColumn("tid", F.xxhash64("_key", "_text"))
+    # the row that stays, found class by class and then per component, so no key gathers a group's rows
+    row = F.struct(F.col("_key").isNull().alias("none"), F.col("_key").cast(kind).alias("key"), "tid")
+    best = ["best"] if stays else []
     for seed in range(8):
         told = checkpoint(_describe(d, seed))
         rows = told.where("kind = 0 and n > 0")
         classes = checkpoint(rows.groupBy("node").agg(
             F.min(F.col("_key").cast(kind)).alias("least"), F.min(F.struct("_key", "tid")).alias("first"),
-            F.min("check").alias("c0"), F.max("check").alias("c1"), F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("copies")))
+            F.min("check").alias("c0"), F.max("check").alias("c1"), F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("copies"),
+            *[F.min(row).alias(c) for c in best]))
         if classes.where("c0 != c1").isEmpty():  # no two sets share a 64-bit name
             break
     else:
@@ -353,16 +359,18 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
         components = checkpoint(connected_components(links))
 
     if components is None:
-        named = classes.select("node", F.col("least").alias("component_id"))
+        named = classes.select("node", F.col("least").alias("component_id"), *best)
     else:
-        of = classes.join(components, "node", "left").withColumn("component", F.coalesce("component", "node")).select("node", "component", "least")
-        least = checkpoint(of.groupBy("component").agg(F.min("least").alias("component_id")))
-        named = of.join(least, "component").select("node", "component_id")
+        of = classes.join(components, "node", "left").withColumn("component", F.coalesce("component", "node")).select("node", "component", "least", *best)
+        least = checkpoint(of.groupBy("component").agg(F.min("least").alias("component_id"), *[F.min(c).alias(f"_{c}") for c in best]))
+        named = of.join(least, "component").select("node", "component_id", *[F.col(f"_{c}").alias(c) for c in best])
     named = checkpoint(named)
     every = told.where("kind = 0").select("_key", "tid", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("node")).alias("node"))
     out = every.join(named, "node", "left")
     own = F.col("_key").cast(kind)
-    return out.select(own.alias(key), "tid", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(own).alias("component_id"))
+    chosen = (F.col("n_shingles") == 0) | (own.eqNullSafe(F.col("best.key")) & (F.col("tid") == F.col("best.tid"))) if stays else None
+    return out.select(own.alias(key), "tid", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(own).alias("component_id"),
+                      *([chosen.alias("stays")] if stays else []))
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -370,10 +378,10 @@ def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group the document with the least key stays (of its repeated rows one)."""
+    """Pipeline stage: of each group the row with the least ``(key, tid)`` stays, null keys last (of repeated rows one)."""
     tid = F.xxhash64(F.col("doc_id").cast("string"), F.coalesce(F.col("text"), F.lit("")))
-    found = jaccard_components(docs).withColumnsRenamed({"doc_id": "_key", "tid": "_tid"})
-    gone = found.where(~F.col("_key").eqNullSafe(F.col("component_id"))).select("_key", "_tid").distinct()
+    found = jaccard_components(docs, stays=True).withColumnsRenamed({"doc_id": "_key", "tid": "_tid"})
+    gone = found.where(~F.col("stays")).select("_key", "_tid").distinct()
     kept = docs.join(gone, docs["doc_id"].eqNullSafe(F.col("_key")) & (tid == F.col("_tid")), "left_anti")
     again = found.groupBy("_key", "_tid").count().where("count > 1").select("_key", "_tid")
     if again.isEmpty():

@@ -97,6 +97,14 @@ def test_null_and_repeated_keys_and_clashing_columns(spark):
     assert sorted((r["node"] for r in kept if r["node"] not in (5, 6)), key=str) == [3, 4, 7, 8]
 
 
+def test_one_row_of_a_group_stays_whatever_its_keys(spark):
+    a, b, c = (" ".join(words(60)) for _ in range(3))
+    rows = [(3, a, 1), (3, edited(a, 1), 2), (5, a, 3), (None, a, 4), (None, b, 5), (None, edited(b, 1), 6), (None, edited(b, 1), 7), (None, c, 8), (None, "", 9), (2, "", 10)]
+    kept = [r["n"] for r in J.keep_one(spark, spark.createDataFrame(rows, "doc_id long, text string, n int"), "").collect()]
+    assert len(kept) == 5 and {8, 9, 10} < set(kept)
+    assert len({1, 2} & set(kept)) == 1 and len({5, 6, 7} & set(kept)) == 1
+
+
 def test_very_long_text(spark):
     long = " ".join(words(60_000, 10**6))
     got = J.jaccard_components(docs_frame(spark, [long, edited(long, 50), "short text"])).collect()
