@@ -14,10 +14,11 @@ single keys from a prefix extended by a half, and must share as many of them as
 guarantees; sets up to a third longer than ``SHORT`` give both kinds, so that every pair that may
 link meets under one of its schemes.
 
-*Candidates.*  A bucket of m sets is never expanded into pairs: every round compares each set with
-one pivot of its bucket, merges what links, and only sets that are not yet in the pivot's component
-remain.  What no round has merged is compared pair by pair at the end across components, so no link
-between components is lost.
+*Candidates.*  Every round compares each set of a bucket with one pivot, merges what links, and only
+sets that are not yet in the pivot's component remain.  What no round has merged is compared pair by
+pair at the end across components, so no link between components is lost; in a bucket whose sets do not
+link with the pivot these pairs grow with the square of its size.  Pairs within a component are not
+verified, so links are not counted.
 
 *Verification* reads the candidates' whole texts again and compares the complete sets.
 """
