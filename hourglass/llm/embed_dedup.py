@@ -258,7 +258,7 @@ WITH RECURSIVE v AS (
   SELECT row_number() OVER () AS rid, vec_id, embedding::DOUBLE[] AS e FROM embeddings),
 u AS (
   SELECT rid, vec_id, e, sqrt(list_dot_product(e, e)) AS n FROM v
-  WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE e IS NOT NULL AND len(e) > 0 AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0),
 links AS (
   SELECT a.rid AS x, b.rid AS y FROM u a JOIN u b ON a.rid <> b.rid AND len(a.e) = len(b.e) AND a.n > 0 AND b.n > 0
   AND list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.9),

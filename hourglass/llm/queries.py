@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from hourglass.llm.byte_bpe import op13_byte_bpe
 from hourglass.llm.decontaminate import op8_decontaminate
 from hourglass.llm.embed_dedup import ORACLE_OP2, op2_embedding_dedup
 from hourglass.llm.jaccard_join import ORACLE_OP1, op1_jaccard_join
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_url_filter": op9_url_filter,
     "op10_warc": op10_warc,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 ORACLE = {
     "op1_jaccard_join": ORACLE_OP1,
