@@ -79,10 +79,10 @@ class Splitter:
     def __init__(self, pattern: str, repairs: dict[int, str]):
         import regex
 
-        self.pattern, self.repairs = regex.compile(pattern), repairs
+        self.pattern, self.repairs, self.odd = regex.compile(pattern), repairs, frozenset(map(chr, repairs))
 
     def __call__(self, text: str) -> list[str]:
-        if text.isascii() or self.repairs.keys().isdisjoint(text):
+        if text.isascii() or self.odd.isdisjoint(text):
             return self.pattern.findall(text)
         return [text[m.start():m.end()] for m in self.pattern.finditer(text.translate(self.repairs))]
 

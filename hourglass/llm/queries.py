@@ -10,6 +10,7 @@ from hourglass.llm.langid import op5_language_id
 from hourglass.llm.license_scan import ORACLE_OP6, op6_license_scan
 from hourglass.llm.sentencepiece_codec import op3_sentencepiece
 from hourglass.llm.sharding import op7_sharding
+from hourglass.llm.spelling import op12_spelling
 from hourglass.llm.toxicity import op4_toxicity
 from hourglass.llm.url_filter import ORACLE_OP9, op9_url_filter
 from hourglass.llm.warc import ORACLE_OP10, op10_warc
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_url_filter": op9_url_filter,
     "op10_warc": op10_warc,
+    "op12_spelling": op12_spelling,
     "op13_byte_bpe": op13_byte_bpe,
 }
 ORACLE = {
