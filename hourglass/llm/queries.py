@@ -5,6 +5,7 @@ from __future__ import annotations
 from hourglass.llm.byte_bpe import op13_byte_bpe
 from hourglass.llm.decontaminate import op8_decontaminate
 from hourglass.llm.embed_dedup import ORACLE_OP2, op2_embedding_dedup
+from hourglass.llm.hard_negatives import ORACLE_OP11, op11_hard_negatives
 from hourglass.llm.jaccard_join import ORACLE_OP1, op1_jaccard_join
 from hourglass.llm.langid import op5_language_id
 from hourglass.llm.license_scan import ORACLE_OP6, op6_license_scan
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_decontaminate": op8_decontaminate,
     "op9_url_filter": op9_url_filter,
     "op10_warc": op10_warc,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_spelling": op12_spelling,
     "op13_byte_bpe": op13_byte_bpe,
 }
@@ -35,4 +37,5 @@ ORACLE = {
     "op6_license_scan": ORACLE_OP6,
     "op9_url_filter": ORACLE_OP9,
     "op10_warc": ORACLE_OP10,
+    "op11_hard_negatives": ORACLE_OP11,
 }
