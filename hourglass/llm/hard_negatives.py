@@ -29,7 +29,7 @@ from hourglass.llm.common import checkpoint
 #: Positives of an anchor, negatives of a positive, window in hundredths of the positive's score.
 POSITIVES, NEGATIVES, LOW, HIGH = 5, 10, 30, 90
 #: Anchors of a tree, candidates scored at a time, candidates of a bucket.
-TREE, SLICE, BUCKET = 2048, 4096, 16384
+TREE, SLICE, BUCKET = 2048, 2048, 2048
 SCALE, SEED = 256, 23
 #: Below it sums of products are exact in doubles.
 EXACT = 2.0**52
