@@ -59,17 +59,18 @@ def pivot_mean(df: DataFrame, keys: Sequence[str], feature: str, values: Sequenc
 
 def fit_quantiles(df: DataFrame, value: str = "value", by: Sequence[str] = ("feature",),
                   probs: Sequence[float] = (0.05, 0.95), accuracy: int | None = None,
-                  names: Sequence[str] = ("q_lo", "q_hi")) -> DataFrame:
+                  names: Sequence[str] = ("q_lo", "q_hi"), stored: bool = False) -> DataFrame:
     """Per-group quantiles with linear interpolation (pandas ``quantile``).
 
     Exact by default and safe at any group size (see ``operators.quantiles``);
-    ``accuracy`` switches to the mergeable ``percentile_approx`` sketch.
+    ``accuracy`` switches to the mergeable ``percentile_approx`` sketch; ``stored`` says that ``df`` is
+    a written table, which may be read again.
     """
     from hourglass.operators.quantiles import quantiles
 
     if accuracy is not None:
         return quantiles(df, value, by, probs, names, "approx", accuracy)
-    return quantiles(df, value, by, probs, names)
+    return quantiles(df, value, by, probs, names, stored=stored)
 
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
@@ -99,12 +100,14 @@ def describe_categorical(df: DataFrame, col: str) -> DataFrame:
     return tot.crossJoin(top.select(F.col(col).alias("top"), F.col("count").alias("freq")))
 
 
+# The irregular edges of the length-of-stay histogram, in days.
+LOS_EDGES = (0.0, 0.5, 1.0, 1.5, 2.0, 2.5, 3.0, 3.5, 4.0, 4.5, 5.0, 6.0, 7.0, 8.0, 9.0,
+             10.0, 12.0, 14.0, 16.0, 18.0, 20.0, 24.0, 28.0, 32.0, 52.0, 72.0, 92.0)
+
+
 def los_histogram_edges() -> list[float]:
-    """The fixed irregular LoS edges 0-5 by .5, 5-10 by 1, 10-20 by 2, 20-32 by 4, 32-100 by 20."""
-    edges = [i * 0.5 for i in range(0, 10)] + [float(x) for x in range(5, 10)]
-    edges += [float(x) for x in range(10, 20, 2)] + [float(x) for x in range(20, 32, 4)]
-    edges += [32.0, 52.0, 72.0, 92.0]
-    return edges
+    """The fixed edges :data:`LOS_EDGES`."""
+    return list(LOS_EDGES)
 
 
 def histogram(df: DataFrame, col: str, edges: Sequence[float]) -> DataFrame:

@@ -11,7 +11,7 @@ anchored at recall 0 / precision 1).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,16 +22,13 @@ from hourglass.sources.io import checkpoint
 # ----------------------------------------------------------------- regression
 
 
-def _regression_aggs(yt: Column, yp: Column) -> list[Column]:
+def _cell_sums(yt: Column, yp: Column) -> list[Column]:
+    """What a cell of the confusion table carries: mergeable sums for every regression metric."""
     err = yt - yp
-    return [
-        F.avg(F.abs(err)).alias("mad"),
-        F.avg(err * err).alias("mse"),
-        (F.avg(F.abs(err) / F.greatest(F.lit(4.0 / 24.0), yt)) * F.lit(100.0)).alias("mape"),
-        F.avg(F.pow(F.ln(F.try_divide(yt, yp)), 2)).alias("msle"),
-        F.sum(err * err).alias("_ss_res"),
-        (F.var_pop(yt) * F.count(yt)).alias("_ss_tot"),
-    ]
+    terms = {"mad": F.abs(err), "mse": err * err, "mape": F.abs(err) / F.greatest(F.lit(4.0 / 24.0), yt),
+             "msle": F.pow(F.ln(F.try_divide(yt, yp)), 2)}
+    sums = [f(x).alias(f"{kind}_{name}") for name, x in terms.items() for kind, f in (("s", F.sum), ("c", F.count))]
+    return [*sums, F.count(F.lit(1)).alias("n"), F.count(yt).alias("c_y"), F.avg(yt).alias("mean_y"), F.var_pop(yt).alias("var_y")]
 
 
 def _r2(ss_res: Column, ss_tot: Column) -> Column:
@@ -39,6 +36,11 @@ def _r2(ss_res: Column, ss_tot: Column) -> Column:
              .otherwise(F.lit(1.0) - ss_res / ss_tot))
 
 
+def _total(cells: str | Column, term: Callable[[Column], Column]) -> Column:
+    """Sum of a term over an array of cells."""
+    return F.aggregate(cells, F.lit(0.0), lambda acc, x: acc + F.coalesce(term(x).cast("double"), F.lit(0.0)))
+
+
 def binned(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred") -> DataFrame:
     """Add ``bin_true``/``bin_pred`` (10 LoS bins)."""
     return df.withColumn("bin_true", H.los_bin(y_true)).withColumn("bin_pred", H.los_bin(y_pred))
@@ -50,51 +52,53 @@ def binned_confusion(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pre
             .agg(F.count(F.lit(1)).cast("long").alias("count")))
 
 
+def _kappa(cells: str) -> Column:
+    """Linear kappa from an array of cells ``(bin_true, bin_pred, n, ...)``, at most 10 x 10.
+
+    Weights are ``|i - j|`` where i, j index the bins present in either vector, as with a label union.
+    """
+    c = F.filter(cells, lambda x: x["bin_true"].isNotNull() & x["bin_pred"].isNotNull())
+    present = F.array_sort(F.array_distinct(F.concat(F.transform(c, lambda x: x["bin_true"]), F.transform(c, lambda x: x["bin_pred"]))))
+    place = F.transform(c, lambda x: F.struct(F.array_position(present, x["bin_true"]).alias("i"),
+                                              F.array_position(present, x["bin_pred"]).alias("j"), x["n"].alias("n")))
+    observed = _total(place, lambda x: F.abs(x["i"] - x["j"]) * x["n"])
+    expected = _total(place, lambda x: x["n"] * _total(place, lambda y: F.abs(x["i"] - y["j"]) * y["n"]))
+    return F.lit(1.0) - F.try_divide(observed, expected / _total(place, lambda x: x["n"]))
+
+
 def linear_kappa(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred",
                  by: Sequence[str] = ()) -> DataFrame:
     """Cohen's kappa with linear weights over the LoS bins.
 
-    Weights are ``|i - j|`` where i, j index the bins *present* in either
-    vector (sorted), as sklearn does with the label union.  One pass over the
-    input builds the confusion cells (at most 10 x 10 per group, persisted);
-    the present bins, their ranks and the marginals all come from that tiny
-    table.
+    The input is counted into confusion cells once (at most 10 x 10 per group);
+    the present bins and the marginals come from the array of a group's cells.
     """
-    b = binned(df, y_true, y_pred)
-    cm = b.groupBy(*by, "bin_true", "bin_pred").agg(F.count(F.lit(1)).alias("n")).persist()
-    return kappa_from_cells(cm, by)
-
-
-def kappa_from_cells(cm: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Linear kappa from confusion cells ``(by..., bin_true, bin_pred, n)``."""
-    present = (cm.select(*by, F.col("bin_true").alias("bin"))
-                 .unionByName(cm.select(*by, F.col("bin_pred").alias("bin"))).distinct())
-    wr = Window.partitionBy(*by).orderBy("bin") if by else Window.orderBy("bin")
-    idx = present.withColumn("idx", F.dense_rank().over(wr) - 1)  # <= 10 rows per group
-    it = idx.select(*by, F.col("bin").alias("bin_true"), F.col("idx").alias("i"))
-    ip = idx.select(*by, F.col("bin").alias("bin_pred"), F.col("idx").alias("j"))
-    cmi = cm.join(it, [*by, "bin_true"]).join(ip, [*by, "bin_pred"])
-    observed = cmi.groupBy(*by).agg(F.sum(F.abs(F.col("i") - F.col("j")) * F.col("n")).alias("wo"),
-                                    F.sum("n").alias("total"))
-    rows = cmi.groupBy(*by, "i").agg(F.sum("n").alias("ri"))
-    cols = cmi.groupBy(*by, "j").agg(F.sum("n").alias("cj"))
-    exp = (rows.join(cols, list(by)) if by else rows.crossJoin(cols))   # <= 10 x 10 per group
-    expected = exp.groupBy(*by).agg(F.sum(F.abs(F.col("i") - F.col("j")) * F.col("ri") * F.col("cj"))
-                                    .alias("we_n"))
-    j = observed.join(expected, list(by)) if by else observed.crossJoin(expected)
-    kappa = F.lit(1.0) - F.try_divide(F.col("wo").cast("double"),
-                                      F.col("we_n").cast("double") / F.col("total"))
-    return j.select(*by, kappa.alias("kappa"))
+    cells = binned(df, y_true, y_pred).groupBy(*by, "bin_true", "bin_pred").agg(F.count(F.lit(1)).alias("n"))
+    rows = cells.groupBy(*by).agg(F.collect_list(F.struct("bin_true", "bin_pred", "n")).alias("_cells"))
+    rows = rows.where(F.size("_cells") > 0)
+    return rows.select(*by, _kappa("_cells").alias("kappa"))
 
 
 def regression_report(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred",
                       by: Sequence[str] = ()) -> DataFrame:
-    """L8 (L1-L5, L7): ``mad, mse, mape, msle, r2, kappa`` per group."""
+    """L8 (L1-L5, L7): ``mad, mse, mape, msle, r2, kappa`` per group.
+
+    One pass: the rows are aggregated by confusion cell, every cell carrying the sums of all metrics,
+    and a group's (at most 121) cells are merged; variances merge by their cells' means.
+    """
     yt, yp = F.col(y_true).cast("double"), F.col(y_pred).cast("double")
-    base = df.groupBy(*by).agg(*_regression_aggs(yt, yp))
-    base = base.select(*by, "mad", "mse", "mape", "msle", _r2(F.col("_ss_res"), F.col("_ss_tot")).alias("r2"))
-    k = linear_kappa(df, y_true, y_pred, by)
-    return base.join(k, list(by)) if by else base.crossJoin(k)
+    cells = binned(df, y_true, y_pred).groupBy(*by, "bin_true", "bin_pred").agg(*_cell_sums(yt, yp))
+    fields = [c for c in cells.columns if c not in by]
+    rows = cells.groupBy(*by).agg(F.collect_list(F.struct(*fields)).alias("_c")).where(F.size("_c") > 0)
+
+    def mean(name: str) -> Column:
+        return F.try_divide(_total("_c", lambda x: x[f"s_{name}"]), _total("_c", lambda x: x[f"c_{name}"]))
+
+    rows = rows.withColumn("_mean", F.try_divide(_total("_c", lambda x: x["c_y"] * x["mean_y"]), _total("_c", lambda x: x["c_y"])))
+    ss_tot = _total("_c", lambda x: x["c_y"] * (x["var_y"] + F.pow(x["mean_y"] - F.col("_mean"), 2)))
+    return rows.select(*by, mean("mad").alias("mad"), mean("mse").alias("mse"), (mean("mape") * 100.0).alias("mape"),
+                       mean("msle").alias("msle"),
+                       _r2(_total("_c", lambda x: x["s_mse"]), ss_tot).alias("r2"), _kappa("_c").alias("kappa"))
 
 
 # ----------------------------------------------------------------- classification
@@ -135,7 +139,8 @@ def score_table(df: DataFrame, y_true: str = "y_true", p: str = "p") -> DataFram
     y = F.col(y_true).cast("int")
     per = df.groupBy(F.col(p).alias("score")).agg(
         F.sum((y == 1).cast("long")).alias("pos"), F.sum((y == 0).cast("long")).alias("neg"))
-    return cumulative(per, [F.desc("score")], ["pos", "neg"])
+    # written, for a range order reads its rows twice: once to find the ranges
+    return cumulative(checkpoint(per), [F.desc("score")], ["pos", "neg"])
 
 
 def _curve_areas(t: DataFrame) -> DataFrame:

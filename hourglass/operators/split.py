@@ -1,16 +1,17 @@
 """Global ranks, entity splits, shuffles and samples (inventory J1-J3, F1-F6, H30).
 
-Global orderings are computed only on small distinct-key tables (persons,
-stays, codes), never on events, and without funnelling rows into one task:
-the keys are range-sorted in parallel, the sorted result is checkpointed,
-and consecutive ranks are formed from per-partition row counts (one row
-per partition reaches the driver).
+Splits and samples need no order: the hash values that separate them are
+selected by counting (:func:`cut_points`), and rows are compared with them.
+Where a rank itself is the result, the distinct keys (stays, codes, never
+events) are range-sorted in parallel and checkpointed, and consecutive ranks
+are formed from per-partition row counts (one row per partition).
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -47,25 +48,91 @@ def global_rank(df: DataFrame, order: Sequence[Column | str], name: str = "rank"
     return out.withColumn(name, rank).drop("_pid", "_mid", "_off", "_first")
 
 
+#: Hex digits of the hash by which keys are counted at a time, and keys that are fetched to be ordered.
+DIGITS, FETCHED = 3, 4096
+
+
+def cut_points(keys: DataFrame, key: str, seed: int, sizes: Callable[[int], Sequence[int]],
+               by: str | None = None) -> dict[object, list[tuple[str, object] | None]]:
+    """The ``(hash, key)`` of chosen ranks in the seeded order, per stratum ``by``.
+
+    ``keys`` has one row per key; ``sizes(n)`` gives the ranks (from 1; 0 is None) for a stratum of ``n``
+    keys.  Selection by digits: keys are counted by the first hex digits of their hash, only the digits
+    that hold a chosen rank are counted further, and at last a few thousand keys are fetched.  What the
+    driver holds are 4096 counts per stratum and level; nothing is ordered across the cluster.
+    """
+    stratum = F.col(by) if by else F.lit(0)
+    h = checkpoint(keys.select(stratum.alias("_b"), F.col(key).alias("_k"), seeded_hash(key, seed).alias("_h")))
+
+    def counted(rows: DataFrame, digits: int) -> dict[object, list[tuple[str, int]]]:
+        out: dict[object, list[tuple[str, int]]] = {}
+        for r in rows.groupBy("_b", F.substring("_h", 1, digits).alias("d")).count().collect():
+            out.setdefault(r["_b"], []).append((r["d"], r["count"]))
+        return {b: sorted(v) for b, v in out.items()}
+
+    # (stratum, digits so far) -> [(index of the rank, rank within)]
+    open_: dict[tuple[object, str], list[tuple[int, int]]] = {}
+    cuts: dict[object, list[tuple[str, object] | None]] = {}
+
+    def place(b: object, counts: list[tuple[str, int]], ranks: list[tuple[int, int]], few: dict) -> None:
+        for i, rank in ranks:
+            for d, n in counts:
+                if rank <= n:
+                    (few if n <= FETCHED or len(d) >= 30 else open_).setdefault((b, d), []).append((i, rank))
+                    break
+                rank -= n
+
+    few: dict[tuple[object, str], list[tuple[int, int]]] = {}
+    for b, counts in counted(h, DIGITS).items():
+        wanted = list(sizes(sum(n for _, n in counts)))
+        cuts[b] = [None] * len(wanted)
+        place(b, counts, [(i, r) for i, r in enumerate(wanted) if r > 0], few)
+    digits = DIGITS
+    while open_:
+        now, open_ = open_, {}
+        held = reduce(lambda x, y: x | y, [F.col("_b").eqNullSafe(F.lit(b)) & F.col("_h").startswith(d) for b, d in now])
+        digits += DIGITS
+        for b, counts in counted(h.where(held), digits).items():
+            for (of, d), ranks in now.items():
+                if of == b:
+                    place(b, [c for c in counts if c[0].startswith(d)], ranks, few)
+    if few:
+        held = reduce(lambda x, y: x | y, [F.col("_b").eqNullSafe(F.lit(b)) & F.col("_h").startswith(d) for b, d in few])
+        rows = h.where(held).orderBy("_h", "_k").collect()  # at most FETCHED for every chosen rank
+        for (b, d), ranks in few.items():
+            mine = [r for r in rows if r["_b"] == b and r["_h"].startswith(d)]
+            for i, rank in ranks:
+                cuts[b][i] = (mine[rank - 1]["_h"], mine[rank - 1]["_k"])
+    return cuts
+
+
+def _up_to(key: str, seed: int, cut: tuple[str, object] | None) -> Column:
+    """Whether a row's key stands at or before the cut in the seeded order."""
+    if cut is None:
+        return F.lit(False)
+    h = seeded_hash(key, seed)
+    return (h < F.lit(cut[0])) | ((h == F.lit(cut[0])) & (F.col(key) <= F.lit(cut[1])))
+
+
 def split_by_entity(df: DataFrame, entity: str, seed: int = 9, test: float = 0.15,
                     val: float = 0.15, key: str = KEY) -> DataFrame:
     """Assign every row to train/val/test so that no entity crosses splits.
 
-    Entities are ranked by a seeded hash.  The first ``ceil(test * n)`` go to
-    test, the next ``ceil(val / (1 - test) * (n - n_test))`` to val (the two
-    successive splits of the reference), the rest to train.  Output: ``df``
-    with a ``split`` column.
+    Entities stand in the order of a seeded hash.  The first ``ceil(test * n)`` go to test, the next
+    ``ceil(val / (1 - test) * (n - n_test))`` to val (the two successive splits of the reference), the
+    rest to train.  The two hash values that separate them are selected (:func:`cut_points`); every row
+    is then compared with them on its own, without a join.  Rows without an entity are left out.
+    Output: ``df`` with a ``split`` column.
     """
-    persons = df.select(entity).distinct()
-    ranked = global_rank(persons.withColumn("_h", seeded_hash(entity, seed)),
-                         [F.col("_h"), F.col(entity)], "_r")
-    n = persons.count()
-    n_test = math.ceil(test * n)
-    n_val = math.ceil(val / (1.0 - test) * (n - n_test))
-    lab = ranked.select(entity, F.when(F.col("_r") <= n_test, F.lit("test"))
-                        .when(F.col("_r") <= n_test + n_val, F.lit("val"))
-                        .otherwise(F.lit("train")).alias("split"))
-    return df.join(lab, entity, "inner")
+    def sizes(n: int) -> tuple[int, int]:
+        n_test = math.ceil(test * n)
+        return n_test, n_test + math.ceil(val / (1.0 - test) * (n - n_test))
+
+    persons = df.where(F.col(entity).isNotNull()).select(entity).distinct()
+    low, high = cut_points(persons, entity, seed, sizes).get(0, [None, None])
+    split = (F.when(_up_to(entity, seed, low), F.lit("test")).when(_up_to(entity, seed, high), F.lit("val"))
+              .otherwise(F.lit("train")))
+    return df.where(F.col(entity).isNotNull()).withColumn("split", split)
 
 
 def split_by_hash(df: DataFrame, entity: str, seed: int = 9, test: float = 0.15,
@@ -91,12 +158,18 @@ def shuffle_stays(stays: DataFrame, seed: int = 9, key: str = KEY) -> DataFrame:
     return global_rank(ids, [F.col("_h"), F.col(key)], "order").select(key, "order")
 
 
-def sample_stays(stays: DataFrame, frac: float, seed: int = 9, key: str = KEY) -> DataFrame:
-    """Exactly ``round(frac * n)`` stays (half to even), chosen by seeded hash."""
-    order = shuffle_stays(stays, seed, key)
-    n = stays.select(key).distinct().count()
-    k = round(frac * n)
-    return order.where(F.col("order") <= k).select(key)
+def sample_stays(stays: DataFrame, frac: float, seed: int = 9, key: str = KEY, by: str | None = None) -> DataFrame:
+    """Exactly ``round(frac * n)`` stays (half to even), chosen by seeded hash.
+
+    With ``by`` (a column of ``stays``, such as the split) that share of every stratum, each with its own
+    cut; the strata must be few, for they become part of the plan.  Output ``(key)`` or ``(key, by)``.
+    """
+    ids = stays.select(key, *([by] if by else [])).distinct()
+    cuts = cut_points(ids, key, seed, lambda n: [round(frac * n)], by)
+    chosen = F.lit(False)
+    for b, (cut,) in cuts.items():
+        chosen = chosen | ((F.col(by).eqNullSafe(F.lit(b)) if by else F.lit(True)) & _up_to(key, seed, cut))
+    return ids.where(chosen)
 
 
 def apply_sample(df: DataFrame, sample: DataFrame, key: str = KEY) -> DataFrame:

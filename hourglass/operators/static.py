@@ -78,26 +78,32 @@ def one_hot_long(df: DataFrame, cols: Sequence[str], key: str = KEY) -> DataFram
     return out
 
 
-def standardise(df: DataFrame, col: str, clip: float | None = 4.0) -> DataFrame:
-    """``(x - mean) / std`` with the sample std, then clip; NULL stays NULL."""
-    stats = df.agg(F.avg(col).alias("_mean"), F.stddev_samp(col).alias("_std"))
-    z = F.try_divide(F.col(col) - F.col("_mean"), F.col("_std"))
-    if clip is not None:
-        z = H.clip(z, -clip, clip)
-    return cross_scalar(df, stats).withColumn(col, z).drop("_mean", "_std")
+def standardise(df: DataFrame, cols: str | Sequence[str], clip: float | None = 4.0) -> DataFrame:
+    """``(x - mean) / std`` with the sample std, then clip; NULL stays NULL.
+
+    The moments of all columns come from one aggregate.
+    """
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    stats = df.agg(*[f(c).alias(f"_{kind}_{c}") for c in cols for kind, f in (("mean", F.avg), ("std", F.stddev_samp))])
+    out = cross_scalar(df, stats)
+    for c in cols:
+        z = F.try_divide(F.col(c) - F.col(f"_mean_{c}"), F.col(f"_std_{c}"))
+        out = out.withColumn(c, z if clip is None else H.clip(z, -clip, clip))
+    return out.drop(*stats.columns)
 
 
 def quantile_scale(df: DataFrame, cols: Sequence[str], clip: float | None = 4.0,
-                   probs: Sequence[float] = (0.05, 0.95)) -> DataFrame:
+                   probs: Sequence[float] = (0.05, 0.95), stored: bool = False) -> DataFrame:
     """I4: ``2 (x - q_lo) / (q_hi - q_lo) - 1`` per column, then clip (NULL kept).
 
-    Exact quantiles of all columns from one distributed ranking.
+    Exact quantiles of all columns from one distributed selection; ``stored``
+    says that ``df`` is a written table (or a projection of one).
     """
     from hourglass.operators.quantiles import quantiles
 
-    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "_c", "_v")
-    q = quantiles(long, "_v", ["_c"], probs, ("_lo", "_hi"))
-    of = lambda c, side: F.max(F.when(F.col("_c") == c, F.col(side)))
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot([], list(cols), "_column", "_value")
+    q = quantiles(long, "_value", ["_column"], probs, ("_q_lo", "_q_hi"), stored=stored)
+    of = lambda c, side: F.max(F.when(F.col("_column") == c, F.col(f"_q{side}")))
     stats = q.agg(*[of(c, side).alias(f"{side}_{c}") for c in cols for side in ("_lo", "_hi")])
     out = cross_scalar(df, stats)
     for c in cols:
@@ -181,7 +187,11 @@ def collapse_and_one_hot(df: DataFrame, cols: Sequence[str], min_count: int, oth
 
 def encode_flat(df: DataFrame, spec: FlatSpec) -> DataFrame:
     """Drop -> map -> collapse rare -> one-hot -> age parse -> z-score ->
-    quantile scale -> clip -> missing indicators -> fill."""
+    quantile scale -> clip -> missing indicators -> fill.
+
+    ``df`` should be a written table: the fit reads it for the category counts,
+    the moments of all columns and the quantiles of all columns.
+    """
     out = df.drop(*spec.drop)
     if spec.gender:
         out = out.withColumn(spec.gender, H.map_values(spec.gender, GENDER_MAP, 0.5).cast("double"))
@@ -197,10 +207,10 @@ def encode_flat(df: DataFrame, spec: FlatSpec) -> DataFrame:
         age = F.coalesce(F.nullif(F.col(spec.age), F.lit("")), F.lit(spec.age_fill))
         out = (out.withColumn("> 89", H.contains_flag(age, "> 89"))
                   .withColumn(spec.age, H.age_float(age)))
-    for c in spec.standardise:
-        out = standardise(out, c, spec.clip)
+    if spec.standardise:
+        out = standardise(out, spec.standardise, spec.clip)
     if spec.quantile_scale:
-        out = quantile_scale(out, spec.quantile_scale, spec.clip)
+        out = quantile_scale(out, spec.quantile_scale, spec.clip, stored=True)
     for col, ind in spec.indicators.items():
         out = impute_with_indicator(out, col, ind)
     return out

@@ -9,11 +9,11 @@ Partitioning plan of the encoding:
    per-source minute means are formed there and written once.  The fit and the
    encoding both start from them, so the events are read once for both.  A
    very long stay is spread over its hours, so one hot stay is not one task.
-2. the sparse hourly observations (bounded per stay) are exchanged once on
-   ``stay``; one window stage gives fill/decay runs per observation, and
-   ``explode(sequence(...))`` turns runs into hours.  The dense grid - the
-   largest table by far - is generated in place: never shuffled, sorted or
-   joined (see :func:`stay_runs`).
+2. the sparse hourly observations become one ordered array per ``(stay,
+   feature)``, joined with the stay's range of hours; these arrays give the
+   fill/decay runs, and ``explode(sequence(...))`` turns runs into hours.  The
+   dense grid - the largest table by far - is generated in place: never
+   shuffled, sorted or joined (see :func:`stay_runs`).
 """
 
 from __future__ import annotations
@@ -186,57 +186,37 @@ def stay_runs(hourly: DataFrame, vocab: DataFrame, max_hour: int | None = None,
     run ``[lo, hi]``.  Output ``(stay, feature, _start, _end, _obs, value,
     first_time, last_time)`` and the per-stay constants ``carry``.
 
-    Single pass: the hourly observations of a stay are bounded (hours x
-    features), so they are exchanged once on ``stay``; one window stage gives
-    each observation its next/previous hour, the stay's range and the set of
-    features the stay has.  Every observation row then emits an array of runs
-    (its own run; the leading unobserved run if it is the feature's first
-    observation; the never-observed features' runs if it is the stay's first
-    row of its smallest feature).  Hours below ``min_time`` are left out.
+    The range of every stay (one row, by partial aggregates) meets the vocabulary, and each of
+    these (stay, feature) rows is joined with the feature's observations, an array in order of time.
+    Everything is keyed by ``(stay, feature)``: a stay with very many events is spread over its
+    features, and a feature that a stay lacks is a row without a partner.  Hours below ``min_time`` and
+    beyond ``max_hour`` are left out; the latter do not enter the arrays.
     """
     cw = list(carry)
-    feats = vocabulary(vocab)
-    obs = hourly.where(F.col(value).isNotNull())
-    # An explicit partition count: this exchange is small (sparse observations) but
-    # feeds the dense expansion, so AQE must not coalesce it into a few tasks.
-    n_parts = int(hourly.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    obs = obs.select(KEY, "feature", "time", F.col(value).cast("double").alias(value), *cw
-                     ).repartition(n_parts, KEY)
-
-    # the stay's range spans all its hours; its upper end is then clipped to max_hour
-    def clipped(c):
-        return c if max_hour is None else F.least(c, F.lit(int(max_hour)))
-
-    wf = Window.partitionBy(KEY, "feature").orderBy("time")
-    ws = Window.partitionBy(KEY)
-    o = obs.select(KEY, "feature", "time", value, *cw,
-                   F.lead("time").over(wf).alias("_next"), F.lag("time").over(wf).alias("_prev"),
-                   F.min("time").over(ws).alias("lo"), clipped(F.max("time").over(ws)).alias("hi"),
-                   F.min("feature").over(ws).alias("_fmin"),
-                   F.collect_set("feature").over(ws).alias("_seen"))
-    t, hi = F.col("time"), F.col("hi")
-    lo1 = F.col("lo") if min_time is None else F.greatest(F.col("lo"), F.lit(int(min_time)))
-
-    def run(feature, start, end, obs_t, v):
-        return F.struct(feature.alias("feature"), start.cast("long").alias("_start"),
-                        end.cast("long").alias("_end"), obs_t.cast("long").alias("_obs"),
-                        v.cast("double").alias(value))
-
-    none_l, none_d = F.lit(None).cast("long"), F.lit(None).cast("double")
-    first = F.col("_prev").isNull()
-    own_start = t if min_time is None else F.greatest(t, F.lit(int(min_time)))
-    own = F.filter(F.array(run(F.col("feature"), own_start,
-                               F.least(F.coalesce(F.col("_next") - 1, hi), hi), t, F.col(value))),
-                   lambda r: t <= hi)
-    lead = F.filter(F.array(run(F.col("feature"), lo1, F.least(t - 1, hi), none_l, none_d)),
-                    lambda r: first)
-    is_rep = first & (F.col("feature") == F.col("_fmin"))
-    missing = F.array_except(F.array(*[F.lit(f) for f in feats]), F.col("_seen"))
-    never = F.transform(F.filter(missing, lambda f: is_rep),
-                        lambda f: run(f, lo1, hi, none_l, none_d))
-    runs = o.select(KEY, *cw, lo1.alias("first_time"), hi.alias("last_time"),
-                    F.explode(F.concat(own, lead, never)).alias("_r"))
-    return runs.select(KEY, *cw, "first_time", "last_time", "_r.*").where(F.col("_start") <= F.col("_end"))
+    t, v = F.col("time"), F.col(value).cast("double")
+    obs = hourly.where(v.isNotNull())
+    hi = F.max("time") if max_hour is None else F.least(F.max("time"), F.lit(int(max_hour)))
+    lo = F.min("time") if min_time is None else F.greatest(F.min("time"), F.lit(int(min_time)))
+    names = vocab.agg(F.array_sort(F.collect_set("feature")).alias("_names"))  # one row
+    bounds = obs.groupBy(KEY, *cw).agg(lo.cast("long").alias("first_time"), hi.cast("long").alias("last_time"))
+    pairs = cross_scalar(bounds.where(F.col("first_time") <= F.col("last_time")), names)
+    pairs = pairs.select(KEY, *cw, "first_time", "last_time", F.explode("_names").alias("feature"))
+    seen = obs if max_hour is None else obs.where(t <= int(max_hour))
+    seen = seen.groupBy(KEY, "feature").agg(
+        F.array_sort(F.collect_list(F.struct(t.cast("long").alias("t"), v.alias("v")))).alias("_o"))
+    j = pairs.join(seen, [KEY, "feature"], "left")
+
+    first, last = F.col("first_time"), F.col("last_time")
+    nothing = F.struct(first.alias("_start"), last.alias("_end"), F.lit(None).cast("long").alias("_obs"),
+                       F.lit(None).cast("double").alias(value))
+    lead = F.struct(first.alias("_start"), (F.get("_o", F.lit(0))["t"] - 1).alias("_end"),
+                    F.lit(None).cast("long").alias("_obs"), F.lit(None).cast("double").alias(value))
+    own = F.transform("_o", lambda x, i: F.struct(
+        F.greatest(x["t"], first).alias("_start"), F.coalesce(F.get("_o", i + 1)["t"] - 1, last).alias("_end"),
+        x["t"].alias("_obs"), x["v"].alias(value)))
+    runs = F.when(F.col("_o").isNull(), F.array(nothing)).otherwise(F.concat(F.array(lead), own))
+    out = j.select(KEY, *cw, "first_time", "last_time", "feature", F.explode(runs).alias("_r"))
+    return out.select(KEY, *cw, "first_time", "last_time", "feature", "_r.*").where(F.col("_start") <= F.col("_end"))
 
 
 def run_mask(hour, obs, decay: bool = True, decay_rate: float = 4.0 / 3.0):
@@ -287,37 +267,50 @@ def to_wide(grid: DataFrame, features: Sequence[str], keys: Sequence[str] = (KEY
 
 
 # ----------------------------------------------------------------- composite
-def source_minute_mean(windowed: DataFrame, extra_keys: Sequence[str] = ()) -> DataFrame:
-    """D6 per source: mean per (stay, minute, feature, source); adds ``time``."""
-    ev = windowed.where(F.col("value").isNotNull()).withColumn("time", H.hour_ceil("offset_min"))
+def source_minute_mean(windowed: DataFrame, extra_keys: Sequence[str] = (), main_source: str | None = None) -> DataFrame:
+    """D6 per source: mean per (stay, minute, feature, source); adds ``time``.
+
+    Rows of ``main_source`` count as present without a value too, so theirs are kept (with a NULL mean).
+    """
+    has = F.col("value").isNotNull() if main_source is None else F.col("value").isNotNull() | (F.col("source") == main_source)
+    ev = windowed.where(has).withColumn("time", H.hour_ceil("offset_min"))
     return ev.repartition(KEY, "time", "feature").groupBy(
         KEY, "time", "offset_min", "feature", "source", *extra_keys).agg(F.avg("value").alias("value"))
 
 
-def fit_vocabulary(minutes: DataFrame, cohort: DataFrame, min_frac: float) -> DataFrame:
-    """``(feature, n_stays)`` of the features that more than ``min_frac`` of the cohort's stays have."""
+def main_source_stays(minutes: DataFrame, main_source: str) -> DataFrame:
+    """The stays with any row of the main source, from the written minute means (no further read of
+    the events); the others are not encoded, whatever their other sources hold."""
+    return minutes.where(F.col("source") == main_source).select(KEY).distinct()
+
+
+def fit_vocabulary(minutes: DataFrame, cohort: DataFrame, min_frac: float, always: Sequence[str] = ()) -> DataFrame:
+    """``(feature, n_stays)`` of the features that more than ``min_frac`` of the cohort's stays have,
+    and of those ``always`` taken."""
     cov = minutes.groupBy("feature").agg(F.count_distinct(KEY).cast("long").alias("n_stays"))
     total = cohort.agg(F.count_distinct(KEY).cast("long").alias("n_cohort"))
     return (cross_scalar(cov, total)
-               .where(F.col("n_stays") > F.col("n_cohort") * F.lit(float(min_frac)))
+               .where((F.col("n_stays") > F.col("n_cohort") * F.lit(float(min_frac))) | F.col("feature").isin(list(always)))
                .select("feature", "n_stays"))
 
 
 def fit_series(minutes: DataFrame, cohort: DataFrame, min_frac: float,
                probs: Sequence[float] = (0.05, 0.95), accuracy: int | None = None,
-               fit_stays: DataFrame | None = None) -> DataFrame:
+               fit_stays: DataFrame | None = None, always: Sequence[str] = ()) -> DataFrame:
     """D1 + D9: common features with their scaling quantiles ``(feature, n_stays, q_lo, q_hi)``.
 
     ``minutes`` is the materialised output of :func:`source_minute_mean` over
     the cohort's windows (what the reference stacks before fitting); quantiles
-    are restricted to ``fit_stays`` when given.  One row per common feature.
+    are restricted to ``fit_stays`` when given.  One row per common feature; the
+    columns of wide sources (``always``) are features whatever their coverage.
     """
     from hourglass.operators.aggregates import fit_quantiles
 
-    vocab = checkpoint(fit_vocabulary(minutes, cohort, min_frac))
+    minutes = minutes.where(F.col("value").isNotNull())
+    vocab = checkpoint(fit_vocabulary(minutes, cohort, min_frac, always))
     fit_rows = minutes if fit_stays is None else minutes.join(fit_stays.select(KEY), KEY, "left_semi")
     q = fit_quantiles(fit_rows.join(vocab.select("feature"), "feature", "left_semi"),
-                      "value", ("feature",), probs, accuracy)
+                      "value", ("feature",), probs, accuracy, stored=fit_stays is None)
     return vocab.join(q, "feature", "left")
 
 

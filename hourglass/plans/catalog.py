@@ -138,6 +138,20 @@ def q_encode_two_sources(spark, d):
     return g.select("stay", "time", "feature", r6("value"), r6("mask"), r6("hour"))
 
 
+@query("encode_main_source")
+def q_encode_main_source(spark, d):
+    """Two long sources; only stays with rows of the main one."""
+    g = _encoded(spark, d, sources=("events", "alarms"), main_source="alarms")
+    return g.select("stay", "time", "feature", r6("value"), r6("mask"), r6("hour"))
+
+
+@query("encode_wide_source")
+def q_encode_wide_source(spark, d):
+    """E11 + I13: a wide source, unpivoted and stacked with the long one in one scan, is the main one."""
+    g = _encoded(spark, d, sources=("events", "monitor"), main_source="monitor")
+    return g.select("stay", "time", "feature", r6("value"), r6("mask"), r6("hour"))
+
+
 @query("forward_fill")
 def q_forward_fill(spark, d):
     return _encoded(spark, d).select("stay", "time", "feature", r6("value"))
@@ -278,8 +292,8 @@ def q_mean_median(spark, d):
 from hourglass.operators import codes as C  # noqa: E402
 
 
-def _code_pairs(spark, d):
-    st = series.cohort(spark, d)
+def _code_pairs(spark, d, stays=None):
+    st = series.cohort(spark, d) if stays is None else stays
     return C.code_union(list(driver.code_sources(spark, d, st).values()))
 
 
@@ -319,8 +333,9 @@ def q_rare_codes(spark, d):
     return C.rare_codes(stay_codes, n, 0.01)
 
 
-def _kept_codes(spark, d):
-    return C.encode_codes(_code_pairs(spark, d), P.series_stays(spark, d), 0.01)
+def _kept_codes(spark, d, stays=None, in_series=None):
+    st = series.cohort(spark, d) if stays is None else stays
+    return C.encode_codes(_code_pairs(spark, d, st), P.series_stays(spark, d, st) if in_series is None else in_series, 0.01)
 
 
 @query("encode_codes")
@@ -330,7 +345,9 @@ def q_encode_codes(spark, d):
 
 @query("codes_per_stay")
 def q_codes_per_stay(spark, d):
-    return C.codes_per_stay(_kept_codes(spark, d), P.series_stays(spark, d))
+    st = series.cohort(spark, d)
+    in_series = P.series_stays(spark, d, st)
+    return C.codes_per_stay(_kept_codes(spark, d, st, in_series), in_series)
 
 
 @query("collect_codes")
@@ -410,8 +427,8 @@ def _cells(rows, feats, *keep):
     return out.select(*keep, "_c.feature", r6(F.col("_c.value"), "value"), r6(F.col("_c.mask"), "mask"))
 
 
-def _labels01(spark, d):
-    st = series.cohort(spark, d)
+def _labels01(spark, d, stays=None):
+    st = series.cohort(spark, d) if stays is None else stays
     return st.select("stay", "los_days",
                      F.when(F.col("mortality") == "EXPIRED", 1).otherwise(0).alias("mortality"))
 
@@ -471,9 +488,12 @@ def q_pad_sequences(spark, d):
 
 def training_frame(spark, d):
     """K4 as a model reads it: one row per hour with arrays; and the feature names."""
-    runs, stats = series.series_runs(spark, d)
-    static = P.flat_for_series(spark, d).select("stay", "nation", "segment")
-    return K.training_rows(runs, _labels01(spark, d), static, C.collect_codes(_kept_codes(spark, d))), E.vocabulary(stats)
+    st = series.cohort(spark, d)
+    in_series = P.series_stays(spark, d, st)
+    runs, stats = series.series_runs(spark, d, st)
+    static = P.flat_for_series(spark, d, st, in_series).select("stay", "nation", "segment")
+    codes = C.collect_codes(_kept_codes(spark, d, st, in_series))
+    return K.training_rows(runs, _labels01(spark, d, st), static, codes), E.vocabulary(stats)
 
 
 @query("training_rows")

@@ -28,15 +28,17 @@ FLAT_SPEC = FlatSpec(
 )
 
 
-def series_stays(spark: SparkSession, d: str) -> DataFrame:
+def series_stays(spark: SparkSession, d: str, stays: DataFrame | None = None) -> DataFrame:
     """Cohort stays that have at least one windowed event."""
-    st = series.cohort(spark, d)
+    st = series.cohort(spark, d) if stays is None else stays
     return checkpoint(series.windowed_events(spark, d, st).select("stay").distinct())
 
 
-def flat_for_series(spark: SparkSession, d: str) -> DataFrame:
-    """Static rows of the stays with a series (built from the persisted cohort)."""
-    return semi_join(driver.flat(spark, d, series.cohort(spark, d)), series_stays(spark, d))
+def flat_for_series(spark: SparkSession, d: str, stays: DataFrame | None = None,
+                    in_series: DataFrame | None = None) -> DataFrame:
+    """Static rows of the stays with a series (``stays``: the written cohort, shared by both sides)."""
+    st = series.cohort(spark, d) if stays is None else stays
+    return semi_join(driver.flat(spark, d, st), series_stays(spark, d, st) if in_series is None else in_series)
 
 
 def encoded_flat(spark: SparkSession, d: str, spec: FlatSpec = FLAT_SPEC) -> DataFrame:
@@ -50,7 +52,8 @@ def encoded_flat(spark: SparkSession, d: str, spec: FlatSpec = FLAT_SPEC) -> Dat
 
 def encoded_labels(spark: SparkSession, d: str) -> DataFrame:
     """Stay labels with one-hot discharge location/status and 0/1 mortality."""
-    st = semi_join(series.cohort(spark, d), series_stays(spark, d))
+    stays = series.cohort(spark, d)
+    st = semi_join(stays, series_stays(spark, d, stays))
     lab = st.select("stay", "person", "los_days", "mortality", "discharge_location",
                     F.col("mortality").alias("discharge_status"))
     return encode_labels(lab)

@@ -125,6 +125,38 @@ def _series(suffix: str, win: str, min_frac: float = 0.7) -> dict[str, str]:
 CTE.update(_series("", "win"))
 CTE.update(_series("2", "win2"))
 
+
+def _main_series(suffix: str, extra: str, main: str, wide: tuple[str, ...]) -> None:
+    """CTEs of an encoding whose stays must have rows of the main source (``extra``: its rows)."""
+    s = suffix
+    CTE[f"ev{s}"] = f"""ev{s} AS (
+  SELECT * FROM ev
+  UNION ALL
+  {extra})"""
+    CTE[f"win{s}"] = _win(f"win{s}", f"ev{s}")
+    CTE[f"kept{s}"] = f"""kept{s} AS (SELECT DISTINCT stay FROM win{s} WHERE source = '{main}')"""
+    parts = _series(s, f"win{s}")
+    names = ", ".join(f"'{w}'" for w in wide) or "''"
+    CTE[f"all{s}"] = parts[f"src{s}"].replace(f"src{s} AS", f"all{s} AS", 1).replace("GROUP BY", "WHERE value IS NOT NULL GROUP BY")
+    CTE[f"vocab{s}"] = f"""vocab{s} AS (
+  SELECT feature, count(DISTINCT stay) AS n_stays FROM all{s} GROUP BY feature
+  HAVING count(DISTINCT stay) > (SELECT count(DISTINCT stay) FROM cohort) * 0.7 OR feature IN ({names}))"""
+    CTE[f"src{s}"] = f"""src{s} AS (SELECT * FROM all{s} WHERE stay IN (SELECT stay FROM kept{s}))"""
+    CTE.update({k: v for k, v in parts.items() if k not in (f"src{s}", f"vocab{s}")})
+
+
+_ALARM = f"""SELECT user_id AS stay, ts, {_FEATURE} AS feature,
+         CAST(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS DOUBLE) AS value, 'alarms' AS source
+  FROM events WHERE event_type = 'error' AND TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) % 16 = 0"""
+_MONITOR = """SELECT user_id AS stay, ts, 'monitor_k' AS feature,
+         CAST(TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS DOUBLE) AS value, 'monitor' AS source
+  FROM events WHERE event_type = 'error' AND TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) % 16 = 0
+  UNION ALL
+  SELECT user_id, ts, 'monitor_value', CASE WHEN isnan(value) THEN NULL ELSE value END, 'monitor'
+  FROM events WHERE event_type = 'error' AND TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) % 16 = 0"""
+_main_series("3", _ALARM, "alarms", ())
+_main_series("4", _MONITOR, "monitor", ("monitor_k", "monitor_value"))
+
 _ORDER = list(CTE)
 
 
@@ -203,6 +235,11 @@ ORACLE["encode_two_sources"] = with_("encoded2") + f"""
 SELECT stay, time, feature, {r6('value', 'value')}, {r6('mask', 'mask')}, {r6('hour', 'hour')}
 FROM encoded2"""
 
+for _name, _n in (("encode_main_source", "3"), ("encode_wide_source", "4")):
+    ORACLE[_name] = with_(f"encoded{_n}") + f"""
+SELECT stay, time, feature, {r6('value', 'value')}, {r6('mask', 'mask')}, {r6('hour', 'hour')}
+FROM encoded{_n}"""
+
 ORACLE["forward_fill"] = with_("encoded") + f"""
 SELECT stay, time, feature, {r6('value', 'value')} FROM encoded"""
 

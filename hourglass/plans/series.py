@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from hourglass.operators.filters import select_cohort
 from hourglass.functions.scalar import cyclic_unit
-from hourglass.operators.timeseries import (fit_series, fit_vocabulary, hourly_observations, resample_and_mask,
-                                            source_minute_mean, stay_hours, stay_runs, window_events_ts)
+from hourglass.operators.timeseries import (fit_series, fit_vocabulary, hourly_observations, main_source_stays,
+                                            resample_and_mask, source_minute_mean, stay_hours, stay_runs, window_events_ts)
 from hourglass.sources import driver
 from hourglass.sources.io import checkpoint
 
@@ -47,11 +47,12 @@ def windowed_events(spark: SparkSession, d: str, stays: DataFrame,
     return window_events_ts(ev, stays, lookback_min, keep=keep)
 
 
-def minute_means(spark: SparkSession, d: str, stays: DataFrame, sources: Sequence[str] = ("events",)) -> DataFrame:
+def minute_means(spark: SparkSession, d: str, stays: DataFrame, sources: Sequence[str] = ("events",),
+                 main_source: str | None = None) -> DataFrame:
     """Per-source minute means of the cohort's windows, with the admission hour, written once."""
     st = stays.withColumn("admit_hour", F.hour("admit_ts"))
     ev = windowed_events(spark, d, st, sources, keep=("admit_hour",))
-    return checkpoint(source_minute_mean(ev, ("admit_hour",)))
+    return checkpoint(source_minute_mean(ev, ("admit_hour",), main_source))
 
 
 def series_vocabulary(spark: SparkSession, d: str, stays: DataFrame, min_frac: float = MIN_FRAC) -> DataFrame:
@@ -67,20 +68,30 @@ def series_stats(spark: SparkSession, d: str, stays: DataFrame, min_frac: float
 
 
 def hourly_series(spark: SparkSession, d: str, min_frac: float = MIN_FRAC, sources: Sequence[str] = ("events",),
-                  quantile_accuracy: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Scaled hourly observations (with ``admit_hour``) and the fitted statistics."""
-    st = cohort(spark, d)
-    minutes = minute_means(spark, d, st, sources)
-    stats = checkpoint(fit_series(minutes, st, min_frac, QUANTILES, quantile_accuracy))
+                  quantile_accuracy: int | None = None, stays: DataFrame | None = None,
+                  main_source: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Scaled hourly observations (with ``admit_hour``) and the fitted statistics.
+
+    With ``main_source`` only stays that have rows of it are fitted and encoded.  The vocabulary is that
+    of the cohort, the columns of a wide source included.
+    """
+    st = cohort(spark, d) if stays is None else stays
+    minutes = minute_means(spark, d, st, sources, main_source)
+    wide = driver.MONITOR_FEATURES if "monitor" in sources else ()
+    kept = None if main_source is None else checkpoint(main_source_stays(minutes, main_source))
+    stats = checkpoint(fit_series(minutes, st, min_frac, QUANTILES, quantile_accuracy, kept, wide))
+    if kept is not None:
+        minutes = minutes.join(kept, "stay", "left_semi").where(F.col("value").isNotNull())
     return hourly_observations(minutes, stats, CLIP, ("admit_hour",)), stats
 
 
 def encode_timeseries(spark: SparkSession, d: str, min_frac: float = MIN_FRAC,
                       decay: bool = True, horizon: int | None = HORIZON_HOURS,
-                      sources: Sequence[str] = ("events",),
-                      quantile_accuracy: int | None = None) -> DataFrame:
-    """Long hourly grid ``(stay, time, feature, value, mask, hour)``."""
-    hourly, stats = hourly_series(spark, d, min_frac, sources, quantile_accuracy)
+                      sources: Sequence[str] = ("events",), quantile_accuracy: int | None = None,
+                      main_source: str | None = None) -> DataFrame:
+    """Long hourly grid ``(stay, time, feature, value, mask, hour)``, of the stays that have rows of
+    ``main_source`` when one is named."""
+    hourly, stats = hourly_series(spark, d, min_frac, sources, quantile_accuracy, main_source=main_source)
     # the admission hour rides along from the window join to every grid row (E9
     # without a join on the dense grid)
     grid = resample_and_mask(hourly, stats, decay=decay, decay_rate=DECAY_RATE, horizon=horizon, carry=("admit_hour",))
@@ -88,9 +99,9 @@ def encode_timeseries(spark: SparkSession, d: str, min_frac: float = MIN_FRAC,
     return grid.select("stay", "time", "feature", "value", "mask", hour.alias("hour"))
 
 
-def series_runs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def series_runs(spark: SparkSession, d: str, stays: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """The encoded series as runs (input of the sequence operators) and the fitted statistics."""
-    hourly, stats = hourly_series(spark, d)
+    hourly, stats = hourly_series(spark, d, stays=stays)
     return stay_runs(hourly, stats, max_hour=HORIZON_HOURS - 1, carry=("admit_hour",)), stats
 
 

@@ -79,20 +79,27 @@ def events(spark: SparkSession, d: str) -> DataFrame:
             .where(F.col("feature").isNotNull()))
 
 
+#: Features of the wide source: one column each, always encoded.
+MONITOR_FEATURES = ("monitor_k", "monitor_value")
+
+
 def event_sources(spark: SparkSession, d: str, sources=("events", "props")) -> DataFrame:
-    """Several long sources from ONE scan of ``events``.
+    """Several sources from ONE scan of ``events``, long and wide ones together.
 
-    Each event row carries one ``(source, value)`` struct per requested
-    source; ``explode`` turns them into rows, so the table is read once
-    instead of once per source.
+    ``events`` and ``props`` are long sources (a label and a value a row), ``alarms`` a long one that
+    only some events feed (so some stays lack it), ``monitor`` a wide one: its two columns become two features.  Every event row
+    carries an array of the entries that it has for the requested sources; ``explode`` turns them into
+    rows, so the table is read once, however many sources and columns there are.
     """
     ev = _t(spark, d, "events")
-    feature = F.concat(F.col("event_type"), F.lit("_"),
-                       F.pmod(event_k(), F.lit(FEATURE_BUCKETS)).cast("string"))
-    make = {"events": H.nan_to_null("value"), "props": event_k().cast("double")}
-    parts = F.array(*[F.struct(F.lit(s).alias("source"), make[s].alias("value")) for s in sources])
-    x = ev.select(F.col("user_id").alias("stay"), "ts", feature.alias("feature"), F.explode(parts).alias("_s"))
-    return x.where(F.col("feature").isNotNull()).select("stay", "ts", "feature", "_s.value", "_s.source")
+    label = F.concat(F.col("event_type"), F.lit("_"), F.pmod(event_k(), F.lit(FEATURE_BUCKETS)).cast("string"))
+    k, value, alarm = event_k().cast("double"), H.nan_to_null("value"), (F.col("event_type") == "error") & (event_k() % 16 == 0)
+    entries = {"events": [(F.lit(True), label, value)], "props": [(F.lit(True), label, k)], "alarms": [(alarm, label, k)],
+               "monitor": [(alarm, F.lit("monitor_k"), k), (alarm, F.lit("monitor_value"), value)]}
+    parts = [F.struct((when & feature.isNotNull()).alias("there"), F.lit(s).alias("source"), feature.alias("feature"),
+                      v.alias("value")) for s in sources for when, feature, v in entries[s]]
+    x = ev.select(F.col("user_id").alias("stay"), "ts", F.explode(F.array(*parts)).alias("_s"))
+    return x.where(F.col("_s.there")).select("stay", "ts", "_s.feature", "_s.value", "_s.source")
 
 
 def text_values(spark: SparkSession, d: str) -> DataFrame:
