@@ -39,7 +39,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     from hourglass.plans import catalog
 
-    # training rows as a model reads them, not exploded into cells as the row comparison needs them
+    # "training_rows" times the rows as a model reads them (arrays per hour); the registered query of that
+    # name explodes the same frame into cells for the row comparison
     QUERIES = {**catalog.QUERIES, "training_rows": lambda s, d: catalog.training_frame(s, d)[0]}
     from hourglass.session import local_session
 

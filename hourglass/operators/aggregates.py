@@ -100,6 +100,48 @@ def describe_categorical(df: DataFrame, col: str) -> DataFrame:
     return tot.crossJoin(top.select(F.col(col).alias("top"), F.col("count").alias("freq")))
 
 
+def describe_all(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+    """One row per column of a table, numeric and categorical ones together.
+
+    ``(column, count, n_unique, top, freq, mean, std, min, p25, p50, p75, max)``; what does not apply to a
+    column's kind is NULL.  All numeric columns become ``(column, value)`` rows once: their moments are
+    partial aggregates and their quartiles one selection.  The categorical ones are counted by
+    ``(column, value)`` first, so a frequent value is a few rows a task (ties of ``top``: the smallest).
+    ``df`` should be a written table.
+    """
+    from hourglass.operators.quantiles import quantiles
+
+    def long(cols: Sequence[str], kind: str) -> DataFrame:
+        x = df.select(*[F.col(c).cast(kind).alias(c) for c in cols]).unpivot([], list(cols), "column", "value")
+        return x.where(F.col("value").isNotNull())
+
+    def every(cols: Sequence[str]) -> DataFrame:
+        return df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+
+    out = None
+    if numeric:
+        x = long(numeric, "double")
+        v = F.col("value")
+        moments = x.groupBy("column").agg(F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
+                                          F.min(v).alias("min"), F.max(v).alias("max"))
+        q = quantiles(x, "value", ["column"], (0.25, 0.5, 0.75), ("p25", "p50", "p75"), stored=True)
+        none = F.lit(None)
+        out = every(numeric).join(moments, "column", "left").join(q, "column", "left").select(
+            "column", F.coalesce("count", F.lit(0)).cast("long").alias("count"), none.cast("long").alias("n_unique"),
+            none.cast("string").alias("top"), none.cast("long").alias("freq"), "mean", "std", "min", "p25", "p50", "p75", "max")
+    if categorical:
+        counts = long(categorical, "string").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+        best = F.min(F.struct((-F.col("n")).alias("m"), F.col("value").alias("top")))
+        stats = counts.groupBy("column").agg(F.sum("n").alias("count"), F.count(F.lit(1)).alias("n_unique"), best.alias("_b"))
+        none = F.lit(None).cast("double")
+        cat = every(categorical).join(stats, "column", "left").select(
+            "column", F.coalesce("count", F.lit(0)).cast("long").alias("count"), F.coalesce("n_unique", F.lit(0)).cast("long").alias("n_unique"),
+            F.col("_b.top").alias("top"), (-F.col("_b.m")).cast("long").alias("freq"),
+            *[none.alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
+        out = cat if out is None else out.unionByName(cat)
+    return out
+
+
 # The irregular edges of the length-of-stay histogram, in days.
 LOS_EDGES = (0.0, 0.5, 1.0, 1.5, 2.0, 2.5, 3.0, 3.5, 4.0, 4.5, 5.0, 6.0, 7.0, 8.0, 9.0,
              10.0, 12.0, 14.0, 16.0, 18.0, 20.0, 24.0, 28.0, 32.0, 52.0, 72.0, 92.0)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from hourglass.functions import scalar as H
 from hourglass.operators.filters import early_entry, prefix_family
 from hourglass.operators.joins import cross_scalar, left_zero_fill
+from hourglass.operators.split import global_rank
 from hourglass.sources.io import checkpoint
 
 KEY = "stay"
@@ -183,6 +184,29 @@ def merge_columns(long: DataFrame, mapping: DataFrame, key: str = KEY, feature:
     return j.groupBy(key, g.alias(feature)).agg(F.sum(value).alias(value))
 
 
+def code_ids(kept: DataFrame) -> DataFrame:
+    """``(code, code_id)``: dense ids from 0 in code order, the columns of the sparse matrix."""
+    return global_rank(kept.select("code").distinct(), [F.col("code")], "_r").select("code", (F.col("_r") - 1).alias("code_id"))
+
+
+def to_sparse_rows(kept: DataFrame, ids: DataFrame, stays: DataFrame | None = None) -> DataFrame:
+    """I11 sink: the 0/1 matrix in compressed rows ``(stay, indices, n_codes)``.
+
+    ``indices`` are the ascending column ids of a stay's codes; with ``stays`` every one of them has a row,
+    an empty one without codes.  No column per code: the width of the matrix is not bounded.
+    """
+    rows = kept.join(ids, "code").groupBy(KEY).agg(F.array_sort(F.collect_set("code_id")).alias("indices"))
+    if stays is not None:
+        rows = stays.select(KEY).distinct().join(rows, KEY, "left").withColumn(
+            "indices", F.coalesce("indices", F.array().cast("array<bigint>")))
+    return rows.select(KEY, "indices", F.size("indices").cast("long").alias("n_codes"))
+
+
+def from_sparse_rows(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``(stay, code)`` of compressed rows."""
+    return rows.select(KEY, F.explode("indices").alias("code_id")).join(ids, "code_id").select(KEY, "code")
+
+
 def to_multi_hot(kept: DataFrame, codes: Sequence[str], stays: DataFrame | None = None) -> DataFrame:
     """Sink: wide 0/1 matrix, one column per code (vocabulary collected by the caller)."""
     base = kept if stays is None else stays.select(KEY).join(kept, KEY, "left")

@@ -95,9 +95,10 @@ def distributed_quantiles(df: DataFrame, value: str, by: Sequence[str], probs: S
     bins = bins.withColumns({"_n": F.sum("_c").over(Window.partitionBy(*keys)), "_below": F.lit(0).cast("long")})
     found = checkpoint(_wanted(bins, keys, (), probs))
     large = (F.col("_c") > GATHERED) & (F.col("_lo") < F.col("_hi"))
-    done = []
+    done, settled = [], 0
     for _ in range(MOST_CUTS):
         n_bins, n_large = found.agg(F.count(F.lit(1)), F.sum(large.cast("int"))).first()
+        settled += n_bins - (n_large or 0)
         if not n_large:
             break
         done.append(found.where(~large))
@@ -110,9 +111,8 @@ def distributed_quantiles(df: DataFrame, value: str, by: Sequence[str], probs: S
         kept = kept.unionByName(more)
 
     # a bin of equal values is known by its ends; of the others the few values are put in order
-    n_bins = kept.count()
     open_ = kept.where(F.col("_lo") < F.col("_hi"))
-    few = _with_bins(x, open_, keys, n_bins).groupBy(*keys, "_n", "_below").agg(F.array_sort(F.collect_list("_v")).alias("_s"))
+    few = _with_bins(x, open_, keys, settled).groupBy(*keys, "_n", "_below").agg(F.array_sort(F.collect_list("_v")).alias("_s"))
     ends = kept.where(F.col("_lo") >= F.col("_hi")).select(
         *keys, "_n", "_below", F.array().cast("array<double>").alias("_s"), F.col("_lo").alias("_same"), F.col("_c").alias("_size"))
     picked = ends.unionByName(few.withColumns({"_same": F.lit(None).cast("double"), "_size": F.size("_s").cast("long")}))

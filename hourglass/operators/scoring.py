@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourglass.operators.split import global_rank, seeded_hash
+from hourglass.sources.io import checkpoint
 
 
 def score_sequences(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
@@ -28,8 +30,6 @@ def score_sequences(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
 def linear_los_scorer(weight: float, bias: float, values_col: str = "values",
                       keys: Sequence[str] = ("stay", "time")) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """A deterministic scorer: ``clip(exp(bias + weight * sum(values)), 1/48, 100)``."""
-    import numpy as np
-
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         s = np.zeros(len(pdf))
         full = np.flatnonzero(pdf[values_col].notna())
@@ -58,6 +58,46 @@ def permute_column(df: DataFrame, col: str, seed: str, id_col: str,
     return df.join(moved, id_col).withColumn(col, F.col("_new")).drop("_new")
 
 
+def permutation_importance_batch(df: DataFrame, fn: Callable[[pd.DataFrame], np.ndarray],
+                                 loss: Callable[[np.ndarray, np.ndarray], np.ndarray], cols: Sequence[str],
+                                 id_col: str, y_col: str, n_repeats: int = 5, seed: int = 0) -> DataFrame:
+    """M3 with a batch predictor: ``(feature, importance_mean, importance_std)``, the mean loss with the
+    column permuted less the mean loss without.
+
+    ``fn`` takes a pandas frame with ``cols`` and returns predictions, ``loss`` gives one number a row.
+    There is one permutation per repeat for all columns: rows stand in a seeded order, and every row
+    takes the values of the next one (the last of the first).  A row and its donor meet by one
+    sort and one join a repeat; a task then scores the batch as it is and with each column replaced, and
+    hands on sums and counts, which are all that is shuffled after that.
+    """
+    keep = list(dict.fromkeys([id_col, y_col, *cols]))
+    base = checkpoint(df.select(*keep))
+
+    def sums(batches, repeat: int):
+        for pdf in batches:
+            y = pdf[y_col].to_numpy()
+            plain = pdf[list(cols)]
+            for c in [None, *cols] if repeat == 0 else cols:
+                x = plain if c is None else plain.assign(**{c: pdf[f"_new_{c}"]})
+                lost = loss(y, np.asarray(fn(x)))
+                yield pd.DataFrame({"feature": [c], "repeat": [repeat], "s": [float(lost.sum())], "n": [len(lost)]})
+
+    parts = None
+    for r in range(n_repeats):
+        ranked = global_rank(base.withColumn("_h", seeded_hash(id_col, f"{seed}|{r}|")), [F.col("_h"), F.col(id_col)], "_r").drop("_h")
+        n = ranked.agg(F.max("_r").alias("_n"))
+        donor = ranked.crossJoin(F.broadcast(n)).select(
+            F.when(F.col("_r") == 1, F.col("_n")).otherwise(F.col("_r") - 1).alias("_r"), *[F.col(c).alias(f"_new_{c}") for c in cols])
+        rows = ranked.join(donor, "_r").drop("_r")
+        part = rows.mapInPandas(lambda b, r=r: sums(b, r), "feature string, repeat int, s double, n long")
+        parts = part if parts is None else parts.unionByName(part)
+    means = checkpoint(parts.groupBy("feature", "repeat").agg((F.sum("s") / F.sum("n")).alias("loss")))
+    plain = means.where(F.col("feature").isNull()).select(F.col("loss").alias("_plain"))
+    imp = means.where(F.col("feature").isNotNull()).crossJoin(F.broadcast(plain))
+    gain = F.col("loss") - F.col("_plain")
+    return imp.groupBy("feature").agg(F.avg(gain).alias("importance_mean"), F.stddev_pop(gain).alias("importance_std"))
+
+
 def permutation_importance(df: DataFrame, score: Callable[[DataFrame], Column],
                            metric: Callable[[DataFrame], DataFrame], cols: Sequence[str],
                            id_col: str, n_repeats: int = 5, seed: int = 0) -> DataFrame:

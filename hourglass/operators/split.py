@@ -21,7 +21,7 @@ from hourglass.sources.io import checkpoint
 KEY = "stay"
 
 
-def seeded_hash(col: str | Column, seed: int) -> Column:
+def seeded_hash(col: str | Column, seed: int | str) -> Column:
     """Hex md5 of ``seed || key``: a reproducible pseudo-random order key."""
     c = F.col(col) if isinstance(col, str) else col
     return F.md5(F.concat(F.lit(str(seed)), c.cast("string")))

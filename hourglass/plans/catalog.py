@@ -954,3 +954,155 @@ def q_quantile_fit_train_split(spark, d):
     minutes = series.minute_means(spark, d, st)
     stats = E.fit_series(minutes, st, series.MIN_FRAC, series.QUANTILES, fit_stays=train.select("stay"))
     return stats.select("feature", "n_stays", r6("q_lo"), r6("q_hi"))
+
+
+# ------------------------------------------------------------------ whole tables, layouts and sinks
+DESCRIBED_NUMBERS = ("height", "weight", "hour", "balance_after_24h")
+DESCRIBED_TEXTS = ("gender", "teachingstatus", "nation", "region", "segment", "age")
+SHUFFLED_FILES = 4
+
+
+def _folder(spark, name):
+    """A new folder that driver and executors share."""
+    import uuid
+
+    return f"{A.shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query("describe_all")
+def q_describe_all(spark, d):
+    flat = checkpoint(P.flat_for_series(spark, d))
+    out = D.describe_all(flat, DESCRIBED_NUMBERS, DESCRIBED_TEXTS)
+    return out.select("column", "count", "n_unique", "top", "freq", *[r6(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
+
+
+@query("sample_per_split")
+def q_sample_per_split(spark, d):
+    """The same share of train, val and test, and the static table restricted to it."""
+    st = series.cohort(spark, d)
+    split = checkpoint(J.split_by_entity(st.select("stay", "person"), "person", SEED))
+    sample = J.sample_stays(split, 0.3, SEED, by="split")
+    flat = driver.flat(spark, d, st).select("stay", "nation", "segment")
+    return J.apply_sample(flat, sample).join(split.select("stay", "split"), "stay")
+
+
+def _shuffled(spark, d):
+    st = series.cohort(spark, d)
+    path = _folder(spark, "shuffled")
+    tables = {"labels": _labels01(spark, d, st), "hours": checkpoint(series.series_hours(spark, d).select("stay", "time"))}
+    return path, A.write_shuffled(tables, J.shuffle_stays(st, SEED), path, SHUFFLED_FILES, ("time",))
+
+
+@query("shuffled_tables")
+def q_shuffled_tables(spark, d):
+    """Two tables written in shuffled order and read back, every row with its file and position."""
+    path, _ = _shuffled(spark, d)
+    hours = A.read_shuffled(spark, path, "hours").select(F.lit("hours").alias("name"), "stay", "time", "file", "row")
+    labels = A.read_shuffled(spark, path, "labels").select(F.lit("labels").alias("name"), "stay", F.lit(None).cast("long").alias("time"), "file", "row")
+    return hours.unionByName(labels).select("name", "stay", "time", F.col("file").cast("int").alias("file"), F.col("row").cast("long").alias("row"))
+
+
+@query("shuffle_manifest")
+def q_shuffle_manifest(spark, d):
+    return _shuffled(spark, d)[1].select("name", "stay", "order", "file", F.col("first_row").cast("long").alias("first_row"), "n_rows")
+
+
+@query("permutation_importance_batch")
+def q_permutation_importance_batch(spark, d):
+    """M3 with a batch predictor."""
+    out = S.permutation_importance_batch(
+        _perm_frame(spark, d), lambda x: 0.05 * x["x1"].to_numpy() + x["x2"].to_numpy() / 80000.0,
+        lambda y, p: (y - p) ** 2, ["x1", "x2"], "id", "y_true", n_repeats=3, seed=0)
+    return out.select("feature", r6("importance_mean"), r6("importance_std"))
+
+
+def _sparse_codes(spark, d):
+    st = series.cohort(spark, d)
+    in_series = P.series_stays(spark, d, st)
+    kept = checkpoint(_kept_codes(spark, d, st, in_series))
+    ids = checkpoint(C.code_ids(kept))
+    path = _folder(spark, "sparse")
+    A.write_table(C.to_sparse_rows(kept, ids, in_series), path)
+    return spark.read.parquet(path), ids
+
+
+@query("sparse_codes")
+def q_sparse_codes(spark, d):
+    """The matrix of codes as compressed rows, written and read."""
+    rows, _ = _sparse_codes(spark, d)
+    return rows.select("stay", F.array_join(F.transform("indices", lambda x: x.cast("string")), ",").alias("indices"), "n_codes")
+
+
+@query("sparse_codes_back")
+def q_sparse_codes_back(spark, d):
+    return C.from_sparse_rows(*_sparse_codes(spark, d)).select("stay", "code")
+
+
+@query("csv_round_trip")
+def q_csv_round_trip(spark, d):
+    """Written as CSV with a header, scanned with a schema."""
+    path = _folder(spark, "csv")
+    A.write_table(driver._t(spark, d, "part").select("p_partkey", "p_name", "p_retailprice"), path, "csv")
+    out = A.scan_csv(spark, path, "p_partkey long, p_name string, p_retailprice double")
+    return out.select("p_partkey", "p_name", r6("p_retailprice"))
+
+
+@query("append_round_trip")
+def q_append_round_trip(spark, d):
+    """One part of a table written, the other appended."""
+    path, orders = _folder(spark, "appended"), driver._t(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    A.write_table(orders.where("o_orderkey % 2 = 0"), path)
+    A.append_table(orders.where("o_orderkey % 2 = 1"), path)
+    return spark.read.parquet(path).select("o_orderkey", r6("o_totalprice"))
+
+
+@query("splits_round_trip")
+def q_splits_round_trip(spark, d):
+    """Tables written by split, two splits of one read back."""
+    path = _folder(spark, "splits")
+    split = J.split_by_entity(_orders_stays(spark, d), "person", SEED)
+    A.write_splits({"stays": split}, path)
+    return A.load_splits(spark, path, "stays", ("train", "val")).select("stay", "person", F.col("split").cast("string").alias("split"))
+
+
+@query("union_splits")
+def q_union_splits(spark, d):
+    """Frames of the splits put together again."""
+    split = checkpoint(J.split_by_entity(_orders_stays(spark, d), "person", SEED))
+    parts = {s: split.where(F.col("split") == s).drop("split") for s in A.SPLITS}
+    return A.union_splits(parts).select("stay", "person", "split")
+
+
+@query("ids_round_trip")
+def q_ids_round_trip(spark, d):
+    """A10: the distinct stays of a table, written and read."""
+    return A.write_ids(_orders_stays(spark, d).select(F.col("person").alias("stay")), _folder(spark, "ids"))
+
+
+@query("named_result")
+def q_named_result(spark, d):
+    """A result under a name, read by SQL."""
+    import uuid
+
+    name = f"orders_{uuid.uuid4().hex}"
+    A.named_result(driver._t(spark, d, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n")), name)
+    return spark.sql(f"SELECT o_custkey, n FROM {name} WHERE n > 1")
+
+
+@query("predictions_round_trip")
+def q_predictions_round_trip(spark, d):
+    """Predictions and their metrics appended under one path, and read."""
+    path, pred = _folder(spark, "predictions"), checkpoint(driver.los_predictions(spark, d))
+    A.write_predictions(pred, L.regression_report(pred), path)
+    rows = spark.read.parquet(f"{path}/predictions").select("id", r6("y_true"), r6("y_pred"))
+    return rows.crossJoin(F.broadcast(spark.read.parquet(f"{path}/results").select(r6("mse"))))  # one row of metrics
+
+
+@query("feature_names")
+def q_feature_names(spark, d):
+    """The value columns of a wide grid by its schema, with the rows and the non-zero values of each."""
+    feats = E.vocabulary(series.series_vocabulary(spark, d, series.cohort(spark, d)))
+    w = E.to_wide(_grid(spark, d), feats)
+    names = A.feature_names(w)
+    row = w.agg(*[F.count(F.when(F.col(f"`{c}`") != 0, 1)).alias(c) for c in names])
+    return row.unpivot([], names, "feature", "n_nonzero").withColumn("n_features", F.lit(A.n_features(w)))

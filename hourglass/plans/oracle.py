@@ -1034,3 +1034,99 @@ ORACLE["quantile_fit_train_split"] = with_("vocab", "src") + f"""
          GROUP BY feature)
 SELECT v.feature, v.n_stays, {r6('qf.q_lo', 'q_lo')}, {r6('qf.q_hi', 'q_hi')}
 FROM vocab v LEFT JOIN qf ON v.feature = qf.feature"""
+
+
+# --------------------------------------------------------------------------- whole tables, layouts and sinks
+def _describe_sql() -> str:
+    parts = []
+    for c in ("height", "weight", "hour", "balance_after_24h"):
+        v = f"CAST({c} AS DOUBLE)"
+        stats = ", ".join(r6(e, n) for e, n in (
+            (f"avg({v})", "mean"), (f"stddev_samp({v})", "std"), (f"min({v})", "min"), (f"quantile_cont({v}, 0.25)", "p25"),
+            (f"quantile_cont({v}, 0.5)", "p50"), (f"quantile_cont({v}, 0.75)", "p75"), (f"max({v})", "max")))
+        parts.append(f"""SELECT '{c}' AS "column", count({c}) AS count, CAST(NULL AS BIGINT) AS n_unique,
+  CAST(NULL AS VARCHAR) AS top, CAST(NULL AS BIGINT) AS freq, {stats} FROM fl""")
+    nulls = ", ".join(f"CAST(NULL AS DOUBLE) AS {n}" for n in ("mean", "std", "min", "p25", "p50", "p75", "max"))
+    for c in ("gender", "teachingstatus", "nation", "region", "segment", "age"):
+        parts.append(f"""SELECT '{c}', count({c}), count(DISTINCT {c}),
+  (SELECT {c} FROM fl WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1),
+  (SELECT count(*) FROM fl WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC LIMIT 1), {nulls} FROM fl""")
+    return with_("fl") + "\nUNION ALL ".join(parts)
+
+
+ORACLE["describe_all"] = _describe_sql()
+
+
+def _split_sql(src: str, person: str) -> str:
+    return f"""pr AS (SELECT person, row_number() OVER (ORDER BY md5('9' || CAST(person AS VARCHAR)), person) AS rk,
+                count(*) OVER () AS n FROM (SELECT DISTINCT {person} AS person FROM {src}) s)
+, c1 AS (SELECT DISTINCT n, CAST(ceil(CAST(0.15 AS DOUBLE) * n) AS BIGINT) AS n_test FROM pr)
+, c2 AS (SELECT n, n_test, CAST(ceil(CAST(0.15 AS DOUBLE) / (CAST(1.0 AS DOUBLE) - CAST(0.15 AS DOUBLE))
+                                   * CAST(n - n_test AS DOUBLE)) AS BIGINT) AS n_val FROM c1)
+, spl AS (SELECT x.*, CASE WHEN pr.rk <= c2.n_test THEN 'test' WHEN pr.rk <= c2.n_test + c2.n_val
+                      THEN 'val' ELSE 'train' END AS split FROM {src} x JOIN pr ON x.{person} = pr.person CROSS JOIN c2)"""
+
+
+ORACLE["sample_per_split"] = with_("cohort", "flat") + f"""
+, {_split_sql('cohort', 'person')}
+, o AS (SELECT stay, split, row_number() OVER (PARTITION BY split ORDER BY md5('9' || CAST(stay AS VARCHAR)), stay) AS rk,
+               count(*) OVER (PARTITION BY split) AS n FROM spl)
+SELECT o.stay, f.nation, f.segment, o.split FROM o JOIN flat f ON f.stay = o.stay WHERE o.rk <= round_even(0.3 * o.n, 0)"""
+
+_SHUFFLED = """
+, pl AS (SELECT stay, "order", CAST(floor(("order" - 1) * 4 / (SELECT count(*) FROM shuf)) AS INTEGER) AS file FROM shuf)
+, tabs AS (SELECT 'labels' AS name, stay, CAST(NULL AS BIGINT) AS time FROM lab01
+           UNION ALL SELECT DISTINCT 'hours', stay, time FROM encoded)"""
+ORACLE["shuffled_tables"] = with_("shuf", "lab01", "encoded") + _SHUFFLED + """
+SELECT t.name, t.stay, t.time, pl.file,
+       row_number() OVER (PARTITION BY t.name, pl.file ORDER BY pl."order", t.time) - 1 AS row
+FROM tabs t JOIN pl ON t.stay = pl.stay"""
+ORACLE["shuffle_manifest"] = with_("shuf", "lab01", "encoded") + _SHUFFLED + """
+, sz AS (SELECT name, stay, count(*) AS n_rows FROM tabs GROUP BY name, stay)
+SELECT s.name, s.stay, pl."order", pl.file, s.n_rows,
+       CAST(coalesce(sum(s.n_rows) OVER (PARTITION BY s.name, pl.file ORDER BY pl."order"
+                                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS first_row
+FROM sz s JOIN pl ON s.stay = pl.stay"""
+
+
+def _perm_batch_sql(repeats: int = 3, seed: int = 0) -> str:
+    loss = "(y_true - (0.05 * {x1} + {x2} / 80000.0)) * (y_true - (0.05 * {x1} + {x2} / 80000.0))"
+    parts = []
+    for r in range(repeats):
+        order = f"md5('{seed}|{r}|' || CAST(id AS VARCHAR)), id"
+        parts.append(f"""SELECT * FROM (SELECT {r} AS rep, y_true, x1, x2,
+          coalesce(lead(x1) OVER (ORDER BY {order}), first_value(x1) OVER (ORDER BY {order})) AS n1,
+          coalesce(lead(x2) OVER (ORDER BY {order}), first_value(x2) OVER (ORDER BY {order})) AS n2 FROM pf) z""")
+    return f"""WITH pf AS (
+  SELECT o.o_orderkey AS id, q.x1, o.o_totalprice AS x2, q.x1 / 10.0 AS y_true
+  FROM orders o JOIN (SELECT l_orderkey, sum(l_quantity) AS x1 FROM lineitem GROUP BY l_orderkey) q
+    ON o.o_orderkey = q.l_orderkey)
+, moved AS ({chr(10).join(parts[:1])} {' '.join('UNION ALL ' + p for p in parts[1:])})
+, m AS (SELECT 'x1' AS feature, rep, avg({loss.format(x1='n1', x2='x2')}) AS l FROM moved GROUP BY rep
+        UNION ALL SELECT 'x2', rep, avg({loss.format(x1='x1', x2='n2')}) FROM moved GROUP BY rep)
+, b AS (SELECT avg({loss.format(x1='x1', x2='x2')}) AS base FROM pf)
+SELECT feature, {r6('avg(l - base)', 'importance_mean')}, {r6('stddev_pop(l - base)', 'importance_std')}
+FROM m CROSS JOIN b GROUP BY feature"""
+
+
+ORACLE["permutation_importance_batch"] = _perm_batch_sql()
+
+ORACLE["sparse_codes"] = with_("kept", "sstays") + """
+, ci AS (SELECT code, row_number() OVER (ORDER BY code) - 1 AS code_id FROM (SELECT DISTINCT code FROM kept) x)
+, rw AS (SELECT k.stay, string_agg(CAST(ci.code_id AS VARCHAR), ',' ORDER BY ci.code_id) AS indices, count(*) AS n_codes
+         FROM kept k JOIN ci ON k.code = ci.code GROUP BY k.stay)
+SELECT s.stay, coalesce(rw.indices, '') AS indices, coalesce(rw.n_codes, 0) AS n_codes FROM sstays s LEFT JOIN rw ON s.stay = rw.stay"""
+ORACLE["sparse_codes_back"] = ORACLE["encode_codes"]
+ORACLE["csv_round_trip"] = f"SELECT p_partkey, p_name, {r6('p_retailprice', 'p_retailprice')} FROM part"
+ORACLE["append_round_trip"] = f"SELECT o_orderkey, {r6('o_totalprice', 'o_totalprice')} FROM orders"
+_OSPLIT = "WITH os AS (SELECT o_orderkey AS stay, o_custkey AS person FROM orders)\n, " + _split_sql("os", "person")
+ORACLE["splits_round_trip"] = _OSPLIT + "\nSELECT stay, person, split FROM spl WHERE split <> 'test'"
+ORACLE["union_splits"] = _OSPLIT + "\nSELECT stay, person, split FROM spl"
+ORACLE["ids_round_trip"] = "SELECT DISTINCT o_custkey AS stay FROM orders"
+ORACLE["named_result"] = "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey HAVING count(*) > 1"
+ORACLE["predictions_round_trip"] = with_("lp") + f"""
+SELECT id, {r6('y_true', 'y_true')}, {r6('y_pred', 'y_pred')},
+       {r6('(SELECT avg((y_true - y_pred) * (y_true - y_pred)) FROM lp)', 'mse')} FROM lp"""
+ORACLE["feature_names"] = with_("encoded", "vocab") + """
+SELECT feature, count(*) FILTER (WHERE value <> 0) AS n_nonzero, CAST((SELECT count(*) FROM vocab) AS INTEGER) AS n_features
+FROM encoded GROUP BY feature"""

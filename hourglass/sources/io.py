@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -116,6 +116,41 @@ def union_splits(parts: dict[str, DataFrame], split_col: str = "split") -> DataF
     return out
 
 
+def write_shuffled(tables: dict[str, DataFrame], order: DataFrame, path: str, n_files: int,
+                   sort: Sequence[str] = (), key: str = "stay") -> DataFrame:
+    """Write tables in a shuffled order of stays; the manifest of what was written.
+
+    ``order`` is ``(stay, order)`` with ranks 1..n.  File ``f`` of every table holds the stays of the
+    ``f``-th of ``n_files`` equal runs of that order, one after the other (a stay's rows by ``sort``, the
+    columns that a table has), each stay whole in one file: a model reads its batches from front
+    to back.  Rows are exchanged by file and sorted within it; a file is one task's, so ``n_files`` should
+    keep files at a few hundred megabytes.  The manifest ``(name, stay, order, file, first_row, n_rows)`` is
+    written as well, and returned.
+    """
+    n = order.agg(F.count(F.lit(1)).alias("_n"))
+    place = order.crossJoin(F.broadcast(n)).select(
+        key, "order", F.floor((F.col("order") - 1) * n_files / F.col("_n")).cast("int").alias("file"))
+    place = checkpoint(place)
+    manifest = None
+    for name, df in tables.items():
+        within = [c for c in sort if c in df.columns]
+        rows = df.join(place, key).repartition(n_files, "file").sortWithinPartitions("file", "order", *within)
+        rows.write.mode("overwrite").partitionBy("file").parquet(f"{path.rstrip('/')}/{name}")
+        sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows")).join(place, key)
+        before = Window.partitionBy("file").orderBy("order").rowsBetween(Window.unboundedPreceding, -1)
+        part = sizes.select(F.lit(name).alias("name"), key, "order", "file",
+                            F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("first_row"), "n_rows")
+        manifest = part if manifest is None else manifest.unionByName(part)
+    manifest.write.mode("overwrite").parquet(f"{path.rstrip('/')}/_manifest")
+    return order.sparkSession.read.parquet(f"{path.rstrip('/')}/_manifest")
+
+
+def read_shuffled(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """A table of :func:`write_shuffled` with every row's ``file`` and its position ``row`` there."""
+    df = spark.read.parquet(f"{path.rstrip('/')}/{name}")
+    return df.select("*", F.col("_metadata.row_index").alias("row"))
+
+
 def write_ids(df: DataFrame, path: str, key: str = "stay") -> DataFrame:
     """A10: persist the distinct ids of a table and return the persisted copy."""
     ids = df.select(key).distinct()
@@ -131,13 +166,16 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The session's checkpoint folder, which driver and executors share.
 
-    ``spark.checkpoint.dir`` names it; only where that is unset (tests) it is a
-    folder below the warehouse, which is shared as well.
+    ``spark.checkpoint.dir`` names it.  Only a local session, whose driver and
+    executors are one process, may leave it unset: then it is a folder below the
+    warehouse.  On a cluster that would be a folder of one machine, so it is refused.
     """
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        default = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or default)
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        sc.setCheckpointDir(named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
     return sc.getCheckpointDir()
 
 

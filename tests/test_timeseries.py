@@ -138,3 +138,44 @@ def test_since_last_observation(spark):
     g = _grid(spark, [(1, h + 1, "a", v) for h, v in enumerate(vals)])
     out = [r.hours_since_obs for r in E.since_last_observation(g).orderBy("time").collect()]
     assert out == [None, 0, 1, 2, 0, 1]
+
+
+def test_main_source_decides_which_stays_are_encoded(spark):
+    """A stay with a row of the main source stays, even one without a value; others go."""
+    rows = [(1, 10, "a", 1.0, "long"), (1, 20, "a", 2.0, "main"), (2, 10, "a", 1.0, "long"), (3, 10, "a", None, "main"),
+            (3, 30, "b", 5.0, "long"), (4, 5, "b", None, "long")]
+    ev = spark.createDataFrame(rows, "stay long, offset_min long, feature string, value double, source string")
+    minutes = E.source_minute_mean(ev, (), "main")
+    assert sorted(r.stay for r in E.main_source_stays(minutes, "main").collect()) == [1, 3]
+    assert sorted(r.stay for r in E.source_minute_mean(ev).collect()) == [1, 1, 2, 3]
+    cohort = spark.createDataFrame([(i,) for i in range(1, 5)], "stay long")
+    kept = minutes.where("value is not null")
+    assert [r.feature for r in E.fit_vocabulary(kept, cohort, 0.4).collect()] == ["a"]
+    assert sorted(r.feature for r in E.fit_vocabulary(kept, cohort, 0.4, ["b"]).collect()) == ["a", "b"]
+
+
+def test_sequences_of_many_stays_in_small_tables(spark, monkeypatch):
+    """Arrow batches cut anywhere, matrices of a few cells: every stay is whole and equal to the grid."""
+    import random
+
+    from hourglass.operators import sequences as K
+
+    draw = random.Random(8)
+    rows = [(s, f, t, draw.random(), s % 24) for s in range(40) for f in "abc" for t in range(1, 30) if draw.random() < 0.2]
+    hourly = spark.createDataFrame(rows, "stay long, feature string, time long, value double, admit_hour int")
+    vocab = spark.createDataFrame([("a",), ("b",), ("c",), ("never",)], "feature string")
+    runs = E.stay_runs(hourly, vocab, max_hour=20, carry=("admit_hour",))
+    monkeypatch.setattr(K, "CELLS", 50)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = {(r["stay"], r["time"]): (r["values"], r["masks"], r["hour"]) for r in K.hour_rows(runs).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    grid = E.resample_and_mask(hourly, vocab, horizon=21, carry=("admit_hour",)).collect()
+    assert len(grid) == 4 * len(got)
+    for g in grid:
+        values, masks, hour = got[g["stay"], g["time"]]
+        i = ["a", "b", "c", "never"].index(g["feature"])
+        assert (values[i], masks[i]) == (g["value"], g["mask"])
+        assert hour == (g["time"] + g["admit_hour"]) % 24 / 23.0
