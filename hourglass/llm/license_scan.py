@@ -17,7 +17,9 @@ window, count across lines where all their words stand consecutively.
 
 Words that occur in no template cannot add to an overlap, so blocks are reduced to the
 template vocabulary.  The templates are literals of the plan: their size is bounded by the
-caller.  No text is shuffled; only (document, label) rows of matching blocks are.
+caller.  Every text is cut into words once; what that gives is written, and the frequencies,
+the places and the join start from it.  No text is shuffled; only (document, label) rows of
+matching blocks are.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourglass.llm.common import utf8
+from hourglass.llm.common import checkpoint, utf8
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Base layer of the registered query: (label, phrase).
@@ -74,14 +76,6 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
 
-def _with_words(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``(key, _md5, _low, _lines, _words)``: words per line and of the whole text."""
-    low = _lower(F.coalesce(F.col(text), F.lit("")))
-    d = docs.select(F.col(key).alias("_key"), F.md5(utf8(F.col(text))).alias("_md5"), low.alias("_low"))
-    d = d.withColumn("_lines", F.transform(F.split("_low", "\n", -1), words_of))
-    return d.withColumn("_words", words_of(F.col("_low")))
-
-
 def _places(phrase: str) -> Column:
     """Word positions (from 0) at which the phrase stands."""
     parts = phrase.split(" ")
@@ -93,10 +87,42 @@ def _places(phrase: str) -> Column:
     return F.when(maybe & (last >= 0), F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), here)).otherwise(none)
 
 
-def template_frequencies(words: DataFrame, vocabulary: list[str]) -> dict[str, int]:
+def _need(words: Sequence[str], threshold: int) -> int:
+    return -(-threshold * len(words) // 100)
+
+
+def _telling(label: str, words: Sequence[str]) -> list[str]:
+    return [w for w in TELLING.get(label, ()) if w in words]
+
+
+def analysed(docs: DataFrame, phrases: Sequence[tuple[str, str]], templates: Sequence[tuple[str, str]], threshold: int,
+             key: str, text: str) -> DataFrame:
+    """The one pass over the texts, written: ``(_key, _md5, n_words, _p0.., _s0.., _vocabulary, _low)``.
+
+    Every text is cut into words here and nowhere else.  ``_vocabulary`` is the template words that it
+    holds, ``_p``/``_s`` the places of phrases and short templates; ``_low`` is kept only where
+    the words of the whole text could meet some template (else null).
+    """
+    sets = [(label, _template_words(t)) for label, t in templates]
+    vocabulary = sorted({w for _, ws in sets for w in ws})
+    short = [re.findall(WORD, t.translate(_LOWER)) for t, (_, ws) in zip([t for _, t in templates], sets, strict=True) if len(ws) < LONG]
+    low = _lower(F.coalesce(F.col(text), F.lit("")))
+    d = docs.select(F.col(key).alias("_key"), F.md5(utf8(F.col(text))).alias("_md5"), low.alias("_low"))
+    d = d.withColumn("_words", words_of(F.col("_low")))
+    d = d.select("_key", "_md5", "_low", F.size("_words").cast("long").alias("n_words"),
+                 F.array_intersect(F.lit(vocabulary), F.col("_words")).alias("_vocabulary"),
+                 *[_places(p).alias(f"_p{i}") for i, (_, p) in enumerate(phrases)],
+                 *[_places(" ".join(ws)).alias(f"_s{i}") for i, ws in enumerate(short)])
+    possible = reduce(lambda a, b: a | b, [
+        (F.size(F.array_intersect("_vocabulary", F.lit(ws))) >= _need(ws, threshold))
+        & (F.size(F.array_except(F.array(*map(F.lit, _telling(label, ws))).cast("array<string>"), F.col("_vocabulary"))) == 0)
+        for label, ws in sets])
+    return checkpoint(d.withColumn("_low", F.when(possible, F.col("_low"))))
+
+
+def template_frequencies(words: DataFrame) -> dict[str, int]:
     """Documents that hold each word of the vocabulary, over all documents."""
-    rows = (words.select(F.explode(F.array_intersect(F.lit(vocabulary), F.col("_words"))).alias("w"))
-                 .groupBy("w").count().collect())  # at most one row per template word
+    rows = words.select(F.explode("_vocabulary").alias("w")).groupBy("w").count().collect()  # one row per template word
     return {r["w"]: r["count"] for r in rows}
 
 
@@ -105,16 +131,15 @@ def match_templates(words: DataFrame, templates: Sequence[tuple[str, str]], thre
     containment, for each document with such a block."""
     sets = [(label, _template_words(text)) for label, text in templates]
     vocabulary = sorted({w for _, ws in sets for w in ws})
-    df = template_frequencies(words, vocabulary)
+    df = template_frequencies(words)
     order = sorted(vocabulary, key=lambda w: (df.get(w, 0), w))
     rank = {w: i for i, w in enumerate(order)}
     longest = max(len(re.findall(WORD, text)) for _, text in templates)
     index, wide = [], set()
     for label, ws in sets:
         ws = sorted(ws, key=rank.__getitem__)
-        need = -(-threshold * len(ws) // 100)
-        telling = [w for w in TELLING.get(label, ()) if w in ws]
-        index += [(w, label, i, len(ws), need, ws, telling) for i, w in enumerate(ws[:len(ws) - need + 1])]
+        need = _need(ws, threshold)
+        index += [(w, label, i, len(ws), need, ws, _telling(label, ws)) for i, w in enumerate(ws[:len(ws) - need + 1])]
         wide |= set(ws[:len(ws) - need + 1]) if len(ws) >= LONG else set()
     prefix = sorted({x[0] for x in index})
     idx = words.sparkSession.createDataFrame(
@@ -128,13 +153,14 @@ def match_templates(words: DataFrame, templates: Sequence[tuple[str, str]], thre
         kept = F.filter(parts, lambda ws: F.arrays_overlap(ws, F.lit(tokens)))
         return F.transform(kept, lambda ws: F.struct(ws.alias("words"), F.lit(across).alias("across")))
 
+    # only texts that may meet a template are cut again, into lines
+    whole = words.where(F.col("_low").isNotNull()).select(
+        "_key", "_md5", F.transform(F.split("_low", "\n", -1), words_of).alias("_lines")).withColumn("_words", F.flatten("_lines"))
     parts = holding(F.col("_lines"), prefix, False)
     if wide:  # a text of one line has no windows across lines
         held = (F.size("_lines") > 1) & F.arrays_overlap("_words", F.lit(sorted(wide)))
         across = F.when(held, cuts(F.col("_words"), lambda ws: ws)).otherwise(F.array().cast("array<array<string>>"))
         parts = F.concat(parts, holding(across, sorted(wide), True))
-    # the words again from the lines, which are cut here anyway
-    whole = words.select("_key", "_md5", "_lines").withColumn("_words", F.flatten("_lines"))
     lines = whole.select("_key", "_md5", F.explode(parts).alias("_line"))
     blocks = lines.select("_key", "_md5", F.col("_line.across").alias("_across"), F.explode(cuts(
         F.col("_line.words"), lambda ws: F.array_intersect(F.lit(order), ws))).alias("_block"))
@@ -158,15 +184,13 @@ def scan_licenses(docs: DataFrame, phrases: Sequence[tuple[str, str]] = PHRASES,
     read, so their names cannot clash.  Labels are distinct, sorted and comma-joined; ``score`` is 1
     with a base place or a short template word for word, else the greatest containment of a matching template, else 0.
     """
-    words = _with_words(docs, key, text)
-    short = [(label, re.findall(WORD, text.translate(_LOWER))) for label, text in templates if len(_template_words(text)) < LONG]
-    s = words.select("_key", "_md5", F.size("_words").cast("long").alias("n_words"),
-                     *[_places(p).alias(f"_p{i}") for i, (_, p) in enumerate(phrases)],
-                     *[_places(" ".join(ws)).alias(f"_s{i}") for i, (_, ws) in enumerate(short)])
+    words = analysed(docs, phrases, templates, threshold, key, text)
+    short = [label for label, t in templates if len(_template_words(t)) < LONG]
+    s = words
     places = F.concat(*[F.col(f"_p{i}") for i in range(len(phrases))])
     base = F.array_compact(F.array(*[F.when(F.size(f"_p{i}") > 0, F.lit(label))
                                      for i, (label, _) in enumerate(phrases)]))
-    whole = F.array_compact(F.array(*[F.when(F.size(f"_s{i}") > 0, F.lit(label)) for i, (label, _) in enumerate(short)]
+    whole = F.array_compact(F.array(*[F.when(F.size(f"_s{i}") > 0, F.lit(label)) for i, label in enumerate(short)]
                                     ).cast("array<string>"))
     s = s.select("_key", "_md5", "n_words", places.alias("_at"), base.alias("_base"), whole.alias("_whole"))
     m = match_templates(words, templates, threshold).withColumnsRenamed({"_key": "_k", "_md5": "_m"})
@@ -185,37 +209,47 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
+    """The same rule in SQL: blocks are lines (cut into windows) and, for long templates in texts of several
+    lines, windows of the whole text; short templates also count word for word across lines."""
     sets = [(label, _template_words(text)) for label, text in TEMPLATES]
     longest = max(len(re.findall(WORD, text)) for _, text in TEMPLATES)
-    lit = lambda ws: "[" + ", ".join(f"'{w}'" for w in ws) + "]"
-    values = ", ".join(f"('{label}', {lit(ws)}, {-(-THRESHOLD * len(ws) // 100)})" for label, ws in sets)
-    hits = " UNION ALL ".join(
-        f"SELECT rid, '{label}' AS label, i FROM w, unnest(range(len(ws))) AS u(i) WHERE "
-        + " AND ".join(f"ws[i + {k + 1}] = '{x}'" for k, x in enumerate(phrase.split(" ")))
-        for label, phrase in PHRASES)
+    lit = lambda ws: "[" + ", ".join(f"'{w}'" for w in ws) + "]::VARCHAR[]"
+    values = ", ".join(f"('{label}', {lit(ws)}, {_need(ws, THRESHOLD)}, {lit(_telling(label, ws))})" for label, ws in sets)
+
+    def places(label: str, words: Sequence[str]) -> str:
+        return (f"SELECT rid, '{label}' AS label, i FROM w, unnest(range(len(ws))) AS u(i) WHERE "
+                + " AND ".join(f"ws[i + {k + 1}] = '{x}'" for k, x in enumerate(words)))
+
+    hits = " UNION ALL ".join(places(label, phrase.split(" ")) for label, phrase in PHRASES)
+    whole = " UNION ALL ".join(places(label, re.findall(WORD, text.translate(_LOWER)))
+                               for (label, text), (_, ws) in zip(TEMPLATES, sets, strict=True) if len(ws) < LONG)
+    windows = f"unnest(range(0, greatest(len(ws) - {longest} - 1, 0) + 1, {longest})) AS u(s)"
     return f"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, translate(coalesce(text, ''),
          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
-w AS (SELECT rid, doc_id, regexp_extract_all(low, '{WORD}') AS ws FROM d),
+w AS (SELECT rid, doc_id, regexp_extract_all(low, '{WORD}') AS ws, contains(low, chr(10)) AS wrapped FROM d),
 lines AS (SELECT rid, regexp_extract_all(l, '{WORD}') AS ws
           FROM (SELECT rid, unnest(string_split(low, chr(10))) AS l FROM d)),
 blocks AS (
-  SELECT rid, list_distinct(ws[s + 1 : s + {2 * longest}]) AS b
-  FROM lines, unnest(range(0, greatest(len(ws) - {longest} - 1, 0) + 1, {longest})) AS u(s)),
-t(label, tset, need) AS (VALUES {values}),
+  SELECT rid, false AS across, list_distinct(ws[s + 1 : s + {2 * longest}]) AS b FROM lines, {windows}
+  UNION ALL
+  SELECT rid, true, list_distinct(ws[s + 1 : s + {2 * longest}]) FROM w, {windows} WHERE wrapped),
+t(label, tset, need, telling) AS (VALUES {values}),
 m AS (SELECT rid, label, len(list_intersect(b, tset)) AS n, len(tset) AS t FROM blocks, t
-      WHERE len(list_intersect(b, tset)) >= need),
+      WHERE len(list_intersect(b, tset)) >= need AND len(list_intersect(b, telling)) = len(telling)
+        AND (NOT across OR len(tset) >= {LONG})),
 b AS ({hits}),
+sh AS ({whole}),
 bl AS (SELECT rid, count(*) AS n_base, min(i) AS f, max(i) AS l,
               string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM b GROUP BY rid),
 al AS (SELECT rid, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
-       FROM (SELECT rid, label FROM b UNION ALL SELECT rid, label FROM m) GROUP BY rid),
+       FROM (SELECT rid, label FROM b UNION ALL SELECT rid, label FROM sh UNION ALL SELECT rid, label FROM m) GROUP BY rid),
 best AS (SELECT rid, max(n / t) AS s FROM m GROUP BY rid)
 SELECT w.doc_id, len(w.ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
        bl.f::BIGINT AS first_word, bl.l::BIGINT AS last_word, coalesce(bl.labels, '') AS base_labels,
        coalesce(al.labels, '') AS labels,
-       CASE WHEN bl.rid IS NOT NULL THEN 1.0::DOUBLE ELSE coalesce(best.s, 0)::DOUBLE END AS score
+       CASE WHEN bl.rid IS NOT NULL OR w.rid IN (SELECT rid FROM sh) THEN 1.0::DOUBLE ELSE coalesce(best.s, 0)::DOUBLE END AS score
 FROM w LEFT JOIN bl ON bl.rid = w.rid LEFT JOIN al ON al.rid = w.rid LEFT JOIN best ON best.rid = w.rid
 """
 

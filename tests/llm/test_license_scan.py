@@ -1,6 +1,8 @@
 import re
 
-from hourglass.llm.license_scan import PHRASES, TEMPLATES, THRESHOLD, WORD, _template_words, scan_licenses
+import duckdb
+
+from hourglass.llm.license_scan import ORACLE_OP6, PHRASES, TEMPLATES, THRESHOLD, WORD, _template_words, scan_licenses
 from tests.llm.helpers import ascii_lower
 
 LINES = [t for _, t in TEMPLATES]
@@ -47,7 +49,8 @@ def test_null_keys_repeated_rows_and_empty_table(spark):
     assert scan_licenses(spark.createDataFrame([], schema)).collect() == []
 
 
-def test_no_python_in_the_plan(spark):
+def test_no_python_in_the_plan(spark, monkeypatch):
+    monkeypatch.setattr("hourglass.llm.license_scan.checkpoint", lambda df: df)  # the plan as a whole
     plan = scan_licenses(spark.createDataFrame([(1, "x")], "doc_id long, text string"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan
 
@@ -77,3 +80,22 @@ def test_confusable_notices_need_the_telling_word(spark):
              "This worK is licensed under the GNU General license version 3": ""}
     got = scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     assert {r["doc_id"]: r["labels"] for r in got} == dict(enumerate(texts.values()))
+
+
+def test_sql_states_the_same_rule(spark):
+    """Wrapped, scattered and confusable notices, by the query and by its SQL."""
+    texts = list(TEXTS)
+    for _, t in TEMPLATES:
+        words = t.split()
+        for width in (1, 2, 5, 9):
+            rows = [" ".join(words[i:i + width]) for i in range(0, len(words), width)]
+            texts.append("x " * 50 + "\n * " + "\n * ".join(rows) + "\n" + "y " * 50)
+        texts += [" ".join(words[1:]), "\n".join(words[:-1]), "z\n" + " ".join(words[::-1]), "a " * 70 + " ".join(words[2:]) + "\n" + words[0]]
+    texts += ["Released under the Apache License", "Licensed under CC BY 4.0", "Released under the\nApache License\nund mit",
+              "Released under the Foo License\nmit", "Released\nunder the MIT\nLicense"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    want = con.sql(ORACLE_OP6)
+    got = scan_licenses(df).select(*want.columns).collect()
+    assert sorted(map(tuple, got)) == sorted(want.fetchall())
