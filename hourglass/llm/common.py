@@ -16,12 +16,14 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 def shared_dir(spark: SparkSession) -> str:
     """Folder that the driver and all executors share.
 
-    The session's checkpoint folder, else ``spark.checkpoint.dir``; only where both are
-    unset (tests) a folder below the warehouse, which is shared as well.
+    The session's checkpoint folder, else ``spark.checkpoint.dir``; only a local session (tests) may
+    leave both unset and gets a folder below the warehouse.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
@@ -66,7 +68,7 @@ def _slices(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
 
 
 def map_texts(df: DataFrame, text: str, start: Callable[[], TextFunction], fields: dict[str, tuple[T.DataType, pa.DataType]],
-              drop: tuple[str, ...] = (), slice_bytes: int = 1 << 24) -> DataFrame:
+              drop: tuple[str, ...] = (), slice_bytes: int = 1 << 22) -> DataFrame:
     """Work on the texts of Arrow batches, ``slice_bytes`` at a time; all other columns pass through.
 
     ``start`` runs once a task and gives the batch function.  The result has the columns of ``df``

@@ -120,10 +120,27 @@ def changed(text, kind):
 
 
 @pytest.mark.parametrize("kind", ["head", "tail", "inserted", "edits"])
-def test_changed_passages_are_all_found(kind):
-    items = [" ".join(words(n)) for n in (21, 33, 48, 69, 100) for _ in range(12)]
+def test_recall_of_the_fingerprints_on_changed_passages(kind):
+    """Against the exact share of every window: nothing wrong is found, and at least nine in ten are."""
+    items = [" ".join(words(n)) for n in (21, 33, 48, 69, 100) for _ in range(24)]
     kept, index = index_of(items)
     texts = [" ".join(words(RNG.randrange(150))) + " " + changed(t, kind) + " " + " ".join(words(150)) for t in items]
     expected = brute(list(enumerate(texts)), list(enumerate(items)))
-    assert len(expected) > 40
-    assert {(t, i) for t, i, *_ in D.match_texts(texts, kept, index)} == expected
+    found = {(t, i) for t, i, *_ in D.match_texts(texts, kept, index)}
+    print(kind, len(found & expected), len(expected))
+    assert len(expected) > 80 and found <= expected and len(found) >= 0.9 * len(expected)
+
+
+def test_windows_of_more_features_than_two_bytes_count():
+    features = np.random.default_rng(2).integers(0, 2**63, 70_010).astype(np.uint64)
+    got = D._fingerprints(D._bit_sums(features, 70_000), 5, 3, 70_000)
+    for k, start in enumerate((0, 5, 10)):
+        bits = np.unpackbits(features[start:start + 70_000].view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0)
+        assert np.packbits(bits > 35_000).view(np.uint64)[0] == got[k]
+
+
+def test_text_item_ids_may_be_empty(spark):
+    items = [("", "one two three four five six"), (None, "seven eight nine ten eleven"), ("b", "one two three four five six")]
+    d, _ = frames(spark, [(1, "x one two three four five six seven eight nine ten eleven")], [(1, "")])
+    b = spark.createDataFrame(items, "item_id string, text string")
+    assert sorted(r["item_id"] or "-" for r in D.find_leaks(d, b).collect()) == ["-", "-", "b"]
