@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,7 +43,7 @@ SHINGLE = 5
 #: Links have 100 * intersection >= PERCENT * union.
 PERCENT = 75
 #: Repeats within batches from which on a token may be frequent, and how many are kept (8 bytes each).
-LEAST_COUNT, MOST_FREQUENT = 2, 1_000_000
+LEAST_COUNT, MOST_FREQUENT = 2, 200_000
 #: Largest set whose frequent tokens are keys in pairs only.
 SHORT = 40
 #: Sets up to this size give pairs of frequent tokens (those over SHORT single ones too).
@@ -161,10 +162,8 @@ def prefix_keys(s: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return singles, np.concatenate(keys) if keys else s[:0]
 
 
-def _postings(docs: DataFrame, seed: int, frequent: np.ndarray, parts: int) -> DataFrame:
+def _postings(docs: DataFrame, seed: int, shared: Broadcast, parts: int) -> DataFrame:
     """Rows ``(part, keys, nodes, sizes)``: packed rare keys by part; parts below 0 hold frequent keys."""
-    shared = docs.sparkSession.sparkContext.broadcast(frequent)  # at most MOST_FREQUENT numbers
-
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         by_count = shared.value
         order = np.argsort(by_count)
@@ -348,7 +347,9 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     tokens = classes.agg(F.sum(F.col("tokens") / F.col("copies"))).first()[0] or 0
     parts = max(64, math.ceil(tokens * (100 - PERCENT) / 100 * 1.5 / PART_TOKENS))
 
-    post = checkpoint(_postings(d, seed, frequent, parts).groupBy("part").applyInPandas(_bucket_rows, POSTING))
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)  # at most MOST_FREQUENT numbers
+    post = checkpoint(_postings(d, seed, shared, parts).groupBy("part").applyInPandas(_bucket_rows, POSTING))
+    shared.destroy()  # the postings are written
 
     components, links = None, None
     for turn in range(rounds + 1):

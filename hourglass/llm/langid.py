@@ -166,7 +166,7 @@ def predict(texts: list[str], model: Model, switch: float = SWITCH) -> tuple[lis
     return langs, shares, marks
 
 
-def _batches(texts: list, langs: int, cells: int = 1 << 25) -> Iterator[list[str]]:
+def _batches(texts: list, langs: int, cells: int = 1 << 22) -> Iterator[list[str]]:
     """Runs of texts whose scores fit in ``cells`` numbers (a longer text stands alone)."""
     part, size = [], 0
     for t in texts:

@@ -27,8 +27,7 @@ def test_ids_and_text_equal_the_reference_library(model):
     assert [ours.text(i) for i in ours.encode(texts)] == other.decode(ids)
 
 
-def test_remembered_words_change_nothing(model, monkeypatch):
-    monkeypatch.setattr(S, "CACHE_WORDS", 3)
+def test_batches_change_nothing(model):
     ours = S.Encoder(S.parse_model(model))
     texts = ["a b c d e f", "b b a", "g h\ni j", ""]
     first = [i.tolist() for i in ours.encode(texts)]
@@ -88,7 +87,7 @@ def test_encode_and_decode_frames(spark, model):
 
 def test_parity_over_the_whole_small_table(spark, model):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
-    got = S.encode(docs, model, parity_rows=10**9).collect()  # raises on any difference
+    got = S.encode(docs, model, parity=1).collect()  # raises on any difference
     assert len(got) == docs.count() and all(r["round_trip"] for r in got)
 
 
