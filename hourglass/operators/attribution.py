@@ -7,8 +7,9 @@ produced elsewhere; nothing here trains or differentiates a network.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourglass.functions import scalar as H
@@ -38,6 +39,24 @@ def causal_lag_features(grid: DataFrame, weights: Sequence[float], dilation: int
     return grid.withColumn(out, total)
 
 
+def causal_lag_series(runs: DataFrame, weights: Sequence[float], dilation: int = 1, out: str = "conv") -> DataFrame:
+    """M1 on runs: ``(stay, time, feature, value, conv)``, without exchanging or sorting an hour.
+
+    ``runs`` is the output of ``timeseries.run_arrays``: every (stay, feature) row lays its runs out as an
+    array of hourly values (0 where unobserved), sums the lagged values there, and is then expanded.
+    """
+    size = lambda x: (x["_end"] - x["_start"] + 1).cast("int")
+    values = F.flatten(F.transform("_runs", lambda x: F.array_repeat(F.coalesce(x["value"], F.lit(0.0)), size(x))))
+
+    def lagged(v: Column, i: Column) -> Column:
+        terms = [F.lit(float(w)) * F.coalesce(F.get("_v", i - j * dilation), F.lit(0.0)) for j, w in enumerate(weights)]
+        return F.struct(v.alias("value"), reduce(lambda a, b: a + b, terms).alias(out))
+
+    laid = runs.select(KEY, "feature", "first_time", values.alias("_v"))
+    cells = laid.select(KEY, "feature", "first_time", F.posexplode(F.transform("_v", lagged)).alias("_i", "_c"))
+    return cells.select(KEY, (F.col("first_time") + F.col("_i")).alias("time"), "feature", "_c.value", f"_c.{out}")
+
+
 def eligible_stays(grid: DataFrame, time_point: int = 23) -> DataFrame:
     """Stays that still have a row at raw position ``time_point`` (alive at the horizon).
 
@@ -54,11 +73,17 @@ def per_stay_attribution(attr: DataFrame, time_point: int = 23, value: str = "va
 
     ``sum |attribution| / number of non-zero feature values`` per
     (stay, feature); a feature never non-zero gives NULL (the reference's NaN).
+    A grid that carries the stays' ``first_time`` and ``last_time`` tells a row's
+    position and a stay's length by itself; otherwise they are found by joins.
     """
-    hours = row_position(attr.select(KEY, "time").distinct())
-    first = hours.where(F.col("pos") < time_point).select(KEY, "time")
-    a = (attr.join(eligible_stays(attr, time_point), KEY, "left_semi")
-             .join(first, [KEY, "time"], "inner"))
+    if "first_time" in attr.columns:
+        position = F.col("time") - F.col("first_time")
+        a = attr.where((position < time_point) & (F.col("last_time") - F.col("first_time") >= time_point))
+    else:
+        hours = row_position(attr.select(KEY, "time").distinct())
+        first = hours.where(F.col("pos") < time_point).select(KEY, "time")
+        a = (attr.join(eligible_stays(attr, time_point), KEY, "left_semi")
+                 .join(first, [KEY, "time"], "inner"))
     return a.groupBy(KEY, "feature").agg(
         F.try_divide(F.sum(F.abs(F.col(attribution))),
                      F.count(F.when(F.col(value) != 0, F.lit(1)))).alias("mean_abs"))

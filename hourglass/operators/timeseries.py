@@ -13,7 +13,7 @@ Partitioning plan of the encoding:
    feature)``, joined with the stay's range of hours; these arrays give the
    fill/decay runs, and ``explode(sequence(...))`` turns runs into hours.  The
    dense grid - the largest table by far - is generated in place: never
-   shuffled, sorted or joined (see :func:`stay_runs`).
+   shuffled, sorted or joined (see :func:`run_arrays`).
 """
 
 from __future__ import annotations
@@ -175,16 +175,25 @@ def zero_fill(grid: DataFrame, value: str = "value") -> DataFrame:
     return grid.withColumn(value, F.coalesce(F.col(value), F.lit(0.0)))
 
 
-def stay_runs(hourly: DataFrame, vocab: DataFrame, max_hour: int | None = None, min_time: int | None = 1,
-              value: str = "value", carry: Sequence[str] = ()) -> DataFrame:
-    """E3 + E4 sparsely: runs of hours in which a stay's feature keeps its value.
+def stay_bounds(hourly: DataFrame, max_hour: int | None = None, min_time: int | None = 1, carry: Sequence[str] = ()) -> DataFrame:
+    """``(stay, first_time, last_time)`` of the kept hours, from all hours with a value."""
+    hi = F.max("time") if max_hour is None else F.least(F.max("time"), F.lit(int(max_hour)))
+    lo = F.min("time") if min_time is None else F.greatest(F.min("time"), F.lit(int(min_time)))
+    bounds = hourly.groupBy(KEY, *carry).agg(lo.cast("long").alias("first_time"), hi.cast("long").alias("last_time"))
+    return bounds.where(F.col("first_time") <= F.col("last_time"))
+
+
+def run_arrays(hourly: DataFrame, vocab: DataFrame, max_hour: int | None = None, min_time: int | None = 1,
+               value: str = "value", carry: Sequence[str] = ()) -> DataFrame:
+    """E3 + E4 sparsely: the runs of hours in which a stay's feature keeps its value, one row per (stay, feature).
 
     For each (stay, feature) the observed hours ``h_1 < ... < h_m`` split the
     stay's hour range ``[lo, hi]`` into runs: ``[lo, h_1 - 1]`` (unobserved:
     value and ``_obs`` NULL) and ``[h_i, h_{i+1} - 1]`` (value ``v_i``, observed
     at ``_obs = h_i``); features never observed in the stay get one unobserved
-    run ``[lo, hi]``.  Output ``(stay, feature, _start, _end, _obs, value,
-    first_time, last_time)`` and the per-stay constants ``carry``.
+    run ``[lo, hi]``.  Output ``(stay, feature, first_time, last_time, _runs)``, the
+    runs an array of ``(_start, _end, _obs, value)`` in order of time, and the
+    per-stay constants ``carry``.
 
     The range of every stay (one row, by partial aggregates) meets the vocabulary, and each of
     these (stay, feature) rows is joined with the feature's observations, an array in order of time.
@@ -195,12 +204,8 @@ def stay_runs(hourly: DataFrame, vocab: DataFrame, max_hour: int | None = None,
     cw = list(carry)
     t, v = F.col("time"), F.col(value).cast("double")
     obs = hourly.where(v.isNotNull())
-    hi = F.max("time") if max_hour is None else F.least(F.max("time"), F.lit(int(max_hour)))
-    lo = F.min("time") if min_time is None else F.greatest(F.min("time"), F.lit(int(min_time)))
     names = vocab.agg(F.array_sort(F.collect_set("feature")).alias("_names"))  # one row
-    bounds = obs.groupBy(KEY, *cw).agg(lo.cast("long").alias("first_time"), hi.cast("long").alias("last_time"))
-    pairs = cross_scalar(bounds.where(F.col("first_time") <= F.col("last_time")), names)
-    pairs = pairs.select(KEY, *cw, "first_time", "last_time", F.explode("_names").alias("feature"))
+    pairs = cross_scalar(stay_bounds(obs, max_hour, min_time, cw), names).select(KEY, *cw, "first_time", "last_time", F.explode("_names").alias("feature"))
     seen = obs if max_hour is None else obs.where(t <= int(max_hour))
     seen = seen.groupBy(KEY, "feature").agg(
         F.array_sort(F.collect_list(F.struct(t.cast("long").alias("t"), v.alias("v")))).alias("_o"))
@@ -215,8 +220,16 @@ def stay_runs(hourly: DataFrame, vocab: DataFrame, max_hour: int | None = None,
         F.greatest(x["t"], first).alias("_start"), F.coalesce(F.get("_o", i + 1)["t"] - 1, last).alias("_end"),
         x["t"].alias("_obs"), x["v"].alias(value)))
     runs = F.when(F.col("_o").isNull(), F.array(nothing)).otherwise(F.concat(F.array(lead), own))
-    out = j.select(KEY, *cw, "first_time", "last_time", "feature", F.explode(runs).alias("_r"))
-    return out.select(KEY, *cw, "first_time", "last_time", "feature", "_r.*").where(F.col("_start") <= F.col("_end"))
+    # a leading run before the first hour and runs before ``min_time`` are empty
+    runs = F.filter(runs, lambda x: x["_start"] <= x["_end"])
+    return j.select(KEY, *cw, "first_time", "last_time", "feature", runs.alias("_runs"))
+
+
+def stay_runs(hourly: DataFrame, vocab: DataFrame, max_hour: int | None = None, min_time: int | None = 1,
+              value: str = "value", carry: Sequence[str] = ()) -> DataFrame:
+    """One row per run of :func:`run_arrays`: ``(stay, feature, _start, _end, _obs, value, first_time, last_time)``."""
+    runs = run_arrays(hourly, vocab, max_hour, min_time, value, carry)
+    return runs.select(*[c for c in runs.columns if c != "_runs"], F.inline("_runs"))
 
 
 def run_mask(hour, obs, decay: bool = True, decay_rate: float = 4.0 / 3.0):
@@ -228,18 +241,20 @@ def run_mask(hour, obs, decay: bool = True, decay_rate: float = 4.0 / 3.0):
 
 def resample_and_mask(hourly: DataFrame, vocab: DataFrame, decay: bool = True,
                       decay_rate: float = 4.0 / 3.0, horizon: int | None = 24 * 14,
-                      carry: Sequence[str] = ()) -> DataFrame:
+                      carry: Sequence[str] = (), bounds: bool = False) -> DataFrame:
     """Dense grid -> fill + mask -> horizon clip -> positive time -> zero fill.
 
     ``explode(sequence(start, end))`` turns the runs of :func:`stay_runs` into
     hours in place: the dense grid is never shuffled, sorted or joined, and the
-    per-stay constants ``carry`` are copied onto every row.
+    per-stay constants ``carry`` (with ``bounds`` also the stay's ``first_time`` and
+    ``last_time``) are copied onto every row.
     """
     max_hour = None if horizon is None else horizon - 1
     runs = stay_runs(hourly, vocab, max_hour=max_hour, carry=carry)
-    out = runs.select(KEY, "feature", F.explode(F.sequence("_start", "_end")).alias("time"), "value", "_obs", *carry)
+    kept = [*carry, *(["first_time", "last_time"] if bounds else [])]
+    out = runs.select(KEY, "feature", F.explode(F.sequence("_start", "_end")).alias("time"), "value", "_obs", *kept)
     mask = run_mask(F.col("time"), F.col("_obs"), decay, decay_rate)
-    return zero_fill(out.select(KEY, "time", "feature", "value", mask.alias("mask"), *carry))
+    return zero_fill(out.select(KEY, "time", "feature", "value", mask.alias("mask"), *kept))
 
 
 def time_of_day(grid: DataFrame, admit_hour: DataFrame, hour_col: str = "hour") -> DataFrame:

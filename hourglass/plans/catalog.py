@@ -597,13 +597,18 @@ LAG_DILATION = 2
 
 def _attr(spark, d):
     """Stand-in attribution table: value x mask per grid cell."""
-    g = _grid(spark, d)
-    return g.select("stay", "time", "feature", "value", (F.col("value") * F.col("mask")).alias("attribution"))
+    return _with_attribution(series.encode_timeseries(spark, d, bounds=True))
+
+
+def _with_attribution(g):
+    return g.select("stay", "time", "feature", "value", (F.col("value") * F.col("mask")).alias("attribution"), "first_time", "last_time")
 
 
 @query("causal_lag_features")
 def q_causal_lag_features(spark, d):
-    out = M.causal_lag_features(_grid(spark, d), LAG_WEIGHTS, LAG_DILATION)
+    hourly, stats = series.hourly_series(spark, d)
+    runs = E.run_arrays(hourly, stats, max_hour=series.HORIZON_HOURS - 1)
+    out = M.causal_lag_series(runs, LAG_WEIGHTS, LAG_DILATION)
     return out.select("stay", "time", "feature", r6("conv"))
 
 
@@ -619,9 +624,15 @@ def q_per_stay_attribution(spark, d):
 
 @query("single_stay_profile")
 def q_single_stay_profile(spark, d):
-    a = _attr(spark, d)
-    top = E.seq_length(a).orderBy(F.desc("length"), F.asc("stay")).first()["stay"]  # the profiled stay
-    feats = [r[0] for r in a.select("feature").distinct().orderBy("feature").limit(6).collect()]  # six features by name
+    hourly, stats = series.hourly_series(spark, d)
+    length = F.col("last_time") - F.col("first_time")
+    longest = E.stay_bounds(hourly, series.HORIZON_HOURS - 1).orderBy(length.desc(), "stay").first()  # the profiled stay
+    top = longest["stay"] if longest else -1
+    feats = E.vocabulary(stats)[:6]  # six features by name
+    # only that stay and those features are encoded
+    grid = E.resample_and_mask(hourly.where(F.col("stay") == top), stats.where(F.col("feature").isin(feats)),
+                               decay_rate=series.DECAY_RATE, horizon=series.HORIZON_HOURS, bounds=True)
+    a = _with_attribution(grid)
     w = M.single_stay_profile(a, top, feats)
     cell = F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), r6(f"`{f}_value`", "value"),
                                         r6(f"`{f}_attr`", "attribution")) for f in feats]))

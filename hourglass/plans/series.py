@@ -88,15 +88,15 @@ def hourly_series(spark: SparkSession, d: str, min_frac: float = MIN_FRAC, sourc
 def encode_timeseries(spark: SparkSession, d: str, min_frac: float = MIN_FRAC,
                       decay: bool = True, horizon: int | None = HORIZON_HOURS,
                       sources: Sequence[str] = ("events",), quantile_accuracy: int | None = None,
-                      main_source: str | None = None) -> DataFrame:
+                      main_source: str | None = None, bounds: bool = False) -> DataFrame:
     """Long hourly grid ``(stay, time, feature, value, mask, hour)``, of the stays that have rows of
-    ``main_source`` when one is named."""
+    ``main_source`` when one is named; with ``bounds`` also the stay's ``first_time`` and ``last_time``."""
     hourly, stats = hourly_series(spark, d, min_frac, sources, quantile_accuracy, main_source=main_source)
     # the admission hour rides along from the window join to every grid row (E9
     # without a join on the dense grid)
-    grid = resample_and_mask(hourly, stats, decay=decay, decay_rate=DECAY_RATE, horizon=horizon, carry=("admit_hour",))
+    grid = resample_and_mask(hourly, stats, decay=decay, decay_rate=DECAY_RATE, horizon=horizon, carry=("admit_hour",), bounds=bounds)
     hour = cyclic_unit(F.col("time") + F.col("admit_hour"), 24)
-    return grid.select("stay", "time", "feature", "value", "mask", hour.alias("hour"))
+    return grid.select("stay", "time", "feature", "value", "mask", hour.alias("hour"), *(["first_time", "last_time"] if bounds else []))
 
 
 def series_runs(spark: SparkSession, d: str, stays: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
