@@ -17,14 +17,18 @@ link meets under one of its schemes.
 *Candidates.*  Every round compares each set of a bucket with one pivot, merges what links, and only
 sets that are not yet in the pivot's component remain.  What no round has merged is compared pair by
 pair at the end across components, so no link between components is lost; in a bucket whose sets do not
-link with the pivot these pairs grow with the square of its size.  Pairs within a component are not
-verified, so links are not counted.
+link with the pivot these pairs grow with the square of its size.
+
+*Links.*  All links lie within components, so they are counted there at the end: a component is worked on
+in blocks of ``BLOCK`` nodes against ``BLOCK`` nodes, a block's whole sets being compared at once by a
+product of token columns; pairs never leave a task.
 
 *Verification* reads the candidates' whole texts again and compares the complete sets.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import uuid
 from collections.abc import Iterator
@@ -54,6 +58,8 @@ PART_TOKENS = 1_000_000
 SIEVE = 1 << 18
 #: Pairs whose sets a task holds at a time.
 VERIFIED = 500
+#: Nodes of one side of a block in which links are counted, and token columns multiplied at a time.
+BLOCK, COLUMNS = 256, 4096
 #: Rounds of pivot comparisons before what is left is compared pair by pair.
 ROUNDS = 1
 
@@ -290,11 +296,9 @@ def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield part.loc[linked, ["a", "b"]]
 
 
-def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs whose whole sets link."""
+def _texts(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(node, _text)``: the text of the first document of every node, written."""
     spark = docs.sparkSession
-    pairs = checkpoint(pairs)
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     wanted = checkpoint(nodes.join(classes, "node").select(
         "node", F.col("first.tid").alias("_tid"), _sieve(F.col("first.tid")).alias("_sieve")))
     # a filter of at most SIEVE rows keeps most texts that nobody wants out of the shuffle
@@ -302,21 +306,90 @@ def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     # one row per node: its first document; equal rows of that document count once
     texts = near.join(wanted.select("node", F.col("_tid").alias("tid")), "tid").select("tid", "node", "_text").dropDuplicates(["tid"])
     path = f"{shared_dir(spark)}/texts-{uuid.uuid4().hex}"
-    texts.write.option("compression", "zstd").parquet(path)  # read twice, and half of a checkpoint's size
-    texts = spark.read.parquet(path)
+    texts.select("node", "_text").write.option("compression", "zstd").parquet(path)  # half of a checkpoint's size
+    return spark.read.parquet(path)
+
+
+def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs whose whole sets link."""
+    pairs = checkpoint(pairs)
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    texts = _texts(nodes, docs, classes)
     both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("_text").alias("ta")), "a")
                  .join(texts.select(F.col("node").alias("b"), F.col("_text").alias("tb")), "b"))
     return checkpoint(both.select("a", "b", "ta", "tb").mapInPandas(_verify, "a long, b long"))
 
 
+def shared_tokens(sets: list[np.ndarray]) -> np.ndarray:
+    """How many tokens each two of the sets share."""
+    both = np.zeros((len(sets), len(sets)))
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    token, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)[1:] if len(sets) else (owner, owner)
+    column = np.where(counts > 1, np.cumsum(counts > 1) - 1, -1)[token]  # tokens of one set are shared by nobody
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, [start, start + COLUMNS])
+        has = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+        has[owner[a:b], column[a:b] - start] = 1
+        both += has @ has.T
+    return both
+
+
+def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links of every node found in the blocks, in order of (component, i, j); a block may go on in the next batch."""
+    rest = None
+    for frame in itertools.chain(frames, [None]):
+        if frame is None:
+            ready, rest = rest, None
+        else:
+            rest = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+            names = rest[["component", "i", "j"]].to_numpy()
+            other = np.flatnonzero((names != names[-1]).any(axis=1)) if len(rest) else []
+            cut = int(other[-1]) + 1 if len(other) else 0
+            ready, rest = rest.iloc[:cut], rest.iloc[cut:]
+        if ready is None or not len(ready):
+            continue
+        names = ready[["component", "i", "j"]].to_numpy()
+        cuts = np.append(np.flatnonzero(np.append(True, (names[1:] != names[:-1]).any(axis=1))), len(ready))
+        links = np.zeros(len(ready), dtype=np.int64)
+        copies, side, texts = ready["copies"].to_numpy(np.int64), ready["side"].to_numpy(), list(ready["_text"])
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            sets = shingle_sets(texts[a:b])
+            size = np.array([len(x) for x in sets], dtype=np.float64)
+            both = shared_tokens(sets)
+            linked = 100 * both >= PERCENT * (size[:, None] + size[None, :] - both)
+            linked &= (side[a:b, None] != side[None, a:b]) if names[a, 1] != names[a, 2] else ~np.eye(b - a, dtype=bool)
+            links[a:b] = linked @ copies[a:b]
+        yield pd.DataFrame({"node": ready["node"].to_numpy(np.int64), "links": links})
+
+
+def _link_counts(of: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(node, links)``: rows of other nodes that link with it, for the nodes of components of two or more.
+
+    ``of`` is ``(node, component, copies)``.  A node's text is sent once for every ``BLOCK`` nodes of its component.
+    """
+    many = of.groupBy("component").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    nodes = checkpoint(of.join(many, "component"))
+    blocks = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int")
+    dealt = nodes.withColumn("side", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn(
+        "t", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
+        "node", "component", "copies", F.least("side", "t").alias("i"), F.greatest("side", "t").alias("j"), "side")
+    tasks = dealt.join(_texts(nodes.select("node"), docs, classes), "node")
+    tasks = tasks.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
+    found = tasks.select("component", "i", "j", "side", "node", "copies", "_text").mapInPandas(_count, "node long, links long")
+    return checkpoint(found.groupBy("node").agg(F.sum("links").alias("links")))
+
+
 def _sieve(tid):
     return F.pmod(tid, F.lit(SIEVE)).cast("int")
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS,
-                       stays: bool = False) -> DataFrame:
+                       stays: bool = False, count: bool = False) -> DataFrame:
     """``(key, tid, n_shingles, component_id)``, one row per input row; ``tid`` is
-    xxhash64 of the key as text and the text.
+    xxhash64 of the key as text and the text.  With ``count`` a column ``n_links`` follows: the other rows
+    that a row links with directly, equal texts among them (0 for empty sets).
 
     ``component_id`` is the least key reachable by links, the row's own included.  Texts that are null
     or hold no word have empty sets and link with nothing (component: their own key); rows of fewer
@@ -366,17 +439,26 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
         of = classes.join(components, "node", "left").withColumn("component", F.coalesce("component", "node")).select("node", "component", "least", *best)
         least = checkpoint(of.groupBy("component").agg(F.min("least").alias("component_id"), *[F.min(c).alias(f"_{c}") for c in best]))
         named = of.join(least, "component").select("node", "component_id", *[F.col(f"_{c}").alias(c) for c in best])
+    if count:
+        links = F.col("copies") - 1
+        if components is not None:
+            inside = _link_counts(checkpoint(of.join(classes.select("node", "copies"), "node").select("node", "component", "copies")), d, classes)
+            counted = classes.join(inside, "node", "left").select("node", (links + F.coalesce("links", F.lit(0))).alias("n_links"))
+        else:
+            counted = classes.select("node", links.alias("n_links"))
+        named = named.join(counted, "node")
     named = checkpoint(named)
     every = told.where("kind = 0").select("_key", "tid", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("node")).alias("node"))
     out = every.join(named, "node", "left")
     own = F.col("_key").cast(kind)
     chosen = (F.col("n_shingles") == 0) | (own.eqNullSafe(F.col("best.key")) & (F.col("tid") == F.col("best.tid"))) if stays else None
     return out.select(own.alias(key), "tid", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(own).alias("component_id"),
+                      *([F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")] if count else []),
                       *([chosen.alias("stays")] if stays else []))
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("tid")
+    return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"), count=True).drop("tid")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -409,5 +491,7 @@ links AS (SELECT x, y FROM met WHERE 100 * k >= 75 * (xn + yn - k)),
 edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
 reach(x, y) AS (SELECT rid, rid FROM s UNION SELECT r.x, e.y FROM reach r JOIN edges e ON r.y = e.x),
 least AS (SELECT reach.x AS rid, min(s.doc_id) AS component_id FROM reach JOIN s ON s.rid = reach.y GROUP BY reach.x)
-SELECT s.doc_id, len(ss)::BIGINT AS n_shingles, least.component_id FROM s JOIN least ON least.rid = s.rid
+SELECT s.doc_id, len(ss)::BIGINT AS n_shingles, least.component_id,
+       (SELECT count(*) FROM edges WHERE edges.x = s.rid)::BIGINT AS n_links
+FROM s JOIN least ON least.rid = s.rid
 """

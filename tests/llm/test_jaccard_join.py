@@ -44,6 +44,31 @@ def test_matches_brute_force(spark):
     assert got == {i: (len(shingles(t)), of[i]) for i, t in enumerate(texts)}
 
 
+@pytest.mark.parametrize("block", [3, 256])
+def test_links_are_counted_in_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(J, "BLOCK", block)
+    monkeypatch.setattr(J, "COLUMNS", 64)
+    base = " ".join(words(60))
+    texts = corpus() + [base] * 3 + [edited(base, k % 5) for k in range(25)]
+    links = jaccard_links(texts)
+    n = [0] * len(texts)
+    for a, b in links:
+        n[a] += 1
+        n[b] += 1
+    assert max(n) > 10
+    of = components(range(len(texts)), links)
+    got = {r["doc_id"]: (r["n_links"], r["component_id"]) for r in J.jaccard_components(docs_frame(spark, texts), count=True).collect()}
+    assert got == {i: (n[i], of[i]) for i in range(len(texts))}
+
+
+def test_shared_tokens_equal_intersections():
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 300, int(rng.integers(0, 90))).astype(np.uint64)) for _ in range(30)]
+    got = J.shared_tokens(sets)
+    assert all(got[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(30) for j in range(30) if i != j)
+    assert J.shared_tokens([]).shape == (0, 0) and J.shared_tokens([sets[0][:0]]).tolist() == [[0.0]]
+
+
 def test_linked_sets_always_share_a_key():
     rng = np.random.default_rng(3)
     for _ in range(400):
