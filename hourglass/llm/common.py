@@ -36,6 +36,15 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Between the phases of a long job: ask the driver's JVM to collect garbage.
+
+    Spark removes shuffle files, broadcasts and checkpoints of frames that nobody holds only after the
+    driver has collected them, and the heap shrinks again; nothing is computed differently.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only; every other character stays."""
     return F.translate(c, UPPER, LOWER)

@@ -291,5 +291,9 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that hold a benchmark item go."""
+    """Pipeline stage: documents that hold a benchmark item go.
+
+    Null and empty texts hold none and stay; repeated rows share their fate; all columns pass through,
+    whatever their names; without items everything stays.
+    """
     return drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

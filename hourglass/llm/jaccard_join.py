@@ -39,7 +39,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourglass.llm.common import checkpoint, shared_dir
+from hourglass.llm.common import checkpoint, shared_dir, tidy
 from hourglass.llm.components import connected_components
 from hourglass.llm.textvec import MIX, P, hashed_shingles, hashed_words, lower_ascii
 
@@ -423,6 +423,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     shared = docs.sparkSession.sparkContext.broadcast(frequent)  # at most MOST_FREQUENT numbers
     post = checkpoint(_postings(d, seed, shared, parts).groupBy("part").applyInPandas(_bucket_rows, POSTING))
     shared.destroy()  # the postings are written
+    tidy(docs.sparkSession)
 
     components, links = None, None
     for turn in range(rounds + 1):
@@ -431,7 +432,9 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
             break
         found = _links(_pivot_pairs(rest) if turn < rounds else _rest_pairs(rest), d, classes)
         links = found if links is None else links.union(found)
+        tidy(docs.sparkSession)
         components = checkpoint(connected_components(links))
+        tidy(docs.sparkSession)
 
     if components is None:
         named = classes.select("node", F.col("least").alias("component_id"), *best)

@@ -189,6 +189,8 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
     labelled = labelled.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.col(lang).alias("_lang"))
     sizes = {r["_lang"]: r["count"] for r in labelled.groupBy("_lang").count().collect()}
     langs = sorted(sizes)
+    if len(langs) > 255:
+        raise ValueError(f"{len(langs)} language values; a byte numbers them")
     if not langs:
         return Model([], np.zeros((BUCKETS, 0), np.float32), np.zeros((N_SCRIPTS, 0), bool))
     rate = F.element_at(F.create_map(*[F.lit(x) for g in langs for x in (g, min(1.0, per_lang / sizes[g]))]), F.col("_lang"))
@@ -260,7 +262,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents without a language, or with less than LEAST_SHARE of their letters in it, go."""
+    """Pipeline stage: documents without a language, or with less than LEAST_SHARE of their letters in it, go.
+
+    Null texts and texts without a letter have no language and go; repeated rows share their fate; columns
+    named like the prediction's pass through unchanged; an empty table stays empty.
+    """
     model = train(docs, train_rows=crc_fold(F.col("doc_id")) != 0)
     found = identify(docs.withColumnsRenamed({"lang_pred": "_lang_pred", "score": "_score", "spans": "_spans"}), model)
     kept = found.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LEAST_SHARE))

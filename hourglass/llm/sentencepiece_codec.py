@@ -254,5 +254,9 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage, the last: token ids of every document."""
+    """Pipeline stage, the last: token ids of every document.
+
+    A null text has null ids and no tokens, an empty one no ids; repeated rows are encoded each; columns
+    of the input named like new ones are replaced; an empty table gives an empty result.
+    """
     return encode(docs, model_bytes(spark)).select("doc_id", "lang", "source", "n_tokens", "ids", "round_trip")

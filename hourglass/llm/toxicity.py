@@ -274,7 +274,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents predicted toxic go."""
+    """Pipeline stage: documents predicted toxic go.
+
+    Null and empty texts are scored like texts without words; repeated rows share their fate; all columns
+    pass through, whatever their names; an empty table, or one without two classes of labels, keeps
+    what scores below one half.
+    """
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     # the text rides along under another name, so that scoring may drop its own copy
     found = score(docs.select(F.struct(*docs.columns).alias("_row"), F.col("text").alias("_scored")), model, "_scored")

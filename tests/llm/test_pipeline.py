@@ -2,6 +2,9 @@
 
 import corpus_pipeline
 import pytest
+import sentencepiece
+from hourglass.llm import sentencepiece_codec as codec
+from hourglass.llm import toxicity
 from hourglass.llm.decontaminate import find_leaks
 from hourglass.llm.jaccard_join import jaccard_components
 from hourglass.llm.langid import UNDETERMINED, identify, train
@@ -47,6 +50,41 @@ def test_decontamination_stage_drops_leaks_only(spark, docs):
     assert leaks and ids(STAGE["decontamination"](spark, docs, SF_SMALL)) == [i for i in ids(docs) if i not in leaks]
 
 
+def test_toxicity_stage_drops_what_the_operator_predicts(spark, docs):
+    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+    found = toxicity.score(docs, toxicity.train(docs, labels))
+    assert ids(STAGE["toxicity"](spark, docs, SF_SMALL)) == ids(found.where("predicted = 0"))
+
+
+def test_sentencepiece_stage_gives_the_ids_of_the_library(spark, docs):
+    other = sentencepiece.SentencePieceProcessor(model_proto=codec.model_bytes(spark))
+    got = {r["doc_id"]: r["ids"] for r in STAGE["sentencepiece"](spark, docs, SF_SMALL).collect()}
+    rows = docs.select("doc_id", "text").collect()
+    assert len(got) == len(rows)
+    for r in rows:
+        assert got[r["doc_id"]] == (None if r["text"] is None else other.encode(r["text"]))
+
+
+def test_stages_pass_clashing_columns_and_awkward_rows(spark, docs):
+    """Columns named like those that the operators add, null and empty texts, null keys and repeated rows."""
+    extra = spark.createDataFrame([(None, None, None, None, None), (10**6, "", "en", "s", 0), (10**6 + 1, "one two", None, None, 7),
+                                   (10**6 + 1, "one two", None, None, 7)], docs.schema)
+    wide = docs.limit(30).union(extra).selectExpr("*", "doc_id + 0.5 as score", "'l' as lang_pred", "'r' as _row", "7 as predicted",
+                                                  "'s' as spans", "'t' as tid", "1 as n_links", "'x' as similarity", "2 as item_id")
+    added = wide.columns[len(docs.columns):]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, wide, SF_SMALL)
+        assert out.columns == wide.columns, name
+        rows = out.collect()
+        assert rows, name
+        for r in rows:
+            assert [r[c] for c in added] == [None if r["doc_id"] is None else r["doc_id"] + 0.5, "l", "r", 7, "s", "t", 1, "x", 2]
+        if name in ("toxicity", "decontamination"):
+            assert sum(r["doc_id"] == 10**6 + 1 for r in rows) == 2
+    ends = {r["doc_id"]: (r["ids"], r["n_tokens"]) for r in STAGE["sentencepiece"](spark, wide, SF_SMALL).collect()}
+    assert ends[None] == (None, 0) and ends[10**6] == ([], 0)
+
+
 def test_run_applies_the_stages_in_order(spark, docs):
     out = corpus_pipeline.run(spark, SF_SMALL)
     kept = ids(out)
