@@ -56,8 +56,8 @@ BOTH = SHORT * 100 // PERCENT + 1
 PART_TOKENS = 1_000_000
 #: Cells of the filter that keeps unwanted texts out of a shuffle (its size is fixed, whatever the data).
 SIEVE = 1 << 18
-#: Pairs whose sets a task holds at a time.
-VERIFIED = 500
+#: Pairs whose sets a task holds at a time, characters that it cuts into shingles at a time.
+VERIFIED, CHARS = 500, 1 << 22
 #: Nodes of one side of a block in which links are counted, and token columns multiplied at a time.
 BLOCK, COLUMNS = 256, 4096
 #: Rounds of pivot comparisons before what is left is compared pair by pair.
@@ -84,6 +84,13 @@ def shingle_sets(texts: list[str], size: int = SHINGLE) -> list[np.ndarray]:
     return out
 
 
+def _parts(texts: list[str], chars: int) -> Iterator[tuple[int, int]]:
+    """Runs of texts with about so many characters (a longer text stands alone)."""
+    ends = np.cumsum([len(t) for t in texts])
+    cuts = np.flatnonzero(np.diff(ends // chars)) + 1
+    yield from itertools.pairwise([0, *cuts.tolist(), len(texts)])
+
+
 def _identity(s: np.ndarray, seed: int) -> tuple[int, int]:
     """Two 64-bit names of a set, whatever its order."""
     a = (s ^ np.uint64(seed * 2 + 1)) * P
@@ -97,7 +104,8 @@ def _describe(docs: DataFrame, seed: int) -> DataFrame:
     """Kind 0: a row per document (its set's size and names); kind 1: tokens repeated within a batch."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            sets = shingle_sets(frame["_text"].tolist())
+            texts = frame["_text"].tolist()
+            sets = [s for a, b in _parts(texts, CHARS) for s in shingle_sets(texts[a:b])]
             names = [_identity(s, seed) for s in sets]
             yield pd.DataFrame({"kind": 0, "_key": frame["_key"], "tid": frame["tid"], "n": [len(s) for s in sets],
                                 "node": [a for a, _ in names], "check": [b for _, b in names]})
@@ -174,9 +182,9 @@ def _postings(docs: DataFrame, seed: int, shared: Broadcast, parts: int) -> Data
         by_count = shared.value
         order = np.argsort(by_count)
         lookup = by_count[order]
-        for frame in frames:
+        for texts in (texts[a:b] for frame in frames for texts in [frame["_text"].tolist()] for a, b in _parts(texts, CHARS)):
             once: dict[tuple[int, int], np.ndarray] = {}
-            for s in shingle_sets(frame["_text"].tolist()):
+            for s in shingle_sets(texts):
                 if len(s):
                     once.setdefault(_identity(s, seed), s)
             found: tuple[list, list] = ([], [])
