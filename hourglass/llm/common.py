@@ -36,6 +36,12 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """For a side of a join that grows with the data: both sides are sorted and merged, so the side is never
+    gathered in the driver for a broadcast, however small it is just now."""
+    return df.hint("merge")
+
+
 def tidy(spark: SparkSession) -> None:
     """Between the phases of a long job: ask the driver's JVM to collect garbage.
 

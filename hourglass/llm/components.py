@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.llm.common import checkpoint
+from hourglass.llm.common import checkpoint, shuffled
 
 
 def _star(edges: DataFrame, smaller_only: bool) -> DataFrame:
@@ -20,7 +20,7 @@ def _star(edges: DataFrame, smaller_only: bool) -> DataFrame:
             edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
     # checkpointed, so that the join shuffles plain rows on both sides and AQE may split a hub's partition
     least = checkpoint(nb.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m")))
-    hung = nb.join(least, "u")
+    hung = nb.join(shuffled(least), "u")
     if smaller_only:
         out = hung.select(F.col("v").alias("a"), F.col("m").alias("b")).union(
             least.select(F.col("u").alias("a"), F.col("m").alias("b")))

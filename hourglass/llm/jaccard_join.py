@@ -39,7 +39,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourglass.llm.common import checkpoint, shared_dir, tidy
+from hourglass.llm.common import checkpoint, shared_dir, shuffled, tidy
 from hourglass.llm.components import connected_components
 from hourglass.llm.textvec import MIX, P, hashed_shingles, hashed_words, lower_ascii
 
@@ -257,7 +257,7 @@ def _fits(a: str, b: str):
 def _in_components(post: DataFrame, components: DataFrame | None) -> DataFrame:
     if components is None:
         return post.withColumn("component", F.col("node"))
-    return post.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return post.join(shuffled(components), "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
 def _split_buckets(post: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
@@ -266,7 +266,7 @@ def _split_buckets(post: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
     buckets = post.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min(by).alias("p"))
     buckets = checkpoint(buckets.where("lo != hi").select(
         "key", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.component").alias("pc")))
-    return buckets, post.join(buckets, "key")
+    return buckets, post.join(shuffled(buckets), "key")
 
 
 def _pivot_pairs(rows: DataFrame) -> DataFrame:
@@ -278,7 +278,7 @@ def _pivot_pairs(rows: DataFrame) -> DataFrame:
 def _rest_pairs(rows: DataFrame) -> DataFrame:
     """All pairs of a bucket that lie in different components: those outside the pivot's with all."""
     outside = rows.where(F.col("component") != F.col("pc")).select("key", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("component").alias("xc"))
-    both = outside.join(rows, "key").where(
+    both = outside.join(shuffled(rows), "key").where(
         (F.col("xc") != F.col("component")) & _fits("xn", "n") & ((F.col("component") == F.col("pc")) | (F.col("x") < F.col("node"))))
     # the pair meets in every bucket that it shares, so its rows count the shared keys
     shared = both.groupBy(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).agg(
@@ -307,12 +307,12 @@ def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _texts(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """``(node, _text)``: the text of the first document of every node, written."""
     spark = docs.sparkSession
-    wanted = checkpoint(nodes.join(classes, "node").select(
+    wanted = checkpoint(nodes.join(shuffled(classes), "node").select(
         "node", F.col("first.tid").alias("_tid"), _sieve(F.col("first.tid")).alias("_sieve")))
     # a filter of at most SIEVE rows keeps most texts that nobody wants out of the shuffle
     near = docs.withColumn("_sieve", _sieve(F.col("tid"))).join(F.broadcast(wanted.select("_sieve").distinct()), "_sieve", "left_semi")
     # one row per node: its first document; equal rows of that document count once
-    texts = near.join(wanted.select("node", F.col("_tid").alias("tid")), "tid").select("tid", "node", "_text").dropDuplicates(["tid"])
+    texts = near.join(shuffled(wanted.select("node", F.col("_tid").alias("tid"))), "tid").select("tid", "node", "_text").dropDuplicates(["tid"])
     path = f"{shared_dir(spark)}/texts-{uuid.uuid4().hex}"
     texts.select("node", "_text").write.option("compression", "zstd").parquet(path)  # half of a checkpoint's size
     return spark.read.parquet(path)
@@ -323,8 +323,8 @@ def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     pairs = checkpoint(pairs)
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     texts = _texts(nodes, docs, classes)
-    both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("_text").alias("ta")), "a")
-                 .join(texts.select(F.col("node").alias("b"), F.col("_text").alias("tb")), "b"))
+    both = (pairs.join(shuffled(texts.select(F.col("node").alias("a"), F.col("_text").alias("ta"))), "a")
+                 .join(shuffled(texts.select(F.col("node").alias("b"), F.col("_text").alias("tb"))), "b"))
     return checkpoint(both.select("a", "b", "ta", "tb").mapInPandas(_verify, "a long, b long"))
 
 
@@ -378,12 +378,12 @@ def _link_counts(of: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFram
     ``of`` is ``(node, component, copies)``.  A node's text is sent once for every ``BLOCK`` nodes of its component.
     """
     many = of.groupBy("component").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    nodes = checkpoint(of.join(many, "component"))
+    nodes = checkpoint(of.join(shuffled(many), "component"))
     blocks = F.ceil(F.col("m") / F.lit(BLOCK)).cast("int")
     dealt = nodes.withColumn("side", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn(
         "t", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
         "node", "component", "copies", F.least("side", "t").alias("i"), F.greatest("side", "t").alias("j"), "side")
-    tasks = dealt.join(_texts(nodes.select("node"), docs, classes), "node")
+    tasks = dealt.join(shuffled(_texts(nodes.select("node"), docs, classes)), "node")
     tasks = tasks.repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
     found = tasks.select("component", "i", "j", "side", "node", "copies", "_text").mapInPandas(_count, "node long, links long")
     return checkpoint(found.groupBy("node").agg(F.sum("links").alias("links")))
@@ -448,21 +448,21 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     if components is None:
         named = classes.select("node", F.col("least").alias("component_id"), *best)
     else:
-        of = classes.join(components, "node", "left").withColumn("component", F.coalesce("component", "node")).select("node", "component", "least", *best)
+        of = classes.join(shuffled(components), "node", "left").withColumn("component", F.coalesce("component", "node")).select("node", "component", "least", *best)
         least = checkpoint(of.groupBy("component").agg(F.min("least").alias("component_id"), *[F.min(c).alias(f"_{c}") for c in best]))
-        named = of.join(least, "component").select("node", "component_id", *[F.col(f"_{c}").alias(c) for c in best])
+        named = of.join(shuffled(least), "component").select("node", "component_id", *[F.col(f"_{c}").alias(c) for c in best])
     if count:
         tidy(docs.sparkSession)
         links = F.col("copies") - 1
         if components is not None:
-            inside = _link_counts(checkpoint(of.join(classes.select("node", "copies"), "node").select("node", "component", "copies")), d, classes)
-            counted = classes.join(inside, "node", "left").select("node", (links + F.coalesce("links", F.lit(0))).alias("n_links"))
+            inside = _link_counts(checkpoint(of.join(shuffled(classes.select("node", "copies")), "node").select("node", "component", "copies")), d, classes)
+            counted = classes.join(shuffled(inside), "node", "left").select("node", (links + F.coalesce("links", F.lit(0))).alias("n_links"))
         else:
             counted = classes.select("node", links.alias("n_links"))
-        named = named.join(counted, "node")
+        named = named.join(shuffled(counted), "node")
     named = checkpoint(named)
     every = told.where("kind = 0").select("_key", "tid", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("node")).alias("node"))
-    out = every.join(named, "node", "left")
+    out = every.join(shuffled(named), "node", "left")
     own = F.col("_key").cast(kind)
     chosen = (F.col("n_shingles") == 0) | (own.eqNullSafe(F.col("best.key")) & (F.col("tid") == F.col("best.tid"))) if stays else None
     return out.select(own.alias(key), "tid", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(own).alias("component_id"),
