@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -66,6 +67,14 @@ def crc_fold(c: Column, folds: int = 5) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.encode(c.cast("string"), "UTF-8")), F.lit(folds)), F.lit(0)).cast("int")
 
 
+def release() -> None:
+    """At the end of a task: hand freed memory back, for Spark's Python workers live on to the next task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc only
+    if trim is not None:
+        trim(0)
+
+
 #: A batch function: texts to (rows kept, or None for all; new columns by name).
 TextFunction = Callable[[list], tuple[list[int] | None, dict[str, list]]]
 
@@ -101,5 +110,7 @@ def map_texts(df: DataFrame, text: str, start: Callable[[], TextFunction], field
                 part = part if rows is None else part.take(pa.array(rows, pa.int64()))
                 yield pa.RecordBatch.from_arrays([*part.columns, *[pa.array(new[c], t) for c, (_, t) in fields.items()]],
                                                  names=[*kept, *fields])
+                del rows, new, part
+            release()
 
     return df.mapInArrow(run, schema)

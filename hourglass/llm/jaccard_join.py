@@ -39,7 +39,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourglass.llm.common import checkpoint, shared_dir, shuffled, tidy
+from hourglass.llm.common import checkpoint, release, shared_dir, shuffled, tidy
 from hourglass.llm.components import connected_components
 from hourglass.llm.textvec import MIX, P, hashed_shingles, hashed_words, lower_ascii
 
@@ -115,6 +115,9 @@ def _describe(docs: DataFrame, seed: int) -> DataFrame:
                 many = counts > 1
                 yield pd.DataFrame({"kind": 1, "_key": None,
                                     "tid": 0, "n": counts[many], "node": tokens[many].astype(np.int64), "check": 0})
+                del tokens, counts, many
+            del sets, once, texts
+            release()
 
     return docs.mapInPandas(run, "kind int, _key string, tid long, n long, node long, check long")
 
