@@ -229,10 +229,10 @@ def embedding_components(vectors: DataFrame, key: str = "vec_id", vector: str =
     # these never meet here, so a probing vector is sent once for every block of indexed ones
     own_blocks = F.ceil(F.col("o") / F.lit(block)).cast("int")
     probe_blocks = F.greatest(F.ceil((F.col("m") - F.col("o")) / F.lit(block)), F.lit(1)).cast("int")
-    indexed, name = F.col("is_own") == 1, F.xxhash64("node", "cell")
-    dealt = (light.join(shared, "cell")
-                  .withColumn("s", F.when(indexed, F.pmod(name, own_blocks)).otherwise(own_blocks + F.pmod(name, probe_blocks)).cast("int"))
-                  .withColumn("t", F.explode(F.sequence(F.lit(0), F.when(indexed & (F.col("m") > F.col("o")), own_blocks + probe_blocks).otherwise(own_blocks) - 1)))
+    indexed, name, one = F.col("is_own") == 1, F.xxhash64("node", "cell"), F.col("m") <= block
+    side = F.when(one, 0).when(indexed, F.pmod(name, own_blocks)).otherwise(own_blocks + F.pmod(name, probe_blocks)).cast("int")
+    others = F.when(one, 1).when(indexed & (F.col("m") > F.col("o")), own_blocks + probe_blocks).otherwise(own_blocks)
+    dealt = (light.join(shared, "cell").withColumn("s", side).withColumn("t", F.explode(F.sequence(F.lit(0), others - 1)))
                   .select("node", "cell", F.least("s", "t").alias("i"), F.greatest("s", "t").alias("j"),
                           F.col("s").alias("side"), indexed.alias("indexed")))
     tasks = dealt.join(keyed, "node").select("cell", "i", "j", "side", "indexed", "node", "copies", "unit", "own", "probed")
