@@ -43,3 +43,11 @@ def test_wide_rows_are_made_in_place(spark, monkeypatch):
     assert "Exchange" not in _above(wide, "Generate")
     got = {(r["stay"], r["time"], f): (r[f], r[f + "_mask"], r["hour"]) for r in wide.collect() for f in FEATURES}
     assert got == {(r["stay"], r["time"], r["feature"]): (r["value"], r["mask"], r["hour"]) for r in grid.collect()}
+
+
+def test_grid_tasks_grow_with_cells(spark, monkeypatch):
+    grid = _grid(spark, monkeypatch)
+    cells = grid.count()
+    assert grid.rdd.getNumPartitions() == -(-cells // 50)
+    wide = E.to_wide(grid, FEATURES)
+    assert wide.agg(*[F.count(c).alias(c) for c in A.feature_names(wide)]).first().asDict() == {f: cells // 3 for f in FEATURES}
