@@ -51,3 +51,13 @@ def test_grid_tasks_grow_with_cells(spark, monkeypatch):
     assert grid.rdd.getNumPartitions() == -(-cells // 50)
     wide = E.to_wide(grid, FEATURES)
     assert wide.agg(*[F.count(c).alias(c) for c in A.feature_names(wide)]).first().asDict() == {f: cells // 3 for f in FEATURES}
+
+
+def test_tagged_grid_is_counted_in_place(spark, monkeypatch):
+    monkeypatch.setattr(E, "CELLS", 50)
+    grid = E.dense_grid(_hourly(spark), _vocab(spark))
+    per = grid.groupBy("stay", "time").agg(F.count(F.when(F.col("tag") == 0, 1)).alias("n"), F.count(F.when(F.col("tag") == 1, 1)).alias("seen"))
+    assert "Exchange" not in _above(per, "Generate")
+    rows = per.collect()
+    assert all(r["n"] == 3 for r in rows) and sum(r["seen"] for r in rows) == _hourly(spark).count()
+    assert grid.rdd.getNumPartitions() > 1
