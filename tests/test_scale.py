@@ -61,3 +61,16 @@ def test_tagged_grid_is_counted_in_place(spark, monkeypatch):
     rows = per.collect()
     assert all(r["n"] == 3 for r in rows) and sum(r["seen"] for r in rows) == _hourly(spark).count()
     assert grid.rdd.getNumPartitions() > 1
+
+
+def test_sequences_are_not_exchanged_for_labels(spark, monkeypatch):
+    monkeypatch.setattr(K, "CELLS", 40)
+    runs = E.stay_runs(_hourly(spark), _vocab(spark), carry=("admit_hour",))
+    labels = spark.createDataFrame([(s, 9.0 + s, s % 2) for s in range(0, 14, 2)] + [(4, 1.0, 1), (None, 2.0, 0)], "stay long, los_days double, mortality int")
+    rows = K.training_rows(runs, labels, skip=2)
+    above = _above(rows, "MapInArrow")
+    assert "Join" not in above and "Exchange" not in above
+    hours = {(r["stay"], r["time"]): (r["values"], r["masks"]) for r in K.hour_rows(runs).collect()}
+    want = sorted((stay, time, m, max(los - time / 24, 1 / 48), *hours[stay, time]) for stay, los, m in [tuple(r) for r in labels.collect()]
+                  for time in sorted(t for s, t in hours if s == stay)[2:])
+    assert sorted((r["stay"], r["time"], r["mortality"], r["los_remaining"], r["values"], r["masks"]) for r in rows.collect()) == want
