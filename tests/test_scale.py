@@ -74,3 +74,10 @@ def test_sequences_are_not_exchanged_for_labels(spark, monkeypatch):
     want = sorted((stay, time, m, max(los - time / 24, 1 / 48), *hours[stay, time]) for stay, los, m in [tuple(r) for r in labels.collect()]
                   for time in sorted(t for s, t in hours if s == stay)[2:])
     assert sorted((r["stay"], r["time"], r["mortality"], r["los_remaining"], r["values"], r["masks"]) for r in rows.collect()) == want
+
+
+def test_hours_of_the_grid_are_distinct_in_place(spark, monkeypatch):
+    grid = _grid(spark, monkeypatch)
+    hours = grid.select("stay", "time", "hour").distinct()
+    assert "Exchange" not in _above(hours, "Generate")
+    assert hours.count() == len({(r["stay"], r["time"]) for r in grid.collect()})
