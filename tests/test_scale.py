@@ -81,3 +81,22 @@ def test_hours_of_the_grid_are_distinct_in_place(spark, monkeypatch):
     hours = grid.select("stay", "time", "hour").distinct()
     assert "Exchange" not in _above(hours, "Generate")
     assert hours.count() == len({(r["stay"], r["time"]) for r in grid.collect()})
+
+
+@pytest.fixture
+def written(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(A, "PART_STAYS", 4, raising=False)
+    hours = spark.createDataFrame([(s, t) for s in range(23) for t in range(1 + s % 3)], "stay long, time long")
+    order = J.shuffle_stays(hours)
+    manifest = A.write_shuffled({"hours": hours}, order, str(tmp_path), 2, ("time",))
+    return {r["stay"]: r["order"] for r in order.collect()}, str(tmp_path), manifest
+
+
+def test_manifest_is_counted_by_parts(spark, written):
+    order, _, manifest = written
+    at, want = {}, {}
+    for s, o in sorted(order.items(), key=lambda x: x[1]):
+        f = (o - 1) * 2 // 23
+        want[s] = (o, f, at.get(f, 0), 1 + s % 3)
+        at[f] = at.get(f, 0) + 1 + s % 3
+    assert {r["stay"]: (r["order"], r["file"], r["first_row"], r["n_rows"]) for r in manifest.collect()} == want
