@@ -100,3 +100,13 @@ def test_manifest_is_counted_by_parts(spark, written):
         want[s] = (o, f, at.get(f, 0), 1 + s % 3)
         at[f] = at.get(f, 0) + 1 + s % 3
     assert {r["stay"]: (r["order"], r["file"], r["first_row"], r["n_rows"]) for r in manifest.collect()} == want
+
+
+def test_no_task_writes_a_whole_file(spark, written):
+    order, path, manifest = written
+    first = {r["stay"]: (r["file"], r["first_row"]) for r in manifest.collect()}
+    rows = A.read_shuffled(spark, path, "hours")
+    assert rows.columns == ["stay", "time", "order", "file", "row"]
+    assert sorted(tuple(r) for r in rows.drop("order").collect()) == sorted((s, t, first[s][0], first[s][1] + t) for s in order for t in range(1 + s % 3))
+    parts = spark.read.parquet(f"{path}/hours").groupBy("_metadata.file_path").agg(F.count_distinct("stay").alias("n"))
+    assert max(r["n"] for r in parts.collect()) <= 4
