@@ -43,19 +43,24 @@ def linear_los_scorer(weight: float, bias: float, values_col: str = "values",
 
 
 def permute_column(df: DataFrame, col: str, seed: str, id_col: str,
-                   pos: DataFrame | None = None) -> DataFrame:
+                   placed: DataFrame | None = None) -> DataFrame:
     """Replace ``col`` by a seeded permutation of itself (one shuffle of two columns).
 
     Row positions come from the id order and the permutation from a seeded
     hash order; both ranks are distributed (no single-task ordering), and the
     value of the row ranked ``r`` by hash moves to the row at position ``r``.
+    Pass ``placed`` (:func:`placed_rows` of ``df``) to share the positions between permutations.
     """
-    if pos is None:
-        pos = global_rank(df.select(id_col), [F.col(id_col)], "_pos")
+    placed = placed_rows(df, id_col) if placed is None else placed
     src = df.select(id_col, col).withColumn("_h", seeded_hash(id_col, seed))
     perm = global_rank(src, [F.col("_h"), F.col(id_col)], "_pos").select("_pos", F.col(col).alias("_new"))
-    moved = pos.join(perm, "_pos").select(id_col, "_new")
-    return df.join(moved, id_col).withColumn(col, F.col("_new")).drop("_new")
+    return placed.join(perm, "_pos").withColumn(col, F.col("_new")).drop("_new", "_pos")
+
+
+def placed_rows(df: DataFrame, id_col: str) -> DataFrame:
+    """The rows with their position ``_pos`` in the order of the ids, written once for all permutations."""
+    pos = global_rank(df.select(id_col), [F.col(id_col)], "_pos")
+    return checkpoint(df.join(pos, id_col))
 
 
 def permutation_importance_batch(df: DataFrame, fn: Callable[[pd.DataFrame], np.ndarray],
@@ -107,12 +112,13 @@ def permutation_importance(df: DataFrame, score: Callable[[DataFrame], Column],
     one-row DataFrame with column ``score`` (higher is better).  Output
     ``(feature, importance_mean, importance_std)`` with the population std.
     """
+    df = checkpoint(df)  # read by every repeat, made once
     base = metric(df.withColumn("y_pred", score(df))).select(F.col("score").alias("_base"))
-    pos = global_rank(df.select(id_col), [F.col(id_col)], "_pos")  # shared by all repeats
+    placed = placed_rows(df, id_col)  # shared by all repeats
     parts = []
     for c in cols:
         for r in range(n_repeats):
-            p = permute_column(df, c, f"{seed}|{r}|{c}|", id_col, pos)
+            p = permute_column(df, c, f"{seed}|{r}|{c}|", id_col, placed)
             m = metric(p.withColumn("y_pred", score(p)))
             parts.append(m.select(F.lit(c).alias("feature"), F.lit(r).alias("repeat"), "score"))
     allm = parts[0]

@@ -110,3 +110,19 @@ def test_no_task_writes_a_whole_file(spark, written):
     assert sorted(tuple(r) for r in rows.drop("order").collect()) == sorted((s, t, first[s][0], first[s][1] + t) for s in order for t in range(1 + s % 3))
     parts = spark.read.parquet(f"{path}/hours").groupBy("_metadata.file_path").agg(F.count_distinct("stay").alias("n"))
     assert max(r["n"] for r in parts.collect()) <= 4
+
+
+def test_permutations_read_their_table_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    source = spark.createDataFrame([(i, float(i % 9), float(i % 5)) for i in range(60)] + [(3, 1.0, 2.0), (None, 4.0, 4.0)], "id long, x double, y double")
+    df = source.mapInArrow(count, source.schema)
+    out = S.permutation_importance(df, lambda d: F.col("x"), lambda d: d.agg((-F.avg(F.abs(F.col("y") - F.col("y_pred")))).alias("score")), ["x", "y"], "id", 3)
+    assert out.count() == 2 and read.value == 62
+    # a repeated id meets the values of all its rows, a null id none
+    assert S.permute_column(source, "x", "s", "id").groupBy("id").count().where("count > 1").collect() == [(3, 4)]
