@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.llm.common import checkpoint, shuffled
+from hourglass.llm.common import checkpoint, shuffled, tidy
 
 
 def _star(edges: DataFrame, smaller_only: bool) -> DataFrame:
@@ -50,4 +50,5 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
                 e.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
         mark = now
+        tidy(edges.sparkSession)
     raise RuntimeError(f"components have not settled after {rounds} rounds")

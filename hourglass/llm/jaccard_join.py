@@ -14,7 +14,8 @@ single keys from a prefix extended by a half, and must share as many of them as
 guarantees; sets up to a third longer than ``SHORT`` give both kinds, so that every pair that may
 link meets under one of its schemes.
 
-*Candidates.*  Every round compares each set of a bucket with one pivot, merges what links, and only
+*Candidates.*  Every round compares each set of a bucket with one pivot, the set with most copies there (edits of
+a text that is copied often link with it, not with each other), merges what links, and only
 sets that are not yet in the pivot's component remain.  What no round has merged is compared pair by
 pair at the end across components, so no link between components is lost; in a bucket whose sets do not
 link with the pivot these pairs grow with the square of its size.
@@ -31,6 +32,7 @@ from __future__ import annotations
 import itertools
 import math
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -180,16 +182,19 @@ def prefix_keys(s: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _postings(docs: DataFrame, seed: int, shared: Broadcast, parts: int) -> DataFrame:
-    """Rows ``(part, keys, nodes, sizes)``: packed rare keys by part; parts below 0 hold frequent keys."""
+    """Rows ``(part, keys, nodes, sizes, copies)``: packed rare keys by part; parts below 0 hold frequent keys."""
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         by_count = shared.value
         order = np.argsort(by_count)
         lookup = by_count[order]
         for texts in (texts[a:b] for frame in frames for texts in [frame["_text"].tolist()] for a, b in _parts(texts, CHARS)):
             once: dict[tuple[int, int], np.ndarray] = {}
+            copies: Counter[tuple[int, int]] = Counter()
             for s in shingle_sets(texts):
                 if len(s):
-                    once.setdefault(_identity(s, seed), s)
+                    name = _identity(s, seed)
+                    once.setdefault(name, s)
+                    copies[name] += 1
             found: tuple[list, list] = ([], [])
             sets = list(once.items())
             if not sets:
@@ -201,17 +206,17 @@ def _postings(docs: DataFrame, seed: int, shared: Broadcast, parts: int) -> Data
             else:
                 rank = np.full(len(every), -1)
             ends = np.cumsum([len(s) for _, s in sets])
-            for ((node, _), s), end in zip(sets, ends.tolist(), strict=True):
+            for (name, s), end in zip(sets, ends.tolist(), strict=True):
                 for kind, keys in enumerate(prefix_keys(s, rank[end - len(s):end])):
                     if len(keys):
-                        found[kind].append((keys, node, len(s)))
+                        found[kind].append((keys, name[0], len(s), copies[name]))
             for kind, rows in enumerate(found):
                 if not rows:
                     continue
-                keys = np.concatenate([k for k, _, _ in rows])
-                sizes = [len(k) for k, _, _ in rows]
-                nodes = np.repeat(np.array([x for _, x, _ in rows], dtype=np.int64), sizes)
-                ns = np.repeat(np.array([x for _, _, x in rows], dtype=np.int32), sizes)
+                keys = np.concatenate([row[0] for row in rows])
+                sizes = [len(row[0]) for row in rows]
+                nodes, ns, cs = (np.repeat(np.array([row[i] for row in rows], dtype=t), sizes)
+                                 for i, t in ((1, np.int64), (2, np.int32), (3, np.int32)))
                 if kind:  # frequent keys are only carried along: every slice is a part of its own
                     cuts = np.arange(0, len(keys), 1 << 16)
                     part = [-1 - (hash((rows[0][1], int(c), len(keys))) & (2**62 - 1)) for c in cuts]
@@ -220,18 +225,22 @@ def _postings(docs: DataFrame, seed: int, shared: Broadcast, parts: int) -> Data
                     of = ((keys >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
                     by = np.argsort(of, kind="stable")
                     # half of the hash within a part: equal halves of unequal tokens only add candidates
-                    keys, nodes, ns, of = keys[by].astype(np.uint32), nodes[by], ns[by], of[by]
+                    keys, nodes, ns, cs, of = keys[by].astype(np.uint32), nodes[by], ns[by], cs[by], of[by]
                     cuts = np.flatnonzero(np.diff(of, prepend=-1))
                     part, stops = of[cuts], np.append(cuts[1:], len(keys))
                 yield pd.DataFrame({"part": part,
                                     "keys": [keys[a:b].tobytes() for a, b in zip(cuts, stops, strict=True)],
                                     "nodes": [nodes[a:b].tobytes() for a, b in zip(cuts, stops, strict=True)],
-                                    "sizes": [ns[a:b].tobytes() for a, b in zip(cuts, stops, strict=True)]})
+                                    "sizes": [ns[a:b].tobytes() for a, b in zip(cuts, stops, strict=True)],
+                                    "copies": [cs[a:b].tobytes() for a, b in zip(cuts, stops, strict=True)]})
+            del once, copies, found, sets, every
+            release()
 
-    return docs.mapInPandas(run, "part long, keys binary, nodes binary, sizes binary")
+    return docs.mapInPandas(run, "part long, keys binary, nodes binary, sizes binary, copies binary")
 
 
-POSTING = "key long, node long, n int"
+#: ``n`` holds the set's size in its lower half and the copies that a task has seen in its upper half.
+POSTING = "key long, node long, n long"
 
 
 def _bucket_rows(frame: pd.DataFrame) -> pd.DataFrame:
@@ -239,17 +248,20 @@ def _bucket_rows(frame: pd.DataFrame) -> pd.DataFrame:
     part = int(frame["part"].iloc[0])
     raw = b"".join(frame["keys"])
     node = np.frombuffer(b"".join(frame["nodes"]), dtype=np.int64)
-    n = np.frombuffer(b"".join(frame["sizes"]), dtype=np.int32)
+    n = np.frombuffer(b"".join(frame["sizes"]), dtype=np.int32).astype(np.int64)
+    copies = np.frombuffer(b"".join(frame["copies"]), dtype=np.int32).astype(np.int64)
     if part < 0:
-        return pd.DataFrame({"key": np.frombuffer(raw, dtype=np.int64), "node": node, "n": n})
+        return pd.DataFrame({"key": np.frombuffer(raw, dtype=np.int64), "node": node, "n": n + (copies << 32)})
     key = np.frombuffer(raw, dtype=np.uint32)
     order = np.lexsort((node, key))
-    key, node, n = key[order], node[order], n[order]
+    key, node, n, copies = key[order], node[order], n[order], copies[order]
     first = np.append(True, (key[1:] != key[:-1]) | (node[1:] != node[:-1]))  # batches may repeat a set
-    key, node, n = key[first], node[first], n[first]
+    if len(first):
+        n, copies = n[first], np.minimum(np.add.reduceat(copies, np.flatnonzero(first)), 2**31 - 1)
+    key, node = key[first], node[first]
     same = key[1:] == key[:-1]
     keep = np.append(False, same) | np.append(same, False)
-    return pd.DataFrame({"key": key[keep].astype(np.int64) + (part << 32), "node": node[keep], "n": n[keep]})
+    return pd.DataFrame({"key": key[keep].astype(np.int64) + (part << 32), "node": node[keep], "n": n[keep] + (copies[keep] << 32)})
 
 
 def _fits(a: str, b: str):
@@ -265,11 +277,11 @@ def _in_components(post: DataFrame, components: DataFrame | None) -> DataFrame:
 
 def _split_buckets(post: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
     """Buckets whose sets lie in several components, with a pivot each, and their postings."""
-    by = F.struct(F.xxhash64("component", F.lit(turn)).alias("h"), "component", "n", "node")
+    by = F.struct((-F.col("copies")).alias("often"), F.xxhash64("component", F.lit(turn)).alias("h"), "component", "n", "node")
     buckets = post.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min(by).alias("p"))
     buckets = checkpoint(buckets.where("lo != hi").select(
         "key", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.component").alias("pc")))
-    return buckets, post.join(shuffled(buckets), "key")
+    return buckets, post.drop("copies").join(shuffled(buckets), "key")
 
 
 def _pivot_pairs(rows: DataFrame) -> DataFrame:
@@ -305,6 +317,8 @@ def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 both = int((y[at] == x).sum())
                 linked.append(100 * both >= PERCENT * (len(x) + len(y) - both))
             yield part.loc[linked, ["a", "b"]]
+            del texts, sets
+        release()
 
 
 def _texts(nodes: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -372,7 +386,9 @@ def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             linked = 100 * both >= PERCENT * (size[:, None] + size[None, :] - both)
             linked &= (side[a:b, None] != side[None, a:b]) if names[a, 1] != names[a, 2] else ~np.eye(b - a, dtype=bool)
             links[a:b] = linked @ copies[a:b]
+            del sets, both, linked
         yield pd.DataFrame({"node": ready["node"].to_numpy(np.int64), "links": links})
+        release()
 
 
 def _link_counts(of: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -434,6 +450,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     shared = docs.sparkSession.sparkContext.broadcast(frequent)  # at most MOST_FREQUENT numbers
     post = checkpoint(_postings(d, seed, shared, parts).groupBy("part").applyInPandas(_bucket_rows, POSTING))
+    post = post.select("key", "node", F.col("n").bitwiseAND(F.lit(2**32 - 1)).cast("int").alias("n"), F.shiftright("n", 32).cast("int").alias("copies"))
     shared.destroy()  # the postings are written
     tidy(docs.sparkSession)
 
