@@ -16,9 +16,11 @@ link meets under one of its schemes.
 
 *Candidates.*  Every round compares each set of a bucket with one pivot, the set with most copies there (edits of
 a text that is copied often link with it, not with each other), merges what links, and only
-sets that are not yet in the pivot's component remain.  What no round has merged is compared pair by
-pair at the end across components, so no link between components is lost; in a bucket whose sets do not
-link with the pivot these pairs grow with the square of its size.
+sets that are not yet in the pivot's component remain.  What no round has merged is compared at the end
+across components, so no link between components is lost: sets that lie in fewer buckets than they would
+share with any linked one are left out; buckets of less than ``LARGE`` sets are joined with themselves (so a
+set has less than ``LARGE`` pairs a key); the sets of larger ones are gathered by pivot, once however many buckets
+they share, and compared whole in blocks as below, those outside the pivot's component with all.
 
 *Links.*  All links lie within components, so they are counted there at the end: a component is worked on
 in blocks of ``BLOCK`` nodes against ``BLOCK`` nodes, a block's whole sets being compared at once by a
@@ -37,6 +39,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,6 +65,8 @@ SIEVE = 1 << 18
 VERIFIED, CHARS = 500, 1 << 22
 #: Nodes of one side of a block in which links are counted, and token columns multiplied at a time.
 BLOCK, COLUMNS = 256, 4096
+#: Sets in a bucket from which on what no pivot has merged is compared in blocks.
+LARGE = 32
 #: Rounds of pivot comparisons before what is left is compared pair by pair.
 ROUNDS = 1
 
@@ -278,9 +283,9 @@ def _in_components(post: DataFrame, components: DataFrame | None) -> DataFrame:
 def _split_buckets(post: DataFrame, turn: int) -> tuple[DataFrame, DataFrame]:
     """Buckets whose sets lie in several components, with a pivot each, and their postings."""
     by = F.struct((-F.col("copies")).alias("often"), F.xxhash64("component", F.lit(turn)).alias("h"), "component", "n", "node")
-    buckets = post.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min(by).alias("p"))
+    buckets = post.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min(by).alias("p"), F.count(F.lit(1)).alias("m"))
     buckets = checkpoint(buckets.where("lo != hi").select(
-        "key", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.component").alias("pc")))
+        "key", F.col("p.node").alias("pivot"), F.col("p.n").alias("pn"), F.col("p.component").alias("pc"), "m"))
     return buckets, post.drop("copies").join(shuffled(buckets), "key")
 
 
@@ -290,24 +295,35 @@ def _pivot_pairs(rows: DataFrame) -> DataFrame:
                 .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
 
 
+def _least_shared(n):
+    """``least_shared`` of a column."""
+    return F.when(n > BOTH, 1 + F.floor((n - F.ceil(n * PERCENT / F.lit(100)) + 1) / 2)).otherwise(1)
+
+
+def _able(post: DataFrame) -> DataFrame:
+    """Postings of the sets with at least as many keys as they share with the smallest set that may link."""
+    smallest = F.ceil(F.col("n") * PERCENT / F.lit(100))
+    able = post.groupBy("node", "n").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= _least_shared(smallest))
+    return post.join(shuffled(able.select("node")), "node", "left_semi")
+
+
 def _rest_pairs(rows: DataFrame) -> DataFrame:
-    """All pairs of a bucket that lie in different components: those outside the pivot's with all."""
+    """All pairs of a bucket of less than LARGE sets that lie in different components: those outside the pivot's with all."""
+    rows = rows.where(F.col("m") < LARGE)
     outside = rows.where(F.col("component") != F.col("pc")).select("key", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("component").alias("xc"))
     both = outside.join(shuffled(rows), "key").where(
         (F.col("xc") != F.col("component")) & _fits("xn", "n") & ((F.col("component") == F.col("pc")) | (F.col("x") < F.col("node"))))
     # the pair meets in every bucket that it shares, so its rows count the shared keys
     shared = both.groupBy(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).agg(
         F.count(F.lit(1)).alias("k"), F.min(F.least("xn", "n")).alias("n"))
-    p = F.col("n") - F.ceil(F.col("n") * PERCENT / F.lit(100)) + 1
-    need = F.when(F.col("n") > BOTH, 1 + F.floor(p / 2)).otherwise(1)
-    return shared.where(F.col("k") >= need).select("a", "b")
+    return shared.where(F.col("k") >= _least_shared(F.col("n"))).select("a", "b")
 
 
-def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs whose complete sets link, VERIFIED pairs at a time."""
-    for frame in frames:
-        for start in range(0, len(frame), VERIFIED):
-            part = frame.iloc[start:start + VERIFIED]
+    for batch in batches:
+        for start in range(0, batch.num_rows, VERIFIED):
+            part = batch.slice(start, VERIFIED).to_pydict()
             texts = dict(zip(part["a"], part["ta"], strict=True)) | dict(zip(part["b"], part["tb"], strict=True))
             sets = dict(zip(texts, shingle_sets(list(texts.values())), strict=True))
             linked = []
@@ -315,9 +331,11 @@ def _verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 x, y = sorted((sets[a], sets[b]), key=len)
                 at = np.minimum(np.searchsorted(y, x), len(y) - 1)
                 both = int((y[at] == x).sum())
-                linked.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-            yield part.loc[linked, ["a", "b"]]
-            del texts, sets
+                if 100 * both >= PERCENT * (len(x) + len(y) - both):
+                    linked.append((a, b))
+            yield pa.RecordBatch.from_arrays([pa.array([pair[k] for pair in linked], pa.int64()) for k in (0, 1)], names=["a", "b"])
+            del part, texts, sets
+        del batch
         release()
 
 
@@ -342,7 +360,7 @@ def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     texts = _texts(nodes, docs, classes)
     both = (pairs.join(shuffled(texts.select(F.col("node").alias("a"), F.col("_text").alias("ta"))), "a")
                  .join(shuffled(texts.select(F.col("node").alias("b"), F.col("_text").alias("tb"))), "b"))
-    return checkpoint(both.select("a", "b", "ta", "tb").mapInPandas(_verify, "a long, b long"))
+    return checkpoint(both.select("a", "b", "ta", "tb").mapInArrow(_verify, "a long, b long"))
 
 
 def shared_tokens(sets: list[np.ndarray]) -> np.ndarray:
@@ -361,32 +379,88 @@ def shared_tokens(sets: list[np.ndarray]) -> np.ndarray:
     return both
 
 
-def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Links of every node found in the blocks, in order of (component, i, j); a block may go on in the next batch."""
+def _blocks(frames: Iterator[pd.DataFrame], by: list[str]) -> Iterator[tuple[pd.DataFrame, np.ndarray, np.ndarray]]:
+    """Rows of whole blocks, their names and where each begins, in order of ``by``; a block may go on in the next batch."""
     rest = None
     for frame in itertools.chain(frames, [None]):
         if frame is None:
             ready, rest = rest, None
         else:
             rest = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-            names = rest[["component", "i", "j"]].to_numpy()
+            names = rest[by].to_numpy()
             other = np.flatnonzero((names != names[-1]).any(axis=1)) if len(rest) else []
             cut = int(other[-1]) + 1 if len(other) else 0
             ready, rest = rest.iloc[:cut], rest.iloc[cut:]
         if ready is None or not len(ready):
             continue
-        names = ready[["component", "i", "j"]].to_numpy()
-        cuts = np.append(np.flatnonzero(np.append(True, (names[1:] != names[:-1]).any(axis=1))), len(ready))
+        names = ready[by].to_numpy()
+        yield ready, names, np.append(np.flatnonzero(np.append(True, (names[1:] != names[:-1]).any(axis=1))), len(ready))
+
+
+def _linked(sets: list[np.ndarray]) -> np.ndarray:
+    """Which two of the sets link."""
+    size = np.array([len(x) for x in sets], dtype=np.float64)
+    both = shared_tokens(sets)
+    return 100 * both >= PERCENT * (size[:, None] + size[None, :] - both)
+
+
+def _merge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Edges that join the nodes of a block which links connect, one a node at most."""
+    for ready, _, cuts in _blocks(frames, ["pivot", "i", "j"]):
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            block = ready.iloc[a:b].drop_duplicates("node")
+            linked = _linked(shingle_sets(list(block["_text"])))
+            own = of = np.arange(len(block))
+            while True:
+                low = np.minimum(of, np.where(linked, of, len(of)).min(axis=1))
+                if (low == of).all():
+                    break
+                of = low
+            node = block["node"].to_numpy(np.int64)
+            yield pd.DataFrame({"a": node[of != own], "b": node[of[of != own]]})
+            del block, linked
+        release()
+
+
+def _group_links(rows: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Edges between the components that links join in buckets of LARGE sets or more.
+
+    The sets that meet a pivot in such buckets form its group.  Those outside the pivot's component are compared
+    with the whole group, in blocks of ``BLOCK`` of them against ``BLOCK`` of the group.
+    """
+    outside = F.max((F.col("component") != F.col("pc")).cast("int"))
+    members = checkpoint(rows.where(F.col("m") >= LARGE).groupBy("pivot", "node").agg(outside.alias("out")))
+    sizes = members.groupBy("pivot").agg(F.sum("out").alias("o"), F.count(F.lit(1)).alias("g")).where("o > 0")
+    nodes = checkpoint(members.join(shuffled(sizes), "pivot"))
+    if nodes.isEmpty():
+        return checkpoint(nodes.select(F.col("node").alias("a"), F.col("node").alias("b")))
+
+    def blocks(size: str):
+        return F.ceil(F.col(size) / F.lit(BLOCK)).cast("int")
+
+    def own(size: str):
+        return F.pmod(F.xxhash64("node"), blocks(size)).cast("int")
+
+    def every(size: str):
+        return F.explode(F.sequence(F.lit(0), blocks(size) - 1))
+
+    dealt = nodes.where("out = 1").select("node", "pivot", own("o").alias("i"), every("g").alias("j")).union(
+        nodes.select("node", "pivot", every("o").alias("i"), own("g").alias("j")))
+    tasks = dealt.join(shuffled(_texts(nodes.select("node").distinct(), docs, classes)), "node")
+    tasks = tasks.repartition("pivot", "i", "j").sortWithinPartitions("pivot", "i", "j")
+    return checkpoint(tasks.select("pivot", "i", "j", "node", "_text").mapInPandas(_merge, "a long, b long"))
+
+
+def _count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Links of every node found in the blocks."""
+    for ready, names, cuts in _blocks(frames, ["component", "i", "j"]):
         links = np.zeros(len(ready), dtype=np.int64)
         copies, side, texts = ready["copies"].to_numpy(np.int64), ready["side"].to_numpy(), list(ready["_text"])
         for a, b in zip(cuts, cuts[1:], strict=False):
-            sets = shingle_sets(texts[a:b])
-            size = np.array([len(x) for x in sets], dtype=np.float64)
-            both = shared_tokens(sets)
-            linked = 100 * both >= PERCENT * (size[:, None] + size[None, :] - both)
+            linked = _linked(shingle_sets(texts[a:b]))
             linked &= (side[a:b, None] != side[None, a:b]) if names[a, 1] != names[a, 2] else ~np.eye(b - a, dtype=bool)
             links[a:b] = linked @ copies[a:b]
-            del sets, both, linked
+            del linked
         yield pd.DataFrame({"node": ready["node"].to_numpy(np.int64), "links": links})
         release()
 
@@ -456,10 +530,13 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
 
     components, links = None, None
     for turn in range(rounds + 1):
-        buckets, rest = _split_buckets(_in_components(post, components), turn)
+        last = turn == rounds
+        buckets, rest = _split_buckets(_in_components(_able(post) if last else post, components), turn)
         if buckets.isEmpty():
             break
-        found = _links(_pivot_pairs(rest) if turn < rounds else _rest_pairs(rest), d, classes)
+        found = _links(_rest_pairs(rest) if last else _pivot_pairs(rest), d, classes)
+        if last:
+            found = found.union(_group_links(rest, d, classes))
         links = found if links is None else links.union(found)
         tidy(docs.sparkSession)
         components = checkpoint(connected_components(links))

@@ -112,6 +112,27 @@ def test_large_groups_do_not_make_pairs(spark, monkeypatch):
     assert got == of and sum(seen) < 1500  # 150 * 149 / 2 pairs are linked or nearly so
 
 
+@pytest.mark.parametrize("block", [16, 256])
+def test_groups_that_do_not_link_with_their_pivot_make_no_pairs(spark, monkeypatch, block):
+    monkeypatch.setattr(J, "BLOCK", block)
+    rng = random.Random(11)
+
+    def replaced(text, at):
+        return " ".join(f"r{rng.randrange(10**9)}" if i in at else w for i, w in enumerate(text.split(" ")))
+
+    base = " ".join(f"b{i}" for i in range(100))
+    apart = [replaced(base, set(rng.sample(range(10, 90), 4))) for _ in range(70)]
+    texts = [base] * 5 + apart + [replaced(t, {k % 95}) for k, t in enumerate(apart[:30])]
+    links = jaccard_links(texts)
+    of = components(range(len(texts)), links)
+    assert len(set(of.values())) > 30 and sum(of[i] == 0 for i in of) < 50
+    seen = []
+    found = J._links
+    monkeypatch.setattr(J, "_links", lambda pairs, *a: (seen.append(pairs.count()), found(pairs, *a))[1])
+    got = {r["doc_id"]: r["component_id"] for r in J.jaccard_components(docs_frame(spark, texts)).collect()}
+    assert got == of and sum(seen) < 500  # 100 * 99 / 2 pairs share most of the base's shingles
+
+
 def test_null_and_repeated_keys_and_clashing_columns(spark):
     rows = [(None, "a b c d e f", 1), (None, "a b c d e f", 2), (4, "a b c d e f", 3), (4, "x", 4), (9, "x", 5), (9, "x", 6), (None, "q", 7), (None, None, 8)]
     df = spark.createDataFrame(rows, "doc_id long, text string, node long")
