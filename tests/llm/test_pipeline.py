@@ -1,13 +1,16 @@
 """Every stage against its operator on the stage's own input, and the whole run."""
 
 import corpus_pipeline
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hourglass.llm import sentencepiece_codec as codec
 from hourglass.llm import toxicity
+from hourglass.llm.common import map_texts
 from hourglass.llm.decontaminate import find_leaks
 from hourglass.llm.jaccard_join import jaccard_components
 from hourglass.llm.langid import UNDETERMINED, identify, train
+from pyspark.sql import types as T
 from tests.conftest import SF_SMALL
 from tests.llm.helpers import components, jaccard_links
 
@@ -95,3 +98,15 @@ def test_run_applies_the_stages_in_order(spark, docs):
 def test_stages_take_an_empty_table(spark, docs):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), SF_SMALL).collect() == []
+
+
+def test_texts_are_worked_on_two_megabytes_at_a_time(spark):
+    texts = ["x" * 1_500_000] * 3 + ["y" * 900_000] * 3 + ["z", None]
+
+    def start():
+        return lambda batch: (None, {"together": [sum(len(t or "") for t in batch)] * len(batch)})
+
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = map_texts(docs, "text", start, {"together": (T.LongType(), pa.int64())}).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in got) == list(enumerate(texts))
+    assert max(r["together"] for r in got) <= 1 << 21
