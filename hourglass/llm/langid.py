@@ -29,6 +29,8 @@ from hourglass.llm.textvec import pieces
 
 UNDETERMINED = "und"
 BUCKETS = 1 << 17
+#: Bytes of text labelled at a time; texts advance together, so smaller slices take more steps.
+SLICE_BYTES = 1 << 21
 #: Labelled rows per language that the training sample holds in expectation.
 PER_LANG = 1500
 #: Log-probability that a change of language costs.
@@ -246,7 +248,7 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
         return run
 
     return map_texts(docs, text, start, {"lang_pred": (T.StringType(), pa.string()), "score": (T.DoubleType(), pa.float64()),
-                                         "spans": (T.StringType(), pa.string())})
+                                         "spans": (T.StringType(), pa.string())}, slice_bytes=SLICE_BYTES)
 
 
 def fit_and_identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:

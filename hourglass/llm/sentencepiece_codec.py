@@ -31,7 +31,7 @@ MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: Characters encoded at a time.
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 18
 #: Threads of a task's encoder.
 THREADS = 2
 #: One text in so many (by the hash of the text) is also encoded by the reference encoder and decoded by the library.

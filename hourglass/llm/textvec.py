@@ -9,7 +9,7 @@ import numpy as np
 
 BLANK = re.compile(r"[\x09-\x0D\x20]")
 #: Characters worked on at a time.
-PIECE = 1 << 21
+PIECE = 1 << 18
 P = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xBF58476D1CE4E5B9)
 

@@ -281,6 +281,6 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     what scores below one half.
     """
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    # the text rides along under another name, so that scoring may drop its own copy
-    found = score(docs.select(F.struct(*docs.columns).alias("_row"), F.col("text").alias("_scored")), model, "_scored")
+    # rows go whole, as one column, and are scored by a field of it, so no text is sent twice
+    found = score(docs.select(F.struct(*docs.columns).alias("_row")), model, "_row.text")
     return found.where(F.col("predicted") == 0).select("_row.*")

@@ -10,6 +10,8 @@ from hourglass.llm.common import map_texts
 from hourglass.llm.decontaminate import find_leaks
 from hourglass.llm.jaccard_join import jaccard_components
 from hourglass.llm.langid import UNDETERMINED, identify, train
+from hourglass.llm.textvec import pieces
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tests.conftest import SF_SMALL
 from tests.llm.helpers import components, jaccard_links
@@ -110,3 +112,33 @@ def test_texts_are_worked_on_two_megabytes_at_a_time(spark):
     got = map_texts(docs, "text", start, {"together": (T.LongType(), pa.int64())}).collect()
     assert sorted((r["doc_id"], r["text"]) for r in got) == list(enumerate(texts))
     assert max(r["together"] for r in got) <= 1 << 21
+
+
+def test_workers_hold_half_a_megabyte_of_short_texts_at_a_time(spark):
+    def start():
+        return lambda batch: (None, {"together": [sum(len(t or "") for t in batch)] * len(batch)})
+
+    docs = spark.createDataFrame([(i, "ab " * 20_000) for i in range(60)], "doc_id long, text string").coalesce(1)
+    got = map_texts(docs, "text", start, {"together": (T.LongType(), pa.int64())}).collect()
+    assert len(got) == 60 and max(r["together"] for r in got) <= 1 << 19
+    assert max(len(joined) for joined, _, _ in pieces(["ab " * 100] * 5000)) < 1 << 19
+
+
+def test_texts_in_a_struct(spark):
+    rows = [(1, "one"), (2, None), (3, ""), (4, "four")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+
+    def start():
+        return lambda batch: ([i for i, t in enumerate(batch) if t != ""], {"size": [len(t or "") for t in batch if t != ""]})
+
+    whole = docs.coalesce(1).select(F.struct("doc_id", "text").alias("row"))
+    got = map_texts(whole, "row.text", start, {"size": (T.LongType(), pa.int64())}).select("row.*", "size").collect()
+    assert sorted(map(tuple, got)) == [(1, "one", 3), (2, None, 0), (4, "four", 4)]
+
+
+def test_toxicity_sends_texts_once(spark, docs):
+    named = docs.limit(300).withColumn("score", F.lit("s")).withColumn("_features", F.lit(1)).withColumn("_row", F.lit(2))
+    kept = STAGE["toxicity"](spark, named, SF_SMALL)
+    assert kept.columns == named.columns and kept.where("score != 's' or _features != 1 or _row != 2").isEmpty()
+    plan = kept._jdf.queryExecution().analyzed().toString()
+    assert "_scored" not in plan and "MapInArrow" in plan
