@@ -41,6 +41,8 @@ BLOCKS, BLOCK_BITS = 4, 16
 BLOCK_WORDS = 50_000
 #: Words of text fingerprinted at a time.
 CHUNK = 1 << 14
+#: Bytes of texts whose words a task holds at a time; windows are laid out over all of them.
+SLICE_BYTES = 1 << 21
 
 
 def window_size(words: int) -> tuple[int, int]:
@@ -262,7 +264,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
 
         found = map_texts(d, "_text", start, {
             item: (kind, pa.string() if isinstance(kind, T.StringType) else pa.int64()), "similarity": (T.DoubleType(), pa.float64()),
-            "first_word": (T.LongType(), pa.int64()), "bits": (T.IntegerType(), pa.int32())}, drop=("_text",))
+            "first_word": (T.LongType(), pa.int64()), "bits": (T.IntegerType(), pa.int32())}, drop=("_text",), slice_bytes=SLICE_BYTES)
         out = found if out is None else out.union(found)
     return out
 
@@ -282,7 +284,7 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Dat
 
             return run
 
-        docs = map_texts(docs, text, start, {})
+        docs = map_texts(docs, text, start, {}, slice_bytes=SLICE_BYTES)
     return docs
 
 
